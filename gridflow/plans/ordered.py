@@ -75,27 +75,32 @@ def _win(keys, split_aware: bool, order: str):
 def ordered_scan(df: DataFrame, keys: list[str], order: str, *,
                  position: str | None = None,
                  lags: dict[str, str] | None = None,
+                 leads: dict[str, str] | None = None,
                  fills: dict[str, str] | None = None,
                  fills_before: dict[str, str] | None = None,
                  rows_per_split: int | None = None,
                  max_hot_keys: int | None = None) -> DataFrame:
     """Per key, in ``order``: add a 1-based ``position`` column, previous values
-    (``lags`` maps source column -> output name) and last-non-null-so-far values
+    (``lags`` maps source column -> output name), next values (``leads``) and
+    last-non-null-so-far values
     (``fills`` maps source column -> output name; the current row included;
     ``fills_before`` the same over the earlier rows only).
 
     Exact for any split layout; hot keys are split across tasks.
     """
     lags = lags or {}
+    leads = leads or {}
     fills = fills or {}
     fills_before = fills_before or {}
     sdf, any_hot = add_splits(df, keys, order, rows_per_split, max_hot_keys)
     w = _win(keys, any_hot, order)
     out = sdf if any_hot else sdf.drop(SPLIT)
-    if position or (any_hot and lags):
+    if position or (any_hot and (lags or leads)):
         out = out.withColumn("_lpos", F.row_number().over(w))
     for src, dst in lags.items():
         out = out.withColumn(dst, F.lag(src).over(w))
+    for src, dst in leads.items():
+        out = out.withColumn(dst, F.lead(src).over(w))
     wf = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for src, dst in fills.items():
         out = out.withColumn(dst, F.last(src, ignorenulls=True).over(wf))
@@ -112,13 +117,17 @@ def ordered_scan(df: DataFrame, keys: list[str], order: str, *,
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     for src in lags:
         aggs.append(F.max_by(F.col(src), F.col(order)).alias(f"_last_{src}"))
+    for src in leads:
+        aggs.append(F.min_by(F.col(src), F.col(order)).alias(f"_first_{src}"))
     filled = list(dict.fromkeys([*fills, *fills_before]))
     for src in filled:
         aggs.append(F.max_by(F.col(src), F.when(F.col(src).isNotNull(), F.col(order))).alias(f"_lnn_{src}"))
     summ = sdf.groupBy(*keys, SPLIT).agg(*aggs)
     ws = Window.partitionBy(*keys).orderBy(SPLIT)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    cols = [*keys, SPLIT, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_start")]
+    cols = [*keys, SPLIT, "_cnt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_start")]
+    for src in leads:
+        cols.append(F.lead(f"_first_{src}").over(ws).alias(f"_carry_lead_{src}"))
     for src in lags:
         cols.append(F.lag(f"_last_{src}").over(ws).alias(f"_carry_lag_{src}"))
     for src in filled:
@@ -130,10 +139,14 @@ def ordered_scan(df: DataFrame, keys: list[str], order: str, *,
     for src, dst in lags.items():
         out = (out.withColumn(dst, F.when(F.col("_lpos") == 1, F.col(f"_carry_lag_{src}")).otherwise(F.col(dst)))
                   .drop(f"_carry_lag_{src}"))
+    for src, dst in leads.items():
+        out = (out.withColumn(dst, F.when(F.col("_lpos") == F.col("_cnt"), F.col(f"_carry_lead_{src}"))
+                                    .otherwise(F.col(dst)))
+                  .drop(f"_carry_lead_{src}"))
     for src, dst in [*fills.items(), *fills_before.items()]:
         out = out.withColumn(dst, F.coalesce(F.col(dst), F.col(f"_carry_fill_{src}")))
     out = out.drop(*[f"_carry_fill_{src}" for src in filled])
-    return out.drop("_start", "_lpos", SPLIT)
+    return out.drop("_start", "_lpos", "_cnt", SPLIT)
 
 
 def col_or(c: str | Column) -> Column:
