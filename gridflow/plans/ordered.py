@@ -35,7 +35,16 @@ class Splitter:
     max_hot_keys: int = C.MAX_HOT_KEYS
 
 
-def add_splits(df: DataFrame, keys: list[str], order: str,
+def _order_cols(order) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
+
+
+def _order_key(order):
+    cols = _order_cols(order)
+    return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
+
+
+def add_splits(df: DataFrame, keys: list[str], order,
                rows_per_split: int | None = None, max_hot_keys: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_split`` (0 for ordinary keys). Returns (df, any_hot).
 
@@ -44,6 +53,7 @@ def add_splits(df: DataFrame, keys: list[str], order: str,
     """
     rows_per_split = rows_per_split or C.ROWS_PER_SPLIT
     max_hot_keys = max_hot_keys or C.MAX_HOT_KEYS
+    order = _order_cols(order)[0]   # splits cut on the leading (numeric) order column
     stats = (df.groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
                .where(F.col("_n") > rows_per_split))
@@ -67,12 +77,12 @@ def add_splits(df: DataFrame, keys: list[str], order: str,
     return out, True
 
 
-def _win(keys, split_aware: bool, order: str):
+def _win(keys, split_aware: bool, order):
     parts = list(keys) + ([SPLIT] if split_aware else [])
-    return Window.partitionBy(*parts).orderBy(order)
+    return Window.partitionBy(*parts).orderBy(*_order_cols(order))
 
 
-def ordered_scan(df: DataFrame, keys: list[str], order: str, *,
+def ordered_scan(df: DataFrame, keys: list[str], order, *,
                  position: str | None = None,
                  lags: dict[str, str] | None = None,
                  leads: dict[str, str] | None = None,
@@ -116,12 +126,12 @@ def ordered_scan(df: DataFrame, keys: list[str], order: str, *,
     # last non-null of each filled column; prefix-scanned per key over splits.
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     for src in lags:
-        aggs.append(F.max_by(F.col(src), F.col(order)).alias(f"_last_{src}"))
+        aggs.append(F.max_by(F.col(src), _order_key(order)).alias(f"_last_{src}"))
     for src in leads:
-        aggs.append(F.min_by(F.col(src), F.col(order)).alias(f"_first_{src}"))
+        aggs.append(F.min_by(F.col(src), _order_key(order)).alias(f"_first_{src}"))
     filled = list(dict.fromkeys([*fills, *fills_before]))
     for src in filled:
-        aggs.append(F.max_by(F.col(src), F.when(F.col(src).isNotNull(), F.col(order))).alias(f"_lnn_{src}"))
+        aggs.append(F.max_by(F.col(src), F.when(F.col(src).isNotNull(), _order_key(order))).alias(f"_lnn_{src}"))
     summ = sdf.groupBy(*keys, SPLIT).agg(*aggs)
     ws = Window.partitionBy(*keys).orderBy(SPLIT)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
