@@ -57,17 +57,22 @@ def topic_level(topic: Column, i: int) -> Column:
     return F.get(F.split(topic, "/"), i)
 
 
-def topic_matches(topic: Column, pattern: str) -> Column:
-    """MQTT-style subscription match: '+' is exactly one level, '#' the rest."""
+def topic_pattern(pattern: str) -> str:
+    """MQTT-style subscription as an anchored regex: '+' is one level, '#' the rest."""
     parts = []
-    for i, lvl in enumerate(pattern.split("/")):
+    for lvl in pattern.split("/"):
         if lvl == "+":
             parts.append("[^/]+")
         elif lvl == "#":
             parts.append(".*")
         else:
             parts.append(_re_escape(lvl))
-    return topic.rlike("^" + "/".join(parts) + "$")
+    return "/".join(parts)
+
+
+def topic_matches(topic: Column, *patterns: str) -> Column:
+    """Does the topic match any of the subscriptions (one regex for all)?"""
+    return topic.rlike("^(" + "|".join(f"({topic_pattern(p)})" for p in patterns) + ")$")
 
 
 def _re_escape(s: str) -> str:
@@ -104,12 +109,14 @@ def json_field_text(body: Column, field: str) -> Column:
 
 
 def period_ms_of_payload(payload: Column) -> Column:
-    """Period payload: a number, or an object with periodMs; finite values only."""
+    """Period payload: a number, or an object with periodMs; finite values only
+    (null otherwise). The text is parsed once; the finite check binds it in a
+    lambda so the parse is not repeated."""
     direct = js_number(payload)
     nested = js_number(F.get_json_object(payload, "$.periodMs"))
     v = F.coalesce(direct, nested)
-    finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
-    return F.when(finite, v)
+    inf = F.lit(float("inf"))
+    return F.try_element_at(F.filter(F.array(v), lambda x: ~F.isnan(x) & (F.abs(x) != inf)), F.lit(1))
 
 
 def period_seconds(period_ms: Column) -> Column:

@@ -62,11 +62,7 @@ def keyed_log(df: DataFrame, key_col: str, fields: dict[str, str], topic: str) -
 
 def topic_parse(messages: DataFrame, subscriptions=SUBSCRIPTIONS) -> DataFrame:
     """Keep messages matching any subscription; node id = 2nd level, kind = 3rd."""
-    cond = None
-    for s in subscriptions:
-        m = topic_matches(F.col("topic"), s)
-        cond = m if cond is None else (cond | m)
-    return (messages.where(cond)
+    return (messages.where(topic_matches(F.col("topic"), *subscriptions))
                     .withColumn("node_id", topic_level(F.col("topic"), 1))
                     .withColumn("kind", topic_level(F.col("topic"), 2)))
 
@@ -113,14 +109,16 @@ def period_normalize(period_messages: DataFrame, addresses: DataFrame) -> DataFr
     """
     addr = addresses.select("node_id", F.lit(True).alias("_has_addr")).dropDuplicates(["node_id"])
     j = period_messages.join(F.broadcast(addr), "node_id", "left")
-    p = period_ms_of_payload(F.col("payload"))
-    status = (F.when(F.col("_has_addr").isNull(), F.lit("no address"))
-               .when(p.isNull() | (p <= 0), F.lit("invalid payload"))
-               .otherwise(F.lit("sent")))
+    j = j.withColumn("_p", period_ms_of_payload(F.col("payload")))
+    p = F.col("_p")
+    j = j.withColumn("status", F.when(F.col("_has_addr").isNull(), F.lit("no address"))
+                                .when(p.isNull() | (p <= 0), F.lit("invalid payload"))
+                                .otherwise(F.lit("sent")))
+    sent = F.col("status") == "sent"
     sec = period_seconds(p)
-    return j.select("off", "node_id", "payload", F.when(status == "sent", p).alias("period_ms"), status.alias("status"),
-                    F.when(status == "sent", F.concat(F.lit(C.PERIOD_COMMAND_PREFIX), sec.cast("string"))).alias("command"),
-                    F.when(status == "sent", sec == 0).alias("ineffective"))
+    return j.select("off", "node_id", "payload", F.when(sent, p).alias("period_ms"), "status",
+                    F.when(sent, F.concat(F.lit(C.PERIOD_COMMAND_PREFIX), sec.cast("string"))).alias("command"),
+                    F.when(sent, sec == 0).alias("ineffective"))
 
 
 def period_command_parse(commands: DataFrame) -> DataFrame:

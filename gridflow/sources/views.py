@@ -161,8 +161,9 @@ def period_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload is a finite whole number of ms > 0."""
     m = topic_messages(spark, sf_dir)
     p = period_ms_of_payload(F.col("payload"))
+    # the parsed period is evaluated once inside the array; filtering it there keeps
+    # Catalyst from copying the parse into every predicate
+    ok = F.filter(F.array(p), lambda x: (x > 0) & (x == F.floor(x)) & (x <= F.lit(2147483647.0)))
     return (m.where(topic_level(F.col("topic"), 2) == "period")
-             .select("off", "t", topic_level(F.col("topic"), 1).alias("node_id"), p.alias("p"))
-             .where((F.col("p") > 0) & (F.col("p") == F.floor(F.col("p")))
-                    & (F.col("p") <= F.lit(2147483647.0)))
+             .select("off", "t", topic_level(F.col("topic"), 1).alias("node_id"), F.explode(ok).alias("p"))
              .select("off", "t", "node_id", F.col("p").cast("int").alias("period_ms")))
