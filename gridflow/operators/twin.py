@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridflow import config as C
 from gridflow.functions.expr import js_parse_int
 from gridflow.plans.joins import checked_broadcast
-from gridflow.plans.ordered import add_splits, ordered_scan, SPLIT
+from gridflow.plans.ordered import SPLIT, add_splits, find_hot_keys, ordered_scan
 
 
 # ---- addresses, registry, dispatch ------------------------------------------
@@ -89,9 +89,10 @@ def parent_history(updates: DataFrame, depth: int = C.PARENT_HISTORY_DEPTH, **sp
         F.lit(True).alias("_seed"))
     u = updates.select("node_id", "off", "parent", F.lit(False).alias("_seed"))
     cur = seeds.unionByName(u)
+    hot = find_hot_keys(cur, ["node_id"], "off", split.get("rows_per_split"), split.get("max_hot_keys"))
     prev = "parent"
     for k in range(1, depth + 1):
-        cur = ordered_scan(cur, ["node_id"], "off", lags={prev: f"hist_{k}"}, **split)
+        cur = ordered_scan(cur, ["node_id"], "off", lags={prev: f"hist_{k}"}, hot=hot, **split)
         prev = f"hist_{k}"
     return cur.where(~F.col("_seed")).drop("_seed")
 
@@ -142,8 +143,10 @@ def liveness_events(activity: DataFrame, period_changes: DataFrame, *,
                                 F.lit(None).cast("long").alias("_seen"), F.col("period_ms").cast("long").alias("_per"))
     rows = act.unionByName(per)
     horizon = F.lit(horizon_ms) if horizon_ms is not None else rows.agg(F.max("t")).scalar()
+    # candidates are at most two per input row and keyed the same way: one hot-key check serves both scans
+    hot = find_hot_keys(rows, ["node_id"], "t", split.get("rows_per_split"), split.get("max_hot_keys"))
     s = ordered_scan(rows, ["node_id"], ["t", "kind", "off"], leads={"t": "_next_t"},
-                     fills={"_seen": "last_seen", "_per": "_p"}, **split)
+                     fills={"_seen": "last_seen", "_per": "_p"}, hot=hot, **split)
     period = F.coalesce(F.when(F.col("_p") != 0, F.col("_p")), F.lit(default_period_ms))
     seg = (s.where(F.col("last_seen").isNotNull())
             .withColumn("period_ms", period)
@@ -159,7 +162,7 @@ def liveness_events(activity: DataFrame, period_changes: DataFrame, *,
                   .alias("tick_ms"), F.lit(True).alias("bad"))), lambda c: c["tick_ms"].isNotNull())
     c = seg.select("node_id", "last_seen", "period_ms", F.explode(cands).alias("c")).select(
         "node_id", F.col("c.tick_ms").alias("tick_ms"), F.col("c.bad").alias("bad"), "last_seen", "period_ms")
-    flips = ordered_scan(c, ["node_id"], "tick_ms", lags={"bad": "_prev_bad"}, **split)
+    flips = ordered_scan(c, ["node_id"], "tick_ms", lags={"bad": "_prev_bad"}, hot=hot, **split)
     ev = flips.where(F.col("bad") != F.coalesce(F.col("_prev_bad"), F.lit(False)))
     return ev.select("node_id", "tick_ms",
                      F.when(F.col("bad"), F.lit("crash")).otherwise(F.lit("recovered")).alias("event"),

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridflow import config as C
@@ -27,14 +27,6 @@ from gridflow import config as C
 SPLIT = "_split"
 
 
-@dataclass
-class Splitter:
-    keys: list[str]
-    order: str
-    rows_per_split: int = C.ROWS_PER_SPLIT
-    max_hot_keys: int = C.MAX_HOT_KEYS
-
-
 def _order_cols(order) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
@@ -44,37 +36,58 @@ def _order_key(order):
     return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
 
 
-def add_splits(df: DataFrame, keys: list[str], order,
-               rows_per_split: int | None = None, max_hot_keys: int | None = None) -> tuple[DataFrame, bool]:
-    """Add ``_split`` (0 for ordinary keys). Returns (df, any_hot).
+@dataclass
+class HotKeys:
+    """Keys found hot, with the low bound and width (in order units) of their splits.
 
-    One aggregate job finds the hot keys; only a bounded list (at most
-    ``max_hot_keys`` rows of key, low bound and split width) reaches the driver.
+    Applying the same list to a later input keyed the same way (for example rows
+    derived one-to-few from the scanned ones) avoids a second detection job;
+    any split layout gives exact results, the list only decides task sizes.
     """
+    keys: list[str]
+    rows: list[tuple]
+
+    @property
+    def any(self) -> bool:
+        return bool(self.rows)
+
+    def apply(self, df: DataFrame, order) -> DataFrame:
+        if not self.rows:
+            return df.withColumn(SPLIT, F.lit(0).cast("long"))
+        from pyspark.sql.types import LongType, StructField, StructType
+        schema = StructType([StructField(k, df.schema[k].dataType, True) for k in self.keys]
+                            + [StructField("_lo", LongType()), StructField("_w", LongType())])
+        hot_df = df.sparkSession.createDataFrame(self.rows, schema)
+        lead = F.col(_order_cols(order)[0])
+        return (df.join(F.broadcast(hot_df), self.keys, "left")
+                  .withColumn(SPLIT, F.coalesce(F.floor((lead - F.col("_lo")) / F.col("_w")), F.lit(0)).cast("long"))
+                  .drop("_lo", "_w"))
+
+
+def find_hot_keys(df: DataFrame, keys: list[str], order,
+                  rows_per_split: int | None = None, max_hot_keys: int | None = None) -> HotKeys:
+    """One aggregate job over the key and order columns; only a bounded list (at
+    most ``max_hot_keys`` rows of key, low bound and split width) reaches the driver."""
     rows_per_split = rows_per_split or C.ROWS_PER_SPLIT
     max_hot_keys = max_hot_keys or C.MAX_HOT_KEYS
-    order = _order_cols(order)[0]   # splits cut on the leading (numeric) order column
+    lead = _order_cols(order)[0]   # splits cut on the leading (numeric) order column
     stats = (df.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+               .agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
                .where(F.col("_n") > rows_per_split))
     hot = stats.orderBy(F.desc("_n")).limit(max_hot_keys).collect()
-    if not hot:
-        return df.withColumn(SPLIT, F.lit(0).cast("long")), False
-    spark = df.sparkSession
     # split width in order units, so that each split holds about rows_per_split rows
     rows = [tuple(r[k] for k in keys) + (int(r["_lo"]),
             max(1, int((int(r["_hi"]) - int(r["_lo"]) + 1) * rows_per_split // int(r["_n"]))))
             for r in hot]
-    key_fields = [df.schema[k] for k in keys]
-    from pyspark.sql.types import LongType, StructField, StructType
-    schema = StructType([StructField(f.name, f.dataType, True) for f in key_fields]
-                        + [StructField("_lo", LongType()), StructField("_w", LongType())])
-    hot_df = spark.createDataFrame(rows, schema)
-    out = (df.join(F.broadcast(hot_df), keys, "left")
-             .withColumn(SPLIT, F.coalesce(F.floor((F.col(order) - F.col("_lo")) / F.col("_w")),
-                                           F.lit(0)).cast("long"))
-             .drop("_lo", "_w"))
-    return out, True
+    return HotKeys(list(keys), rows)
+
+
+def add_splits(df: DataFrame, keys: list[str], order,
+               rows_per_split: int | None = None, max_hot_keys: int | None = None,
+               hot: HotKeys | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_split`` (0 for ordinary keys). Returns (df, any_hot)."""
+    hot = hot or find_hot_keys(df, keys, order, rows_per_split, max_hot_keys)
+    return hot.apply(df, order), hot.any
 
 
 def _win(keys, split_aware: bool, order):
@@ -89,7 +102,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
                  fills: dict[str, str] | None = None,
                  fills_before: dict[str, str] | None = None,
                  rows_per_split: int | None = None,
-                 max_hot_keys: int | None = None) -> DataFrame:
+                 max_hot_keys: int | None = None,
+                 hot: HotKeys | None = None) -> DataFrame:
     """Per key, in ``order``: add a 1-based ``position`` column, previous values
     (``lags`` maps source column -> output name), next values (``leads``) and
     last-non-null-so-far values
@@ -102,7 +116,7 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     leads = leads or {}
     fills = fills or {}
     fills_before = fills_before or {}
-    sdf, any_hot = add_splits(df, keys, order, rows_per_split, max_hot_keys)
+    sdf, any_hot = add_splits(df, keys, order, rows_per_split, max_hot_keys, hot)
     w = _win(keys, any_hot, order)
     out = sdf if any_hot else sdf.drop(SPLIT)
     if position or (any_hot and (lags or leads)):
@@ -158,6 +172,3 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     out = out.drop(*[f"_carry_fill_{src}" for src in filled])
     return out.drop("_start", "_lpos", "_cnt", SPLIT)
 
-
-def col_or(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
