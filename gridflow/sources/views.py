@@ -30,7 +30,11 @@ def _case(col, mapping: dict, default=None):
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings: off, node_id, district_id, node_type, v100, t."""
-    e = _events(spark, sf_dir, ["event_id", "ts", "user_id", "value"])
+    return measurements_of(_events(spark, sf_dir, ["event_id", "ts", "user_id", "value"]))
+
+
+def measurements_of(e: DataFrame) -> DataFrame:
+    """The readings view over any events DataFrame (batch or streaming)."""
     u3 = F.col("user_id") % 3
     sign = (F.when(u3 == 0, F.lit(1)).when(u3 == 1, F.lit(-1))
              .otherwise(F.when(F.col("event_id") % 2 == 0, F.lit(1)).otherwise(F.lit(-1))))
@@ -108,7 +112,11 @@ def node_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device topic messages: off, t, topic, payload."""
-    e = _events(spark, sf_dir)
+    return topic_messages_of(_events(spark, sf_dir))
+
+
+def topic_messages_of(e: DataFrame) -> DataFrame:
+    """The topic-messages view over any events DataFrame (batch or streaming)."""
     kind = _case(F.col("event_type"), {"signup": "parent", "purchase": "msg", "view": "msg",
                                        "click": "period"}, "status")
     ek5 = F.col("event_id") % 5
@@ -159,7 +167,11 @@ def ring_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def period_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Period-change actions (off, t, node_id, period_ms): the period messages whose
     payload is a finite whole number of ms > 0."""
-    m = topic_messages(spark, sf_dir)
+    return period_changes_of(topic_messages(spark, sf_dir))
+
+
+def period_changes_of(m: DataFrame) -> DataFrame:
+    """Period changes from any topic-messages DataFrame (batch or streaming)."""
     p = period_ms_of_payload(F.col("payload"))
     # the parsed period is evaluated once inside the array; filtering it there keeps
     # Catalyst from copying the parse into every predicate
