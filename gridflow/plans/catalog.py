@@ -3,32 +3,10 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` runs the gridflow operator on the
 views of ``gridflow.sources.views``; ``ORACLE[name]`` is SQL computing the same
 result on the raw driver tables (views inlined from ``oracle_views``). Column
-names agree on both sides. Operators with no SQL form have no oracle entry and
-are checked against plain-Python folds in ``tests/``.
+names agree on both sides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def _load_all():
-    # importing the modules fills the registries
-    from gridflow.plans.queries import billing_q, registry_q, charge_q, twin_q, topology_q, stream_q  # noqa: F401
-
-
-_load_all()
+from gridflow.plans.named import ORACLE, QUERIES, register  # noqa: F401
+from gridflow.plans.queries import billing_q, registry_q, charge_q, twin_q, topology_q, stream_q  # noqa: F401,E402

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridflow.operators import billing as B
-from gridflow.plans.catalog import register
+from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.sources import views as V
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from gridflow import config as C
 from gridflow.operators import charge as G
 from gridflow.operators import windows as W
-from gridflow.plans.catalog import register
+from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.sources import views as V
 

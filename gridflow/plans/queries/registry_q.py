@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from gridflow.operators import registry as R
 from gridflow.operators import reports as P
-from gridflow.plans.catalog import register
+from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.plans.queries.billing_q import bills, bills_sql_prefix
 from gridflow.sources import views as V

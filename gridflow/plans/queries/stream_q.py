@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridflow.operators import parse as P
 from gridflow.operators import windows as Wn
-from gridflow.plans.catalog import register
+from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.plans.queries.billing_q import bills_sql_prefix
 from gridflow.plans.queries.charge_q import _sliding_sql

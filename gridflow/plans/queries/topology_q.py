@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from gridflow.operators import topology as T
-from gridflow.plans.catalog import register
+from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.sources import views as V
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridflow import config as C
 from gridflow.operators import parse as P
 from gridflow.operators import twin as W
-from gridflow.plans.catalog import register
+from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.sources import views as V
 

@@ -1,0 +1,71 @@
+"""Plan checks: native operators stay JVM-side, scans are pruned, and the
+shuffles are the ones claimed."""
+import re
+
+import pytest
+
+from conftest import SF_SMALL
+import __spark_entry__ as E
+
+QUERIES = E.queries()
+
+# Python appears only in the keyed folds that need it.
+PYTHON_ALLOWED = {"node_commands", "billing_stream", "charge_stream", "liveness_stream"}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(plan):
+    return len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON_ALLOWED
+                                        - {"sliding_balance_stream"}))
+def test_native_queries_run_no_python(spark, name):
+    p = plan_of(QUERIES[name](spark, SF_SMALL))
+    for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert op not in p, f"{name} runs Python ({op})"
+
+
+def formatted(spark, df):
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def test_scan_reads_only_needed_columns(spark):
+    txt = formatted(spark, QUERIES["billing_windows"](spark, SF_SMALL))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", txt)
+    assert schemas and all("props" not in s and "event_type" not in s for s in schemas)
+
+
+def test_filters_reach_the_scan(spark):
+    txt = formatted(spark, QUERIES["account_commands"](spark, SF_SMALL))
+    assert re.search(r"PushedFilters: \[[^\]]*IsNotNull\(event_id\)", txt)
+
+
+def test_billing_windows_single_shuffle(spark):
+    # one exchange on node_id serves the ordered scan and the window aggregate
+    df = QUERIES["billing_windows"](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    assert exchanges(plan_of(df)) == 1
+
+
+def test_district_charge_pre_aggregates(spark):
+    # readings are reduced to (district, step) with a partial aggregate before any window
+    df = QUERIES["district_charge"](spark, SF_SMALL)
+    txt = df._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in txt or "ObjectHashAggregate" in txt
+    assert "partial_sum" in formatted(spark, df)
+
+
+def test_hot_key_plan_splits(spark):
+    from pyspark.sql import functions as F
+    from gridflow.plans.ordered import ordered_scan
+    df = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("o"), F.col("id").alias("v"))
+    out = ordered_scan(df, ["k"], "o", position="pos", lags={"v": "lag"}, rows_per_split=100)
+    txt = plan_of(out)
+    assert "_split" in txt          # the hot key is partitioned by (key, split)
+    got = sorted((r["o"], r["pos"], r["lag"]) for r in out.collect())
+    assert got == [(i, i + 1, i - 1 if i else None) for i in range(1000)]
