@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridflow import config as C
+from gridflow.plans.joins import checked_broadcast
 from gridflow.functions.expr import (js_parse_int, json_field_text, period_command_seconds,
                                      period_ms_of_payload, period_seconds, topic_level, topic_matches)
 
@@ -108,7 +109,7 @@ def period_normalize(period_messages: DataFrame, addresses: DataFrame) -> DataFr
     PERIOD:0, which devices ignore (``ineffective``).
     """
     addr = addresses.select("node_id", F.lit(True).alias("_has_addr")).dropDuplicates(["node_id"])
-    j = period_messages.join(F.broadcast(addr), "node_id", "left")
+    j = period_messages.join(checked_broadcast(addr), "node_id", "left")
     j = j.withColumn("_p", period_ms_of_payload(F.col("payload")))
     p = F.col("_p")
     j = j.withColumn("status", F.when(F.col("_has_addr").isNull(), F.lit("no address"))
