@@ -15,7 +15,8 @@ from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.plans.queries.billing_q import bills_sql_prefix
 from gridflow.plans.queries.charge_q import _sliding_sql
-from gridflow.plans.queries.twin_q import LIVE, LIVE_PERIOD_MS, LIVE_TICK_MS, TP
+from gridflow import config as C
+from gridflow.plans.queries.twin_q import LIVE, LIVE_PERIOD_MS, LIVE_TICK_MS, REG, TP, _registry
 from gridflow.sources import views as V
 from gridflow.streaming import sinks as S
 from gridflow.streaming import sources as Src
@@ -50,13 +51,59 @@ def charge_stream(spark, sf):
     return S.run_to_table(spark, df, "charge_stream", "update", keys=["district_id"])
 
 
+def _liveness_events_stream(spark, sf):
+    msgs = V.topic_messages_of(Src.table_stream(spark, sf, "events"))
+    tp = P.topic_parse(msgs)
+    act = tp.where(F.col("kind").isin("parent", "msg")).select("node_id", "off", "t")
+    return St.liveness_stream(act, V.period_changes_of(msgs), watermark="0 seconds",
+                              default_period_ms=LIVE_PERIOD_MS, tick_ms=LIVE_TICK_MS)
+
+
 @register("liveness_stream", with_views("topic_messages", "period_changes") + "," + TP + "," + LIVE + """
 select node_id, tick_ms, event, last_seen_ms, period_ms from live""")
 def liveness_stream(spark, sf):
+    return S.run_to_table(spark, _liveness_events_stream(spark, sf), "liveness_stream", "append")
+
+
+@register("twin_state_stream", with_views("topic_messages", "period_changes") + "," + TP + "," + REG + "," + LIVE + f""",
+pu as (select node_id, off, payload as parent from tp where kind = 'parent' and node_id in (select node_id from reg)),
+allp as (select distinct node_id, cast(-1 as bigint) as off, case when node_id = '1' then 'root' else '1' end as parent
+         from pu union all select * from pu),
+rk as (select *, row_number() over (partition by node_id order by off desc) as r from allp),
+par as (select node_id, max(case when r = 1 then parent end) as parent, max(case when r = 2 then parent end) as hist_1,
+               max(case when r = 3 then parent end) as hist_2, max(case when r = 4 then parent end) as hist_3
+        from rk where r <= 4 group by node_id),
+per as (select node_id, arg_max(period_ms, off) as period_ms from period_changes
+        where node_id in (select node_id from reg) group by node_id),
+cr as (select node_id, arg_max(event = 'crash', tick_ms) as crashed from live
+       where node_id in (select node_id from reg) group by node_id)
+select reg.node_id, coalesce(par.parent, case when reg.node_id = '1' then 'root' else '1' end) as parent,
+       par.hist_1, par.hist_2, par.hist_3, cast(coalesce(per.period_ms, {C.DEFAULT_PERIOD_MS}) as bigint) as period_ms,
+       coalesce(cr.crashed, false) as crashed
+from reg left join par on par.node_id = reg.node_id left join per on per.node_id = reg.node_id
+left join cr on cr.node_id = reg.node_id
+where par.node_id is not null or per.node_id is not null or cr.node_id is not null""")
+def twin_state_stream(spark, sf):
+    # stage 1: the liveness check publishes crash / recovered events (a landed log)
+    out, ck = S.stream_location(spark, "twin_liveness")
+    q = S.update_sink(_liveness_events_stream(spark, sf), "twin_liveness", out, ck, output_mode="append")
+    q.awaitTermination(600)
+    if q.exception():
+        raise q.exception()
+    # stage 2: the twin folds parent updates, period changes and the published liveness events
     msgs = V.topic_messages_of(Src.table_stream(spark, sf, "events"))
     tp = P.topic_parse(msgs)
-    act = tp.where(F.col("kind").isin("parent", "msg")).select("node_id", "off", "t")
-    pc = V.period_changes_of(msgs)
-    df = St.liveness_stream(act, pc, watermark="0 seconds", default_period_ms=LIVE_PERIOD_MS,
-                            tick_ms=LIVE_TICK_MS)
-    return S.run_to_table(spark, df, "liveness_stream", "append")
+    parents = tp.where(F.col("kind") == "parent").select(
+        "node_id", F.lit("parent").alias("kind"), F.col("off").alias("ord"), F.col("payload").alias("value"))
+    periods = V.period_changes_of(msgs).select(
+        "node_id", F.lit("period").alias("kind"), F.col("off").alias("ord"), F.col("period_ms").cast("string").alias("value"))
+    events = parents.unionByName(periods)
+    try:
+        live_schema = spark.read.parquet(out).schema
+        live = spark.readStream.schema(live_schema).parquet(out).select(
+            "node_id", F.col("event").alias("kind"), F.col("tick_ms").alias("ord"), F.lit(None).cast("string").alias("value"))
+        events = events.unionByName(live)
+    except Exception:  # noqa: BLE001  (no liveness event was published)
+        pass
+    df = St.twin_stream(events, _registry(spark, sf))
+    return S.run_to_table(spark, df, "twin_state_stream", "update", keys=["node_id"])

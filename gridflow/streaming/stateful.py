@@ -193,3 +193,56 @@ def liveness_stream(activity: DataFrame, period_changes: DataFrame, *, watermark
     return rows.groupBy("node_id").applyInPandasWithState(
         _liveness_fn_factory(default_period_ms, tick_ms, multiplier), LIVE_OUT, LIVE_STATE, "append",
         "EventTimeTimeout")
+
+
+# ---- device twin, continuous ----------------------------------------------------------
+
+TWIN_OUT = T.StructType([
+    T.StructField("node_id", T.StringType()), T.StructField("parent", T.StringType()),
+    T.StructField("hist_1", T.StringType()), T.StructField("hist_2", T.StringType()),
+    T.StructField("hist_3", T.StringType()), T.StructField("period_ms", T.LongType()),
+    T.StructField("crashed", T.BooleanType()),
+])
+TWIN_STATE = T.StructType([
+    T.StructField("parent", T.StringType()), T.StructField("hist_1", T.StringType()),
+    T.StructField("hist_2", T.StringType()), T.StructField("hist_3", T.StringType()),
+    T.StructField("period_ms", T.LongType()), T.StructField("crashed", T.BooleanType()),
+])
+_KIND_RANK = {"parent": 0, "period": 1, "crash": 2, "recovered": 2}
+
+
+def _twin_fn_factory(default_period: int):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        node = key[0]
+        if state.exists:
+            parent, h1, h2, h3, period, crashed = state.get
+        else:
+            parent = C.ROOT_START_PARENT if node == C.ROOT_NODE_ID else C.ROOT_NODE_ID
+            h1 = h2 = h3 = None
+            period, crashed = default_period, False
+        pdf = pd.concat(list(pdfs), ignore_index=True)
+        pdf = pdf.assign(_k=pdf["kind"].map(_KIND_RANK)).sort_values(["_k", "ord"], kind="stable")
+        for kind, value in zip(pdf["kind"], pdf["value"]):
+            if kind == "parent":            # previous parents, newest first, depth 3
+                parent, h1, h2, h3 = value, parent, h1, h2
+            elif kind == "period":
+                period = int(value)
+            elif kind == "crash":           # a crash does not block other updates
+                crashed = True
+            elif kind == "recovered":
+                crashed = False
+        state.update((parent, h1, h2, h3, period, crashed))
+        yield pd.DataFrame([(node, parent, h1, h2, h3, period, crashed)], columns=[f.name for f in TWIN_OUT.fields])
+    return fn
+
+
+def twin_stream(events: DataFrame, registry: DataFrame, default_period_ms: int = C.DEFAULT_PERIOD_MS) -> DataFrame:
+    """Twin state per node as a continuous query (update mode).
+
+    ``events``: node_id, kind (parent | period | crash | recovered), ord (arrival
+    position, or tick time for crash / recovered), value (new parent or period).
+    Events for nodes without a twin are not delivered (stream-static semi join).
+    """
+    e = events.join(registry.select("node_id"), "node_id", "left_semi")
+    return e.select("node_id", "kind", "ord", "value").groupBy("node_id").applyInPandasWithState(
+        _twin_fn_factory(default_period_ms), TWIN_OUT, TWIN_STATE, "update", "NoTimeout")
