@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridflow import config as C
 from gridflow.functions.expr import js_parse_int
 from gridflow.plans.joins import checked_broadcast
-from gridflow.plans.ordered import SPLIT, add_splits, find_hot_keys, ordered_scan
+from gridflow.plans.ordered import find_hot_keys, ordered_scan
 
 
 # ---- addresses, registry, dispatch ------------------------------------------
@@ -105,23 +105,55 @@ def parent_changes(observations: DataFrame, **split) -> DataFrame:
     return s.where(~F.col("parent").eqNullSafe(F.col("_prev"))).drop("_prev")
 
 
-def latest_parents(updates: DataFrame, depth: int = C.PARENT_HISTORY_DEPTH, **split) -> DataFrame:
-    """Current parent and history per node: the newest depth+1 entries of
-    [initial parent, updates...], reduced per (node, split) first so a hot node
-    never sends more than depth+1 rows per split to the final ranking."""
+TOPK_SALTS = 1024   # fixed fan-out of the partial top-k; bounds its output to k rows per (node, salt)
+
+
+def latest_parents(updates: DataFrame, depth: int = C.PARENT_HISTORY_DEPTH) -> DataFrame:
+    """Current parent and history per node with at least one update: the newest
+    depth+1 entries of [initial parent, updates...].
+
+    Two-phase top-k: rows are first ranked within (node, off mod TOPK_SALTS),
+    keeping depth+1 per group, then the survivors (at most (depth+1) x salts
+    per node) are ranked per node. A hot node is spread over many tasks and no
+    detection job is needed. The initial parent fills the slot right after a
+    node's oldest update when it has fewer than depth+1 updates.
+    """
     k = depth + 1
-    seeds = updates.select("node_id").distinct().select(
-        "node_id", F.lit(-1).cast("long").alias("off"), initial_parent(F.col("node_id")).alias("parent"))
-    allu = seeds.unionByName(updates.select("node_id", "off", "parent"))
-    sdf, hot = add_splits(allu, ["node_id"], "off", split.get("rows_per_split"), split.get("max_hot_keys"))
-    if hot:
-        w1 = Window.partitionBy("node_id", SPLIT).orderBy(F.desc("off"))
-        sdf = sdf.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k).drop("_r")
+    u = updates.select("node_id", "off", "parent")
+    w1 = Window.partitionBy("node_id", F.pmod(F.col("off"), F.lit(TOPK_SALTS))).orderBy(F.desc("off"))
+    part = u.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k).drop("_r")
     w = Window.partitionBy("node_id").orderBy(F.desc("off"))
-    top = sdf.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-    g = top.groupBy("node_id").agg(*[F.max(F.when(F.col("_r") == i, F.col("parent"))).alias(
-        "parent" if i == 1 else f"hist_{i - 1}") for i in range(1, k + 1)])
-    return g
+    top = part.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
+    g = top.groupBy("node_id").agg(F.count(F.lit(1)).alias("_m"),
+                                   *[F.max(F.when(F.col("_r") == i, F.col("parent"))).alias(f"_p{i}")
+                                     for i in range(1, k + 1)])
+    init = initial_parent(F.col("node_id"))
+    hist = [F.coalesce(F.col(f"_p{i + 1}"), F.when(F.col("_m") == i, init)).alias(f"hist_{i}")
+            for i in range(1, depth + 1)]
+    return g.select("node_id", F.col("_p1").alias("parent"), *hist)
+
+
+def crashed_now(activity: DataFrame, period_changes: DataFrame, *,
+                default_period_ms: int = C.DEFAULT_PERIOD_MS, tick_ms: int = C.HEARTBEAT_TICK_MS,
+                multiplier: int = C.HEARTBEAT_MULTIPLIER, horizon_ms=None) -> DataFrame:
+    """Crash flag per known node after the last tick up to the horizon.
+
+    The flag after a tick depends only on that tick (``now - last_seen >
+    multiplier * period``), so the state after the last tick is two partial
+    aggregates (latest activity, latest period change as of that tick) -- the
+    same as the type of the node's last crash / recovered event.
+    """
+    rows_t = activity.select("t").unionByName(period_changes.select("t"))
+    horizon = F.lit(horizon_ms) if horizon_ms is not None else rows_t.agg(F.max("t")).scalar()
+    last_tick = F.floor(horizon / F.lit(tick_ms)).cast("long") * tick_ms
+    seen = (activity.where(F.col("t") <= last_tick).groupBy("node_id")
+                    .agg(F.max("t").alias("last_seen_ms")))
+    per = (period_changes.where(F.col("t") <= last_tick).groupBy("node_id")
+                         .agg(F.max_by("period_ms", F.struct("t", "off")).alias("_p")))
+    j = seen.join(per, "node_id", "left")
+    period = F.coalesce(F.when(F.col("_p") != 0, F.col("_p")), F.lit(default_period_ms)).cast("long")
+    return j.select("node_id", "last_seen_ms", period.alias("period_ms"),
+                    ((last_tick - F.col("last_seen_ms")) > period * multiplier).alias("crashed"))
 
 
 # ---- liveness -----------------------------------------------------------------
@@ -170,21 +202,31 @@ def liveness_events(activity: DataFrame, period_changes: DataFrame, *,
 
 
 def twin_state(registry: DataFrame, parent_updates: DataFrame, period_changes: DataFrame,
-               liveness: DataFrame, *, default_period_ms: int = C.DEFAULT_PERIOD_MS,
-               depth: int = C.PARENT_HISTORY_DEPTH, **split) -> DataFrame:
+               liveness: DataFrame | None = None, *, activity: DataFrame | None = None,
+               default_period_ms: int = C.DEFAULT_PERIOD_MS, depth: int = C.PARENT_HISTORY_DEPTH,
+               liveness_period_ms: int | None = None, tick_ms: int = C.HEARTBEAT_TICK_MS,
+               multiplier: int = C.HEARTBEAT_MULTIPLIER, horizon_ms=None) -> DataFrame:
     """Per twin: parent, previous parents (newest first), period, crashed.
 
-    Messages for nodes without a twin are not delivered. Every attribute is the
-    latest delivered value (max_by, partial-aggregated), the history a bounded
-    top-(depth+1); a crash does not block other updates.
+    Messages for nodes without a twin are not delivered. Parent and history are
+    a bounded top-(depth+1); the period is the latest change (max_by, partial-
+    aggregated). ``crashed`` is the latest crash / recovered event of
+    ``liveness`` when given, else the flag computed from ``activity`` by
+    ``crashed_now`` (equal, without materialising the events). A crash does
+    not block other updates.
     """
     nodes = registry.select("node_id")
     pu = parent_updates.join(nodes, "node_id", "left_semi")
-    parents = latest_parents(pu, depth, **split)
+    parents = latest_parents(pu, depth)
     per = (period_changes.join(nodes, "node_id", "left_semi")
                          .groupBy("node_id").agg(F.max_by("period_ms", "off").alias("period_ms")))
-    crash = (liveness.join(nodes, "node_id", "left_semi")
-                     .groupBy("node_id").agg(F.max_by(F.col("event") == "crash", "tick_ms").alias("crashed")))
+    if liveness is not None:
+        crash = (liveness.join(nodes, "node_id", "left_semi")
+                         .groupBy("node_id").agg(F.max_by(F.col("event") == "crash", "tick_ms").alias("crashed")))
+    else:
+        crash = crashed_now(activity, period_changes, tick_ms=tick_ms, multiplier=multiplier,
+                            default_period_ms=liveness_period_ms or default_period_ms,
+                            horizon_ms=horizon_ms).select("node_id", "crashed")
     out = nodes.join(parents, "node_id", "left").join(per, "node_id", "left").join(crash, "node_id", "left")
     cols = [F.coalesce(F.col("parent"), initial_parent(F.col("node_id"))).alias("parent")]
     cols += [F.col(f"hist_{i}") for i in range(1, depth + 1)]

@@ -294,4 +294,5 @@ left join cr on cr.node_id = reg.node_id""")
 def twin_state(spark, sf):
     tp = _tp(spark, sf)
     reg = _registry(spark, sf)
-    return W.twin_state(reg, _parent_updates(tp), V.period_changes(spark, sf), _live(spark, sf))
+    return W.twin_state(reg, _parent_updates(tp), V.period_changes(spark, sf), activity=_activity(tp),
+                        liveness_period_ms=LIVE_PERIOD_MS, tick_ms=LIVE_TICK_MS)

@@ -325,7 +325,7 @@ def test_parent_history_and_state(spark, split):
     live = spark.createDataFrame([("2", 5, "crash"), ("2", 9, "recovered"), ("3", 4, "crash")],
                                  "node_id string, tick_ms long, event string")
     pc = spark.createDataFrame([("3", 1, 0, 8000)], "node_id string, off long, t long, period_ms int")
-    st = {r["node_id"]: r for r in W.twin_state(reg, df, pc, live, **split).collect()}
+    st = {r["node_id"]: r for r in W.twin_state(reg, df, pc, live).collect()}
     assert (st["2"]["parent"], st["2"]["hist_1"], st["2"]["hist_2"], st["2"]["hist_3"]) == ("c", "", "b", "b")
     assert st["1"]["parent"] == "x" and st["1"]["hist_1"] == "root"
     assert st["3"]["parent"] == "1" and st["3"]["period_ms"] == 8000 and st["3"]["crashed"] is True
@@ -337,3 +337,25 @@ def test_parent_changes_suppress_repeats(spark):
                                  ("1", 5, "b"), ("1", 6, "a")], "node_id string, off long, parent string")
     got = [r["off"] for r in W.parent_changes(obs).orderBy("off").collect()]
     assert got == [1, 3, 6]
+
+
+@pytest.mark.parametrize("seed", [31, 32, 33, 34])
+def test_crashed_now_equals_last_liveness_event(spark, seed):
+    # the flag is memoryless: the state after the last tick equals the last event's type
+    rnd = random.Random(seed)
+    act, per, t = [], [], 0
+    for o in range(150):
+        t += rnd.choice([0, 700, 2000, 5000, 9000, 15000])
+        node = f"{rnd.randrange(4)}"
+        if rnd.random() < 0.25:
+            per.append((node, o, t, rnd.choice([0, 1000, 3000, 6000])))
+        else:
+            act.append((node, o, t))
+    a = spark.createDataFrame(act, "node_id string, off long, t long")
+    p = spark.createDataFrame(per, "node_id string, off long, t long, period_ms int")
+    kw = dict(default_period_ms=4000, tick_ms=2000, multiplier=3)
+    ev = W.liveness_events(a, p, **kw)
+    last = {r["node_id"]: r["event"] == "crash" for r in
+            ev.groupBy("node_id").agg(F.max_by("event", "tick_ms").alias("event")).collect()}
+    now = {r["node_id"]: r["crashed"] for r in W.crashed_now(a, p, **kw).collect()}
+    assert {n: now.get(n, False) for n in set(now) | set(last)} == {n: last.get(n, False) for n in set(now) | set(last)}
