@@ -108,7 +108,10 @@ def period_normalize(period_messages: DataFrame, addresses: DataFrame) -> DataFr
     {"periodMs": n}) must be finite and > 0. Periods under 500 ms round to
     PERIOD:0, which devices ignore (``ineffective``).
     """
-    addr = addresses.select("node_id", F.lit(True).alias("_has_addr")).dropDuplicates(["node_id"])
+    # the first entry per node id decides; an entry without an address (null or empty) rejects
+    first = addresses.groupBy("node_id").agg(F.min_by("ipv6", "pos").alias("_ip"))
+    addr = first.where(F.col("_ip").isNotNull() & (F.col("_ip") != "")).select(
+        "node_id", F.lit(True).alias("_has_addr"))
     j = period_messages.join(checked_broadcast(addr), "node_id", "left")
     j = j.withColumn("_p", period_ms_of_payload(F.col("payload")))
     p = F.col("_p")

@@ -162,7 +162,9 @@ PERIOD_NORM = """
 pn as (select pm.off, pm.node_id, pm.payload,
               case when a.node_id is null then 'no address' when p is null or p <= 0 then 'invalid payload'
                    else 'sent' end as status, p
-       from period_messages pm left join (select distinct node_id from twin_nodes) a on a.node_id = pm.node_id),
+       from period_messages pm left join (select node_id from twin_nodes group by node_id
+                                          having arg_min(ipv6, pos) is not null and arg_min(ipv6, pos) <> '') a
+         on a.node_id = pm.node_id),
 pn2 as (select off, node_id, payload, case when status = 'sent' then p end as period_ms, status,
                case when status = 'sent' then concat('PERIOD:', cast(cast(floor(p / 1000.0 + 0.5) as bigint) as varchar)) end
                  as command,

@@ -32,9 +32,13 @@ def test_period_normalize(spark, payload, ms, status, command, ineffective):
 
 
 def test_period_needs_an_address_first(spark):
-    msgs = spark.createDataFrame([(1, "7", "junk")], "off long, node_id string, payload string")
-    addrs = spark.createDataFrame(ADDR, "pos int, node_id string, ipv6 string")
-    assert P.period_normalize(msgs, addrs).collect()[0]["status"] == "no address"
+    msgs = spark.createDataFrame([(1, "7", "junk"), (2, "8", "8000"), (3, "9", "8000")],
+                                 "off long, node_id string, payload string")
+    addrs = spark.createDataFrame(ADDR + [(5, "8", ""), (6, "9", None), (7, "9", "fd00::209")],
+                                  "pos int, node_id string, ipv6 string")
+    got = {r["off"]: r["status"] for r in P.period_normalize(msgs, addrs).collect()}
+    # node 9's first entry (pos 2) has an address; node 8's only entry is empty
+    assert got == {1: "no address", 2: "no address", 3: "sent"}
 
 
 @pytest.mark.parametrize("cmd,secs", [("PERIOD:8", 8), ("PERIOD:0", None), ("PERIOD:12abc", 12),
