@@ -14,7 +14,7 @@ from gridflow.operators import windows as Wn
 from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.plans.queries.billing_q import bills_sql_prefix
-from gridflow.plans.queries.charge_q import _sliding_sql
+from gridflow.plans.queries.charge_q import DISTRICT_CHARGE_SQL, STEP_MS, _sliding_sql
 from gridflow import config as C
 from gridflow.plans.queries.twin_q import LIVE, LIVE_PERIOD_MS, LIVE_TICK_MS, REG, TP, _registry
 from gridflow.sources import views as V
@@ -107,3 +107,13 @@ def twin_state_stream(spark, sf):
         pass
     df = St.twin_stream(events, _registry(spark, sf))
     return S.run_to_table(spark, df, "twin_state_stream", "update", keys=["node_id"])
+
+
+# Steps are emitted once the watermark (latest event time) closes them: the
+# still-open last step of the input is not part of the result.
+@register("district_charge_stream", DISTRICT_CHARGE_SQL.replace(
+    "from c5", f"from c5 where (step + 1) * {STEP_MS} <= (select max(t) from measurements)"))
+def district_charge_stream(spark, sf):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", St.ROCKSDB_PROVIDER)
+    df = St.district_charge_stream(_readings_stream(spark, sf), step_ms=STEP_MS)
+    return S.run_to_table(spark, df, "district_charge_stream", "append")

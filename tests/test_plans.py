@@ -10,7 +10,8 @@ import __spark_entry__ as E
 QUERIES = E.queries()
 
 # Python appears only in the keyed folds that need it.
-PYTHON_ALLOWED = {"node_commands", "billing_stream", "charge_stream", "liveness_stream", "twin_state_stream"}
+PYTHON_ALLOWED = {"node_commands", "billing_stream", "charge_stream", "liveness_stream", "twin_state_stream",
+                  "district_charge_stream"}
 
 
 def plan_of(df):

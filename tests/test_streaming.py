@@ -176,3 +176,21 @@ def test_serial_line_source_and_node_dimension(spark):
     assert [(r["pos"], r["node_id"]) for r in dim.orderBy("pos").collect()] == [(0, "1"), (1, "2"), (2, "3")]
     idx = {r["addr_lc"]: r["resolved_id"] for r in W.address_index(dim).collect()}
     assert idx == {"fd00::201:1:1:1": "1"}       # first match in file order, case-insensitive
+
+
+def test_district_charge_stream_equals_batch_closed_steps(spark):
+    from gridflow.operators import charge as G
+    rows = sorted(random_readings(61, n=300), key=lambda r: r[5])
+    rows = [(i, n, ty, d, v, t) for i, (_, n, ty, d, v, t) in enumerate(rows)]   # arrival in time order
+    base = scratch(spark, "stepcharge")
+    src = os.path.join(base, "src")
+    for i in range(5):
+        land(src, i, rows[i * 60:(i + 1) * 60])
+    closing = rows[-1][5] + 10 * 20_000
+    land(src, 5, [(10_000, "n0", "P", "zz", 0, closing)])    # moves the watermark past the last step
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", St.ROCKSDB_PROVIDER)
+    run(spark, St.district_charge_stream(stream_of(spark, src), step_ms=20_000), base)
+    got = spark.read.parquet(os.path.join(base, "out")).where("district_id <> 'zz'")
+    want = G.district_charge(spark.createDataFrame(rows, READ_COLS), step_ms=20_000)
+    cols = sorted(want.columns)
+    assert rows_of(got.select(*cols), cols) == rows_of(want, cols)
