@@ -70,15 +70,20 @@ def run_to_table(spark: SparkSession, df: DataFrame, name: str, output_mode: str
 
 
 def concurrent_queries(spark: SparkSession, queries: dict[str, tuple[DataFrame, str, list[str] | None]],
-                       timeout_s: int = 600) -> dict[str, str]:
-    """Start several queries over one parsed stream and wait for all to end
-    (each reads the source independently, as separate queries do)."""
+                       timeout_s: int = 600, wait: str = "all") -> dict[str, str]:
+    """Start several queries over one parsed stream (each reads the source
+    independently, as separate queries do). ``wait="all"`` waits for every query
+    (bounded inputs); ``wait="any"`` returns when the first one ends, as a
+    long-running service does with ``awaitAnyTermination``."""
     started = {}
     for name, (df, mode, _keys) in queries.items():
         out, ck = stream_location(spark, name)
         started[name] = (update_sink(df, name, out, ck, output_mode=mode), out)
-    for name, (q, _out) in started.items():
-        q.awaitTermination(timeout_s)
-        if q.exception():
-            raise q.exception()
+    if wait == "any":
+        spark.streams.awaitAnyTermination(timeout_s)
+    else:
+        for name, (q, _out) in started.items():
+            q.awaitTermination(timeout_s)
+            if q.exception():
+                raise q.exception()
     return {name: out for name, (_q, out) in started.items()}

@@ -359,3 +359,32 @@ def test_crashed_now_equals_last_liveness_event(spark, seed):
             ev.groupBy("node_id").agg(F.max_by("event", "tick_ms").alias("event")).collect()}
     now = {r["node_id"]: r["crashed"] for r in W.crashed_now(a, p, **kw).collect()}
     assert {n: now.get(n, False) for n in set(now) | set(last)} == {n: last.get(n, False) for n in set(now) | set(last)}
+
+
+# ---- ring topology -----------------------------------------------------------------
+
+@pytest.mark.parametrize("split", SPLITS)
+def test_ring_roles_and_buckets(spark, split):
+    from gridflow.operators import topology as T
+    rows, want_ring, want_role = [], [], []
+    rank = 0
+    for district, size in enumerate(range(1, 11)):           # rings of 1 to 10 members
+        members = list(range(rank, rank + size))
+        rank += size
+        for i, r in enumerate(members):
+            v = (r * 37) % 101
+            rows.append((district, 0, r, v))
+            prev_v = (members[i - 1] * 37) % 101
+            next_v = (members[(i + 1) % size] * 37) % 101
+            want_ring.append((district, 0, r, v, prev_v, next_v))
+            role = ("ACCUMULATOR" if i == size - 1 else "PRODUCER" if i < int(size * 0.6) else "CONSUMER")
+            want_role.append((district, r, i, size, role))
+    df = spark.createDataFrame(rows, "district long, step long, rank long, v100 long")
+    ring = T.ring_neighbours(df, **split)
+    assert rows_of(ring, ["district", "step", "rank", "v100", "prev_v100", "next_v100"]) == sort_rows(want_ring)
+    role = T.rank_role(df, **split)
+    assert rows_of(role, ["district", "rank", "district_rank", "size", "role"]) == sort_rows(want_role)
+    b = {r["rank"]: (r["district"], r["district_rank"], r["incomplete"])
+         for r in T.district_bucket(df, 4).collect()}
+    n = len(rows)                                              # 55 ranks: the last district holds 3
+    assert b[0] == (0, 0, False) and b[n - 1] == ((n - 1) // 4, (n - 1) % 4, True)
