@@ -15,6 +15,7 @@ from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.plans.queries.billing_q import bills_sql_prefix
 from gridflow.plans.queries.charge_q import DISTRICT_CHARGE_SQL, STEP_MS, _sliding_sql
+from gridflow.plans.queries.registry_q import NODE_COMMANDS_SQL
 from gridflow import config as C
 from gridflow.plans.queries.twin_q import LIVE, LIVE_PERIOD_MS, LIVE_TICK_MS, REG, TP, _registry
 from gridflow.sources import views as V
@@ -117,3 +118,19 @@ def district_charge_stream(spark, sf):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", St.ROCKSDB_PROVIDER)
     df = St.district_charge_stream(_readings_stream(spark, sf), step_ms=STEP_MS)
     return S.run_to_table(spark, df, "district_charge_stream", "append")
+
+
+@register("node_commands_stream", NODE_COMMANDS_SQL)
+def node_commands_stream(spark, sf):
+    # stage 1: commands stamped with user validity (keyed by user), landed as a log
+    ev = Src.table_stream(spark, sf, "events")
+    stamped = St.user_validity_stream(V.user_events_of(ev), V.node_commands_of(ev))
+    out, ck = S.stream_location(spark, "node_commands_stamped")
+    q = S.update_sink(stamped, "node_commands_stamped", out, ck, output_mode="append")
+    q.awaitTermination(600)
+    if q.exception():
+        raise q.exception()
+    # stage 2: per-node acceptance over the stamped log
+    schema = spark.read.parquet(out).schema
+    df = St.node_command_stream(spark.readStream.schema(schema).parquet(out))
+    return S.run_to_table(spark, df, "node_commands_stream", "append")

@@ -50,7 +50,11 @@ def measurements_of(e: DataFrame) -> DataFrame:
 
 def account_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account commands (even event ids): off, user_id, op, name, email, t."""
-    e = _events(spark, sf_dir).where(F.col("event_id") % 2 == 0)
+    return account_commands_of(_events(spark, sf_dir))
+
+
+def account_commands_of(e: DataFrame) -> DataFrame:
+    e = e.where(F.col("event_id") % 2 == 0)
     return e.select(
         F.col("event_id").alias("off"),
         F.concat(F.lit("u"), F.col("user_id") % 10).alias("user_id"),
@@ -64,7 +68,11 @@ def account_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The user-events log: account commands with the op mapped to the event type."""
-    a = account_commands(spark, sf_dir)
+    return user_events_of(_events(spark, sf_dir))
+
+
+def user_events_of(e: DataFrame) -> DataFrame:
+    a = account_commands_of(e)
     return a.select(
         "off",
         _case(F.col("op"), {"register": "UserRegistered", "update": "UserUpdated",
@@ -75,7 +83,11 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def node_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node commands (odd event ids): off, node_id, user_id, op, district_id, node_type, capacity, t."""
-    e = _events(spark, sf_dir).where(F.col("event_id") % 2 == 1)
+    return node_commands_of(_events(spark, sf_dir))
+
+
+def node_commands_of(e: DataFrame) -> DataFrame:
+    e = e.where(F.col("event_id") % 2 == 1)
     ek7 = F.col("event_id") % 7
     return e.select(
         F.col("event_id").alias("off"),

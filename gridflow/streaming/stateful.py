@@ -309,3 +309,73 @@ def district_charge_stream(readings: DataFrame, step_ms: int = C.MS_PER_HOUR,
     return g.groupBy("district_id").transformWithStateInPandas(
         statefulProcessor=_step_charge_processor(), outputStructType=STEP_CHARGE_OUT,
         outputMode="Append", timeMode="None")
+
+
+# ---- node commands, continuous (two keyed folds) -------------------------------------------
+
+VALID_OUT = T.StructType([
+    T.StructField("off", T.LongType()), T.StructField("node_id", T.StringType()),
+    T.StructField("user_id", T.StringType()), T.StructField("op", T.StringType()),
+    T.StructField("node_type", T.StringType()), T.StructField("user_valid", T.BooleanType()),
+])
+_VALID_STATE = T.StructType([T.StructField("valid", T.BooleanType())])
+CMD_OUT = T.StructType([
+    T.StructField("off", T.LongType()), T.StructField("node_id", T.StringType()),
+    T.StructField("user_id", T.StringType()), T.StructField("op", T.StringType()),
+    T.StructField("accepted", T.BooleanType()), T.StructField("reason", T.StringType()),
+    T.StructField("event_type", T.StringType()),
+])
+_NODE_STATE = T.StructType([T.StructField("exists", T.BooleanType()), T.StructField("owner", T.StringType())])
+
+
+def _user_validity_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """Per user, in arrival order (user events before commands at equal positions):
+    stamp each command with whether the user is registered at that point."""
+    (valid,) = state.get if state.exists else (False,)
+    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("_ord", kind="stable")
+    out = []
+    for typ, off, node, op, ntype in zip(pdf["type"], pdf["off"], pdf["node_id"], pdf["op"], pdf["node_type"]):
+        if typ in ("UserRegistered", "UserUpdated"):
+            valid = True
+        elif typ == "UserDeleted":
+            valid = False
+        elif typ is None or typ != typ:          # a command row
+            out.append((int(off), node, key[0], op, ntype, valid))
+    state.update((valid,))
+    yield pd.DataFrame(out, columns=[f.name for f in VALID_OUT.fields])
+
+
+def _node_command_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    from gridflow.operators.registry import _step
+    exists, owner = state.get if state.exists else (False, None)
+    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("off", kind="stable")
+    out = []
+    for off, user, op, valid, ntype in zip(pdf["off"], pdf["user_id"], pdf["op"], pdf["user_valid"], pdf["node_type"]):
+        vtype = ntype in C.NODE_TYPES
+        exists, owner, a, r, e = _step(exists, owner, op, user, bool(valid), vtype)
+        out.append((int(off), key[0], user, op, a, r, e))
+    state.update((exists, owner))
+    yield pd.DataFrame(out, columns=[f.name for f in CMD_OUT.fields])
+
+
+def user_validity_stream(user_events: DataFrame, commands: DataFrame) -> DataFrame:
+    """Stage 1 (append): node commands stamped with the issuing user's validity."""
+    ue = user_events.select("user_id", (F.col("off") * 2).alias("_ord"), "type",
+                            F.lit(None).cast("long").alias("off"), F.lit(None).cast("string").alias("node_id"),
+                            F.lit(None).cast("string").alias("op"), F.lit(None).cast("string").alias("node_type"))
+    cm = commands.select("user_id", (F.col("off") * 2 + 1).alias("_ord"), F.lit(None).cast("string").alias("type"),
+                         "off", "node_id", "op", "node_type")
+    return ue.unionByName(cm).groupBy("user_id").applyInPandasWithState(
+        _user_validity_fn, VALID_OUT, _VALID_STATE, "append", "NoTimeout")
+
+
+def node_command_stream(stamped: DataFrame) -> DataFrame:
+    """Stage 2 (append): per node, accept or reject each stamped command in order.
+
+    Stage 1 is keyed by user and this stage by node, so a node's commands come
+    from many stage-1 tasks: run this stage over complete stage-1 micro-batches
+    (e.g. chained ``availableNow`` runs after stage 1 commits), never over a
+    partial set of its files. Within a call rows are sorted by ``off``.
+    """
+    return stamped.select("off", "node_id", "user_id", "op", "node_type", "user_valid").groupBy(
+        "node_id").applyInPandasWithState(_node_command_fn, CMD_OUT, _NODE_STATE, "append", "NoTimeout")

@@ -11,7 +11,7 @@ QUERIES = E.queries()
 
 # Python appears only in the keyed folds that need it.
 PYTHON_ALLOWED = {"node_commands", "billing_stream", "charge_stream", "liveness_stream", "twin_state_stream",
-                  "district_charge_stream"}
+                  "district_charge_stream", "node_commands_stream"}
 
 
 def plan_of(df):

@@ -194,3 +194,46 @@ def test_district_charge_stream_equals_batch_closed_steps(spark):
     want = G.district_charge(spark.createDataFrame(rows, READ_COLS), step_ms=20_000)
     cols = sorted(want.columns)
     assert rows_of(got.select(*cols), cols) == rows_of(want, cols)
+
+
+def test_node_command_stream_equals_fold(spark):
+    import random
+    from test_folds import fold_nodes
+    rnd = random.Random(71)
+    ue, cmds, rows = [], [], []
+    for o in range(400):
+        if rnd.random() < 0.25:
+            e = (o, rnd.choice(["UserRegistered", "UserUpdated", "UserDeleted"]), f"u{rnd.randrange(3)}")
+            ue.append(e)
+            rows.append((o, "u", e[2], e[1], None, None, None))
+        else:
+            c = (o, f"n{rnd.randrange(3)}", f"u{rnd.randrange(3)}", rnd.choice(["create", "update", "delete"]),
+                 rnd.choice(["PRODUCER", "BAD"]))
+            cmds.append(c)
+            rows.append((o, "c", c[2], None, c[1], c[3], c[4]))
+    sch = pa.schema([("off", pa.int64()), ("kind", pa.string()), ("user_id", pa.string()), ("type", pa.string()),
+                     ("node_id", pa.string()), ("op", pa.string()), ("node_type", pa.string())])
+    base = scratch(spark, "nodecmd")
+    src = os.path.join(base, "src")
+    s1, s2 = os.path.join(base, "s1"), os.path.join(base, "s2")
+    schema = ("off long, kind string, user_id string, type string, node_id string, op string, node_type string")
+
+    def stage1():
+        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        run(spark, St.user_validity_stream(s.where("kind = 'u'"), s.where("kind = 'c'")), s1)
+
+    def stage2():
+        out1 = os.path.join(s1, "out")
+        st = spark.readStream.schema(spark.read.parquet(out1).schema).parquet(out1)
+        run(spark, St.node_command_stream(st), s2)
+
+    # two rounds: land, stage 1 (several micro-batches), stage 2 over the complete stage-1 output;
+    # the second round resumes both stages from their checkpoints
+    for rnd_i, (lo, hi) in enumerate([(0, 2), (2, 4)]):
+        for i in range(lo, hi):
+            land(src, i, rows[i * 100:(i + 1) * 100], sch)
+        stage1()
+        stage2()
+    got = spark.read.parquet(os.path.join(s2, "out"))
+    cols = ["off", "node_id", "user_id", "op", "accepted", "reason"]
+    assert rows_of(got.select(*cols), cols) == sort_rows(fold_nodes([(o, t, u) for o, t, u in ue], cmds))
