@@ -39,7 +39,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001
+        pass
     return spark
 
 
@@ -54,7 +57,10 @@ def checkpoint_dir(spark: SparkSession, sub: str | None = None) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="gridflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
+    try:  # classic sessions: also the folder for DataFrame.checkpoint(); absent under Spark Connect
+        spark.sparkContext.setCheckpointDir(base)
+    except Exception:  # noqa: BLE001
+        pass
     if sub:
         return os.path.join(base, sub)
     return base
