@@ -74,3 +74,14 @@ def step_charge(balances: DataFrame, key: str = "district", order: str = "step",
     b = clamped_running_sum(balances, key, order, balance, "_charge")
     return b.withColumn("charge_kwh", F.col("_charge").cast("double")
                         / F.lit(100.0 * C.STEP_HOURS_DIVISOR)).drop("_charge")
+
+
+# fixed value: the text form of a charge update
+CHARGE_UPDATE_FORMAT = "district=%s batchBalance=%.2fkW numMeasurements=%d accumulatorCharge=%.4fkWh"
+
+
+def charge_update_text(updates: DataFrame) -> DataFrame:
+    """One line per charge update, fixed decimals (2 for power, 4 for energy)."""
+    return updates.select("district_id", "step", F.format_string(
+        CHARGE_UPDATE_FORMAT, F.col("district_id"), F.col("batch_balance_kw"), F.col("num_measurements"),
+        F.col("charge_kwh")).alias("text"))

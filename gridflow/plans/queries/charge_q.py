@@ -79,3 +79,14 @@ def sliding_balance(spark, sf):
 @register("sliding_balance_6h", _sliding_sql(6 * 3_600_000, 3_600_000))
 def sliding_balance_6h(spark, sf):
     return W.sliding_balance(V.measurements(spark, sf), "6 hours", "1 hour")
+
+
+@register("charge_update_text", DISTRICT_CHARGE_SQL.replace(
+    """select district_id, step, balance_v100 / 100.0 as batch_balance_kw, num_measurements, clock as max_event_ms,
+       cast(charge as double) / 3.6e8 as charge_kwh
+from c5""", """select district_id, step,
+       printf('district=%s batchBalance=%.2fkW numMeasurements=%d accumulatorCharge=%.4fkWh',
+              district_id, balance_v100 / 100.0, num_measurements, cast(charge as double) / 3.6e8) as text
+from c5"""))
+def charge_update_text(spark, sf):
+    return G.charge_update_text(G.district_charge(V.measurements(spark, sf), STEP_MS))
