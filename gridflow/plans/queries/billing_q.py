@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from gridflow.operators import billing as B
 from gridflow.plans.named import register
