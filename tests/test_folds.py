@@ -388,3 +388,56 @@ def test_ring_roles_and_buckets(spark, split):
          for r in T.district_bucket(df, 4).collect()}
     n = len(rows)                                              # 55 ranks: the last district holds 3
     assert b[0] == (0, 0, False) and b[n - 1] == ((n - 1) // 4, (n - 1) % 4, True)
+
+
+# ---- reports and windows: hand cases ---------------------------------------------------
+
+NODE_EV = "off long, type string, node_id string, district_id string, node_type string, owner_id string, capacity double"
+
+
+def test_reports_hand_cases(spark):
+    from gridflow.operators import reports as P
+    ev = spark.createDataFrame([
+        (1, "NodeCreated", "a", "d1", "CONSUMER", "u1", 1.0),
+        (2, "NodeCreated", "b", "d1", "PRODUCER", "u1", 1.0),     # b has no bills
+        (3, "NodeCreated", "c", "d2", "CONSUMER", "u2", 1.0),
+        (4, "NodeDeleted", "c", None, None, "u2", 0.0),            # c's bills drop out of the reports
+        (5, "NodeCreated", "e", "d3", "CONSUMER", None, 1.0),      # null owner: in the summary, in no panel
+        (6, "NodeCreated", "f", "d1", "CONSUMER", "u3", 1.0),
+        (7, "NodeDeleted", "f", None, None, "u3", 0.0),
+        (8, "NodeCreated", "f", "d4", "PRODUCER", "u4", 1.0)], NODE_EV)   # re-created: old bills shown
+    nodes = R.nodes_current(ev)
+    rd = [(i, "a", "CONSUMER", "dX", 100, 1000 * i) for i in range(10)]          # 2 bills
+    rd += [(20 + i, "c", "CONSUMER", "dX", 100, 1000 * i) for i in range(5)]      # 1 bill, node deleted
+    rd += [(40 + i, "f", "CONSUMER", "dX", 200, 1000 * i) for i in range(5)]      # 1 bill, node re-created
+    bills = B.billing_windows(spark.createDataFrame(rd, READ_COLS))
+    panel = rows_of(P.user_panel(nodes, bills).select("owner_id", "node_id", "history_no"),
+                    ["owner_id", "node_id", "history_no"])
+    assert panel == sort_rows([("u1", "a", 1), ("u1", "a", 2), ("u1", "b", None), ("u4", "f", 1)])
+    summ = {r["district_id"]: r for r in P.district_summary(nodes, bills).collect()}
+    # district comes from the current registry, not from the bills; counts not inflated by bills
+    assert {d: r["nodes"] for d, r in summ.items()} == {"d1": 2, "d3": 1, "d4": 1}
+    assert summ["d3"]["energy_kwh"] == 0.0 and summ["d3"]["cost"] == 0.0
+    assert summ["d1"]["energy_kwh"] == pytest.approx((100 * 4000 + 100 * 5000) / 3.6e8)   # window 2 bills the gap 4 -> 5
+    tot = {(r["owner_id"], r["node_id"]): r for r in P.user_total_cost(nodes, bills).collect()}
+    assert tot[("u1", None)]["bills"] == 2 and tot[("u1", "b")]["bills"] == 0
+    assert tot[("u4", None)]["cost"] == pytest.approx(200 * 4000 / 3.6e8 * 0.25)
+    assert not any(k[0] is None for k in tot)
+
+
+def test_sliding_balance_counts_node_ids_only(spark):
+    from gridflow.operators import windows as Wn
+    rows = [(0, "n1", "P", "d", 100, 60_000), (1, None, "P", "d", 50, 61_000), (2, "n2", "P", "d", -30, 90_000)]
+    got = Wn.sliding_balance(spark.createDataFrame(rows, READ_COLS)).where("window_start_ms = 60000").first()
+    assert got["num_measurements"] == 2 and got["total_balance_kw"] == pytest.approx(1.2)
+    assert got["avg_balance_kw"] == pytest.approx(0.4)
+    starts = sorted(r["window_start_ms"] for r in Wn.sliding_balance(spark.createDataFrame(rows[:1], READ_COLS)).collect())
+    assert starts == [-30_000, 0, 30_000, 60_000]     # a reading on a slide boundary opens a window there
+
+
+def test_billing_ten_readings_and_type_change(spark):
+    rows = [(i, "x", "CONSUMER" if i < 7 else "PRODUCER", f"d{i // 3}", 100, 1000 * i) for i in range(10)]
+    got = sorted((r["window_no"], r["node_type"], r["district_id"], r["energy_ckwms"])
+                 for r in B.billing_windows(spark.createDataFrame(rows, READ_COLS)).collect())
+    # the 5th / 10th reading decides type and district; the gap 4 -> 5 is billed in window 2
+    assert got == [(0, "CONSUMER", "d1", 100 * 4000), (1, "PRODUCER", "d3", 100 * 5000)]
