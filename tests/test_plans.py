@@ -70,3 +70,28 @@ def test_hot_key_plan_splits(spark):
     assert "_split" in txt          # the hot key is partitioned by (key, split)
     got = sorted((r["o"], r["pos"], r["lag"]) for r in out.collect())
     assert got == [(i, i + 1, i - 1 if i else None) for i in range(1000)]
+
+
+def test_hot_node_spreads_over_tasks_and_stays_exact(spark):
+    """A third of the sf0.01 readings remapped to one node: with a split size of
+    1,000 rows the hot node's ordered scan runs in several tasks, and the bills
+    equal the unsplit plan's."""
+    from pyspark.sql import functions as F
+    from gridflow.operators import billing as B
+    from gridflow.plans.ordered import ordered_scan
+    from gridflow.sources import views as V
+    r = V.measurements(spark, "/root/testdata/sf0.01")
+    skewed = r.withColumn("node_id", F.when(F.col("off") % 3 == 0, F.lit("hot")).otherwise(F.col("node_id")))
+    s = ordered_scan(skewed, ["node_id"], "off", position="pos", lags={"t": "prev_t"}, rows_per_split=1000)
+    # (AQE would coalesce this tiny shuffle into one partition; at scale partitions stay data-sized)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = (s.where(F.col("node_id") == "hot").select(F.spark_partition_id().alias("p"))
+                  .distinct().count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts > 1
+    cols = ["node_id", "window_no", "energy_ckwms", "period_start", "period_end", "off"]
+    split = B.billing_windows(skewed, rows_per_split=1000).select(*cols)
+    plain = B.billing_windows(skewed).select(*cols)
+    assert sorted(split.collect()) == sorted(plain.collect())
