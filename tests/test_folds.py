@@ -1,4 +1,4 @@
-"""Operators against plain-Python sequential folds written from the reference
+"""Operators against plain-Python sequential folds written from the specified
 semantics, on hand-made cases and seeded random sequences. Every operator runs
 twice: normally, and with ``rows_per_split`` tiny so every key is "hot" and is
 split across tasks -- both must equal the fold."""
