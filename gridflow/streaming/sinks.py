@@ -30,11 +30,13 @@ def stream_location(spark: SparkSession, name: str) -> tuple[str, str]:
 
 def update_sink(df: DataFrame, name: str, out: str, checkpoint: str, output_mode: str = "update",
                 trigger: dict | None = None):
-    """Start a named query whose changed rows of every micro-batch are appended to
-    ``out`` with their batch id (update mode; ``latest_per_key`` reads the
-    current state back). Offsets and state commit with the checkpoint."""
+    """Start a query whose emitted rows of every micro-batch land in
+    ``out/batch_id=<id>`` (update mode: ``latest_per_key`` reads the current
+    state back). Each batch overwrites its own folder, so a batch replayed after
+    a failure does not duplicate rows; offsets and state commit with the
+    checkpoint, which together give exactly-once output."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
 
     w = df.writeStream.outputMode(output_mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
