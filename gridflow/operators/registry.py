@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from gridflow import config as C
 from gridflow.functions.expr import is_valid_node_type
 from gridflow.plans.ordered import SPLIT, add_splits, ordered_scan
+from gridflow.session import checkpoint_dir
 
 
 def _latest(log: DataFrame, key: str, types: tuple[str, ...], fields: list[str]) -> DataFrame:
@@ -199,6 +200,15 @@ def _fold_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
                          "reason": rea, "event_type": evt})
 
 
+def _fold_chunk_from(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+    """Cogrouped form of ``_fold_chunk``: the chunk's rows and its start state."""
+    if pdf.empty:
+        return pd.DataFrame({f.name: [] for f in _CMD_OUT.fields})
+    ex = bool(start["in_exists"].iloc[0]) if len(start) else False
+    owner = start["in_owner"].iloc[0] if len(start) else None
+    return _fold_chunk(pdf.assign(in_exists=ex, in_owner=owner))
+
+
 def _chunk_summary(pdf: pd.DataFrame) -> pd.DataFrame:
     """Transition summary of one chunk.
 
@@ -261,8 +271,12 @@ def node_commands(user_events: DataFrame, commands: DataFrame, **split) -> DataF
     sdf, any_hot = add_splits(c, ["node_id"], "off", split.get("rows_per_split"), split.get("max_hot_keys"))
     if not any_hot:
         start = sdf.withColumn("in_exists", F.lit(False)).withColumn("in_owner", F.lit(None).cast("string"))
-    else:
-        summ = sdf.groupBy("node_id", SPLIT).applyInPandas(_chunk_summary, _SUMMARY)
-        starts = summ.groupBy("node_id").applyInPandas(_chain, _START)
-        start = sdf.join(starts, ["node_id", SPLIT])
-    return start.groupBy("node_id", SPLIT).applyInPandas(_fold_chunk, _CMD_OUT)
+        return start.groupBy("node_id", SPLIT).applyInPandas(_fold_chunk, _CMD_OUT)
+    # hot nodes: chunk summaries -> chained start states -> fold each chunk from its start.
+    # Both chunk passes read the same rows: checkpoint them once (shared folder).
+    checkpoint_dir(sdf.sparkSession)
+    sdf = sdf.repartition("node_id", SPLIT).checkpoint(eager=True)
+    summ = sdf.groupBy("node_id", SPLIT).applyInPandas(_chunk_summary, _SUMMARY)
+    starts = summ.groupBy("node_id").applyInPandas(_chain, _START)
+    return (sdf.groupBy("node_id", SPLIT).cogroup(starts.groupBy("node_id", SPLIT))
+               .applyInPandas(_fold_chunk_from, _CMD_OUT))

@@ -7,7 +7,9 @@ that task never finishes. Here a key whose row count exceeds
 ``rows_per_split`` is cut into ordered sub-ranges (``_split``) by its order
 column. Each sub-range is processed in its own task, and a small per-(key,
 split) summary -- counts, last values -- is prefix-scanned per key and joined
-back, which makes the results exact across split boundaries.
+back, which makes the results exact across split boundaries. On that path the
+windowed rows are checkpointed to the shared checkpoint folder once, cutting the
+lineage so neither branch recomputes the input.
 
 The hot-key list is computed with one aggregate over the key column and is
 bounded by ``max_hot_keys`` (a proven size bound, so it may be broadcast).
@@ -23,8 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridflow import config as C
+from gridflow.session import checkpoint_dir
 
 SPLIT = "_split"
+HOT = "_hot"
+# the per-split summary of hot keys is broadcast when its proven row bound is below this
+MAX_SUMMARY_BROADCAST = 5_000_000
 
 
 def _order_cols(order) -> list[str]:
@@ -51,17 +57,25 @@ class HotKeys:
     def any(self) -> bool:
         return bool(self.rows)
 
+    def max_splits(self, slack_per_key: int = 2) -> int:
+        """Upper bound on the number of (hot key, split) pairs: the splits spanning each
+        key's [lo, hi] range, plus ``slack_per_key`` for derived rows past ``hi``
+        (liveness candidates add at most two per key)."""
+        return sum((r[-2] - r[-3]) // r[-1] + 1 + slack_per_key for r in self.rows)
+
     def apply(self, df: DataFrame, order) -> DataFrame:
         if not self.rows:
             return df.withColumn(SPLIT, F.lit(0).cast("long"))
         from pyspark.sql.types import LongType, StructField, StructType
         schema = StructType([StructField(k, df.schema[k].dataType, True) for k in self.keys]
-                            + [StructField("_lo", LongType()), StructField("_w", LongType())])
+                            + [StructField("_lo", LongType()), StructField("_hi", LongType()),
+                               StructField("_w", LongType())])
         hot_df = df.sparkSession.createDataFrame(self.rows, schema)
         lead = F.col(_order_cols(order)[0])
         return (df.join(F.broadcast(hot_df), self.keys, "left")
                   .withColumn(SPLIT, F.coalesce(F.floor((lead - F.col("_lo")) / F.col("_w")), F.lit(0)).cast("long"))
-                  .drop("_lo", "_w"))
+                  .withColumn(HOT, F.col("_lo").isNotNull())
+                  .drop("_lo", "_hi", "_w"))
 
 
 def find_hot_keys(df: DataFrame, keys: list[str], order,
@@ -76,7 +90,7 @@ def find_hot_keys(df: DataFrame, keys: list[str], order,
                .where(F.col("_n") > rows_per_split))
     hot = stats.orderBy(F.desc("_n")).limit(max_hot_keys).collect()
     # split width in order units, so that each split holds about rows_per_split rows
-    rows = [tuple(r[k] for k in keys) + (int(r["_lo"]),
+    rows = [tuple(r[k] for k in keys) + (int(r["_lo"]), int(r["_hi"]),
             max(1, int((int(r["_hi"]) - int(r["_lo"]) + 1) * rows_per_split // int(r["_n"]))))
             for r in hot]
     return HotKeys(list(keys), rows)
@@ -87,7 +101,8 @@ def add_splits(df: DataFrame, keys: list[str], order,
                hot: HotKeys | None = None) -> tuple[DataFrame, bool]:
     """Add ``_split`` (0 for ordinary keys). Returns (df, any_hot)."""
     hot = hot or find_hot_keys(df, keys, order, rows_per_split, max_hot_keys)
-    return hot.apply(df, order), hot.any
+    out = hot.apply(df, order)
+    return (out if hot.any else out.withColumn(HOT, F.lit(False))), hot.any
 
 
 def _win(keys, split_aware: bool, order):
@@ -116,10 +131,11 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     leads = leads or {}
     fills = fills or {}
     fills_before = fills_before or {}
+    hot = hot or find_hot_keys(df, keys, order, rows_per_split, max_hot_keys)
     sdf, any_hot = add_splits(df, keys, order, rows_per_split, max_hot_keys, hot)
     w = _win(keys, any_hot, order)
-    out = sdf if any_hot else sdf.drop(SPLIT)
-    if position or (any_hot and (lags or leads)):
+    out = sdf if any_hot else sdf.drop(SPLIT, HOT)
+    if position or any_hot:
         out = out.withColumn("_lpos", F.row_number().over(w))
     for src, dst in lags.items():
         out = out.withColumn(dst, F.lag(src).over(w))
@@ -136,17 +152,24 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
             out = out.withColumnRenamed("_lpos", position)
         return out
 
-    # summary per (key, split): row count, last value of each lagged column,
-    # last non-null of each filled column; prefix-scanned per key over splits.
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
+    # The windowed rows feed both the per-split summary and the join back: write them
+    # once to the shared checkpoint folder (hot path only) so the input is computed,
+    # scanned and shuffled once; the checkpoint keeps the (key, split) partitioning.
+    checkpoint_dir(out.sparkSession)
+    out = out.checkpoint(eager=True)
+    # summary per (key, split): row count, last value of each lagged column, first
+    # of each lead, last non-null of each filled column; prefix-scanned per key over splits.
+    pos = F.col("_lpos")
+    aggs = [F.max(pos).alias("_cnt")]
     for src in lags:
-        aggs.append(F.max_by(F.col(src), _order_key(order)).alias(f"_last_{src}"))
+        aggs.append(F.max_by(F.col(src), pos).alias(f"_last_{src}"))
     for src in leads:
-        aggs.append(F.min_by(F.col(src), _order_key(order)).alias(f"_first_{src}"))
+        aggs.append(F.min_by(F.col(src), pos).alias(f"_first_{src}"))
     filled = list(dict.fromkeys([*fills, *fills_before]))
     for src in filled:
-        aggs.append(F.max_by(F.col(src), F.when(F.col(src).isNotNull(), _order_key(order))).alias(f"_lnn_{src}"))
-    summ = sdf.groupBy(*keys, SPLIT).agg(*aggs)
+        aggs.append(F.max_by(F.col(src), F.when(F.col(src).isNotNull(), pos)).alias(f"_lnn_{src}"))
+    # only hot keys have more than one split: ordinary keys' local results are final
+    summ = out.where(F.col(HOT)).groupBy(*keys, SPLIT).agg(*aggs)
     ws = Window.partitionBy(*keys).orderBy(SPLIT)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
     cols = [*keys, SPLIT, "_cnt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_start")]
@@ -157,9 +180,11 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     for src in filled:
         cols.append(F.last(f"_lnn_{src}", ignorenulls=True).over(before).alias(f"_carry_fill_{src}"))
     summ = summ.select(*cols)
-    out = out.join(summ, [*keys, SPLIT], "inner")
+    if hot.max_splits() <= MAX_SUMMARY_BROADCAST:   # proven bound: one row per hot (key, split)
+        summ = F.broadcast(summ)
+    out = out.join(summ, [*keys, SPLIT], "left")
     if position:
-        out = out.withColumn(position, F.col("_start") + F.col("_lpos"))
+        out = out.withColumn(position, F.coalesce(F.col("_start"), F.lit(0)) + F.col("_lpos"))
     for src, dst in lags.items():
         out = (out.withColumn(dst, F.when(F.col("_lpos") == 1, F.col(f"_carry_lag_{src}")).otherwise(F.col(dst)))
                   .drop(f"_carry_lag_{src}"))
@@ -170,5 +195,5 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     for src, dst in [*fills.items(), *fills_before.items()]:
         out = out.withColumn(dst, F.coalesce(F.col(dst), F.col(f"_carry_fill_{src}")))
     out = out.drop(*[f"_carry_fill_{src}" for src in filled])
-    return out.drop("_start", "_lpos", "_cnt", SPLIT)
+    return out.drop("_start", "_lpos", "_cnt", SPLIT, HOT)
 
