@@ -88,25 +88,50 @@ BILL_STATE = T.StructType([
 
 
 def _billing_fn_factory(size: int):
+    import numpy as np
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        has_last, last_t, k, energy, start_t, bills = state.get if state.exists else (False, 0, 0, 0, 0, 0)
+        """Vectorized fold of one node's readings of a micro-batch (sorted by ``off``)
+        onto the open window carried in state."""
+        has_last, last_t, k0, e0, start0, bills0 = state.get if state.exists else (False, 0, 0, 0, 0, 0)
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("off", kind="stable")
+        t = pdf["t"].to_numpy(dtype=np.int64)
+        v = np.abs(pdf["v100"].to_numpy(dtype=np.int64))
+        prev = np.concatenate(([last_t], t[:-1]))
+        has_prev = np.ones(len(t), dtype=bool)
+        has_prev[0] = has_last
+        e = np.where(has_prev, v * np.maximum(t - prev, 0), 0)
+        j = k0 + np.arange(len(t))                 # position within the open window sequence
+        win = j // size                            # 0 = the window already open in state
+        closes = (j + 1) % size == 0
+        cum = np.cumsum(e)
+        win_start_cum = np.zeros(len(t), dtype=np.int64)
+        first_in_win = (j % size == 0)
+        # energy accumulated before each window starts inside this batch
+        starts_idx = np.flatnonzero(first_in_win)
+        base = np.zeros(win.max() + 1 if len(win) else 1, dtype=np.int64)
+        base[win[starts_idx]] = cum[starts_idx] - e[starts_idx]
+        win_start_cum = base[win]
+        energy = cum - win_start_cum + np.where(win == 0, e0, 0)
+        start_t = np.zeros(win.max() + 1 if len(win) else 1, dtype=np.int64)
+        start_t[0] = start0
+        start_t[win[starts_idx]] = t[starts_idx]
         out = []
-        for off, typ, dist, v, t in zip(pdf["off"], pdf["node_type"], pdf["district_id"], pdf["v100"], pdf["t"]):
-            off, v, t = int(off), int(v), int(t)
-            if has_last and t > last_t:
-                energy += abs(v) * (t - last_t)
-            has_last, last_t = True, t
-            k += 1
-            if k == 1:
-                start_t = t
-            if k >= size:
-                rate = C.RATE_HUNDREDTHS.get(typ, 0)
-                out.append((off, key[0], bills, typ, dist, energy, energy / _KWH, energy * rate,
-                            energy * rate / (_KWH * 100.0) + 0.0, k, start_t, t))
-                bills += 1
-                k, energy = 0, 0
-        state.update((has_last, last_t, k, energy, start_t, bills))
+        idx = np.flatnonzero(closes)
+        for i in idx:
+            typ = pdf["node_type"].iat[i]
+            rate = C.RATE_HUNDREDTHS.get(typ, 0)
+            en = int(energy[i])
+            out.append((int(pdf["off"].iat[i]), key[0], bills0 + int(win[i]), typ, pdf["district_id"].iat[i], en,
+                        en / _KWH, en * rate, en * rate / (_KWH * 100.0) + 0.0, size, int(start_t[win[i]]),
+                        int(t[i])))
+        n = len(t)
+        if n:
+            k = (k0 + n) % size
+            last_win = int(win[-1]) if k else int(win[-1]) + 1
+            e_open = int(energy[-1]) if k else 0
+            s_open = int(start_t[win[-1]]) if k else 0
+            state.update((True, int(t[-1]), k, e_open, s_open, bills0 + last_win))
         yield pd.DataFrame(out, columns=[f.name for f in BILL_OUT.fields])
     return fn
 
