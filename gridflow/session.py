@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +23,34 @@ BASE_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``gridflow`` importable in the Python workers (the pandas-UDF and
+    keyed-state functions live in it): zip the package once per process and add
+    it to the session (``addPyFile``; ``addArtifacts`` under Spark Connect)."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (Spark Connect)
+        app = "connect:" + str(id(spark))
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="gridflow-pkg-"), "gridflow.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    try:
+        spark.sparkContext.addPyFile(path)
+    except Exception:  # noqa: BLE001
+        spark.addArtifacts(path, pyfile=True)
+    _SHIPPED.add(app)
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "gridflow", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the gridflow defaults.
@@ -43,6 +72,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         spark.sparkContext.setLogLevel("ERROR")
     except Exception:  # noqa: BLE001
         pass
+    ship_package(spark)
     return spark
 
 
