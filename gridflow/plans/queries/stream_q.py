@@ -86,11 +86,7 @@ left join cr on cr.node_id = reg.node_id
 where par.node_id is not null or per.node_id is not null or cr.node_id is not null""")
 def twin_state_stream(spark, sf):
     # stage 1: the liveness check publishes crash / recovered events (a landed log)
-    out, ck = S.stream_location(spark, "twin_liveness")
-    q = S.update_sink(_liveness_events_stream(spark, sf), "twin_liveness", out, ck, output_mode="append")
-    q.awaitTermination(600)
-    if q.exception():
-        raise q.exception()
+    out = S.run_to_path(spark, _liveness_events_stream(spark, sf), "twin_liveness")
     # stage 2: the twin folds parent updates, period changes and the published liveness events
     msgs = V.topic_messages_of(Src.table_stream(spark, sf, "events"))
     tp = P.topic_parse(msgs)
@@ -125,11 +121,7 @@ def node_commands_stream(spark, sf):
     # stage 1: commands stamped with user validity (keyed by user), landed as a log
     ev = Src.table_stream(spark, sf, "events")
     stamped = St.user_validity_stream(V.user_events_of(ev), V.node_commands_of(ev))
-    out, ck = S.stream_location(spark, "node_commands_stamped")
-    q = S.update_sink(stamped, "node_commands_stamped", out, ck, output_mode="append")
-    q.awaitTermination(600)
-    if q.exception():
-        raise q.exception()
+    out = S.run_to_path(spark, stamped, "node_commands_stamped")
     # stage 2: per-node acceptance over the stamped log
     schema = spark.read.parquet(out).schema
     df = St.node_command_stream(spark.readStream.schema(schema).parquet(out))

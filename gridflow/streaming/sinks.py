@@ -52,17 +52,45 @@ def latest_per_key(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r", "batch_id")
 
 
+def state_partitions(spark: SparkSession) -> int | None:
+    """State-store partitions for a new stateful query: the cluster's parallelism
+    (total executor cores), fixed in the checkpoint at the first start."""
+    try:
+        return max(1, int(spark.sparkContext.defaultParallelism))
+    except Exception:  # noqa: BLE001  (Spark Connect: keep the session setting)
+        return None
+
+
+def run_to_path(spark: SparkSession, df: DataFrame, name: str, output_mode: str = "append",
+                timeout_s: int = 600) -> str:
+    """Run a stream over everything available now; return its output folder.
+
+    The query's shuffle / state partitions are set to the cluster parallelism for
+    its start (they are fixed in the checkpoint then) and the session setting is
+    restored afterwards.
+    """
+    out, ck = stream_location(spark, name)
+    n = state_partitions(spark)
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    if n:
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        q = update_sink(df, name, out, ck, output_mode=output_mode)
+        q.awaitTermination(timeout_s)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    if q.exception():
+        raise q.exception()
+    return out
+
+
 def run_to_table(spark: SparkSession, df: DataFrame, name: str, output_mode: str = "append",
                  keys: list[str] | None = None, timeout_s: int = 600) -> DataFrame:
     """Run a stream over everything available now and read its result back.
 
     Append mode: all emitted rows. Update mode: the latest row per ``keys``.
     """
-    out, ck = stream_location(spark, name)
-    q = update_sink(df, name, out, ck, output_mode=output_mode)
-    q.awaitTermination(timeout_s)
-    if q.exception():
-        raise q.exception()
+    out = run_to_path(spark, df, name, output_mode, timeout_s)
     try:
         if output_mode == "update" and keys:
             return latest_per_key(spark, out, keys)
