@@ -149,7 +149,7 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
         out = out.withColumn(dst, F.last(src, ignorenulls=True).over(wb))
     if not any_hot:
         if position:
-            out = out.withColumnRenamed("_lpos", position)
+            out = out.withColumn(position, F.col("_lpos").cast("long")).drop("_lpos")
         return out
 
     # The windowed rows feed both the per-split summary and the join back: write them
@@ -184,7 +184,7 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
         summ = F.broadcast(summ)
     out = out.join(summ, [*keys, SPLIT], "left")
     if position:
-        out = out.withColumn(position, F.coalesce(F.col("_start"), F.lit(0)) + F.col("_lpos"))
+        out = out.withColumn(position, (F.coalesce(F.col("_start"), F.lit(0)) + F.col("_lpos")).cast("long"))
     for src, dst in lags.items():
         out = (out.withColumn(dst, F.when(F.col("_lpos") == 1, F.col(f"_carry_lag_{src}")).otherwise(F.col(dst)))
                   .drop(f"_carry_lag_{src}"))

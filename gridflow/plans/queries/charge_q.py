@@ -43,7 +43,7 @@ def district_charge(spark, sf):
 
 
 @register("district_balance_step", with_views("ring_values") + """
-select district, step, sum(v100) as balance_v100, count(*) as members from ring_values group by district, step""")
+select district, step, cast(sum(v100) as bigint) as balance_v100, count(*) as members from ring_values group by district, step""")
 def district_balance_step(spark, sf):
     return G.district_balance_step(V.ring_values(spark, sf))
 

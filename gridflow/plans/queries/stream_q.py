@@ -45,7 +45,7 @@ def sliding_balance_stream(spark, sf):
 # the first batch of a district integrates nothing.
 @register("charge_stream", with_views("measurements") + """
 select district_id, sum(v100) / 100.0 as batch_balance_kw, count(*) as num_measurements,
-       max(t) as max_event_ms, 0.0 as charge_kwh
+       max(t) as max_event_ms, cast(0.0 as double) as charge_kwh
 from measurements group by district_id""")
 def charge_stream(spark, sf):
     df = St.charge_stream(_readings_stream(spark, sf))

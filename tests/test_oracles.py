@@ -10,10 +10,20 @@ QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     cols = sorted(df.columns)
+    # same column names and types on both sides
+    rel = duck.sql(ORACLE[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     got = rows_of(df, cols)
     want = duck_rows(duck, ORACLE[name], cols)
     assert len(got) == len(want)
