@@ -82,8 +82,9 @@ def find_hot_keys(df: DataFrame, keys: list[str], order,
                   rows_per_split: int | None = None, max_hot_keys: int | None = None) -> HotKeys:
     """One aggregate job over the key and order columns; only a bounded list (at
     most ``max_hot_keys`` rows of key, low bound and split width) reaches the driver."""
-    rows_per_split = rows_per_split or C.ROWS_PER_SPLIT
-    max_hot_keys = max_hot_keys or C.MAX_HOT_KEYS
+    conf = df.sparkSession.conf
+    rows_per_split = rows_per_split or int(conf.get("gridflow.skew.rowsPerSplit", str(C.ROWS_PER_SPLIT)))
+    max_hot_keys = max_hot_keys or int(conf.get("gridflow.skew.maxHotKeys", str(C.MAX_HOT_KEYS)))
     lead = _order_cols(order)[0]   # splits cut on the leading (numeric) order column
     stats = (df.groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
