@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from gridflow import config as C
 from gridflow.functions.expr import is_valid_node_type
-from gridflow.plans.ordered import SPLIT, add_splits, ordered_scan
+from gridflow.plans.ordered import HOT, SPLIT, add_splits, ordered_scan
 from gridflow.session import checkpoint_dir
 
 
@@ -264,11 +264,17 @@ def node_commands(user_events: DataFrame, commands: DataFrame, **split) -> DataF
     Checks, in order: user registered (as of the command) -> node exists or
     not -> (create) valid type / (update, delete) owner. Update does not check
     the type. Output: off, node_id, user_id, op, accepted, reason, event_type.
+
+    Each node's commands are folded in arrival order per (node, split) chunk;
+    ordinary nodes are one chunk starting from "no node". A hot node's chunks
+    first emit transition summaries, which are chained per node into each
+    chunk's start state before the chunks are folded in parallel.
     """
     c = user_valid_asof(user_events, commands, **split)
     c = c.withColumn("valid_type", is_valid_node_type(F.col("node_type")))
     c = c.select("off", "node_id", "user_id", "op", "user_valid", "valid_type")
     sdf, any_hot = add_splits(c, ["node_id"], "off", split.get("rows_per_split"), split.get("max_hot_keys"))
+    sdf = sdf.drop(HOT)
     if not any_hot:
         start = sdf.withColumn("in_exists", F.lit(False)).withColumn("in_owner", F.lit(None).cast("string"))
         return start.groupBy("node_id", SPLIT).applyInPandas(_fold_chunk, _CMD_OUT)
