@@ -95,3 +95,25 @@ def test_hot_node_spreads_over_tasks_and_stays_exact(spark):
     split = B.billing_windows(skewed, rows_per_split=1000).select(*cols)
     plain = B.billing_windows(skewed).select(*cols)
     assert sorted(split.collect()) == sorted(plain.collect())
+
+
+@pytest.mark.parametrize("op", ["liveness", "node_commands", "parent_history", "measurement_route",
+                                "billing_windows", "ring_neighbours"])
+def test_forced_split_equals_plain_on_driver_data(spark, op):
+    """Every key made hot (tiny split size) gives the same rows as the plain plan."""
+    from gridflow.operators import billing as B, registry as R, topology as T, twin as W
+    from gridflow.plans.queries import twin_q as Q
+    from gridflow.sources import views as V
+    sf = SF_SMALL
+    tp = Q._tp(spark, sf)
+    build = {
+        "liveness": lambda **k: W.liveness_events(Q._activity(tp), V.period_changes(spark, sf),
+                                                  default_period_ms=Q.LIVE_PERIOD_MS, tick_ms=Q.LIVE_TICK_MS, **k),
+        "node_commands": lambda **k: R.node_commands(V.user_events(spark, sf), V.node_commands(spark, sf), **k),
+        "parent_history": lambda **k: W.parent_history(Q._parent_updates(tp), **k),
+        "measurement_route": lambda **k: R.measurement_route(V.node_events(spark, sf), V.measurements(spark, sf), **k),
+        "billing_windows": lambda **k: B.billing_windows(V.measurements(spark, sf), **k),
+        "ring_neighbours": lambda **k: T.ring_neighbours(V.ring_values(spark, sf), **k),
+    }[op]
+    plain, split = build(), build(rows_per_split=4)
+    assert sorted(plain.collect()) == sorted(split.select(*plain.columns).collect())
