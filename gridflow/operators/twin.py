@@ -143,9 +143,12 @@ def crashed_now(activity: DataFrame, period_changes: DataFrame, *,
     aggregates (latest activity, latest period change as of that tick) -- the
     same as the type of the node's last crash / recovered event.
     """
-    rows_t = activity.select("t").unionByName(period_changes.select("t"))
-    horizon = F.lit(horizon_ms) if horizon_ms is not None else rows_t.agg(F.max("t")).scalar()
-    last_tick = F.floor(horizon / F.lit(tick_ms)).cast("long") * tick_ms
+    if horizon_ms is None:   # one scalar job; used three times below as a literal
+        rows_t = activity.select("t").unionByName(period_changes.select("t"))
+        horizon_ms = rows_t.agg(F.max("t").alias("h")).first()["h"]
+    if horizon_ms is None:   # no input at all
+        horizon_ms = 0
+    last_tick = F.lit((int(horizon_ms) // tick_ms) * tick_ms)
     seen = (activity.where(F.col("t") <= last_tick).groupBy("node_id")
                     .agg(F.max("t").alias("last_seen_ms")))
     per = (period_changes.where(F.col("t") <= last_tick).groupBy("node_id")
@@ -215,14 +218,13 @@ def twin_state(registry: DataFrame, parent_updates: DataFrame, period_changes: D
     ``crashed_now`` (equal, without materialising the events). A crash does
     not block other updates.
     """
+    # per-node aggregates over all inputs; the left joins from the registry deliver
+    # only to existing twins (no separate semi joins needed)
     nodes = registry.select("node_id")
-    pu = parent_updates.join(nodes, "node_id", "left_semi")
-    parents = latest_parents(pu, depth)
-    per = (period_changes.join(nodes, "node_id", "left_semi")
-                         .groupBy("node_id").agg(F.max_by("period_ms", "off").alias("period_ms")))
+    parents = latest_parents(parent_updates, depth)
+    per = period_changes.groupBy("node_id").agg(F.max_by("period_ms", "off").alias("period_ms"))
     if liveness is not None:
-        crash = (liveness.join(nodes, "node_id", "left_semi")
-                         .groupBy("node_id").agg(F.max_by(F.col("event") == "crash", "tick_ms").alias("crashed")))
+        crash = liveness.groupBy("node_id").agg(F.max_by(F.col("event") == "crash", "tick_ms").alias("crashed"))
     else:
         crash = crashed_now(activity, period_changes, tick_ms=tick_ms, multiplier=multiplier,
                             default_period_ms=liveness_period_ms or default_period_ms,
