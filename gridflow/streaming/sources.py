@@ -80,7 +80,7 @@ def serial_line_source(spark: SparkSession, root: str, stream: bool = False) ->
     the file order."""
     pattern = os.path.join(root, "*", "*")
     df = spark.readStream.text(pattern) if stream else spark.read.text(pattern)
-    node = F.element_at(F.split(F.input_file_name(), "/"), -2)
+    node = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     out = df.select(node.alias("node_id"), F.col("value").alias("line"))
     if stream:
         return out
