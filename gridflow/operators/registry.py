@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from gridflow import config as C
 from gridflow.functions.expr import is_valid_node_type
-from gridflow.plans.ordered import HOT, SPLIT, add_splits, ordered_scan
+from gridflow.plans.ordered import HOT, SPLIT, add_splits, find_hot_keys, ordered_scan
 from gridflow.session import checkpoint_dir
 
 
@@ -270,10 +270,13 @@ def node_commands(user_events: DataFrame, commands: DataFrame, **split) -> DataF
     first emit transition summaries, which are chained per node into each
     chunk's start state before the chunks are folded in parallel.
     """
+    # the stamped commands are one-to-one with the raw ones (same node, same position):
+    # find hot nodes on the raw commands, without recomputing the as-of scan
+    hot = find_hot_keys(commands, ["node_id"], "off", split.get("rows_per_split"), split.get("max_hot_keys"))
     c = user_valid_asof(user_events, commands, **split)
     c = c.withColumn("valid_type", is_valid_node_type(F.col("node_type")))
     c = c.select("off", "node_id", "user_id", "op", "user_valid", "valid_type")
-    sdf, any_hot = add_splits(c, ["node_id"], "off", split.get("rows_per_split"), split.get("max_hot_keys"))
+    sdf, any_hot = add_splits(c, ["node_id"], "off", hot=hot)
     sdf = sdf.drop(HOT)
     if not any_hot:
         start = sdf.withColumn("in_exists", F.lit(False)).withColumn("in_owner", F.lit(None).cast("string"))
