@@ -155,7 +155,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
 
     # The windowed rows feed both the per-split summary and the join back: write them
     # once to the shared checkpoint folder (hot path only) so the input is computed,
-    # scanned and shuffled once; the checkpoint keeps the (key, split) partitioning.
+    # scanned and shuffled once; the summary is joined back by broadcast, so the big
+    # side is not shuffled again.
     checkpoint_dir(out.sparkSession)
     out = out.checkpoint(eager=True)
     # summary per (key, split): row count, last value of each lagged column, first
