@@ -177,7 +177,9 @@ def liveness_events(activity: DataFrame, period_changes: DataFrame, *,
     per = period_changes.select("node_id", "off", "t", F.lit(1).alias("kind"),
                                 F.lit(None).cast("long").alias("_seen"), F.col("period_ms").cast("long").alias("_per"))
     rows = act.unionByName(per)
-    horizon = F.lit(horizon_ms) if horizon_ms is not None else rows.agg(F.max("t")).scalar()
+    if horizon_ms is None:   # one scalar job, then a literal in the plan
+        horizon_ms = rows.agg(F.max("t").alias("h")).first()["h"] or 0
+    horizon = F.lit(int(horizon_ms))
     # candidates are at most two per input row and keyed the same way: one hot-key check serves both scans
     hot = find_hot_keys(rows, ["node_id"], "t", split.get("rows_per_split"), split.get("max_hot_keys"))
     s = ordered_scan(rows, ["node_id"], ["t", "kind", "off"], leads={"t": "_next_t"},
