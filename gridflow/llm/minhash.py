@@ -8,11 +8,12 @@ Candidates come from the bands as stars: everyone in a bucket against the bucket
 document, linear in the bucket. The packed signatures then estimate the similarity, corrected
 for chance agreement of two bits, by counting bits; what could reach the threshold is confirmed
 on the full shingle sets. Buckets that still hold several components are paired across
-components only; a bucket too large for that is divided by joining its key with every other
-band's key (a similar pair agrees in many bands), and treated alike. Nothing is capped.
+components only; a bucket too large for that is divided by joining its key with the keys of each
+of the next bands (a similar pair agrees in a third of them), and treated alike. Nothing is capped.
 
-A pair at the threshold is missed by all bands with probability (1 - 0.8^5)^51 < 2e-9, and by
-the estimate, five deviations below the threshold, with about 1e-7.
+A pair at the threshold agrees in no band with probability (1 - 0.8^5)^51 < 2e-9; even if all its
+buckets had to be divided it is missed with about 1e-8. The estimate, five deviations below the
+threshold, loses about 1e-7.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ THRESHOLD = 80          # in hundredths: 100 * intersection >= 80 * union
 LANES = 256             # minima per document
 BITS = 2                # low bits kept of each
 BAND_ROWS, BANDS = 5, 51
-PAIRED_BUCKET = 256     # larger unresolved buckets are divided before they are paired
+PAIRED_BUCKET = 64      # larger unresolved buckets are divided before they are paired
+DIVIDING_BANDS = 6      # a bucket is divided by each of so many other bands
 CHUNK_PARTNERS = 256    # documents compared in one run with one copy of their counterpart
 BROADCAST_IDS = 1_000_000
 LANE_MASK = 0x5555555555555555
@@ -157,13 +159,15 @@ def _likely(pairs: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
 
 
 def _with_pivot(keyed: DataFrame) -> DataFrame:
-    """(key, node) -> (key, node, pivot) for keys with several nodes."""
-    pivots = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
-    return keyed.join(pivots.drop("last"), "key")
+    """(key, band, node, component) with the key's least node and its component, for keys that
+    hold several components."""
+    pivots = keyed.groupBy("key").agg(F.min(F.struct("node", "component")).alias("pivot"), F.min("component").alias("c0"),
+                                      F.max("component").alias("c1")).where("c0 < c1")
+    return keyed.join(pivots.select("key", "pivot"), "key")
 
 
-def _labelled(keyed: DataFrame, comp: DataFrame) -> DataFrame:
-    return keyed.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _relabelled(keyed: DataFrame, comp: DataFrame) -> DataFrame:
+    return keyed.drop("component").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
@@ -172,35 +176,37 @@ def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFram
     ``nodes`` (node, sig, bands), ``docs`` (id, text) with the nodes' texts.
     """
     sigs = nodes.select("node", "sig")
-    keyed = cut(_with_pivot(nodes.select("node", F.explode("bands").alias("key"))))
+    keyed = cut(_with_pivot(nodes.select("node", F.col("node").alias("component"), F.posexplode("bands").alias("band", "key"))))
     found, level = None, 0
     while True:
-        stars = keyed.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+        stars = keyed.where("component <> pivot.component").select(
+            F.col("node").alias("a"), F.col("pivot.node").alias("b")).distinct()
         new = cut(confirmed(cut(_likely(stars, sigs, threshold)), docs, k, threshold))
         found = new if found is None else cut(found.unionByName(new))
         comp = components(found)
-        # pairs with the pivot are done; what is left are the others of buckets with several components
-        rest = _labelled(keyed.where("node <> pivot"), comp)
+        # pairs with the pivot are done; what is left are the others of keys with several components
+        rest = _relabelled(keyed.where("node <> pivot.node").drop("pivot"), comp)
         state = rest.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
                                         F.count("*").alias("size")).where("c0 < c1").select("key", "size")
-        rest = cut(rest.join(state, "key").select("key", "node", "component", "size"))
+        rest = cut(rest.join(state, "key"))
         level += 1
-        last = level * BAND_ROWS >= BANDS  # keys that hold so many minima are as good as equal signatures
+        last = level * DIVIDING_BANDS >= BANDS  # keys of so many minima are as good as equal signatures
         pair = rest if last else rest.where(F.col("size") <= PAIRED_BUCKET)
-        side = pair.join(sigs, "node").select("key", "node", "component", "sig")
-        across = side.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sa")).join(
-            side.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sb")), "key").where(
-            (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-            & (_agreement("sa", "sb") >= _least_estimate(threshold)))
-        found = cut(found.unionByName(confirmed(cut(across.select("a", "b").distinct()), docs, k, threshold)))
-        if last:
+        side = pair.join(sigs, "node")
+        ends = [side.select("key", *[F.col(c).alias(c + x) for c in ("node", "component", "sig")]) for x in "ab"]
+        across = ends[0].join(ends[1], "key").where(
+            (F.col("nodea") < F.col("nodeb")) & (F.col("componenta") != F.col("componentb"))
+            & (_agreement("siga", "sigb") >= _least_estimate(threshold)))
+        across = cut(across.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
+        found = cut(found.unionByName(confirmed(across, docs, k, threshold)))
+        big = rest.where(F.col("size") > PAIRED_BUCKET)
+        if last or big.isEmpty():
             return found
-        big = rest.where(F.col("size") > PAIRED_BUCKET).select("key", "node")
-        if big.isEmpty():
-            return found
-        keyed = cut(_with_pivot(big.join(nodes.select("node", "bands"), "node").select(
-            "node", "key", F.posexplode("bands").alias("band", "other")).select(
-            "node", F.xxhash64("key", "band", "other").alias("key"))))
+        other = (F.col("band") + level * DIVIDING_BANDS - F.col("i")) % BANDS
+        divided = _relabelled(big, components(found)).join(nodes.select("node", "bands"), "node").withColumn(
+            "i", F.explode(F.sequence(F.lit(0), F.lit(DIVIDING_BANDS - 1)))).select(
+            "node", "component", "band", F.xxhash64("key", other, F.col("bands")[other]).alias("key"))
+        keyed = cut(_with_pivot(divided))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -227,7 +233,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = member.groupBy("id").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 < n1")
     ties = member.join(several.select("id"), "id").select(F.col("id").alias("a"), F.col("node").alias("b"))
     comp = components(found.unionByName(ties))
-    labels = _labelled(classes.select("cls", "node"), comp).select("cls", "component")
+    labels = _relabelled(classes.select("cls", "node"), comp).select("cls", "component")
     out = signed_rows.select("id", "cls", "n").join(labels, "cls", "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
