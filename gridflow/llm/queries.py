@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflow.llm import minhash, toxicity
+from gridflow.llm import linededup, minhash, toxicity
 from gridflow.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
                              read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+
+
+@query
+def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
