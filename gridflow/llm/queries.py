@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflow.llm import decontam, linededup, minhash, toxicity
+from gridflow.llm import decontam, linededup, minhash, packing, toxicity
 from gridflow.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,8 @@ def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
                                   read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), with_ids=False)
