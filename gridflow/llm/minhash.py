@@ -34,7 +34,7 @@ THRESHOLD = 80          # in hundredths: 100 * intersection >= 80 * union
 LANES = 256             # minima per document
 BITS = 2                # low bits kept of each
 BAND_ROWS, BANDS = 5, 51
-PAIRED_BUCKET = 64      # larger unresolved buckets are divided before they are paired
+PAIRED_BUCKET = 1024    # larger unresolved buckets are divided before they are paired
 DIVIDING_BANDS = 6      # a bucket is divided by each of so many other bands
 CHUNK_PARTNERS = 256    # documents compared in one run with one copy of their counterpart
 BROADCAST_IDS = 1_000_000
@@ -198,7 +198,8 @@ def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFram
             (F.col("nodea") < F.col("nodeb")) & (F.col("componenta") != F.col("componentb"))
             & (_agreement("siga", "sigb") >= _least_estimate(threshold)))
         across = cut(across.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
-        found = cut(found.unionByName(confirmed(across, docs, k, threshold)))
+        if not across.isEmpty():
+            found = cut(found.unionByName(confirmed(across, docs, k, threshold)))
         big = rest.where(F.col("size") > PAIRED_BUCKET)
         if last or big.isEmpty():
             return found

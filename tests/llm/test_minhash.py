@@ -59,7 +59,7 @@ def _chains(seed):
     return rows
 
 
-@pytest.mark.parametrize("paired", [64, 1])
+@pytest.mark.parametrize("paired", [1024, 1])
 def test_chains_of_near_copies(spark, monkeypatch, paired):
     monkeypatch.setattr(minhash, "PAIRED_BUCKET", paired)
     rows = _chains(paired)
