@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflow.llm import decontam, linededup, minhash, packing, toxicity
+from gridflow.llm import decontam, linededup, minhash, packing, secrets, toxicity
 from gridflow.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), with_ids=False)
+
+
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
