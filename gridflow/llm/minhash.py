@@ -7,8 +7,10 @@ with equal shingle sets form one class with one representative, so copies never
 Candidates come from the bands as stars: everyone in a bucket against the bucket's least
 document, linear in the bucket. The packed signatures then estimate the similarity, corrected
 for chance agreement of two bits, by counting bits; what could reach the threshold is confirmed
-on the full shingle sets. Buckets that still hold several components are paired across
-components only; a bucket too large for that is divided by joining its key with the keys of each
+on the full shingle sets. In buckets that still hold several components, a document whose
+shingles occur nowhere else among the unresolved ones too often to reach the threshold with any
+partner is settled (exactly, from the full sets: heavily edited copies and documents that share
+just a common passage). The others are paired across components only; a bucket too large for that is divided by joining its key with the keys of each
 of the next bands (a similar pair agrees in a third of them), and treated alike. Nothing is capped.
 
 A pair at the threshold agrees in no band with probability (1 - 0.8^5)^51 < 2e-9; even if all its
@@ -158,6 +160,47 @@ def _likely(pairs: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(sa, "a").join(sb, "b").where(_agreement("sa", "sb") >= _least_estimate(threshold)).select("a", "b")
 
 
+def _shingles(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(data, k) for data in lowered(b.column(1))]
+            n = [len(s) for s in sets]
+            flat = np.concatenate(sets) if sets else np.empty(0, U64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64()),
+                 pa.array(n, pa.int64()), list_array(signed(flat), n)], ["node", "text", "n", "shingles"])
+    return run
+
+
+def _sharable(rest: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(node, n, common): the size of each node's set and how many of its shingles any other node
+    has (of several texts of one id the least size and the most common ones)."""
+    ids = rest.select(F.col("node").alias("i")).distinct()
+    sets = cut(docs.join(small(ids, BROADCAST_IDS), F.col("id") == F.col("i"), "left_semi").select("id", "text").mapInArrow(
+        _shingles(k), "node long, text long, n long, shingles array<long>").distinct())
+    each = sets.select("node", "text", F.explode("shingles").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.min("text").alias("text"), F.count("*").alias("m")).where("m = 1")
+    alone = alone.groupBy("node", "text").agg(F.count("*").alias("alone"))
+    return sets.select("node", "text", "n").join(alone, ["node", "text"], "left").groupBy("node").agg(
+        F.min("n").alias("n"), F.max(F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
+
+
+def _unresolved(rest: DataFrame) -> DataFrame:
+    """The rows of keys with several components, and the key's number of rows."""
+    state = rest.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
+                                    F.count("*").alias("size")).where("c0 < c1").select("key", "size")
+    return rest.join(state, "key")
+
+
+def _able(rest: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """Without the nodes that can reach the threshold with no partner of their key: two sets of x and
+    y elements must share threshold / (100 + threshold) of x + y."""
+    with_sizes = rest.join(_sharable(rest, docs, k), "node")
+    least = with_sizes.groupBy("key").agg(F.min("n").alias("least"))
+    return with_sizes.join(least, "key").where(
+        (100 + threshold) * F.col("common") >= threshold * (F.col("n") + F.col("least"))).drop("n", "common", "least", "size")
+
+
 def _with_pivot(keyed: DataFrame) -> DataFrame:
     """(key, band, node, component) with the key's least node and its component, for keys that
     hold several components."""
@@ -185,10 +228,10 @@ def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFram
         found = new if found is None else cut(found.unionByName(new))
         comp = components(found)
         # pairs with the pivot are done; what is left are the others of keys with several components
-        rest = _relabelled(keyed.where("node <> pivot.node").drop("pivot"), comp)
-        state = rest.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                        F.count("*").alias("size")).where("c0 < c1").select("key", "size")
-        rest = cut(rest.join(state, "key"))
+        rest = cut(_unresolved(_relabelled(keyed.where("node <> pivot.node").drop("pivot"), comp)))
+        if rest.isEmpty():
+            return found
+        rest = cut(_unresolved(_able(rest, docs, k, threshold)))
         level += 1
         last = level * DIVIDING_BANDS >= BANDS  # keys of so many minima are as good as equal signatures
         pair = rest if last else rest.where(F.col("size") <= PAIRED_BUCKET)

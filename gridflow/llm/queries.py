@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflow.llm import decontam, html, linededup, minhash, packing, secrets, toxicity
+from gridflow.llm import decontam, html, linededup, minhash, packing, secrets, suffixtree, toxicity
 from gridflow.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+
+
+@query
+def op7_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score_texts(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
