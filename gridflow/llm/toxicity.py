@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from gridflow.llm.common import U64, list_array, lowered, mix, signed, small_batches, words64
 
-SAMPLE = 12_000         # labelled rows the model is fitted on, at most
+SAMPLE = 8_000          # labelled rows the model is fitted on, at most
 MIN_DOCUMENTS = 3       # a feature must occur in so many training rows
 MAX_FEATURES = 1 << 17  # the most frequent ones above that
 GRADES = 4
@@ -141,14 +141,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return OrdinalModel(np.empty(0, U64), np.empty(0), np.full(GRADES - 1, np.inf))
     flat = lambda c: rows.column(c).combine_chunks()
     keys, counts = flat(1).flatten().to_numpy().view(U64), flat(2).flatten().to_numpy()
-    row = np.repeat(np.arange(len(toxic)), np.diff(flat(1).offsets.to_numpy()))
-    names, col, freq = np.unique(keys, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(toxic), dtype=np.int32), np.diff(flat(1).offsets.to_numpy()))
+    del rows
+    names, freq = np.unique(keys, return_counts=True)
     least = max(MIN_DOCUMENTS, np.sort(freq)[-MAX_FEATURES] if len(freq) > MAX_FEATURES else 0)
-    kept = freq >= least
-    new = np.cumsum(kept) - 1
-    use = kept[col]
-    row, col, val = row[use], new[col[use]], np.log1p(counts[use])
-    names = names[kept]
+    names = names[freq >= least]
+    col = np.minimum(np.searchsorted(names, keys), max(len(names) - 1, 0)).astype(np.int32)
+    use = names[col] == keys if len(names) else np.zeros(len(keys), dtype=bool)
+    row, col, val = row[use], col[use], np.log1p(counts[use])
+    del keys, counts, use
     w, theta = fit(row, col, val, grade(toxic, row, col, len(names)), len(names))
     return OrdinalModel(names[w != 0], w[w != 0], theta)
 
