@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from gridflow.llm.common import U64, _powers, cut, list_array, lowered, mix, signed, small_batches, words64
 
 MIN_WORDS = 5
+BROADCAST_PLACES = 4_000_000  # (document, line) places, 12 bytes each; more are joined by a shuffle
 _B1, _B2 = 0xD1342543DE82EF95, 0x2545F4914F6CDD1D
 _I1, _I2 = (pow(b, -1, 1 << 64) for b in (_B1, _B2))
 _PREFIX_KEY, _SUFFIX_KEY = U64(0x9FB21C651E98DF25), U64(0xA24BAED4963EE407)
@@ -71,13 +72,16 @@ class Lines:
                      mix(self.part(self.last - (n - half), self.last) + n.astype(U64) * _SUFFIX_KEY)]
         return np.stack(keys, axis=1) if len(self.number) else np.empty((0, 4), dtype=U64)
 
-    def variants(self, i: int) -> np.ndarray:
-        """Hashes, as ``whole`` would give them, of line ``i`` less each one of its words."""
-        s, e = self.first[i], self.last[i]
-        at = np.arange(s, e)
-        head = self.part(np.full(e - s, s), at)
-        tail = self.part(at + 1, np.full(e - s, e))
-        return mix(head + tail * _powers(_B1, e - s + 1)[at - s] + U64(e - s - 1))
+
+def variants(words: np.ndarray) -> np.ndarray:
+    """Hashes, as ``Lines.whole`` would give them, of a line less each one of its words."""
+    n = len(words)
+    power = _powers(_B1, n + 1)
+    head = np.zeros(n + 1, dtype=U64)
+    np.cumsum(words * power[:n], out=head[1:])
+    # what follows the word left out moves up by one place
+    tail = (head[n] - head[1:]) * U64(_I1)
+    return mix(head[:n] + tail + U64(n - 1))
 
 
 def _lines(least: int):
@@ -96,40 +100,34 @@ def _lines(least: int):
     return run
 
 
-def _variants(least: int):
-    """(id, text, lines) -> a row for each variant of those lines: its hash and the word left out."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for id_, data, chosen in zip(b.column(0).to_pylist(), lowered(b.column(1)), b.column(2).to_pylist()):
-                x = Lines(data, least)
-                at = np.searchsorted(x.number, np.unique(chosen))
-                if not len(at):
-                    continue
-                found = [x.variants(i) for i in at]
-                n = [len(v) for v in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(sum(n), id_, dtype=np.int64)), pa.array(np.repeat(x.number[at], n).astype(np.int32)),
-                     pa.array(signed(np.concatenate(found))), pa.array(np.concatenate([np.arange(k) for k in n]).astype(np.int32))],
-                    ["id", "line", "key", "out"])
-    return run
-
-
 def _words(least: int):
     """(id, text, lines) -> the word hashes of those lines."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for id_, data, chosen in zip(b.column(0).to_pylist(), lowered(b.column(1)), b.column(2).to_pylist()):
                 x = Lines(data, least)
-                at = np.searchsorted(x.number, np.unique(chosen))
-                n = x.last[at] - x.first[at]
+                at = np.flatnonzero(np.isin(x.number, chosen))
                 if len(at):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(at), id_, dtype=np.int64)), pa.array(x.number[at].astype(np.int32)),
-                         list_array(signed(np.concatenate([x.words[x.first[i]:x.last[i]] for i in at])), n)],
+                         list_array(signed(np.concatenate([x.words[x.first[i]:x.last[i]] for i in at])), x.last[at] - x.first[at])],
                         ["id", "line", "words"])
     return run
 
 
+def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, line, words) -> a row for each variant: its hash and the place of the word left out."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        found = [variants(w.values.to_numpy().view(U64)) for w in b.column(2)]
+        n = np.array([len(v) for v in found])
+        of = pa.array(np.repeat(np.arange(len(n)), n))
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(of), b.column(1).take(of), pa.array(signed(np.concatenate(found))),
+             pa.array(np.concatenate([np.arange(k) for k in n]).astype(np.int32))], ["id", "line", "key", "out"])
+
+
 def within_one(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether two word sequences are at most one insertion, deletion or substitution apart."""
     if abs(len(x) - len(y)) > 1:
@@ -151,10 +149,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(i) for i in (0, 1)], ["id", "line"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _of_lines(places: DataFrame, docs: DataFrame, fn, schema: str) -> DataFrame:
-    """Run ``fn`` over the texts that hold the given (id, line) places, each text once."""
-    by_doc = places.groupBy("id").agg(F.collect_set("line").alias("lines")).withColumnRenamed("id", "p")
-    return docs.join(by_doc, F.col("id") == F.col("p")).select("id", "text", "lines").mapInArrow(fn, schema)
+def _by_doc(places: DataFrame) -> DataFrame:
+    """(id, line) -> (p, lines) per document, to be broadcast if there are few enough places."""
+    few = places.limit(BROADCAST_PLACES + 1).count() <= BROADCAST_PLACES
+    by_doc = places.groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("lines")).withColumnRenamed("id", "p")
+    return F.broadcast(by_doc) if few else by_doc
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -173,23 +172,24 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     halves = classes.select("at", F.explode("keys").alias("key"))
     shared = halves.groupBy("key").agg(F.min("at").alias("a0"), F.max("at").alias("a1")).where("a0 < a1").select("key")
     able = cut(halves.join(shared, "key", "left_semi").select("at").distinct().select("at.id", "at.line"))
-    variants = _of_lines(able, d, _variants(min_words), "id long, line int, key long, out int")
+    words = d.join(_by_doc(able), F.col("id") == F.col("p")).select("id", "text", "lines").mapInArrow(
+        _words(min_words), "id long, line int, words array<long>").dropDuplicates(["id", "line"])
+    words = cut(words)
+    variant = words.mapInArrow(_variants, "id long, line int, key long, out int")
     # the same word position left out: one substitution apart
-    first = variants.groupBy("key", "out").agg(F.min(place).alias("keep"), F.max(place).alias("to")).where("keep < to").drop("to")
-    substituted = variants.join(first, ["key", "out"]).select(place.alias("at"), "keep").where("keep < at")
+    first = variant.groupBy("key", "out").agg(F.min(place).alias("keep"), F.max(place).alias("to")).where("keep < to").drop("to")
+    substituted = variant.join(first, ["key", "out"]).select(place.alias("at"), "keep").where("keep < at")
     # a variant that is itself a line: one insertion apart; the later of the two goes
-    inserted = variants.join(classes.select(F.col("h1").alias("key"), F.col("at").alias("other")), "key").select(
+    inserted = variant.join(classes.select(F.col("h1").alias("key"), F.col("at").alias("other")), "key").select(
         F.greatest(place, "other").alias("at"), F.least(place, "other").alias("keep")).where("keep < at")
     pairs = cut(substituted.unionByName(inserted).groupBy("at").agg(F.min("keep").alias("keep")))
-    ends = pairs.select("at.*").unionByName(pairs.select("keep.*")).distinct()
-    words = _of_lines(ends, d, _words(min_words), "id long, line int, words array<long>").dropDuplicates(["id", "line"])
     words = words.select(place.alias("w"), "words")
     near = (pairs.join(words.select(F.col("w").alias("at"), F.col("words").alias("x")), "at")
             .join(words.select(F.col("w").alias("keep"), F.col("words").alias("y")), "keep")
             .select("at.id", "at.line", "x", "y").mapInArrow(_verify, "id long, line int").select(place.alias("at"), F.lit(True).alias("near")))
     goes = classes.join(near, "at", "left").where("near or at < to").select("h1", "h2", "at", "near")
     gone = lines.join(goes, ["h1", "h2"]).where(F.col("near") | (place != F.col("at")))
-    return gone.groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    return _by_doc(cut(gone.select("id", "line"))).withColumnRenamed("p", "id")
 
 
 def without_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text",
