@@ -1,21 +1,22 @@
-"""Text scores from a probabilistic suffix tree over bytes, and from word frequencies.
-
-The text is a sequence of words (see ``common``) and an end token. The tree predicts a word byte by
-byte and then its end; contexts reach back to the blank before the word. A context is considered
-if its share of all symbols is at least ``LEAST_SHARE`` (so there are at most 1/LEAST_SHARE of each
-length) and kept if its next-symbol distribution diverges from that of its longest proper suffix by
-at least ``LEAST_DIVERGENCE`` (Kullback-Leibler, nats); with a context all its suffixes and
-prefixes are kept, which makes the tree an automaton whose state is the longest kept suffix.
-Distributions are smoothed towards the suffix's (Witten-Bell), at the root towards uniform.
-
-The longest context of all, the whole word so far, is a word's own frequency. It is smoothed in
-the same way towards what the tree gives: P(word) = (c + V tree(word)) / (N + V) with the training
-count c, the number of training tokens N and of distinct ones V. So a text's words are told by their
-counts where there are any and spelled out by the tree where there are none.
-
-Training reads all training rows: words are counted with partial sums, and the context counts come
-from the table of distinct words, one level at a time, only below contexts that passed the level
-before. The tree that goes to the executors is bounded by the share and the depth.
+"""Text scores from a probabilistic suffix tree over words, and from word frequencies.
+
+A text is a sequence of words (see ``common``) and an end token; the end token also stands before
+its first word. The tree's alphabet are the words whose share of the training tokens is at least
+``LEAST_SHARE``, the end token, and one symbol for all other words, so it is bounded at any size.
+
+Contexts are the one to ``DEPTH`` symbols before a word, not across the end token. A context is
+considered if its share is at least ``LEAST_SHARE`` and kept if its next-symbol distribution diverges
+from that of the context without its oldest symbol: the Kullback-Leibler divergence is at least
+``LEAST_DIVERGENCE`` nats and more than the sampling of that many kinds explains. With a context its
+suffixes and prefixes are kept. In each context the next symbols with a share of all tokens of at
+least ``LEAST_ENTRY`` have counts of their own; the rest is left to the suffix, to which all
+distributions are smoothed (Witten-Bell). A word is predicted in the state of the longest kept suffix
+of what precedes it; a word outside the alphabet is that symbol's probability times its own share
+of such words, where all words never seen in training are one event with the weight of the words
+seen once.
+
+Training reads all training rows: words and, level by level, contexts are counted with partial
+sums; the shares bound what is collected (at most 1 / LEAST_ENTRY counts a level) and broadcast.
 
 Word frequencies: the most frequent words, at most ``HEAD_WORDS``, are broadcast with their
 counts; a word outside that head is rare (at most one in HEAD_WORDS tokens), so the documents' rare
@@ -35,15 +36,16 @@ from pyspark.sql import functions as F
 
 from gridflow.llm.common import U64, cut, lowered, small_batches, words64
 
-DEPTH = 6                # bytes of context, at most 7
-FIRST_DEPTH = 2          # levels counted together
-LEAST_SHARE = 2e-4
-LEAST_DIVERGENCE = 0.005
+DEPTH = 3
+LEAST_SHARE = 5e-5
+LEAST_ENTRY = 5e-6
+LEAST_DIVERGENCE = 0.02
 HEAD_WORDS = 1_000_000
 ADD = 0.1                # added to every count of the word-frequency score
 END = b"\n"              # the end token; no word contains it
-FLUSH = 400_000          # distinct words counted in a worker's memory at a time
-BLANK = 0x20
+FLUSH_WORDS = 400_000    # distinct words counted in a worker's memory at a time
+FLUSH_TOKENS = 4_000_000
+OTHER = 0                # the symbol of words outside the alphabet
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,7 +59,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data in lowered(b.column(0)):
             n.update(data.split())
             n[END] += 1
-        if len(n) >= FLUSH:
+        if len(n) >= FLUSH_WORDS:
             yield flush()
     yield flush()
 
@@ -67,196 +69,225 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-# --- counting contexts -----------------------------------------------------------------------------
-
-def _contexts(words: list[bytes], counts: np.ndarray, depths: list[int], passed: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(depth, context and next byte packed in 64 bits, weight), added up over the words."""
-    data = b" " + b" ".join(words) + b" "
-    a = np.frombuffer(data, dtype=np.uint8)
-    length = np.array([len(w) for w in words]) + 1
-    weight = np.repeat(counts, length)                       # of each symbol of a word and its end
-    since = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + 1  # context bytes there are
-    code, wide = np.zeros(len(since), dtype=U64), a.astype(U64)
-    done = 0
-    for d in depths:
-        while done < d:  # the byte ``done + 1`` places back becomes the highest of the code
-            done += 1
-            code[done - 1:] |= wide[:len(since) - done + 1] << U64(8 * (done - 1))
-        use = since >= d
-        if passed is not None:
-            suffix = code & U64((1 << 8 * (d - 1)) - 1)
-            at = np.minimum(np.searchsorted(passed, suffix), max(len(passed) - 1, 0))
-            use &= (passed[at] == suffix) if len(passed) else False
-        key, inverse = np.unique((code[use] << U64(8)) | wide[1:][use], return_inverse=True)
-        yield d, key, np.bincount(inverse, weights=weight[use], minlength=len(key)).astype(np.int64)
-
-
-def _count_contexts(depths: list[int], passed: np.ndarray | None):
+def _find(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Index of each x in the sorted keys, -1 if it isn't there."""
+    if not len(keys):
+        return np.full(len(x), -1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+    return np.where(keys[at] == x, at, -1)
+
+
+class Stream:
+    """The symbols of a batch of texts in a row, with an end token before and after each text."""
+
+    def __init__(self, texts: list[bytes], alphabet: np.ndarray):
+        self.data = b"\n".join(texts)
+        self.hashes, self.first, self.last = words64(self.data)
+        starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
+        self.doc = np.searchsorted(starts, self.first, side="right") - 1   # of each word
+        n, end = len(texts), len(alphabet) + 1
+        ends = np.searchsorted(self.doc, np.arange(n), side="right") + np.arange(n) + 1
+        self.place = np.arange(len(self.doc)) + self.doc + 1                # of each word in the row
+        self.symbols = np.full(len(self.doc) + n + 1, end, dtype=np.int64)
+        self.symbols[self.place] = _find(alphabet, self.hashes) + 1
+        self.owner = np.zeros(len(self.symbols), dtype=np.int64)            # text of each predicted symbol
+        self.owner[self.place], self.owner[ends] = self.doc, np.arange(n)
+        at_end = np.where(self.symbols == end, np.arange(len(self.symbols)), 0)
+        self.since = np.zeros(len(self.symbols), dtype=np.int64)            # symbols of context there are
+        self.since[1:] = np.arange(1, len(self.symbols)) - np.maximum.accumulate(at_end)[:-1]
+
+
+def context_ids(symbols: np.ndarray, since: np.ndarray, size: int, levels: list[np.ndarray]) -> list[np.ndarray]:
+    """Per depth 1, 2, ... the number of the context before each symbol, -1 if it is none of the level's.
+
+    A context of depth 1 is numbered by its symbol; a longer one by its place among the level's
+    sorted codes, a code being the number of the context without its newest symbol and that symbol.
+    """
+    before = np.empty_like(symbols)
+    before[0], before[1:] = 0, symbols[:-1]
+    ids = [np.where(since >= 1, before, -1)]
+    for d, codes in enumerate(levels, 2):
+        older = np.full(len(symbols), -1, dtype=np.int64)
+        older[1:] = ids[-1][:-1]  # the context one depth less before the preceding symbol
+        ids.append(np.where((since >= d) & (older >= 0), _find(codes, older * size + before), -1))
+    return ids
+
+
+def _count_next(alphabet: np.ndarray, levels: list[np.ndarray]):
+    """Texts -> (key, n): context number of the deepest level times the alphabet's size plus next symbol."""
+    size = len(alphabet) + 2
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: list[bytes] = []
-        counts: list[np.ndarray] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if words:
-                for d, key, n in _contexts(words, np.concatenate(counts), depths, passed):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), d, np.int32)), pa.array(key.view(np.int64)), pa.array(n)],
-                                                     ["depth", "key", "n"])
-            words.clear()
-            counts.clear()
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(held) if held else np.empty(0, np.int64), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
         for b in batches:
-            words += b.column(0).to_pylist()
-            counts.append(b.column(1).to_numpy())
-            if sum(map(len, words[-len(counts[-1]):])) and len(words) >= 50_000:
-                yield from flush()
-        yield from flush()
+            if b.num_rows:
+                s = Stream(lowered(b.column(0)), alphabet)
+                c = context_ids(s.symbols, s.since, size, levels)[-1]
+                held.append((c * size + s.symbols)[c >= 0])
+            if sum(map(len, held)) >= FLUSH_TOKENS:
+                yield flush()
+        yield flush()
     return run
 
 
-def context_counts(words: DataFrame, depth: int, least_share: float) -> dict[bytes, np.ndarray]:
-    """Next-byte counts of the contexts whose share of all symbols is large enough."""
-    out: dict[bytes, np.ndarray] = {}
-    passed, total = None, 0
-    for depths in [list(range(FIRST_DEPTH + 1)), *([d] for d in range(FIRST_DEPTH + 1, depth + 1))]:
-        rows = words.mapInArrow(_count_contexts(depths, passed), "depth int, key long, n long")
-        rows = rows.groupBy("depth", "key").agg(F.sum("n").alias("n"))
-        if not total:
-            rows = cut(rows)
-            total = rows.where("depth = 0").agg(F.sum("n")).first()[0] or 0
-        context = F.shiftrightunsigned("key", 8).alias("context")
-        by = rows.select("depth", context, "key", "n")
-        enough = by.groupBy("depth", "context").agg(F.sum("n").alias("t")).where(F.col("t") >= total * least_share).drop("t")
-        got = by.join(enough, ["depth", "context"]).select("depth", "key", "n").toArrow()  # bounded by the share
-        key = got.column(1).to_numpy().view(U64)
-        for d, k, n in zip(got.column(0).to_pylist(), key.tolist(), got.column(2).to_pylist()):
-            u = (k >> 8).to_bytes(8, "big")[8 - d:]  # oldest byte first
-            out.setdefault(u, np.zeros(256))[k & 255] = n
-        deepest = np.array(got.column(0).to_pylist(), dtype=np.int64) == depths[-1]
-        passed = np.unique(key[deepest] >> U64(8))
-        if not len(passed):
-            break
-    return out
+@dataclass
+class Level:
+    """The contexts of one depth: sorted codes (none at depth 1), occurrences, own counts of next symbols."""
 
+    codes: np.ndarray
+    total: np.ndarray
+    keys: np.ndarray      # sorted: context number * alphabet size + next symbol
+    counts: np.ndarray
+    kept: np.ndarray      # bool by context
 
-# --- the tree ---------------------------------------------------------------------------------------
+    def weigh(self, size: int) -> None:
+        of = self.keys // size
+        kinds = np.bincount(of, minlength=len(self.total))
+        own = np.bincount(of, weights=self.counts, minlength=len(self.total))
+        self.kinds = kinds + (own < self.total)
+        self.back = self.kinds + self.total - own             # weight of the suffix's distribution
+        self.whole = np.maximum(self.total + self.kinds, 1)
 
-def _smoothed(counts: np.ndarray, towards: np.ndarray) -> np.ndarray:
-    kinds = max(1, np.count_nonzero(counts))
-    return (counts + kinds * towards) / (counts.sum() + kinds)
+    def chance(self, context: np.ndarray, symbol: np.ndarray, shorter: np.ndarray, size: int) -> np.ndarray:
+        """P(symbol | context) given that of the context without its oldest symbol."""
+        at = _find(self.keys, context * size + symbol)
+        n = np.where(at >= 0, self.counts[at] if len(self.counts) else 0, 0)
+        return np.where(self.whole[context] > 1, (n + self.back[context] * shorter) / self.whole[context], shorter)
 
 
 @dataclass
 class SuffixTree:
-    """An automaton: ``next`` state and ``log10`` probability by state and byte, from state ``start``."""
-
-    contexts: list[bytes]
-    next: np.ndarray
-    log10: np.ndarray
-    start: int
-
-    @classmethod
-    def grown(cls, counts: dict[bytes, np.ndarray], least_divergence: float = LEAST_DIVERGENCE) -> SuffixTree:
-        root = _smoothed(counts.get(b"", np.zeros(256)), np.full(256, 1 / 256))
-        kept = {b"", b" "}
-        full: dict[bytes, np.ndarray] = {b"": root}
-        for u in sorted(counts, key=len):
-            if u:
-                full[u] = _smoothed(counts[u], full[u[1:]])
-                p = counts[u] / counts[u].sum()
-                at = p > 0
-                if (p[at] * np.log(p[at] / full[u[1:]][at])).sum() >= least_divergence:
-                    kept.add(u)
-        todo = list(kept)
-        while todo:
-            u = todo.pop()
-            for v in (u[1:], u[:-1]):
-                if v not in kept:
-                    kept.add(v)
-                    todo.append(v)
-        contexts = sorted(kept, key=lambda u: (len(u), u))
-        number = {u: i for i, u in enumerate(contexts)}
-        dist: dict[bytes, np.ndarray] = {}
-        for u in contexts:  # a context that was not observed predicts as its suffix
-            dist[u] = root if not u else _smoothed(counts[u], dist[u[1:]]) if u in counts else dist[u[1:]]
-        following = np.zeros((len(contexts), 256), dtype=np.int32)
-        seen = sorted({u[-1] for u in contexts if u})
-        for i, u in enumerate(contexts):
-            for b in seen:
-                v = u + bytes([b])
-                while v not in number:
-                    v = v[1:]
-                following[i, b] = number[v]
-        log10 = np.log10(np.stack([dist[u] for u in contexts])).astype(np.float64)
-        return cls(contexts, following.ravel(), log10.ravel(), number[b" "])
-
-    def words(self, a: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """log10 probability of each word ``a[first:last]`` (with its end)."""
-        size = last - first
-        order = np.argsort(-size, kind="stable")
-        at, size = first[order], size[order]
-        state, score = np.full(len(at), self.start, dtype=np.int64), np.zeros(len(at))
-        active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")
-        for t, k in enumerate(active):  # words longer than t
-            cell = state[:k] * 256 + a[at[:k] + t]
-            score[:k] += self.log10[cell]
-            state[:k] = self.next[cell]
-        score += self.log10[state * 256 + BLANK]
-        out = np.empty(len(at))
-        out[order] = score
-        return out
-
-    def end(self) -> float:
-        a = np.frombuffer(END, dtype=np.uint8)
-        return float(self.words(a, np.array([0]), np.array([1]))[0])
-
+    alphabet: np.ndarray  # sorted word hashes; symbol = 1 + index, then the end token
+    root: np.ndarray      # by symbol
+    levels: list[Level]
+
+    def chances(self, s: Stream) -> np.ndarray:
+        """Probability of each symbol of the row in the state of the longest kept suffix before it."""
+        size = len(self.root)
+        p = self.root[s.symbols]
+        for level, c in zip(self.levels, context_ids(s.symbols, s.since, size, [x.codes for x in self.levels[1:]])):
+            on = np.flatnonzero(c >= 0)
+            on = on[level.kept[c[on]]]
+            p[on] = level.chance(c[on], s.symbols[on], p[on], size)
+        return p
+
+
+def _suffix(levels: list[Level], depth: int, context: np.ndarray, size: int) -> np.ndarray:
+    """Numbers, one depth less, of the contexts without their oldest symbol."""
+    code = levels[depth - 1].codes[context]
+    newest = code % size
+    if depth == 2:
+        return newest
+    return _find(levels[depth - 2].codes, _suffix(levels, depth - 1, code // size, size) * size + newest)
+
+
+def grow(texts: DataFrame, words: DataFrame, n: int) -> SuffixTree:
+    """The tree of the training texts with ``n`` tokens, whose distinct ones are in ``words``."""
+    is_end = F.col("word") == F.lit(END)
+    frequent = words.where((F.col("c") >= n * LEAST_SHARE) & ~is_end).toArrow()  # at most 1 / LEAST_SHARE rows
+    ends = words.where(is_end).collect()
+    hashes = words64(b" ".join(frequent.column(0).to_pylist()))[0]
+    order = np.argsort(hashes)
+    alphabet, size = hashes[order], len(order) + 2
+    c = np.zeros(size)
+    c[1:-1], c[-1] = frequent.column(1).to_numpy()[order], max(1, ends[0].c if ends else 0)
+    c[OTHER] = max(0, n - c.sum())
+    once = max(1, words.where("c = 1").count())
+    root = c.copy()
+    root[OTHER] += once
+    root /= root.sum()
+
+    levels: list[Level] = []
+    codes, total = np.empty(0, np.int64), c.astype(np.int64)
+    least = max(2, n * LEAST_ENTRY)
+    for depth in range(1, DEPTH + 1):
+        rows = texts.mapInArrow(_count_next(alphabet, [x.codes for x in levels[1:]] + ([codes] if depth > 1 else [])), "key long, n long")
+        got = rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()  # at most 1 / LEAST_ENTRY rows
+        keys, counts = got.column(0).to_numpy(), got.column(1).to_numpy()
+        order = np.argsort(keys)
+        level = Level(codes, total, keys[order], counts[order], np.zeros(len(total), dtype=bool))
+        level.weigh(size)
+        levels.append(level)
+        _test(levels, root, size, n)
+        # contexts of the next depth: a frequent enough context and next symbol, not beyond the end
+        deeper = (level.counts >= n * LEAST_SHARE) & (level.keys % size != size - 1)
+        codes, total = level.keys[deeper], level.counts[deeper]
+        if not len(codes):
+            break
+    _close(levels, size)
+    return SuffixTree(alphabet, root, levels)
+
+
+def _test(levels: list[Level], root: np.ndarray, size: int, n: int) -> None:
+    """Mark the contexts of the deepest level that diverge from their suffixes."""
+    depth, level = len(levels), levels[-1]
+    of, symbol = level.keys // size, level.keys % size
+    p = root[symbol]
+    chain = [of]
+    for d in range(depth, 1, -1):
+        chain.append(_suffix(levels, d, chain[-1], size))
+    for x, context in zip(levels[:-1], reversed(chain[1:])):
+        p = x.chance(context, symbol, p, size)
+    share = level.counts / level.total[of]
+    nats = np.bincount(of, weights=share * np.log(share / p), minlength=len(level.total))
+    mine, theirs = (np.bincount(of, weights=w, minlength=len(level.total)) for w in (share, p))
+    mine, theirs = np.maximum(1 - mine, 0), np.maximum(1 - theirs, 1e-12)  # all other symbols together
+    nats = nats + np.where(mine > 0, mine * np.log(np.maximum(mine, 1e-12) / theirs), 0)
+    level.kept[:] = ((level.total >= n * LEAST_SHARE) & (nats >= LEAST_DIVERGENCE)
+                     & (nats * level.total > level.kinds * np.log(np.maximum(level.total, 2))))
+
+
+def _close(levels: list[Level], size: int) -> None:
+    """With a kept context keep its suffixes and prefixes."""
+    for depth in range(len(levels), 1, -1):
+        context = np.flatnonzero(levels[depth - 1].kept)
+        levels[depth - 2].kept[_suffix(levels, depth, context, size)] = True
+        levels[depth - 2].kept[levels[depth - 1].codes[context] // size] = True
 
-# --- scoring ----------------------------------------------------------------------------------------
 
 @dataclass
 class Scorer:
-    """What the executors get: the tree and the frequent words' hashes (sorted) and counts."""
+    """What the executors get: the tree, and the frequent words' hashes (sorted) and counts."""
 
     tree: SuffixTree
     keys: np.ndarray
     counts: np.ndarray
     end_count: int
-    weight: int             # of the tree in a word's probability
-
-    def batch(self, texts: list[bytes]) -> Iterator[tuple[int, int, float, float, list[tuple[bytes, int, float]]]]:
-        """Per text: tokens, of them frequent, the sums of log10(c + ADD) and of log10(c + weight tree)
-        over those, and the other words with their counts in the text and the tree's log10."""
-        data = b"\n".join(texts)
-        h, first, last = words64(data)
-        a = np.frombuffer(data, dtype=np.uint8)
-        starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
-        doc = np.searchsorted(starts, first, side="right") - 1
-        u, index, of = np.unique(h, return_index=True, return_inverse=True)
-        tree = self.tree.words(a, first[index], last[index])
-        c = np.zeros(len(u), dtype=np.int64)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, u), len(self.keys) - 1)
-            hit = self.keys[at] == u
-            c[hit] = self.counts[at[hit]]
-        frequent = c > 0
-        some = np.maximum(c, 1)
-        log = np.where(frequent, np.log10(some + ADD), 0.0)
-        model = np.where(frequent, np.log10(some + self.weight * 10.0 ** tree), 0.0)
+    others: int           # tokens of training words outside the alphabet, and once more those seen once
+    scale: float          # log10 of what the counts of the word-frequency score are divided by
+
+    def batch(self, texts: list[bytes]) -> Iterator[tuple[int, int, float, float, list[tuple[bytes, int, bool]]]]:
+        """Per text: tokens, of them frequent, the word-frequency score of those, the tree's score
+        (less what the infrequent words' own counts add), and the infrequent words with their counts."""
+        s = Stream(texts, self.tree.alphabet)
         n = len(texts)
-        per = lambda w: np.bincount(doc, weights=w[of], minlength=n)
-        tokens, known = np.bincount(doc, minlength=n) + 1, per(frequent.astype(float)).astype(np.int64)
-        end = np.log10(self.end_count + self.weight * 10.0 ** self.tree.end())
-        base, score = per(log) + np.log10(self.end_count + ADD), per(model) + end
+        u, index, of = np.unique(s.hashes, return_index=True, return_inverse=True)
+        at = _find(self.keys, u)
+        frequent = at >= 0
+        c = np.where(frequent, self.counts[at] if len(self.counts) else 0, 0)
+        symbol = _find(self.tree.alphabet, u) + 1
+        base = np.where(frequent, np.log10(c + ADD) - self.scale, 0.0)
+        own = np.where(symbol == OTHER, np.where(frequent, np.log10(np.maximum(c, 1)), 0.0) - np.log10(self.others), 0.0)
+        per = lambda w: np.bincount(s.doc, weights=w[of], minlength=n)
+        tokens = np.bincount(s.doc, minlength=n) + 1
+        known = per(frequent.astype(float)).astype(np.int64) + (self.end_count > 0)
+        score = np.bincount(s.owner[1:], weights=np.log10(self.tree.chances(s)[1:]), minlength=n) + per(own)
         rare = np.flatnonzero(~frequent[of])
-        pair, times = np.unique(doc[rare] * np.int64(max(len(u), 1)) + of[rare], return_counts=True)
-        others: list[list] = [[] for _ in texts]
-        for d, k, t in zip((pair // max(len(u), 1)).tolist(), (pair % max(len(u), 1)).tolist(), times.tolist()):
-            i = index[k]
-            others[d].append((data[first[i]:last[i]], t, float(tree[k])))
-        known += self.end_count > 0
-        return zip(tokens.tolist(), known.tolist(), base.tolist(), score.tolist(), others)
+        width = np.int64(max(len(u), 1))
+        pair, times = np.unique(s.doc[rare] * width + of[rare], return_counts=True)
+        words: list[list] = [[] for _ in texts]
+        for d, k, t in zip((pair // width).tolist(), (pair % width).tolist(), times.tolist()):
+            words[d].append((s.data[s.first[index[k]]:s.last[index[k]]], t, bool(symbol[k] == OTHER)))
+        return zip(tokens.tolist(), known.tolist(), (per(base) + np.log10(self.end_count + ADD) - self.scale).tolist(), score.tolist(), words)
 
 
-def _head(words: DataFrame, size: int) -> tuple[DataFrame, F.Column]:
-    """The most frequent words, at most ``size``, and the condition of being among them."""
+def _head(words: DataFrame, size: int) -> F.Column:
+    """The condition of being among the most frequent words, which at most ``size`` words fulfil."""
     bins = words.groupBy(F.floor(F.log2("c") * 8).alias("bin")).agg(F.count("*").alias("n"), F.min("c").alias("c")).collect()
     least, total = 1 << 62, 0
     for r in sorted(bins, key=lambda r: -r.c):
@@ -264,7 +295,7 @@ def _head(words: DataFrame, size: int) -> tuple[DataFrame, F.Column]:
         if total > size:
             break
         least = r.c
-    return words.where(F.col("c") >= least), F.col("c") >= least
+    return F.col("c") >= least
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: F.Column | None = None) -> DataFrame:
@@ -272,26 +303,29 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The rows where ``fold`` (default: crc32 of the id as text, null as empty, modulo 10) is 0 are held
     out of training. ``base_score`` is the sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))) with
-    the training counts c, their sum N and the number of distinct tokens V; ``score`` is the model's
+    the training counts c, their sum N and the number of distinct tokens V; ``score`` is the tree's
     log10 probability of the tokens. A null text is empty: the end token alone. Without training rows
-    every count is 0 and the tree is uniform.
+    all words are the one unknown event.
     """
     spark = docs.sparkSession
     small_batches(spark)
     fold = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(10)) if fold is None else fold
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (fold == 0).alias("held_out"))
-    words = cut(word_counts(d.where(~F.col("held_out")).select("text")))
-    n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    tree = SuffixTree.grown(context_counts(words, DEPTH, LEAST_SHARE))
-    head, is_head = _head(words, HEAD_WORDS)
-    top = head.where(F.col("word") != F.lit(END)).toArrow()
-    names = top.column(0).to_pylist()
-    keys = words64(b" ".join(names))[0]
+    train = d.where(~F.col("held_out")).select("text")
+    words = cut(word_counts(train))
+    n, v, once = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count(F.when(F.col("c") == 1, 1))).first()
+    once = max(1, once)
+    tree = grow(train, words, n)
+    is_end, is_head = F.col("word") == F.lit(END), _head(words, HEAD_WORDS)
+    top = words.where(is_head & ~is_end).toArrow()
+    keys = words64(b" ".join(top.column(0).to_pylist()))[0]
     order = np.argsort(keys)
-    ends = words.where(F.col("word") == F.lit(END)).collect()
-    counts = top.column(1).to_numpy()
-    shared = spark.sparkContext.broadcast(Scorer(tree, keys[order], counts[order], ends[0].c if ends else 0, max(v, 1)))
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("tree", pa.float64())]))
+    ends = words.where(is_end).collect()
+    inside = words.where((F.col("c") >= n * LEAST_SHARE) | is_end).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    scale = float(np.log10(n + ADD * (v + 1)))
+    shared = spark.sparkContext.broadcast(Scorer(tree, keys[order], top.column(1).to_numpy()[order], ends[0].c if ends else 0,
+                                                 n - inside + once, scale))
+    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("other", pa.bool_())]))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = shared.value
@@ -299,19 +333,21 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rows = list(zip(*scorer.batch(lowered(texts)))) if len(texts) else [()] * 5
             yield pa.StructArray.from_arrays(
                 [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64()), pa.array(rows[3], pa.float64()),
-                 pa.array([[{"word": w, "n": k, "tree": t} for w, k, t in x] for x in rows[4]], rare_type)],
+                 pa.array([[{"word": w, "n": k, "other": o} for w, k, o in x] for x in rows[4]], rare_type)],
                 ["n_tokens", "n_known", "base", "score", "rare"])
 
-    udf = F.arrow_udf(run, "n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,n:long,tree:double>>")
+    udf = F.arrow_udf(run, "n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,n:long,other:boolean>>")
     scored = cut(d.select("id", "held_out", udf("text").alias("s"), F.monotonically_increasing_id().alias("row")))
-    rare = scored.select("row", F.explode("s.rare").alias("w")).select("row", "w.word", "w.n", "w.tree")
-    c, w = F.coalesce("c", F.lit(0)), F.lit(float(max(v, 1)))
+    rare = scored.select("row", F.explode("s.rare").alias("w")).select("row", "w.word", "w.n", "w.other")
+    c = F.coalesce("c", F.lit(0))
+    seen = F.when(c > 0, c).otherwise(F.lit(once))
     found = rare.join(words.where(~is_head), "word", "left").groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * F.log10(c + F.lit(ADD))).alias("more"),
-        F.sum(F.col("n") * F.when(c > 0, F.log10(c + w * F.pow(F.lit(10.0), F.col("tree")))).otherwise(F.log10(w) + F.col("tree"))).alias("more_score"))
+        F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * (F.log10(c + F.lit(ADD)) - scale)).alias("more"),
+        F.sum(F.when(F.col("other"), F.col("n") * F.log10(seen)).otherwise(0.0)).alias("more_score"))
     out = scored.select("id", "held_out", "s.n_tokens", "s.n_known", "s.base", "s.score", "row").join(found, "row", "left")
+    zero = F.lit(0.0)
     return out.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(n + ADD * (v + 1)))).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(n + max(v, 1)))).alias("score"))
+        (F.col("base") + F.coalesce("more", zero)).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", zero)).alias("score"))
