@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflow.llm.common import U64, _powers, cut, list_array, lowered, mix, signed, small_batches, words64
+from gridflow.llm.common import U64, _powers, cut, list_array, lowered, mix, signed, small, small_batches, words64
 
 MIN_WORDS = 5
 BROADCAST_PLACES = 4_000_000  # (document, line) places, 12 bytes each; more are joined by a shuffle
@@ -62,15 +62,16 @@ class Lines:
         n = (self.last - self.first).astype(U64)
         return mix(self.part(self.first, self.last) + n), mix(self.part(self.first, self.last, _B2, _I2) ^ n)
 
-    def halves(self) -> np.ndarray:
-        """Per line four keys: the first and last half for its length and for one word less."""
-        keys = []
-        for less in (0, 1):
-            n = self.last - self.first - less
-            half = n // 2
-            keys += [mix(self.part(self.first, self.first + half) + n.astype(U64) * _PREFIX_KEY),
-                     mix(self.part(self.last - (n - half), self.last) + n.astype(U64) * _SUFFIX_KEY)]
-        return np.stack(keys, axis=1) if len(self.number) else np.empty((0, 4), dtype=U64)
+    def halves(self) -> list[np.ndarray]:
+        """Three keys per line: its first and last half for its length and for one word less, of
+        which two coincide."""
+        n = self.last - self.first
+        h, odd = n // 2, n % 2 == 1
+        head, tail = self.part(self.first, self.first + h), self.part(self.last - h, self.last)
+        third = np.where(odd, self.part(self.last - h - odd, self.last), self.part(self.first, self.first + h - 1))
+        size = h.astype(U64)
+        return [mix(head + size * _PREFIX_KEY), mix(tail + size * _SUFFIX_KEY),
+                mix(third + np.where(odd, (size + U64(1)) * _SUFFIX_KEY, (size - U64(1)) * _PREFIX_KEY))]
 
 
 def variants(words: np.ndarray) -> np.ndarray:
@@ -90,13 +91,11 @@ def _lines(least: int):
             got = [Lines(x, least) for x in lowered(b.column(1))]
             n = [len(x.number) for x in got]
             cat = lambda v, t=U64: np.concatenate(v).astype(t) if v else np.empty(0, t)
-            whole = [x.whole() for x in got]
-            keys = cat([x.halves().ravel() for x in got])
+            columns = [(*x.whole(), *x.halves()) for x in got]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(np.repeat(np.arange(len(got)), n))), pa.array(cat([x.number for x in got], np.int32)),
-                 pa.array(signed(cat([w[0] for w in whole]))), pa.array(signed(cat([w[1] for w in whole]))),
-                 list_array(signed(keys), np.full(sum(n), 4))],
-                ["id", "line", "h1", "h2", "keys"])
+                 *[pa.array(signed(cat([c[i] for c in columns]))) for i in range(5)]],
+                ["id", "line", "h1", "h2", "k1", "k2", "k3"])
     return run
 
 
@@ -165,13 +164,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     small_batches(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     place = F.struct("id", "line")
-    lines = cut(d.mapInArrow(_lines(min_words), "id long, line int, h1 long, h2 long, keys array<long>"))
-    classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.max(place).alias("to"), F.first("keys").alias("keys"))
-    classes = cut(classes)
+    lines = cut(d.mapInArrow(_lines(min_words), "id long, line int, h1 long, h2 long, k1 long, k2 long, k3 long"))
+    classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.max(place).alias("to"))
+    classes = cut(classes.select("h1", "h2", "at", (F.col("at") < F.col("to")).alias("repeated")))
     # lines whose halves occur in no other distinct line have no neighbour
-    halves = classes.select("at", F.explode("keys").alias("key"))
-    shared = halves.groupBy("key").agg(F.min("at").alias("a0"), F.max("at").alias("a1")).where("a0 < a1").select("key")
-    able = cut(halves.join(shared, "key", "left_semi").select("at").distinct().select("at.id", "at.line"))
+    halves = lines.select("h1", "h2", F.explode(F.array("k1", "k2", "k3")).alias("key"))
+    shared = cut(halves.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a < b").select("key"))
+    able = halves.join(small(shared, BROADCAST_PLACES), "key", "left_semi").select("h1", "h2").distinct()
+    able = cut(classes.join(small(able, BROADCAST_PLACES), ["h1", "h2"], "left_semi").select("at.id", "at.line"))
     words = d.join(_by_doc(able), F.col("id") == F.col("p")).select("id", "text", "lines").mapInArrow(
         _words(min_words), "id long, line int, words array<long>").dropDuplicates(["id", "line"])
     words = cut(words)
@@ -187,7 +187,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near = (pairs.join(words.select(F.col("w").alias("at"), F.col("words").alias("x")), "at")
             .join(words.select(F.col("w").alias("keep"), F.col("words").alias("y")), "keep")
             .select("at.id", "at.line", "x", "y").mapInArrow(_verify, "id long, line int").select(place.alias("at"), F.lit(True).alias("near")))
-    goes = classes.join(near, "at", "left").where("near or at < to").select("h1", "h2", "at", "near")
+    goes = classes.join(near, "at", "left").where("near or repeated").select("h1", "h2", "at", "near")
     gone = lines.join(goes, ["h1", "h2"]).where(F.col("near") | (place != F.col("at")))
     return _by_doc(cut(gone.select("id", "line"))).withColumnRenamed("p", "id")
 
@@ -196,12 +196,13 @@ def without_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", t
                   out: str = "__lines") -> DataFrame:
     """All rows and columns of ``docs`` and ``out``: struct(text, n_lines, n_removed) less the lines."""
     lines = F.split(F.col(text_col), "\n")
+    n_lines = F.char_length(text_col) - F.char_length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1
     gone = F.coalesce(F.col("__gone"), F.array().cast("array<int>"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i))
     r = removed.select(F.col("id").alias("__id"), F.col("lines").alias("__gone"))
     text = F.when(F.size(gone) > 0, F.array_join(kept, "\n")).otherwise(F.col(text_col))
     return (docs.join(r, F.col(id_col) == F.col("__id"), "left")
-            .withColumn(out, F.struct(text.alias("text"), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+            .withColumn(out, F.struct(text.alias("text"), F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
                                       F.size(gone).cast("long").alias("n_removed"))).drop("__id", "__gone"))
 
 
