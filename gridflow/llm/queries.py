@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflow.llm import decontam, html, linededup, minhash, packing, secrets, suffixtree, toxicity
+from gridflow.llm import decontam, html, linededup, minhash, packing, quality, secrets, suffixtree, toxicity
 from gridflow.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixtree.score_texts(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_texts(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                               read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
