@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflow.llm import decontam, html, linededup, minhash, packing, quality, secrets, suffixtree, toxicity
+from gridflow.llm import decontam, html, linededup, minhash, packing, quality, secrets, suffixtree, toxicity, winnow
 from gridflow.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op7_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_texts(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
                                read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
+@query
+def op1_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited_fingerprints(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
