@@ -7,11 +7,16 @@ with equal shingle sets form one class with one representative, so copies never
 Candidates come from the bands as stars: everyone in a bucket against the bucket's least
 document, linear in the bucket. The packed signatures then estimate the similarity, corrected
 for chance agreement of two bits, by counting bits; what could reach the threshold is confirmed
-on the full shingle sets. In buckets that still hold several components, a document whose
-shingles occur nowhere else among the unresolved ones too often to reach the threshold with any
-partner is settled (exactly, from the full sets: heavily edited copies and documents that share
-just a common passage). The others are paired across components only; a bucket too large for that is divided by joining its key with the keys of each
-of the next bands (a similar pair agrees in a third of them), and treated alike. Nothing is capped.
+on the full shingle sets.
+
+Buckets that still hold several components are settled exactly from the full sets of their
+documents. A pair at the threshold whose least frequent common shingle is rare among them (in at
+most ``RARE`` documents) has it among the first fifth of both sets by rising frequency, and is found
+by joining those. Any other pair shares no rare shingle at all, which leaves too few to reach the
+threshold for heavily edited copies and for documents that have just a passage in common. What
+remains is paired across components within its bucket; a bucket too large for that is divided by
+joining its key with the keys of each of the next bands (a similar pair agrees in a third of them),
+and treated alike. Nothing is capped.
 
 A pair at the threshold agrees in no band with probability (1 - 0.8^5)^51 < 2e-9; even if all its
 buckets had to be divided it is missed with about 1e-8. The estimate, five deviations below the
@@ -25,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridflow.llm.common import U64, cut, grams64, list_array, lowered, mix, signed, small, small_batches, words64
@@ -37,6 +42,7 @@ LANES = 256             # minima per document
 BITS = 2                # low bits kept of each
 BAND_ROWS, BANDS = 5, 51
 PAIRED_BUCKET = 1024    # larger unresolved buckets are divided before they are paired
+RARE = 64               # shingles in at most so many unresolved documents are joined
 DIVIDING_BANDS = 6      # a bucket is divided by each of so many other bands
 CHUNK_PARTNERS = 256    # documents compared in one run with one copy of their counterpart
 BROADCAST_IDS = 1_000_000
@@ -172,17 +178,32 @@ def _shingles(k: int):
     return run
 
 
-def _sharable(rest: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(node, n, common): the size of each node's set and how many of its shingles any other node
-    has (of several texts of one id the least size and the most common ones)."""
+def _sets(rest: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(node, text, n, shingles): the full sets of the nodes; text tells several texts of one id apart."""
     ids = rest.select(F.col("node").alias("i")).distinct()
-    sets = cut(docs.join(small(ids, BROADCAST_IDS), F.col("id") == F.col("i"), "left_semi").select("id", "text").mapInArrow(
-        _shingles(k), "node long, text long, n long, shingles array<long>").distinct())
-    each = sets.select("node", "text", F.explode("shingles").alias("shingle"))
-    alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.min("text").alias("text"), F.count("*").alias("m")).where("m = 1")
-    alone = alone.groupBy("node", "text").agg(F.count("*").alias("alone"))
-    return sets.select("node", "text", "n").join(alone, ["node", "text"], "left").groupBy("node").agg(
-        F.min("n").alias("n"), F.max(F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
+    texts = docs.join(small(ids, BROADCAST_IDS), F.col("id") == F.col("i"), "left_semi").select("id", "text")
+    return texts.mapInArrow(_shingles(k), "node long, text long, n long, shingles array<long>").distinct()
+
+
+def _rare(sets: DataFrame) -> DataFrame:
+    """(node, text, n, shingle, m, rank) of the shingles that at most RARE sets hold: ranked by m, the
+    number of sets, then by the shingle."""
+    each = sets.select("node", "text", "n", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("m"))
+    by = Window.partitionBy("node", "text").orderBy("m", "shingle")
+    return each.join(often.where(F.col("m") <= RARE), "shingle").withColumn("rank", F.row_number().over(by))
+
+
+def _sharing_rare(rare: DataFrame, rest: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) across components that share a rare shingle of the first part of both sets: two
+    sets at the threshold have their least common shingle among the first n - ceil(n t) + 1."""
+    first = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
+    head = rare.where((F.col("m") > 1) & (F.col("rank") <= first)).join(rest.select("node", "component").distinct(), "node")
+    ends = [head.select("shingle", *[F.col(c).alias(c + x) for c in ("node", "component", "n")]) for x in "ab"]
+    return ends[0].join(ends[1], "shingle").where(
+        (F.col("nodea") < F.col("nodeb")) & (F.col("componenta") != F.col("componentb"))
+        & (100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select(
+        F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
 
 
 def _unresolved(rest: DataFrame) -> DataFrame:
@@ -192,13 +213,21 @@ def _unresolved(rest: DataFrame) -> DataFrame:
     return rest.join(state, "key")
 
 
-def _able(rest: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """Without the nodes that can reach the threshold with no partner of their key: two sets of x and
-    y elements must share threshold / (100 + threshold) of x + y."""
-    with_sizes = rest.join(_sharable(rest, docs, k), "node")
+def _able(rest: DataFrame, sets: DataFrame, rare: DataFrame, threshold: int) -> DataFrame:
+    """``rest`` with n, the size of the set, and common, how many of its shingles are not rare; without
+    the nodes that cannot reach the threshold with any partner of their key by those alone. (Of
+    several texts of one id the least size and the most common ones.)"""
+    rare = rare.groupBy("node", "text").agg(F.count("*").alias("rare"))
+    each = sets.select("node", "text", "n").join(rare, ["node", "text"], "left").groupBy("node").agg(
+        F.min("n").alias("n"), F.max(F.col("n") - F.coalesce("rare", F.lit(0))).alias("common"))
+    with_sizes = rest.join(each, "node")
     least = with_sizes.groupBy("key").agg(F.min("n").alias("least"))
-    return with_sizes.join(least, "key").where(
-        (100 + threshold) * F.col("common") >= threshold * (F.col("n") + F.col("least"))).drop("n", "common", "least", "size")
+    return with_sizes.join(least, "key").where(_reaches(F.col("common"), F.col("n"), F.col("least"), threshold)).drop("least", "size")
+
+
+def _reaches(common: Column, x: Column, y: Column, threshold: int) -> Column:
+    """Whether sets of x and y elements with so many in common reach the threshold."""
+    return (100 + threshold) * common >= threshold * (x + y)
 
 
 def _with_pivot(keyed: DataFrame) -> DataFrame:
@@ -231,14 +260,20 @@ def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFram
         rest = cut(_unresolved(_relabelled(keyed.where("node <> pivot.node").drop("pivot"), comp)))
         if rest.isEmpty():
             return found
-        rest = cut(_unresolved(_able(rest, docs, k, threshold)))
+        sets = cut(_sets(rest, docs, k))
+        rare = cut(_rare(sets))
+        found = cut(found.unionByName(confirmed(cut(_likely(_sharing_rare(rare, rest, threshold), sigs, threshold)), docs, k, threshold)))
+        rest = cut(_unresolved(_able(rest, sets, rare, threshold)))
+        if rest.isEmpty():
+            return found
         level += 1
         last = level * DIVIDING_BANDS >= BANDS  # keys of so many minima are as good as equal signatures
         pair = rest if last else rest.where(F.col("size") <= PAIRED_BUCKET)
         side = pair.join(sigs, "node")
-        ends = [side.select("key", *[F.col(c).alias(c + x) for c in ("node", "component", "sig")]) for x in "ab"]
+        ends = [side.select("key", *[F.col(c).alias(c + x) for c in ("node", "component", "sig", "n", "common")]) for x in "ab"]
         across = ends[0].join(ends[1], "key").where(
             (F.col("nodea") < F.col("nodeb")) & (F.col("componenta") != F.col("componentb"))
+            & _reaches(F.least("commona", "commonb"), F.col("na"), F.col("nb"), threshold)
             & (_agreement("siga", "sigb") >= _least_estimate(threshold)))
         across = cut(across.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
         if not across.isEmpty():

@@ -59,14 +59,36 @@ def _chains(seed):
     return rows
 
 
-@pytest.mark.parametrize("paired", [1024, 1])
-def test_chains_of_near_copies(spark, monkeypatch, paired):
+@pytest.mark.parametrize("paired,rare", [(1024, 64), (1, 64), (1, 2), (1024, 1)])
+def test_chains_of_near_copies(spark, monkeypatch, paired, rare):
     monkeypatch.setattr(minhash, "PAIRED_BUCKET", paired)
+    monkeypatch.setattr(minhash, "RARE", rare)
     rows = _chains(paired)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(minhash.near_duplicates(docs)) == brute(rows, 5)
 
 
+@pytest.mark.parametrize("paired,rare", [(1024, 64), (8, 3)])
+def test_edited_copies_of_one_text(spark, monkeypatch, paired, rare):
+    """Many edits of one text: some reach the threshold with some others, many with none."""
+    monkeypatch.setattr(minhash, "PAIRED_BUCKET", paired)
+    monkeypatch.setattr(minhash, "RARE", rare)
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(100)]
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rng.randrange(9)):
+            w[rng.randrange(100)] = f"n{rng.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, shared + " " + " ".join(f"u{i}_{j}" for j in range(40))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute(rows, 5)
+    assert 30 < len({c for _, _, c, _ in want}) < 170
+    assert got(minhash.near_duplicates(docs)) == want
+
+
 def test_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "ONE  two"), (6, "one two three"), (None, "one two"),
             (8, "x " * 30_000), (9, "x " * 30_001), (4, "one two")]
