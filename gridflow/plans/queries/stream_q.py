@@ -32,11 +32,13 @@ def _readings_stream(spark, sf):
 select off, node_id, window_no, node_type, district_id, energy_ckwms, total_energy_kwh,
        cost_num, cost, measurement_count, period_start, period_end from bills""")
 def billing_stream(spark, sf):
+    spark = S.stream_session(spark)
     return S.run_to_table(spark, St.billing_stream(_readings_stream(spark, sf)), "billing_stream", "append")
 
 
 @register("sliding_balance_stream", _sliding_sql(120_000, 30_000))
 def sliding_balance_stream(spark, sf):
+    spark = S.stream_session(spark)
     df = Wn.sliding_balance(_readings_stream(spark, sf), watermark="30 seconds")
     return S.run_to_table(spark, df, "sliding_balance_stream", "update", keys=["district_id", "window_start_ms"])
 
@@ -48,6 +50,7 @@ select district_id, sum(v100) / 100.0 as batch_balance_kw, count(*) as num_measu
        max(t) as max_event_ms, cast(0.0 as double) as charge_kwh
 from measurements group by district_id""")
 def charge_stream(spark, sf):
+    spark = S.stream_session(spark)
     df = St.charge_stream(_readings_stream(spark, sf))
     return S.run_to_table(spark, df, "charge_stream", "update", keys=["district_id"])
 
@@ -63,6 +66,7 @@ def _liveness_events_stream(spark, sf):
 @register("liveness_stream", with_views("topic_messages", "period_changes") + "," + TP + "," + LIVE + """
 select node_id, tick_ms, event, last_seen_ms, period_ms from live""")
 def liveness_stream(spark, sf):
+    spark = S.stream_session(spark)
     return S.run_to_table(spark, _liveness_events_stream(spark, sf), "liveness_stream", "append")
 
 
@@ -85,6 +89,7 @@ from reg left join par on par.node_id = reg.node_id left join per on per.node_id
 left join cr on cr.node_id = reg.node_id
 where par.node_id is not null or per.node_id is not null or cr.node_id is not null""")
 def twin_state_stream(spark, sf):
+    spark = S.stream_session(spark)
     # stage 1: the liveness check publishes crash / recovered events (a landed log)
     out = S.run_to_path(spark, _liveness_events_stream(spark, sf), "twin_liveness")
     # stage 2: the twin folds parent updates, period changes and the published liveness events
@@ -95,13 +100,9 @@ def twin_state_stream(spark, sf):
     periods = V.period_changes_of(msgs).select(
         "node_id", F.lit("period").alias("kind"), F.col("off").alias("ord"), F.col("period_ms").cast("string").alias("value"))
     events = parents.unionByName(periods)
-    try:
-        live_schema = spark.read.parquet(out).schema
-        live = spark.readStream.schema(live_schema).parquet(out).select(
-            "node_id", F.col("event").alias("kind"), F.col("tick_ms").alias("ord"), F.lit(None).cast("string").alias("value"))
-        events = events.unionByName(live)
-    except Exception:  # noqa: BLE001  (no liveness event was published)
-        pass
+    live = spark.readStream.schema(S.read_output(spark, out, St.LIVE_OUT).schema).parquet(out).select(
+        "node_id", F.col("event").alias("kind"), F.col("tick_ms").alias("ord"), F.lit(None).cast("string").alias("value"))
+    events = events.unionByName(live)
     df = St.twin_stream(events, _registry(spark, sf))
     return S.run_to_table(spark, df, "twin_state_stream", "update", keys=["node_id"])
 
@@ -111,25 +112,14 @@ def twin_state_stream(spark, sf):
 @register("district_charge_stream", DISTRICT_CHARGE_SQL.replace(
     "from c5", f"from c5 where (step + 1) * {STEP_MS} <= (select max(t) from measurements)"))
 def district_charge_stream(spark, sf):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    prev = spark.conf.get(key, None)
-    spark.conf.set(key, St.ROCKSDB_PROVIDER)      # fixed in the checkpoint at the first start
-    try:
-        df = St.district_charge_stream(_readings_stream(spark, sf), step_ms=STEP_MS)
-        out = S.run_to_path(spark, df, "district_charge_stream", "append")
-    finally:
-        if prev is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, prev)
-    try:
-        return spark.read.parquet(out).drop("batch_id")
-    except Exception:  # noqa: BLE001  (no step closed)
-        return spark.createDataFrame([], St.STEP_CHARGE_OUT)
+    spark = S.stream_session(spark, spark__sql__streaming__stateStore__providerClass=St.ROCKSDB_PROVIDER)
+    df = St.district_charge_stream(_readings_stream(spark, sf), step_ms=STEP_MS)
+    return S.run_to_table(spark, df, "district_charge_stream", "append")
 
 
 @register("node_commands_stream", NODE_COMMANDS_SQL)
 def node_commands_stream(spark, sf):
+    spark = S.stream_session(spark)
     # stage 1: commands stamped with user validity (keyed by user), landed as a log
     ev = Src.table_stream(spark, sf, "events")
     stamped = St.user_validity_stream(V.user_events_of(ev), V.node_commands_of(ev))

@@ -80,11 +80,13 @@ def checkpoint_dir(spark: SparkSession, sub: str | None = None) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster to shared storage).
-    Only when it is unset -- local tests -- a fresh scratch folder is created and
-    recorded in the session so later calls agree.
+    Only when it is unset in local mode -- tests -- a fresh scratch folder is created
+    and recorded in the session so later calls agree; elsewhere it must be set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="gridflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     try:  # classic sessions: also the folder for DataFrame.checkpoint(); absent under Spark Connect

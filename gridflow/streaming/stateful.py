@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,7 +156,7 @@ LIVE_OUT = T.StructType([
 LIVE_STATE = T.StructType([
     T.StructField("known", T.BooleanType()), T.StructField("last_seen", T.LongType()),
     T.StructField("period", T.LongType()), T.StructField("crashed", T.BooleanType()),
-    T.StructField("cursor", T.LongType()),
+    T.StructField("cursor", T.LongType()), T.StructField("pending", T.BinaryType()),
 ])
 
 
@@ -183,35 +184,41 @@ def _liveness_fn_factory(default_period: int, tick: int, mult: int):
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         node = key[0]
-        st = state.get if state.exists else (False, 0, 0, False, 0)
-        out = []
-        if state.hasTimedOut:
-            # the watermark passed the crash tick of the open segment: evaluate up to it
-            wm = state.getCurrentWatermarkMs()
-            st = run_ticks(st, wm + 1, node, out)
-        else:
-            pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "kind", "off"], kind="stable")
-            for t, kind, per in zip(pdf["t"], pdf["kind"], pdf["period_ms"]):
-                t = int(t)
-                if t > st[4]:
-                    st = run_ticks(st, t, node, out)
-                known, seen, p, crashed, cursor = st
-                if kind == 0:
-                    st = (True, t, p, crashed, max(cursor, t))
-                else:
-                    st = (known, seen, int(per) if per == per else 0, crashed, max(cursor, t))
+        *st, held = state.get if state.exists else (False, 0, 0, False, 0, b"")
+        st, out = tuple(st), []
+        # rows the watermark has not reached wait for earlier ones: (t, kind, off, period or -1)
+        rows = [np.frombuffer(held, dtype=np.int64).reshape(-1, 4)]
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                period = pdf["period_ms"].fillna(-1)
+                rows.append(np.stack([pdf[c].to_numpy(np.int64) for c in ("t", "kind", "off")] + [period.to_numpy(np.int64)], axis=1))
+        rows = np.concatenate(rows)
+        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+        wm = state.getCurrentWatermarkMs()
+        ready = int(np.searchsorted(rows[:, 0], wm, side="right"))
+        for t, kind, _off, per in rows[:ready].tolist():
+            if t > st[4]:
+                st = run_ticks(st, t, node, out)
+            known, seen, p, crashed, cursor = st
+            if kind == 0:
+                st = (True, max(seen, t) if known else t, p, crashed, max(cursor, t))
+            else:
+                st = (known, seen, max(per, 0), crashed, max(cursor, t))
+        st = run_ticks(st, wm, node, out) if wm > st[4] else st  # ticks before the watermark
+        rows = rows[ready:]
         known, seen, per, crashed, cursor = st
-        state.update(st)
+        state.update((*st, rows.tobytes()))
+        timers = [int(rows[0, 0])] if len(rows) else []
         if known:
-            # arm a timer at the next tick where the flag can change in the open segment
+            # the next tick where the flag can change in the open segment
             p = eff(per)
             t0 = -(-cursor // tick) * tick
-            if crashed:
-                nxt = t0 if t0 - seen <= mult * p else None     # recovers at the first tick, or never
-            else:
-                nxt = ((seen + p * mult) // tick + 1) * tick     # first bad tick
-            if nxt is not None:
-                state.setTimeoutTimestamp(max(nxt, state.getCurrentWatermarkMs() + 1))
+            if not crashed:
+                timers.append(((seen + p * mult) // tick + 1) * tick)   # first bad tick
+            elif t0 - seen <= mult * p:
+                timers.append(t0)                                       # recovers there, or never
+        if timers:
+            state.setTimeoutTimestamp(max(min(timers), wm + 1))
         yield pd.DataFrame(out, columns=[f.name for f in LIVE_OUT.fields])
     return fn
 
@@ -221,8 +228,10 @@ def liveness_stream(activity: DataFrame, period_changes: DataFrame, *, watermark
                     multiplier: int = C.HEARTBEAT_MULTIPLIER) -> DataFrame:
     """Crash / recovered events as a continuous query (append mode).
 
-    Data moves each node's clock to its latest input; an event-time timer at the
-    open segment's first bad tick raises the crash once the watermark passes it.
+    Rows wait in state until the watermark reaches them and are then taken in order of
+    event time, so a late row within the watermark changes nothing (the batch form
+    sees the same order). An event-time timer at the earliest waiting row or the open
+    segment's first bad tick goes on once the watermark passes it.
     A silent *stream* moves no watermark, so a heartbeat source (any input)
     is needed for crashes to surface. Timers fire once the watermark passes
     them: emitted ticks are those before the watermark (batch form: horizon).

@@ -237,3 +237,58 @@ def test_node_command_stream_equals_fold(spark):
     got = spark.read.parquet(os.path.join(s2, "out"))
     cols = ["off", "node_id", "user_id", "op", "accepted", "reason"]
     assert rows_of(got.select(*cols), cols) == sort_rows(fold_nodes([(o, t, u) for o, t, u in ue], cmds))
+
+
+def test_time_limit_raises_and_stops(spark):
+    base = scratch(spark, "limit")
+    for i in range(20):
+        land(os.path.join(base, "src"), i, sorted(random_readings(i, n=20)))
+    with pytest.raises(TimeoutError):
+        S.run_to_table(spark, St.billing_stream(stream_of(spark, os.path.join(base, "src"))), "limited", timeout_s=0.05)
+    assert not spark.streams.active
+
+
+def test_unreadable_output_raises(spark):
+    base = scratch(spark, "broken")
+    os.makedirs(os.path.join(base, "out", "batch_id=0"))
+    with open(os.path.join(base, "out", "batch_id=0", "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        S.read_output(spark, os.path.join(base, "out"), St.LIVE_OUT).count()
+    assert S.read_output(spark, os.path.join(base, "none"), St.LIVE_OUT).count() == 0
+
+
+def test_stream_run_leaves_the_session_alone(spark):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
+    from gridflow.plans.catalog import QUERIES
+    QUERIES["district_charge_stream"](spark, "/root/testdata/sf0.001").count()
+    assert before == {k: spark.conf.get(k, None) for k in before}
+
+
+@pytest.mark.parametrize("seed", [None, 1, 2, 3])
+def test_liveness_late_rows_equal_batch(spark, seed):
+    import random
+    if seed is None:
+        files = [[(0, "n", 100_000), (1, "n", 120_000)], [(2, "n", 101_000)], [(3, "n", 123_000)], [(4, "z", 500_000)], [(5, "z", 900_000)]]
+    else:
+        rng = random.Random(seed)
+        times = sorted(rng.randrange(100_000, 220_000) for _ in range(60))
+        order = sorted(times, key=lambda t: t + rng.randrange(0, 25_000))  # late by less than the watermark
+        rows = [(i, rng.choice("ab"), t) for i, t in enumerate(order)]
+        files = [rows[i:i + 12] for i in range(0, 60, 12)] + [[(60, "z", 500_000)], [(61, "z", 900_000)]]
+    schema = pa.schema([("off", pa.int64()), ("node_id", pa.string()), ("t", pa.int64())])
+    base = scratch(spark, "late")
+    src = os.path.join(base, "src")
+    for i, rows in enumerate(files):
+        land(src, i, rows, schema)
+    kw = {"default_period_ms": 4000, "tick_ms": 2000}
+    act = spark.readStream.schema("off long, node_id string, t long").option("maxFilesPerTrigger", 1).parquet(src)
+    none = spark.readStream.schema("off long, node_id string, t long").parquet(src).where("false").withColumn("period_ms", F.lit(1))
+    out = S.run_to_table(spark, St.liveness_stream(act, none, watermark="30 seconds", **kw), "late")
+    got = {(r.node_id, r.tick_ms, r.event) for r in out.collect() if r.node_id != "z"}
+    batch = spark.read.parquet(src)
+    want = {(r.node_id, r.tick_ms, r.event) for r in
+            W.liveness_events(batch, batch.where("false").withColumn("period_ms", F.lit(1)), **kw).collect() if r.node_id != "z"}
+    assert got == want
+    if seed is None:
+        assert {("n", 114_000, "crash"), ("n", 120_000, "recovered")} <= got
