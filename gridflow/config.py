@@ -46,6 +46,3 @@ CENTI_KW_MS_PER_KWH = 360_000_000  # 100 * 3_600_000
 # Keys with more rows than this are split into ordered sub-ranges so that no
 # single task holds a hot key's whole history.
 ROWS_PER_SPLIT = 2_000_000
-# Upper bound on the hot-key list that is broadcast (a proven size bound);
-# keys beyond it are still processed exactly, just unsplit.
-MAX_HOT_KEYS = 10_000

@@ -272,7 +272,7 @@ def node_commands(user_events: DataFrame, commands: DataFrame, **split) -> DataF
     """
     # the stamped commands are one-to-one with the raw ones (same node, same position):
     # find hot nodes on the raw commands, without recomputing the as-of scan
-    hot = find_hot_keys(commands, ["node_id"], "off", split.get("rows_per_split"), split.get("max_hot_keys"))
+    hot = find_hot_keys(commands, ["node_id"], "off", split.get("rows_per_split"))
     c = user_valid_asof(user_events, commands, **split)
     c = c.withColumn("valid_type", is_valid_node_type(F.col("node_type")))
     c = c.select("off", "node_id", "user_id", "op", "user_valid", "valid_type")

@@ -89,7 +89,7 @@ def parent_history(updates: DataFrame, depth: int = C.PARENT_HISTORY_DEPTH, **sp
         F.lit(True).alias("_seed"))
     u = updates.select("node_id", "off", "parent", F.lit(False).alias("_seed"))
     cur = seeds.unionByName(u)
-    hot = find_hot_keys(cur, ["node_id"], "off", split.get("rows_per_split"), split.get("max_hot_keys"))
+    hot = find_hot_keys(cur, ["node_id"], "off", split.get("rows_per_split"))
     prev = "parent"
     for k in range(1, depth + 1):
         cur = ordered_scan(cur, ["node_id"], "off", lags={prev: f"hist_{k}"}, hot=hot, **split)
@@ -181,7 +181,7 @@ def liveness_events(activity: DataFrame, period_changes: DataFrame, *,
         horizon_ms = rows.agg(F.max("t").alias("h")).first()["h"] or 0
     horizon = F.lit(int(horizon_ms))
     # candidates are at most two per input row and keyed the same way: one hot-key check serves both scans
-    hot = find_hot_keys(rows, ["node_id"], "t", split.get("rows_per_split"), split.get("max_hot_keys"))
+    hot = find_hot_keys(rows, ["node_id"], "t", split.get("rows_per_split"))
     s = ordered_scan(rows, ["node_id"], ["t", "kind", "off"], leads={"t": "_next_t"},
                      fills={"_seen": "last_seen", "_per": "_p"}, hot=hot, **split)
     period = F.coalesce(F.when(F.col("_p") != 0, F.col("_p")), F.lit(default_period_ms))

@@ -15,25 +15,25 @@ select event_id as off, concat('n', user_id) as node_id, concat('d', user_id % 8
        {MS} as t
 from events""",
     "account_commands": f"""
-select event_id as off, concat('u', user_id % 10) as user_id,
+select event_id as off, concat('u', user_id) as user_id,
        case event_type when 'signup' then 'register' when 'purchase' then 'update'
                        when 'error' then 'delete' else 'other' end as op,
-       concat('name', event_id) as name, concat('u', user_id % 10, '@', event_id % 97) as email, {MS} as t
-from events where event_id % 2 = 0""",
+       concat('name', event_id) as name, concat('u', user_id, '@', event_id % 97) as email, {MS} as t
+from events""",
     "user_events": """
 select off, case op when 'register' then 'UserRegistered' when 'update' then 'UserUpdated'
                     when 'delete' then 'UserDeleted' else 'UserOther' end as type,
        user_id, name, email, t as timestamp
 from account_commands""",
     "node_commands": f"""
-select event_id as off, concat('n', user_id % 30) as node_id,
-       concat('u', cast(floor(event_id / 2) as bigint) % 10) as user_id,
+select event_id as off, concat('n', user_id) as node_id,
+       concat('u', user_id + case when event_id % 3 = 0 then 1 else 0 end) as user_id,
        case event_type when 'signup' then 'create' when 'click' then 'create' when 'purchase' then 'update'
                        when 'error' then 'delete' else 'report' end as op,
        concat('d', event_id % 5) as district_id,
        case event_id % 7 when 0 then 'BAD' when 1 then 'PRODUCER' when 2 then 'CONSUMER' else 'ACCUMULATOR' end as node_type,
        value as capacity, {MS} as t
-from events where event_id % 2 = 1""",
+from events""",
     "node_events": """
 select off, case op when 'create' then 'NodeCreated' when 'update' then 'NodeUpdated'
                     when 'delete' then 'NodeDeleted' else 'NodeReported' end as type,
@@ -61,7 +61,7 @@ from events""",
 select cast(k as integer) as pos, cast(k as varchar) as node_id, concat('fd00::20', k) as ipv6
 from range(5) r(k)""",
     "ring_values": """
-select o_custkey as district, 0 as step, o_orderkey as rank, cast(round(o_totalprice * 100) as bigint) as v100
+select o_custkey as district, cast(o_orderkey % 4 as integer) as step, o_orderkey as rank, cast(round(o_totalprice * 100) as bigint) as v100
 from orders""",
     # period payload -> ms: plain decimal number (empty text is 0), else the periodMs field
     "period_messages": r"""

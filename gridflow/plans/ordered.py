@@ -3,18 +3,20 @@
 Many operators need a key's rows in arrival order (positions, the previous
 value, the last non-null value so far). A plain ``Window.partitionBy(key)``
 puts a key's whole history into one task; if one key holds a third of all rows
-that task never finishes. Here a key whose row count exceeds
-``rows_per_split`` is cut into ordered sub-ranges (``_split``) by its order
-column. Each sub-range is processed in its own task, and a small per-(key,
-split) summary -- counts, last values -- is prefix-scanned per key and joined
-back, which makes the results exact across split boundaries. On that path the
+that task never finishes. Here a key (null included) whose row count exceeds
+``rows_per_split`` is cut into ordered sub-ranges (``_split``) at quantiles of
+its order column, so a burst or an outlier does not make one of them large.
+Each sub-range is processed in its own task, and a small per-(key, split)
+summary -- counts, last values -- is prefix-scanned per key and joined back,
+which makes the results exact across split boundaries. On that path the
 windowed rows are checkpointed to the shared checkpoint folder once, cutting the
 lineage so neither branch recomputes the input.
 
-The hot-key list is computed with one aggregate over the key column and is
-bounded by ``max_hot_keys`` (a proven size bound, so it may be broadcast).
-Keys beyond that bound are still processed exactly, just unsplit. When no key
-is hot the plan is the plain window with a single exchange on the key.
+Every hot key has more than ``rows_per_split`` rows, so there are at most
+rows / rows_per_split of them, and about twice as many splits: that is the bound
+on what the driver holds and what is broadcast. When no key is hot the plan is
+the plain window with a single exchange on the key. (Rows of one key that all
+carry the same leading order value stay in one split.)
 """
 
 from __future__ import annotations
@@ -29,8 +31,12 @@ from gridflow.session import checkpoint_dir
 
 SPLIT = "_split"
 HOT = "_hot"
-# the per-split summary of hot keys is broadcast when its proven row bound is below this
-MAX_SUMMARY_BROADCAST = 5_000_000
+# the per-split summary of hot keys is broadcast when its rows, at most one per (hot key, split),
+# times ROW_WIDTH bytes a column stay below this
+BROADCAST_BYTES = 64 << 20
+ROW_WIDTH = 64   # bytes of a summary column, generously
+# rank error of the quantiles, relative to a split
+SPLIT_ERROR = 0.05
 
 
 def _order_cols(order) -> list[str]:
@@ -44,7 +50,7 @@ def _order_key(order):
 
 @dataclass
 class HotKeys:
-    """Keys found hot, with the low bound and width (in order units) of their splits.
+    """Keys found hot, each with the ascending order values at which its splits begin.
 
     Applying the same list to a later input keyed the same way (for example rows
     derived one-to-few from the scanned ones) avoids a second detection job;
@@ -57,51 +63,54 @@ class HotKeys:
     def any(self) -> bool:
         return bool(self.rows)
 
-    def max_splits(self, slack_per_key: int = 2) -> int:
-        """Upper bound on the number of (hot key, split) pairs: the splits spanning each
-        key's [lo, hi] range, plus ``slack_per_key`` for derived rows past ``hi``
-        (liveness candidates add at most two per key)."""
-        return sum((r[-2] - r[-3]) // r[-1] + 1 + slack_per_key for r in self.rows)
+    def splits(self) -> int:
+        """Upper bound on the number of (hot key, split) pairs."""
+        return sum(len(r[-1]) + 1 for r in self.rows)
 
     def apply(self, df: DataFrame, order) -> DataFrame:
         if not self.rows:
             return df.withColumn(SPLIT, F.lit(0).cast("long"))
-        from pyspark.sql.types import LongType, StructField, StructType
-        schema = StructType([StructField(k, df.schema[k].dataType, True) for k in self.keys]
-                            + [StructField("_lo", LongType()), StructField("_hi", LongType()),
-                               StructField("_w", LongType())])
+        from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+        schema = StructType([StructField(f"_k{i}", df.schema[k].dataType, True) for i, k in enumerate(self.keys)]
+                            + [StructField("_cuts", ArrayType(LongType()))])
         hot_df = df.sparkSession.createDataFrame(self.rows, schema)
         lead = F.col(_order_cols(order)[0])
-        return (df.join(F.broadcast(hot_df), self.keys, "left")
-                  .withColumn(SPLIT, F.coalesce(F.floor((lead - F.col("_lo")) / F.col("_w")), F.lit(0)).cast("long"))
-                  .withColumn(HOT, F.col("_lo").isNotNull())
-                  .drop("_lo", "_hi", "_w"))
-
-
-def find_hot_keys(df: DataFrame, keys: list[str], order,
-                  rows_per_split: int | None = None, max_hot_keys: int | None = None) -> HotKeys:
-    """One aggregate job over the key and order columns; only a bounded list (at
-    most ``max_hot_keys`` rows of key, low bound and split width) reaches the driver."""
+        same = F.lit(True)
+        for i, k in enumerate(self.keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        below = F.size(F.filter("_cuts", lambda c: c <= lead))
+        return (df.join(F.broadcast(hot_df), same, "left")
+                  .withColumn(SPLIT, F.when(F.col("_cuts").isNull() | lead.isNull(), 0).otherwise(below).cast("long"))
+                  .withColumn(HOT, F.col("_cuts").isNotNull())
+                  .drop("_cuts", *[f"_k{i}" for i in range(len(self.keys))]))
+
+
+def find_hot_keys(df: DataFrame, keys: list[str], order, rows_per_split: int | None = None) -> HotKeys:
+    """One aggregate job over the key column; only if it finds hot keys another one over their order
+    values. The driver gets one row per hot key."""
     conf = df.sparkSession.conf
     rows_per_split = rows_per_split or int(conf.get("gridflow.skew.rowsPerSplit", str(C.ROWS_PER_SPLIT)))
-    max_hot_keys = max_hot_keys or int(conf.get("gridflow.skew.maxHotKeys", str(C.MAX_HOT_KEYS)))
     lead = _order_cols(order)[0]   # splits cut on the leading (numeric) order column
-    stats = (df.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
-               .where(F.col("_n") > rows_per_split))
-    hot = stats.orderBy(F.desc("_n")).limit(max_hot_keys).collect()
-    # split width in order units, so that each split holds about rows_per_split rows
-    rows = [tuple(r[k] for k in keys) + (int(r["_lo"]), int(r["_hi"]),
-            max(1, int((int(r["_hi"]) - int(r["_lo"]) + 1) * rows_per_split // int(r["_n"]))))
-            for r in hot]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_split).collect()
+    rows = []
+    # keys whose numbers of splits agree to a factor of two share a list of fractions
+    sizes: dict[int, list[tuple]] = {}
+    for r in counts:
+        sizes.setdefault((-(-r["_n"] // rows_per_split) - 1).bit_length(), []).append(tuple(r[k] for k in keys) + ([],))
+    for exponent, group in sorted(sizes.items()):
+        n = 1 << exponent
+        some = HotKeys(list(keys), group).apply(df.select(*keys, lead), order).where(F.col(HOT))
+        cuts = F.percentile_approx(F.col(lead).cast("long"), [i / n for i in range(1, n)], max(100, int(n / SPLIT_ERROR)))
+        for r in some.groupBy(*keys).agg(cuts.alias("_cuts")).collect():
+            # a row with the cut value itself starts the next split
+            rows.append(tuple(r[k] for k in keys) + (sorted({c + 1 for c in r["_cuts"] or []}),))
     return HotKeys(list(keys), rows)
 
 
 def add_splits(df: DataFrame, keys: list[str], order,
-               rows_per_split: int | None = None, max_hot_keys: int | None = None,
-               hot: HotKeys | None = None) -> tuple[DataFrame, bool]:
+               rows_per_split: int | None = None, hot: HotKeys | None = None) -> tuple[DataFrame, bool]:
     """Add ``_split`` (0 for ordinary keys). Returns (df, any_hot)."""
-    hot = hot or find_hot_keys(df, keys, order, rows_per_split, max_hot_keys)
+    hot = hot or find_hot_keys(df, keys, order, rows_per_split)
     out = hot.apply(df, order)
     return (out if hot.any else out.withColumn(HOT, F.lit(False))), hot.any
 
@@ -118,7 +127,6 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
                  fills: dict[str, str] | None = None,
                  fills_before: dict[str, str] | None = None,
                  rows_per_split: int | None = None,
-                 max_hot_keys: int | None = None,
                  hot: HotKeys | None = None) -> DataFrame:
     """Per key, in ``order``: add a 1-based ``position`` column, previous values
     (``lags`` maps source column -> output name), next values (``leads``) and
@@ -132,8 +140,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     leads = leads or {}
     fills = fills or {}
     fills_before = fills_before or {}
-    hot = hot or find_hot_keys(df, keys, order, rows_per_split, max_hot_keys)
-    sdf, any_hot = add_splits(df, keys, order, rows_per_split, max_hot_keys, hot)
+    hot = hot or find_hot_keys(df, keys, order, rows_per_split)
+    sdf, any_hot = add_splits(df, keys, order, rows_per_split, hot)
     w = _win(keys, any_hot, order)
     out = sdf if any_hot else sdf.drop(SPLIT, HOT)
     if position or any_hot:
@@ -182,9 +190,14 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     for src in filled:
         cols.append(F.last(f"_lnn_{src}", ignorenulls=True).over(before).alias(f"_carry_fill_{src}"))
     summ = summ.select(*cols)
-    if hot.max_splits() <= MAX_SUMMARY_BROADCAST:   # proven bound: one row per hot (key, split)
+    if hot.splits() * ROW_WIDTH * len(summ.columns) <= BROADCAST_BYTES:   # one row per hot (key, split)
         summ = F.broadcast(summ)
-    out = out.join(summ, [*keys, SPLIT], "left")
+    names = [*keys, SPLIT]
+    summ = summ.withColumnsRenamed({c: f"_s{i}" for i, c in enumerate(names)})
+    same = F.lit(True)
+    for i, c in enumerate(names):
+        same = same & F.col(c).eqNullSafe(F.col(f"_s{i}"))
+    out = out.join(summ, same, "left").drop(*[f"_s{i}" for i in range(len(names))])
     if position:
         out = out.withColumn(position, (F.coalesce(F.col("_start"), F.lit(0)) + F.col("_lpos")).cast("long"))
     for src, dst in lags.items():

@@ -49,19 +49,18 @@ def measurements_of(e: DataFrame) -> DataFrame:
 
 
 def account_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Account commands (even event ids): off, user_id, op, name, email, t."""
+    """Account commands (one per event): off, user_id, op, name, email, t."""
     return account_commands_of(_events(spark, sf_dir))
 
 
 def account_commands_of(e: DataFrame) -> DataFrame:
-    e = e.where(F.col("event_id") % 2 == 0)
     return e.select(
         F.col("event_id").alias("off"),
-        F.concat(F.lit("u"), F.col("user_id") % 10).alias("user_id"),
+        F.concat(F.lit("u"), F.col("user_id")).alias("user_id"),
         _case(F.col("event_type"), {"signup": "register", "purchase": "update", "error": "delete"},
               "other").alias("op"),
         F.concat(F.lit("name"), F.col("event_id")).alias("name"),
-        F.concat(F.lit("u"), F.col("user_id") % 10, F.lit("@"), F.col("event_id") % 97).alias("email"),
+        F.concat(F.lit("u"), F.col("user_id"), F.lit("@"), F.col("event_id") % 97).alias("email"),
         epoch_ms(F.col("ts")).alias("t"),
     )
 
@@ -82,17 +81,16 @@ def user_events_of(e: DataFrame) -> DataFrame:
 
 
 def node_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Node commands (odd event ids): off, node_id, user_id, op, district_id, node_type, capacity, t."""
+    """Node commands (one per event, every third by another user than the node's): off, node_id, user_id, op, district_id, node_type, capacity, t."""
     return node_commands_of(_events(spark, sf_dir))
 
 
 def node_commands_of(e: DataFrame) -> DataFrame:
-    e = e.where(F.col("event_id") % 2 == 1)
     ek7 = F.col("event_id") % 7
     return e.select(
         F.col("event_id").alias("off"),
-        F.concat(F.lit("n"), F.col("user_id") % 30).alias("node_id"),
-        F.concat(F.lit("u"), F.floor(F.col("event_id") / 2).cast("long") % 10).alias("user_id"),
+        F.concat(F.lit("n"), F.col("user_id")).alias("node_id"),
+        F.concat(F.lit("u"), F.col("user_id") + F.when(F.col("event_id") % 3 == 0, 1).otherwise(0)).alias("user_id"),
         _case(F.col("event_type"), {"signup": "create", "click": "create", "purchase": "update",
                                     "error": "delete"}, "report").alias("op"),
         F.concat(F.lit("d"), F.col("event_id") % 5).alias("district_id"),
@@ -167,10 +165,10 @@ def twin_nodes(spark: SparkSession) -> DataFrame:
 
 
 def ring_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Simulated ring members: district = customer, rank = order key, one step."""
+    """Simulated ring members: district = customer, rank = order key, a step per quarter of the keys."""
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     return o.select(
-        F.col("o_custkey").alias("district"), F.lit(0).alias("step"),
+        F.col("o_custkey").alias("district"), (F.col("o_orderkey") % 4).cast("int").alias("step"),
         F.col("o_orderkey").alias("rank"),
         F.round(F.col("o_totalprice") * 100).cast("long").alias("v100"),
     )
