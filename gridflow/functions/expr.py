@@ -92,7 +92,8 @@ def js_number(text: Column) -> Column:
 
     Hex / binary literals are not supported (documented divergence).
     """
-    t = F.trim(text)
+    # all white space counts as blanks, not the space alone
+    t = F.regexp_replace(text, r"^[\s\p{Z}\x{FEFF}]+|[\s\p{Z}\x{FEFF}]+$", "")
     return (F.when(t == "", F.lit(0.0))
              .when(t.rlike(DECIMAL_NUMBER_PATTERN), t.try_cast("double")))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,20 +37,38 @@ def parse_measurement(records: DataFrame, value_col: str = "value") -> DataFrame
         "off", F.col("d.nodeId").alias("node_id"), F.col("d.nodeType").alias("node_type"),
         F.col("d.districtId").alias("district_id"), F.col("d.value").alias("value"),
         F.col("d.timestamp").alias("timestamp"),
-        F.timestamp_millis(F.col("d.timestamp")).alias("event_time"))
+        F.timestamp_millis(F.when(_in_range(F.col("d.timestamp")), F.col("d.timestamp"))).alias("event_time"))
+
+
+MAX_PERIOD_MS = 1.0e18
+# readings within these bounds have exact integer hundredths and a valid timestamp
+MAX_ABS_VALUE = 9.0e13
+MAX_ABS_TIMESTAMP = 9_000_000_000_000_000
+
+
+def _in_range(timestamp: Column) -> Column:
+    return timestamp.between(-MAX_ABS_TIMESTAMP, MAX_ABS_TIMESTAMP)
+
+
+def _well_formed() -> Column:
+    """District, a finite value and a timestamp, both in range (a comparison with NaN is false here)."""
+    value = F.col("value")
+    return F.coalesce(F.col("district_id").isNotNull() & ~F.isnan(value) & (F.abs(value) <= MAX_ABS_VALUE)
+                      & _in_range(F.col("timestamp")), F.lit(False))
 
 
 def typed_projection(parsed: DataFrame) -> DataFrame:
-    """Keep the five typed fields (plus off and v100), dropping malformed rows."""
-    ok = F.col("district_id").isNotNull() & F.col("value").isNotNull() & F.col("timestamp").isNotNull()
-    return parsed.where(ok).select(
+    """Keep the five typed fields (plus off and v100, the value in hundredths), dropping malformed
+    rows: no district, no finite value within MAX_ABS_VALUE, no timestamp in range."""
+    # a filter does not keep the cast from running on other rows, so the cast itself must not fail
+    return parsed.where(_well_formed()).select(
         "off", "node_id", "node_type", "district_id", "value", "timestamp",
-        F.round(F.col("value") * 100).cast("long").alias("v100"), F.col("timestamp").alias("t"))
+        F.round(F.col("value") * 100).try_cast("long").alias("v100"), F.col("timestamp").alias("t"))
 
 
 def parse_rejects(parsed: DataFrame) -> DataFrame:
-    ok = F.col("district_id").isNotNull() & F.col("value").isNotNull() & F.col("timestamp").isNotNull()
-    return parsed.where(~ok)
+    """The rows that ``typed_projection`` drops."""
+    return parsed.where(~_well_formed())
 
 
 def keyed_log(df: DataFrame, key_col: str, fields: dict[str, str], topic: str) -> DataFrame:
@@ -105,7 +123,7 @@ def period_normalize(period_messages: DataFrame, addresses: DataFrame) -> DataFr
     """Period messages -> device commands 'PERIOD:<s>'.
 
     A node without an address is rejected first; then the payload (a number or
-    {"periodMs": n}) must be finite and > 0. Periods under 500 ms round to
+    {"periodMs": n}) must be finite, > 0 and below MAX_PERIOD_MS (its seconds are sent as plain digits). Periods under 500 ms round to
     PERIOD:0, which devices ignore (``ineffective``).
     """
     # the first entry per node id decides; an entry without an address (null or empty) rejects
@@ -116,7 +134,7 @@ def period_normalize(period_messages: DataFrame, addresses: DataFrame) -> DataFr
     j = j.withColumn("_p", period_ms_of_payload(F.col("payload")))
     p = F.col("_p")
     j = j.withColumn("status", F.when(F.col("_has_addr").isNull(), F.lit("no address"))
-                                .when(p.isNull() | (p <= 0), F.lit("invalid payload"))
+                                .when(p.isNull() | (p <= 0) | (p >= MAX_PERIOD_MS), F.lit("invalid payload"))
                                 .otherwise(F.lit("sent")))
     sent = F.col("status") == "sent"
     sec = period_seconds(p)

@@ -74,8 +74,18 @@ def account_commands(commands: DataFrame, **split) -> DataFrame:
     event = (F.when(accepted & (op == "register"), F.lit("UserRegistered"))
               .when(accepted & (op == "update"), F.lit("UserUpdated"))
               .when(accepted & (op == "delete"), F.lit("UserDeleted")))
+    fields = [c for c in ("name", "email", "t") if c in commands.columns]
     return s.select("off", "user_id", "op", accepted.alias("accepted"), reason.alias("reason"),
-                    event.alias("event_type"))
+                    event.alias("event_type"), *fields)
+
+
+def accepted_user_events(validated: DataFrame) -> DataFrame:
+    """The events that accepted account commands publish, in the user-events log's shape; a delete
+    carries the user only."""
+    gone = F.col("event_type") == "UserDeleted"
+    return validated.where("accepted").select(
+        "off", F.col("event_type").alias("type"), "user_id", F.when(~gone, F.col("name")).alias("name"),
+        F.when(~gone, F.col("email")).alias("email"), F.col("t").alias("timestamp"))
 
 
 def _asof(registry: DataFrame, rows: DataFrame, key: str, state: F.Column, state_name: str,

@@ -9,4 +9,4 @@ names agree on both sides.
 from __future__ import annotations
 
 from gridflow.plans.named import ORACLE, QUERIES, register  # noqa: F401
-from gridflow.plans.queries import billing_q, registry_q, charge_q, twin_q, topology_q, stream_q  # noqa: F401,E402
+from gridflow.plans.queries import billing_q, registry_q, charge_q, twin_q, topology_q, stream_q, log_q  # noqa: F401,E402

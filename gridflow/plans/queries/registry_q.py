@@ -92,19 +92,23 @@ def node_type_check(spark, sf):
     return R.node_type_check(V.node_commands(spark, sf))
 
 
-@register("account_commands", with_views("account_commands") + """,
+ACCOUNT_SQL = with_views("account_commands") + """,
 ac as (select *, coalesce(last_value(case op when 'register' then true when 'delete' then false end ignore nulls)
                  over (partition by user_id order by off rows between unbounded preceding and 1 preceding), false) as ex
-       from account_commands)
-select off, user_id, op,
+       from account_commands),
+checked as (select off, user_id, op,
        case when op = 'register' then not ex when op in ('update', 'delete') then ex else false end as accepted,
        case when op not in ('register', 'update', 'delete') then 'unknown command'
             when op = 'register' and ex then 'user already exists'
             when op in ('update', 'delete') and not ex then 'user does not exist' end as reason,
        case when op = 'register' and not ex then 'UserRegistered'
             when op = 'update' and ex then 'UserUpdated'
-            when op = 'delete' and ex then 'UserDeleted' end as event_type
-from ac""")
+            when op = 'delete' and ex then 'UserDeleted' end as event_type, name, email, t
+from ac)"""
+
+
+@register("account_commands", ACCOUNT_SQL + """
+select * from checked""")
 def account_commands(spark, sf):
     return R.account_commands(V.account_commands(spark, sf))
 

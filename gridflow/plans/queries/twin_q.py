@@ -84,32 +84,6 @@ def _parent_updates(tp):
 
 # ---- logs and parsing ------------------------------------------------------------
 
-@register("keyed_log_sink", with_views("user_events") + """
-select 'user-events' as topic, off, user_id as key,
-       concat('{"type":"', type, '","userId":"', user_id, '"',
-              case when name is not null then concat(',"name":"', name, '"') else '' end,
-              case when email is not null then concat(',"email":"', email, '"') else '' end,
-              ',"timestamp":', timestamp, '}') as value
-from user_events""")
-def keyed_log_sink(spark, sf):
-    ue = V.user_events(spark, sf)
-    return P.keyed_log(ue, "user_id", {"type": "type", "userId": "user_id", "name": "name",
-                                       "email": "email", "timestamp": "timestamp"}, "user-events")
-
-
-@register("log_replay", with_views("user_events") + """
-select off, type, user_id, name, email, timestamp from user_events""")
-def log_replay(spark, sf):
-    ue = V.user_events(spark, sf)
-    log = P.keyed_log(ue, "user_id", {"type": "type", "userId": "user_id", "name": "name",
-                                      "email": "email", "timestamp": "timestamp"}, "user-events")
-    schema = "type string, userId string, name string, email string, timestamp long"
-    d = F.from_json(F.col("value"), schema)
-    return log.select("off", d.alias("d")).select(
-        "off", F.col("d.type").alias("type"), F.col("d.userId").alias("user_id"), F.col("d.name").alias("name"),
-        F.col("d.email").alias("email"), F.col("d.timestamp").alias("timestamp"))
-
-
 @register("parse_measurement", with_views("measurements") + """
 select off, node_id, node_type, district_id, v100 / 100.0 as value, t as timestamp from measurements""")
 def parse_measurement(spark, sf):

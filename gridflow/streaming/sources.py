@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,23 +68,34 @@ def measurement_stream(records: DataFrame) -> DataFrame:
     return typed_projection(parse_measurement(records))
 
 
-def replay_log(spark: SparkSession, path: str) -> DataFrame:
-    """Bounded replay of a landed log: every record from the first offset to the
-    end as of now (a batch read; order by ``off`` where order matters)."""
-    return spark.read.schema(LOG_SCHEMA).json(path)
+def replay_log(spark: SparkSession, path: str, ends: DataFrame | None = None) -> DataFrame:
+    """Bounded replay of a landed log, a batch read (order by ``off`` where order matters): every
+    record, or, given ``ends`` (topic, end), those of these topics up to the recorded offsets."""
+    log = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").json(path)
+    if ends is None:
+        return log
+    return log.join(ends, "topic").where(F.col("off") <= F.col("end")).select(*LOG_SCHEMA.names)
 
 
 def serial_line_source(spark: SparkSession, root: str, stream: bool = False) -> DataFrame:
-    """Device console logs landed one folder per node (``root/<node_id>/*.log``):
-    one row per line, the node id from the folder name, ``off`` the position in
-    the file order."""
-    pattern = os.path.join(root, "*", "*")
+    """Device console logs landed one folder per node (``root/<node_id>/*``): one row per line, the
+    node id from the folder name. In a batch ``off`` is the line's place among its node's: by file
+    name, block of the file, and line within the block. A stream reads whole files in the order in
+    which they land and has no such place: ``off`` is null."""
+    pattern = f"{root}/*/*"
     df = spark.readStream.text(pattern) if stream else spark.read.text(pattern)
-    node = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    out = df.select(node.alias("node_id"), F.col("value").alias("line"))
+    path = F.col("_metadata.file_path")
+    out = df.select(F.element_at(F.split(path, "/"), -2).alias("node_id"), F.col("value").alias("line"), path.alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"), *([] if stream else [F.monotonically_increasing_id().alias("row")]))
     if stream:
-        return out
-    return out.withColumn("off", F.monotonically_increasing_id())
+        return out.select("node_id", "line", F.lit(None).cast("long").alias("off"))
+    place = Window.partitionBy("node_id").orderBy("file", "block", "row")
+    return out.select("node_id", "line", F.row_number().over(place).cast("long").alias("off"))
+
+
+def node_list(spark: SparkSession, path: str) -> DataFrame:
+    """Device list with one JSON object (pos, nodeId, ipv6) a line, for lists beyond one document."""
+    return spark.read.schema("pos int, nodeId string, ipv6 string").json(path).select("pos", F.col("nodeId").alias("node_id"), "ipv6")
 
 
 def node_dimension(spark: SparkSession, path: str) -> DataFrame:

@@ -105,3 +105,24 @@ def test_period_payload_expression(spark):
     df = spark.createDataFrame([("1e400",), ("NaN",), ("12",)], "p string")
     got = [r["v"] for r in df.select(period_ms_of_payload(F.col("p")).alias("v")).collect()]
     assert got == [None, None, 12.0]
+
+
+def test_bad_readings_are_rejected_and_never_fail(spark):
+    from gridflow.operators import parse as P
+    body = '{"nodeId":"n","nodeType":"PRODUCER","districtId":"d","value":%s,"timestamp":%s}'
+    cases = [("1.5", "1000"), ("NaN", "1000"), ('"Infinity"', "1000"), ("1e300", "1000"), ("-1e300", "1000"), ("2", "9223372036854775807"),
+             ("0.5", "-5"), ("null", "1000"), ("2", "null")]
+    rec = spark.createDataFrame([(i, body % c) for i, c in enumerate(cases)], "off long, value string")
+    parsed = P.parse_measurement(rec)
+    kept = {r.off: r.v100 for r in P.typed_projection(parsed).collect()}
+    assert kept == {0: 150, 6: 50}
+    assert {r.off for r in P.parse_rejects(parsed).collect()} == set(range(9)) - set(kept)
+
+
+def test_period_white_space_and_range(spark):
+    from gridflow.operators import parse as P
+    msgs = spark.createDataFrame([(0, "n", "\t8000\n"), (1, "n", "1e30"), (2, "n", " 500﻿"), (3, "n", "\t")],
+                                 "off long, node_id string, payload string")
+    addr = spark.createDataFrame([(0, "n", "fd00::1")], "pos int, node_id string, ipv6 string")
+    got = {r.off: (r.status, r.command) for r in P.period_normalize(msgs, addr).collect()}
+    assert got == {0: ("sent", "PERIOD:8"), 1: ("invalid payload", None), 2: ("sent", "PERIOD:1"), 3: ("invalid payload", None)}

@@ -11,7 +11,7 @@ QUERIES = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
 
 # Python appears only in the keyed folds that need it.
 PYTHON_ALLOWED = {"node_commands", "billing_stream", "charge_stream", "liveness_stream", "twin_state_stream",
-                  "district_charge_stream", "node_commands_stream"}
+                  "district_charge_stream", "node_commands_stream", "resume_point"}
 
 
 def plan_of(df):
