@@ -19,6 +19,7 @@ U64 = np.uint64
 ARROW_ROWS = 512
 # bytes hashed at once; longer texts are hashed piece by piece, cut at blanks
 CHUNK = 1 << 20
+PARTITION_ROWS = 500_000  # of small (narrow) rows in a partition
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BLANK = np.zeros(256, dtype=bool)
@@ -38,6 +39,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def partitions_for(rows: int) -> int:
+    return max(1, -(-rows // PARTITION_ROWS))
+
+
+def compact(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut`` with the row count, in as few partitions as so many rows need: the jobs that follow on
+    a small table then have few tasks and shuffle files."""
+    df = cut(df)
+    n = df.count()
+    return df.coalesce(partitions_for(n)), n
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast ``df`` if it has at most ``rows`` rows (of fixed width); otherwise leave the join
     strategy to the planner, which shuffles both sides."""

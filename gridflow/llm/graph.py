@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflow.llm.common import cut
+from gridflow.llm.common import compact, cut, partitions_for
 
 
 def _towards_min(rows: DataFrame) -> DataFrame:
@@ -25,17 +25,17 @@ def components(links: DataFrame) -> DataFrame:
 
     Direction, order, repeats and self links do not matter; rows with a null end are no links.
     """
-    e = cut(links.where("a <> b").select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).distinct())
-    seen = None
-    while True:
+    e, n = compact(links.where("a <> b").select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).distinct())
+    parts, seen = partitions_for(n), None  # the links only get fewer
+    while n:
         mark = e.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if mark == seen or mark[0] == 0:
+        if mark == seen:
             break
         seen = mark
         both = e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y")))
         large = _towards_min(both).where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
         star = _towards_min(large)
         e = cut(star.select("x", F.col("m").alias("y"))
-                .unionByName(star.where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))).distinct())
+                .unionByName(star.where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))).distinct().coalesce(parts))
     return e.select(F.col("x").alias("node"), F.col("y").alias("component")).unionByName(
         e.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct())

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridflow.llm.common import U64, cut, grams64, list_array, lowered, mix, signed, small, small_batches, words64
+from gridflow.llm.common import U64, compact, cut, grams64, list_array, lowered, mix, signed, small, small_batches, words64
 from gridflow.llm.graph import components
 
 SHINGLE_WORDS = 5
@@ -146,17 +146,20 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> Data
     """The pairs (a, b) whose full shingle sets reach the threshold. ``docs`` (id, text).
 
     The partners of one b are cut into runs of bounded size; b's text goes once to each run and
-    the rows stream past it in sorted order, so no group is held in memory.
+    the rows stream past it in sorted order, so no group is held in memory. The result is cut.
     """
+    pairs, n = compact(pairs)
+    if not n:
+        return pairs
     runs = pairs.groupBy("b").agg(F.ceil(F.count("*") / CHUNK_PARTNERS).alias("runs"))
-    dealt = pairs.join(runs, "b").withColumn("run", F.pmod(F.xxhash64("a"), F.col("runs")))
+    dealt = compact(pairs.join(runs, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("runs")).alias("run")))[0]
     ids = dealt.select(F.col("a").alias("i")).unionByName(dealt.select(F.col("b").alias("i"))).distinct()
     texts = docs.join(small(ids, BROADCAST_IDS), F.col("id") == F.col("i"), "left_semi")
     parts = dealt.join(texts, F.col("a") == F.col("id")).select("b", "run", F.lit(1).alias("flag"), "a", "text")
     heads = dealt.select("b", "run").distinct().join(texts, F.col("b") == F.col("id")).select(
         "b", "run", F.lit(0).alias("flag"), F.lit(None).cast("long").alias("a"), "text")
-    return (heads.unionByName(parts).repartition("b", "run").sortWithinPartitions("b", "run", "flag")
-            .mapInArrow(_verify(k, threshold), "a long, b long").distinct())
+    return compact(heads.unionByName(parts).repartition("b", "run").sortWithinPartitions("b", "run", "flag")
+                   .mapInArrow(_verify(k, threshold), "a long, b long"))[0]
 
 
 def _likely(pairs: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
@@ -253,18 +256,18 @@ def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFram
     while True:
         stars = keyed.where("component <> pivot.component").select(
             F.col("node").alias("a"), F.col("pivot.node").alias("b")).distinct()
-        new = cut(confirmed(cut(_likely(stars, sigs, threshold)), docs, k, threshold))
-        found = new if found is None else cut(found.unionByName(new))
+        new = confirmed(_likely(stars, sigs, threshold), docs, k, threshold)
+        found = new if found is None else found.unionByName(new)
         comp = components(found)
         # pairs with the pivot are done; what is left are the others of keys with several components
-        rest = cut(_unresolved(_relabelled(keyed.where("node <> pivot.node").drop("pivot"), comp)))
-        if rest.isEmpty():
+        rest, n = compact(_unresolved(_relabelled(keyed.where("node <> pivot.node").drop("pivot"), comp)))
+        if not n:
             return found
         sets = cut(_sets(rest, docs, k))
         rare = cut(_rare(sets))
-        found = cut(found.unionByName(confirmed(cut(_likely(_sharing_rare(rare, rest, threshold), sigs, threshold)), docs, k, threshold)))
-        rest = cut(_unresolved(_able(rest, sets, rare, threshold)))
-        if rest.isEmpty():
+        found = found.unionByName(confirmed(_likely(_sharing_rare(rare, rest, threshold), sigs, threshold), docs, k, threshold))
+        rest, n = compact(_unresolved(_able(rest, sets, rare, threshold)))
+        if not n:
             return found
         level += 1
         last = level * DIVIDING_BANDS >= BANDS  # keys of so many minima are as good as equal signatures
@@ -275,9 +278,8 @@ def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFram
             (F.col("nodea") < F.col("nodeb")) & (F.col("componenta") != F.col("componentb"))
             & _reaches(F.least("commona", "commonb"), F.col("na"), F.col("nb"), threshold)
             & (_agreement("siga", "sigb") >= _least_estimate(threshold)))
-        across = cut(across.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
-        if not across.isEmpty():
-            found = cut(found.unionByName(confirmed(across, docs, k, threshold)))
+        across = across.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
+        found = found.unionByName(confirmed(across, docs, k, threshold))
         big = rest.where(F.col("size") > PAIRED_BUCKET)
         if last or big.isEmpty():
             return found
