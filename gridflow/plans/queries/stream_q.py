@@ -43,16 +43,32 @@ def sliding_balance_stream(spark, sf):
     return S.run_to_table(spark, df, "sliding_balance_stream", "update", keys=["district_id", "window_start_ms"])
 
 
-# The driver table lands as one file, so the stream sees it as one micro-batch:
-# the first batch of a district integrates nothing.
-@register("charge_stream", with_views("measurements") + """
-select district_id, sum(v100) / 100.0 as batch_balance_kw, count(*) as num_measurements,
-       max(t) as max_event_ms, cast(0.0 as double) as charge_kwh
-from measurements group by district_id""")
+CHARGE_BATCHES = 4
+
+
+# The readings land as files in order of arrival, one micro-batch each.
+@register("charge_stream", with_views("measurements") + f""",
+b as (select district_id, off * {CHARGE_BATCHES} // (select max(off) + 1 from measurements) as k, sum(v100) as bal, count(*) as n,
+             max(t) as mx from measurements group by all),
+c as (select *, max(mx) over (partition by district_id order by k) as clock from b),
+d as (select *, lag(clock) over (partition by district_id order by k) as prev from c),
+x as (select *, case when prev > 0 then cast(bal as hugeint) * (clock - prev) else 0 end as x from d),
+s as (select *, sum(x) over (partition by district_id order by k) as s from x),
+f as (select *, s - least(0, min(s) over (partition by district_id order by k)) as charge from s)
+select district_id, bal / 100.0 as batch_balance_kw, n as num_measurements, clock as max_event_ms,
+       cast(charge as double) / 3.6e8 as charge_kwh
+from f qualify row_number() over (partition by district_id order by k desc) = 1""")
 def charge_stream(spark, sf):
     spark = S.stream_session(spark)
-    df = St.charge_stream(_readings_stream(spark, sf))
-    return S.run_to_table(spark, df, "charge_stream", "update", keys=["district_id"])
+    m = V.measurements(spark, sf)
+    src = f"{S.stream_location(spark, 'charge_input')[0]}"
+    end = m.agg(F.max("off")).first()[0]
+    part = F.floor(F.col("off") * CHARGE_BATCHES / ((end or 0) + 1))
+    for k in range(CHARGE_BATCHES):
+        m.where(part == k).coalesce(1).write.parquet(f"{src}/part-{k}")
+    readings = (spark.readStream.schema(m.schema).option("recursiveFileLookup", "true")
+                .option("maxFilesPerTrigger", 1).parquet(src))
+    return S.run_to_table(spark, St.charge_stream(readings), "charge_stream", "update", keys=["district_id"])
 
 
 def _liveness_events_stream(spark, sf):

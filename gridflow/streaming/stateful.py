@@ -28,7 +28,8 @@ CHARGE_OUT = T.StructType([
     T.StructField("num_measurements", T.LongType()), T.StructField("max_event_ms", T.LongType()),
     T.StructField("charge_kwh", T.DoubleType()),
 ])
-CHARGE_STATE = T.StructType([T.StructField("charge", T.LongType()), T.StructField("last_t", T.LongType())])
+# the accumulated charge is kept as the text of an integer of any size, as the batch form's decimals
+CHARGE_STATE = T.StructType([T.StructField("charge", T.StringType()), T.StructField("last_t", T.LongType())])
 
 
 _PARTIAL = T.StructType([T.StructField("district_id", T.StringType()), T.StructField("bal", T.LongType()),
@@ -44,8 +45,8 @@ def _partial_balance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _charge_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    charge, last = state.get if state.exists else (0, -1)
-    bal, n, mx = 0, 0, last
+    charge, last = state.get if state.exists else ("0", -1)
+    charge, bal, n, mx = int(charge), 0, 0, last
     for pdf in pdfs:
         if len(pdf):
             bal += int(pdf["bal"].sum())
@@ -53,7 +54,7 @@ def _charge_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFram
             mx = max(mx, int(pdf["mx"].max()))
     if last > 0 and mx - last > 0:
         charge = max(0, charge + bal * (mx - last))
-    state.update((charge, mx))
+    state.update((str(charge), mx))
     yield pd.DataFrame({"district_id": [key[0]], "batch_balance_kw": [bal / 100.0], "num_measurements": [n],
                         "max_event_ms": [mx], "charge_kwh": [charge / _KWH]})
 
@@ -306,7 +307,7 @@ STEP_CHARGE_OUT = T.StructType([
     T.StructField("batch_balance_kw", T.DoubleType()), T.StructField("num_measurements", T.LongType()),
     T.StructField("max_event_ms", T.LongType()), T.StructField("charge_kwh", T.DoubleType()),
 ])
-_STEP_CHARGE_STATE = T.StructType([T.StructField("charge", T.LongType()), T.StructField("clock", T.LongType())])
+_STEP_CHARGE_STATE = T.StructType([T.StructField("charge", T.StringType()), T.StructField("clock", T.LongType())])
 
 
 def _step_charge_processor():
@@ -321,14 +322,14 @@ def _step_charge_processor():
 
         def handleInputRows(self, key, rows, timerValues):
             pdf = pd.concat(list(rows), ignore_index=True).sort_values("step", kind="stable")
-            charge, clock = self.state.get() if self.state.exists() else (0, -1)
-            out = []
+            charge, clock = self.state.get() if self.state.exists() else ("0", -1)
+            charge, out = int(charge), []
             for step, bal, n, mx in zip(pdf["step"], pdf["balance_v100"], pdf["num_measurements"], pdf["max_t"]):
                 last, clock = clock, max(clock, int(mx))
                 if last > 0 and clock - last > 0:
                     charge = max(0, charge + int(bal) * (clock - last))
                 out.append((key[0], int(step), int(bal) / 100.0, int(n), clock, charge / _KWH))
-            self.state.update((charge, clock))
+            self.state.update((str(charge), clock))
             yield pd.DataFrame(out, columns=[f.name for f in STEP_CHARGE_OUT.fields])
 
         def close(self) -> None:
