@@ -299,3 +299,15 @@ def node_commands(user_events: DataFrame, commands: DataFrame, **split) -> DataF
     starts = summ.groupBy("node_id").applyInPandas(_chain, _START)
     return (sdf.groupBy("node_id", SPLIT).cogroup(starts.groupBy("node_id", SPLIT))
                .applyInPandas(_fold_chunk_from, _CMD_OUT))
+
+
+def accepted_node_events(commands: DataFrame, decided: DataFrame) -> DataFrame:
+    """The events that accepted node commands publish, in the node-events log's shape: the decisions of
+    ``node_commands`` with the fields of their commands (one command per ``off``). A delete carries
+    the node and its owner only."""
+    kept = decided.where("accepted").select(F.col("off").alias("_off"), "event_type")
+    gone = F.col("event_type") == "NodeDeleted"
+    return commands.join(kept, F.col("off") == F.col("_off")).select(
+        "off", F.col("event_type").alias("type"), "node_id", F.when(~gone, F.col("district_id")).alias("district_id"),
+        F.when(~gone, F.col("node_type")).alias("node_type"), F.col("user_id").alias("owner_id"),
+        F.when(gone, F.lit(0.0)).otherwise(F.col("capacity")).alias("capacity"), F.col("t").alias("timestamp"))

@@ -14,7 +14,7 @@ from gridflow.operators import registry as R
 from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
 from gridflow.plans.queries.billing_q import bills_sql_prefix
-from gridflow.plans.queries.registry_q import ACCOUNT_SQL
+from gridflow.plans.queries.registry_q import ACCOUNT_SQL, NODE_COMMANDS_SQL
 from gridflow.session import checkpoint_dir
 from gridflow.sources import views as V
 from gridflow.sources.tables import read_table
@@ -142,6 +142,27 @@ def users_from_commands(spark, sf):
     return R.users_current(_user_rows(Src.replay_log(spark, path)))
 
 
+NODE_FIELDS = {"type": "type", "nodeId": "node_id", "districtId": "district_id", "nodeType": "node_type", "ownerId": "owner_id",
+               "capacity": "capacity", "timestamp": "timestamp"}
+NODE_JSON = "type string, nodeId string, districtId string, nodeType string, ownerId string, capacity double, timestamp long"
+
+
+@register("nodes_from_commands", with_views("node_commands") + ", d as (" + NODE_COMMANDS_SQL + """),
+ev as (select d.off, d.event_type, c.node_id, c.district_id, c.node_type, c.user_id as owner_id, c.capacity
+       from d join node_commands c on c.off = d.off where d.accepted)
+select node_id, district_id, node_type, owner_id, capacity from ev
+qualify row_number() over (partition by node_id order by off desc) = 1 and event_type <> 'NodeDeleted'""")
+def nodes_from_commands(spark, sf):
+    """Current nodes rebuilt from the events that accepted commands published and stored."""
+    path, commands = _folder(spark, "nodes-log"), V.node_commands(spark, sf)
+    events = R.accepted_node_events(commands, R.node_commands(V.user_events(spark, sf), commands))
+    S.write_keyed_log(P.keyed_log(events, "node_id", NODE_FIELDS, "node-events"), path)
+    d = Src.replay_log(spark, path).select("off", F.from_json("value", NODE_JSON).alias("d")).select(
+        "off", "d.type", F.col("d.nodeId").alias("node_id"), F.col("d.districtId").alias("district_id"),
+        F.col("d.nodeType").alias("node_type"), F.col("d.ownerId").alias("owner_id"), "d.capacity", "d.timestamp")
+    return R.nodes_current(d)
+
+
 @register("bills_from_log", bills_sql_prefix() + """
 select node_id, cast(count(*) as bigint) as bills, cast(sum(measurement_count) as bigint) as measurements from bills group by node_id""")
 def bills_from_log(spark, sf):
