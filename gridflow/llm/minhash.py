@@ -152,18 +152,27 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> Data
     if not n:
         return pairs
     runs = pairs.groupBy("b").agg(F.ceil(F.count("*") / CHUNK_PARTNERS).alias("runs"))
-    dealt = compact(pairs.join(runs, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("runs")).alias("run")))[0]
-    ids = dealt.select(F.col("a").alias("i")).unionByName(dealt.select(F.col("b").alias("i"))).distinct()
-    texts = docs.join(small(ids, BROADCAST_IDS), F.col("id") == F.col("i"), "left_semi")
-    parts = dealt.join(texts, F.col("a") == F.col("id")).select("b", "run", F.lit(1).alias("flag"), "a", "text")
-    heads = dealt.select("b", "run").distinct().join(texts, F.col("b") == F.col("id")).select(
-        "b", "run", F.lit(0).alias("flag"), F.lit(None).cast("long").alias("a"), "text")
-    return compact(heads.unionByName(parts).repartition("b", "run").sortWithinPartitions("b", "run", "flag")
+    dealt = pairs.join(runs, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("runs")).alias("run"))
+    heads = dealt.select(F.col("b").alias("i"), "b", "run", F.lit(0).alias("flag"), F.lit(None).cast("long").alias("a")).distinct()
+    roles = compact(dealt.select(F.col("a").alias("i"), "b", "run", F.lit(1).alias("flag"), "a").unionByName(heads))[0]
+    texts = docs.join(_broadcast(roles, 2 * n), F.col("id") == F.col("i")).select("b", "run", "flag", "a", "text")
+    return compact(texts.repartition("b", "run").sortWithinPartitions("b", "run", "flag")
                    .mapInArrow(_verify(k, threshold), "a long, b long"))[0]
 
 
+def _broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table whose number of (narrow) rows is known to be small enough."""
+    return F.broadcast(df) if rows <= BROADCAST_IDS else df
+
+
 def _likely(pairs: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
     """Those of the distinct pairs (a, b) whose signatures allow the threshold."""
+    pairs, n = compact(pairs)
+    if not n:
+        return pairs
+    if 2 * n <= BROADCAST_IDS:  # few pairs: their signatures alone
+        ids = pairs.select(F.col("a").alias("i")).unionByName(pairs.select(F.col("b").alias("i"))).distinct()
+        sigs = compact(sigs.join(F.broadcast(ids), F.col("node") == F.col("i"), "left_semi"))[0]
     sa = sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa"))
     sb = sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb"))
     return pairs.join(sa, "a").join(sb, "b").where(_agreement("sa", "sb") >= _least_estimate(threshold)).select("a", "b")
@@ -201,7 +210,8 @@ def _sharing_rare(rare: DataFrame, rest: DataFrame, threshold: int) -> DataFrame
     """Pairs (a, b) across components that share a rare shingle of the first part of both sets: two
     sets at the threshold have their least common shingle among the first n - ceil(n t) + 1."""
     first = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
-    head = rare.where((F.col("m") > 1) & (F.col("rank") <= first)).join(rest.select("node", "component").distinct(), "node")
+    nodes, n = compact(rest.select("node", "component").distinct())
+    head = compact(rare.where((F.col("m") > 1) & (F.col("rank") <= first)).join(_broadcast(nodes, n), "node"))[0]
     ends = [head.select("shingle", *[F.col(c).alias(c + x) for c in ("node", "component", "n")]) for x in "ab"]
     return ends[0].join(ends[1], "shingle").where(
         (F.col("nodea") < F.col("nodeb")) & (F.col("componenta") != F.col("componentb"))
@@ -209,19 +219,20 @@ def _sharing_rare(rare: DataFrame, rest: DataFrame, threshold: int) -> DataFrame
         F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
 
 
-def _unresolved(rest: DataFrame) -> DataFrame:
-    """The rows of keys with several components, and the key's number of rows."""
-    state = rest.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                    F.count("*").alias("size")).where("c0 < c1").select("key", "size")
-    return rest.join(state, "key")
+def _unresolved(rest: DataFrame) -> tuple[DataFrame, int]:
+    """The rows of keys with several components, and the key's number of rows; cut, with their count."""
+    state, n = compact(rest.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
+                                               F.count("*").alias("size")).where("c0 < c1").select("key", "size"))
+    return compact(rest.join(_broadcast(state, n), "key"))
 
 
 def _able(rest: DataFrame, sets: DataFrame, rare: DataFrame, threshold: int) -> DataFrame:
     """``rest`` with n, the size of the set, and common, how many of its shingles are not rare; without
     the nodes that cannot reach the threshold with any partner of their key by those alone. (Of
     several texts of one id the least size and the most common ones.)"""
-    rare = rare.groupBy("node", "text").agg(F.count("*").alias("rare"))
-    each = sets.select("node", "text", "n").join(rare, ["node", "text"], "left").groupBy("node").agg(
+    rare = compact(rare.groupBy("node", "text").agg(F.count("*").alias("rare")))[0]
+    sizes = compact(sets.select("node", "text", "n"))[0]
+    each = sizes.join(rare, ["node", "text"], "left").groupBy("node").agg(
         F.min("n").alias("n"), F.max(F.col("n") - F.coalesce("rare", F.lit(0))).alias("common"))
     with_sizes = rest.join(each, "node")
     least = with_sizes.groupBy("key").agg(F.min("n").alias("least"))
@@ -242,7 +253,8 @@ def _with_pivot(keyed: DataFrame) -> DataFrame:
 
 
 def _relabelled(keyed: DataFrame, comp: DataFrame) -> DataFrame:
-    return keyed.drop("component").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    comp, n = compact(comp)
+    return keyed.drop("component").join(_broadcast(comp, n), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
@@ -260,19 +272,19 @@ def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFram
         found = new if found is None else found.unionByName(new)
         comp = components(found)
         # pairs with the pivot are done; what is left are the others of keys with several components
-        rest, n = compact(_unresolved(_relabelled(keyed.where("node <> pivot.node").drop("pivot"), comp)))
+        rest, n = _unresolved(_relabelled(keyed.where("node <> pivot.node").drop("pivot"), comp))
         if not n:
             return found
         sets = cut(_sets(rest, docs, k))
         rare = cut(_rare(sets))
         found = found.unionByName(confirmed(_likely(_sharing_rare(rare, rest, threshold), sigs, threshold), docs, k, threshold))
-        rest, n = compact(_unresolved(_able(rest, sets, rare, threshold)))
+        rest, n = _unresolved(_able(rest, sets, rare, threshold))
         if not n:
             return found
         level += 1
         last = level * DIVIDING_BANDS >= BANDS  # keys of so many minima are as good as equal signatures
         pair = rest if last else rest.where(F.col("size") <= PAIRED_BUCKET)
-        side = pair.join(sigs, "node")
+        side = compact(sigs.join(_broadcast(pair, n), "node"))[0]
         ends = [side.select("key", *[F.col(c).alias(c + x) for c in ("node", "component", "sig", "n", "common")]) for x in "ab"]
         across = ends[0].join(ends[1], "key").where(
             (F.col("nodea") < F.col("nodeb")) & (F.col("componenta") != F.col("componentb"))
@@ -310,10 +322,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut(classes.select("cls", "node", "s.sig", "s.bands"))
     found = links(classes.select("node", "sig", "bands"), d.where("id is not null"), shingle_words, threshold)
     # an id with several texts ties their classes together
-    member = with_id.join(classes.select("cls", "node"), "cls").select("id", "node").distinct()
-    several = member.groupBy("id").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 < n1")
-    ties = member.join(several.select("id"), "id").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    comp = components(found.unionByName(ties))
+    repeated, n = compact(with_id.groupBy("id").agg(F.min("cls").alias("c0"), F.max("cls").alias("c1")).where("c0 < c1").select("id"))
+    if n:
+        member = with_id.join(_broadcast(repeated, n), "id").join(classes.select("cls", "node"), "cls")
+        found = found.unionByName(member.select(F.col("id").alias("a"), F.col("node").alias("b")).distinct())
+    comp = components(found)
     labels = _relabelled(classes.select("cls", "node"), comp).select("cls", "component")
     out = signed_rows.select("id", "cls", "n").join(labels, "cls", "left")
     component = F.coalesce("component", "id")
