@@ -39,16 +39,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def partitions_for(rows: int) -> int:
-    return max(1, -(-rows // PARTITION_ROWS))
+def partitions_for(rows: int, each: int = PARTITION_ROWS) -> int:
+    return max(1, -(-rows // each))
 
 
-def compact(df: DataFrame) -> tuple[DataFrame, int]:
+def compact(df: DataFrame, each: int = PARTITION_ROWS) -> tuple[DataFrame, int]:
     """``cut`` with the row count, in as few partitions as so many rows need: the jobs that follow on
     a small table then have few tasks and shuffle files."""
     df = cut(df)
     n = df.count()
-    return df.coalesce(partitions_for(n)), n
+    return df.coalesce(partitions_for(n, each)), n
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

@@ -44,6 +44,7 @@ BAND_ROWS, BANDS = 5, 51
 PAIRED_BUCKET = 1024    # larger unresolved buckets are divided before they are paired
 RARE = 64               # shingles in at most so many unresolved documents are joined
 DIVIDING_BANDS = 6      # a bucket is divided by each of so many other bands
+PAIRED_ROWS = 20_000    # rows of a partition that are paired with each other by key
 CHUNK_PARTNERS = 256    # documents compared in one run with one copy of their counterpart
 BROADCAST_IDS = 1_000_000
 LANE_MASK = 0x5555555555555555
@@ -211,7 +212,7 @@ def _sharing_rare(rare: DataFrame, rest: DataFrame, threshold: int) -> DataFrame
     sets at the threshold have their least common shingle among the first n - ceil(n t) + 1."""
     first = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
     nodes, n = compact(rest.select("node", "component").distinct())
-    head = compact(rare.where((F.col("m") > 1) & (F.col("rank") <= first)).join(_broadcast(nodes, n), "node"))[0]
+    head = compact(rare.where((F.col("m") > 1) & (F.col("rank") <= first)).join(_broadcast(nodes, n), "node"), PAIRED_ROWS)[0]
     ends = [head.select("shingle", *[F.col(c).alias(c + x) for c in ("node", "component", "n")]) for x in "ab"]
     return ends[0].join(ends[1], "shingle").where(
         (F.col("nodea") < F.col("nodeb")) & (F.col("componenta") != F.col("componentb"))
@@ -284,7 +285,7 @@ def links(nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFram
         level += 1
         last = level * DIVIDING_BANDS >= BANDS  # keys of so many minima are as good as equal signatures
         pair = rest if last else rest.where(F.col("size") <= PAIRED_BUCKET)
-        side = compact(sigs.join(_broadcast(pair, n), "node"))[0]
+        side = compact(sigs.join(_broadcast(pair, n), "node"), PAIRED_ROWS)[0]
         ends = [side.select("key", *[F.col(c).alias(c + x) for c in ("node", "component", "sig", "n", "common")]) for x in "ab"]
         across = ends[0].join(ends[1], "key").where(
             (F.col("nodea") < F.col("nodeb")) & (F.col("componenta") != F.col("componentb"))
