@@ -32,10 +32,12 @@ def components(links: DataFrame) -> DataFrame:
         if mark == seen:
             break
         seen = mark
-        both = e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        # a union has the partitions of both sides; few rows go back to few, where one needs no shuffle
+        both = e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y"))).coalesce(parts)
         large = _towards_min(both).where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
         star = _towards_min(large)
         e = cut(star.select("x", F.col("m").alias("y"))
-                .unionByName(star.where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))).distinct().coalesce(parts))
+                .unionByName(star.where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y")))
+                .coalesce(parts).distinct()).coalesce(parts)
     return e.select(F.col("x").alias("node"), F.col("y").alias("component")).unionByName(
         e.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct())

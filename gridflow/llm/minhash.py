@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridflow.llm.common import U64, compact, cut, grams64, list_array, lowered, mix, signed, small, small_batches, words64
+from gridflow.llm.common import U64, compact, cut, grams64, list_array, lowered, mix, partitions_for, signed, small, small_batches, words64
 from gridflow.llm.graph import components
 
 SHINGLE_WORDS = 5
@@ -172,7 +172,7 @@ def _likely(pairs: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
     if not n:
         return pairs
     if 2 * n <= BROADCAST_IDS:  # few pairs: their signatures alone
-        ids = pairs.select(F.col("a").alias("i")).unionByName(pairs.select(F.col("b").alias("i"))).distinct()
+        ids = pairs.select(F.col("a").alias("i")).unionByName(pairs.select(F.col("b").alias("i"))).coalesce(partitions_for(2 * n)).distinct()
         sigs = compact(sigs.join(F.broadcast(ids), F.col("node") == F.col("i"), "left_semi"))[0]
     sa = sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa"))
     sb = sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb"))
