@@ -1,22 +1,28 @@
 """Text scores from a probabilistic suffix tree over words, and from word frequencies.
 
 A text is a sequence of words (see ``common``) and an end token; the end token also stands before
-its first word. The tree's alphabet are the words whose share of the training tokens is at least
-``LEAST_SHARE``, the end token, and one symbol for all other words, so it is bounded at any size.
+its first word. The tree's alphabet are the words with at least ``LEAST_SHARE`` of the training
+tokens, the end token, and one symbol for all other words. From ``REFERENCE`` tokens on a share is
+one of that many tokens, so the least counts stand still (50 and 5) and the tree grows with the corpus.
 
 Contexts are the one to ``DEPTH`` symbols before a word, not across the end token. A context is
-considered if its share is at least ``LEAST_SHARE`` and kept if its next-symbol distribution diverges
+considered if it has the least count of a word and kept if its next-symbol distribution diverges
 from that of the context without its oldest symbol: the Kullback-Leibler divergence is at least
 ``LEAST_DIVERGENCE`` nats and more than the sampling of that many kinds explains. With a context its
-suffixes and prefixes are kept. In each context the next symbols with a share of all tokens of at
-least ``LEAST_ENTRY`` have counts of their own; the rest is left to the suffix, to which all
+suffixes and prefixes are kept. In each context the next symbols with at least ``LEAST_ENTRY`` have
+counts of their own; the rest is left to the suffix, to which all
 distributions are smoothed (Witten-Bell). A word is predicted in the state of the longest kept suffix
 of what precedes it; a word outside the alphabet is that symbol's probability times its own share
 of such words, where all words never seen in training are one event with the weight of the words
 seen once.
 
-Training reads all training rows: words and, level by level, contexts are counted with partial
-sums; the shares bound what is collected (at most 1 / LEAST_ENTRY counts a level) and broadcast.
+Training reads all training rows. Contexts and their next symbols are grams, named by 64-bit hashes and
+counted level by level with partial sums into tables that are joined, never collected whole. As
+the suffixes of a kept context are kept, log P(s | u) is a sum over the suffixes v of u: of the
+weight v leaves to its own suffix and, if v counts s itself, of what that adds. So a
+gram has two numbers, as an entry (``delta``) and as a context (``bow``), and a text's score is a
+sum over its grams. The ``HEAD_GRAMS`` most frequent grams are broadcast; others, which have no hot
+key, are joined by a shuffle. Words of the alphabet beyond ``HEAD_WORDS`` go to the texts the same way.
 
 Word frequencies: the most frequent words, at most ``HEAD_WORDS``, are broadcast with their
 counts; a word outside that head is rare (at most one in HEAD_WORDS tokens), so the documents' rare
@@ -34,18 +40,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflow.llm.common import U64, cut, lowered, small_batches, words64
+from gridflow.llm.common import U64, cut, lowered, mix, signed, small, small_batches, words64
 
 DEPTH = 3
 LEAST_SHARE = 5e-5
 LEAST_ENTRY = 5e-6
+REFERENCE = 1_000_000    # tokens; in a larger corpus the shares are of this many
 LEAST_DIVERGENCE = 0.02
 HEAD_WORDS = 1_000_000
+HEAD_GRAMS = 2_000_000   # 24 bytes each
+BROADCAST_ROWS = 500_000
 ADD = 0.1                # added to every count of the word-frequency score
 END = b"\n"              # the end token; no word contains it
 FLUSH_WORDS = 400_000    # distinct words counted in a worker's memory at a time
-FLUSH_TOKENS = 4_000_000
-OTHER = 0                # the symbol of words outside the alphabet
+FLUSH_TOKENS = 2_000_000
+# a word's symbol is its hash; these are the symbols of words outside the alphabet and of the end token
+OTHER, END_SYMBOL = U64(0), U64(1)
+_BASE = U64(0xD1342543DE82EF95)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,210 +91,253 @@ def _find(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
 class Stream:
     """The symbols of a batch of texts in a row, with an end token before and after each text."""
 
-    def __init__(self, texts: list[bytes], alphabet: np.ndarray):
+    def __init__(self, texts: list[bytes], alphabet: np.ndarray, extra: np.ndarray):
         self.data = b"\n".join(texts)
         self.hashes, self.first, self.last = words64(self.data)
         starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
         self.doc = np.searchsorted(starts, self.first, side="right") - 1   # of each word
-        n, end = len(texts), len(alphabet) + 1
+        n = len(texts)
+        self.unique, self.index, self.of = np.unique(self.hashes, return_index=True, return_inverse=True)
+        self.known = (_find(alphabet, self.unique) >= 0) | (_find(extra, self.unique) >= 0)
         ends = np.searchsorted(self.doc, np.arange(n), side="right") + np.arange(n) + 1
         self.place = np.arange(len(self.doc)) + self.doc + 1                # of each word in the row
-        self.symbols = np.full(len(self.doc) + n + 1, end, dtype=np.int64)
-        self.symbols[self.place] = _find(alphabet, self.hashes) + 1
+        self.symbols = np.full(len(self.doc) + n + 1, END_SYMBOL, dtype=U64)
+        self.symbols[self.place] = np.where(self.known, self.unique, OTHER)[self.of]
         self.owner = np.zeros(len(self.symbols), dtype=np.int64)            # text of each predicted symbol
         self.owner[self.place], self.owner[ends] = self.doc, np.arange(n)
-        at_end = np.where(self.symbols == end, np.arange(len(self.symbols)), 0)
+        at_end = np.where(self.symbols == END_SYMBOL, np.arange(len(self.symbols)), 0)
         self.since = np.zeros(len(self.symbols), dtype=np.int64)            # symbols of context there are
         self.since[1:] = np.arange(1, len(self.symbols)) - np.maximum.accumulate(at_end)[:-1]
 
 
-def context_ids(symbols: np.ndarray, since: np.ndarray, size: int, levels: list[np.ndarray]) -> list[np.ndarray]:
-    """Per depth 1, 2, ... the number of the context before each symbol, -1 if it is none of the level's.
+def _longer(ctx: np.ndarray, suf: np.ndarray, size: int) -> np.ndarray:
+    """The gram of ``size`` symbols, given it less its newest and less its oldest symbol."""
+    return mix(ctx * _BASE + suf + U64(size))
 
-    A context of depth 1 is numbered by its symbol; a longer one by its place among the level's
-    sorted codes, a code being the number of the context without its newest symbol and that symbol.
-    """
-    before = np.empty_like(symbols)
-    before[0], before[1:] = 0, symbols[:-1]
-    ids = [np.where(since >= 1, before, -1)]
-    for d, codes in enumerate(levels, 2):
-        older = np.full(len(symbols), -1, dtype=np.int64)
-        older[1:] = ids[-1][:-1]  # the context one depth less before the preceding symbol
-        ids.append(np.where((since >= d) & (older >= 0), _find(codes, older * size + before), -1))
-    return ids
 
+def _extra(column: pa.Array) -> np.ndarray:
+    return np.unique(column.flatten().to_numpy().view(U64))
 
-def _count_next(alphabet: np.ndarray, levels: list[np.ndarray]):
-    """Texts -> (key, n): context number of the deepest level times the alphabet's size plus next symbol."""
-    size = len(alphabet) + 2
 
+def _count_grams(size: int, alphabet, contexts):
+    """(text, extra) -> (ctx, suf, n): the grams of ``size`` symbols, each as the grams less its newest and
+    less its oldest symbol; of ``contexts`` only, if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            key, n = np.unique(np.concatenate(held) if held else np.empty(0, np.int64), return_counts=True)
+            ctx, suf = (np.concatenate([x[i] for x in held]) if held else np.empty(0, U64) for i in range(2))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+            _, at, n = np.unique(_longer(ctx, suf, size), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(signed(ctx[at])), pa.array(signed(suf[at])), pa.array(n)], ["ctx", "suf", "n"])
         for b in batches:
             if b.num_rows:
-                s = Stream(lowered(b.column(0)), alphabet)
-                c = context_ids(s.symbols, s.since, size, levels)[-1]
-                held.append((c * size + s.symbols)[c >= 0])
-            if sum(map(len, held)) >= FLUSH_TOKENS:
+                s = Stream(lowered(b.column(0)), alphabet.value, _extra(b.column(1)))
+                less = s.symbols         # the gram one symbol shorter that ends at each place
+                for k in range(2, size):
+                    older, less = less, np.zeros_like(less)
+                    less[1:] = _longer(older[:-1], older[1:], k)
+                on = np.flatnonzero(s.since >= size - 1)
+                if contexts is not None:
+                    on = on[_find(contexts.value, less[on - 1]) >= 0]
+                held.append((less[on - 1], less[on]))
+            if sum(len(x[0]) for x in held) >= FLUSH_TOKENS:
                 yield flush()
         yield flush()
     return run
 
 
-@dataclass
-class Level:
-    """The contexts of one depth: sorted codes (none at depth 1), occurrences, own counts of next symbols."""
+def _named(size: int):
+    """(ctx, suf, ...) -> with the gram's key in front."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key = _longer(b.column(0).to_numpy().view(U64), b.column(1).to_numpy().view(U64), size)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), *b.columns], ["key", *b.schema.names])
+    return run
 
-    codes: np.ndarray
-    total: np.ndarray
-    keys: np.ndarray      # sorted: context number * alphabet size + next symbol
-    counts: np.ndarray
-    kept: np.ndarray      # bool by context
 
-    def weigh(self, size: int) -> None:
-        of = self.keys // size
-        kinds = np.bincount(of, minlength=len(self.total))
-        own = np.bincount(of, weights=self.counts, minlength=len(self.total))
-        self.kinds = kinds + (own < self.total)
-        self.back = self.kinds + self.total - own             # weight of the suffix's distribution
-        self.whole = np.maximum(self.total + self.kinds, 1)
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, c) -> (key, n)"""
+    for b in batches:
+        h = words64(b" ".join(b.column(0).to_pylist()))[0]
+        yield pa.RecordBatch.from_arrays([pa.array(signed(h)), b.column(1)], ["key", "n"])
 
-    def chance(self, context: np.ndarray, symbol: np.ndarray, shorter: np.ndarray, size: int) -> np.ndarray:
-        """P(symbol | context) given that of the context without its oldest symbol."""
-        at = _find(self.keys, context * size + symbol)
-        n = np.where(at >= 0, self.counts[at] if len(self.counts) else 0, 0)
-        return np.where(self.whole[context] > 1, (n + self.back[context] * shorter) / self.whole[context], shorter)
 
+def _outside(head):
+    """(row, text) -> (row, key): each text's distinct words outside the head."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row, data in zip(b.column(0).to_pylist(), lowered(b.column(1))):
+                h = np.unique(words64(data)[0])
+                h = h[_find(head.value, h) < 0]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), row)), pa.array(signed(h))], ["row", "key"])
+    return run
 
-@dataclass
-class SuffixTree:
-    alphabet: np.ndarray  # sorted word hashes; symbol = 1 + index, then the end token
-    root: np.ndarray      # by symbol
-    levels: list[Level]
-
-    def chances(self, s: Stream) -> np.ndarray:
-        """Probability of each symbol of the row in the state of the longest kept suffix before it."""
-        size = len(self.root)
-        p = self.root[s.symbols]
-        for level, c in zip(self.levels, context_ids(s.symbols, s.since, size, [x.codes for x in self.levels[1:]])):
-            on = np.flatnonzero(c >= 0)
-            on = on[level.kept[c[on]]]
-            p[on] = level.chance(c[on], s.symbols[on], p[on], size)
-        return p
-
-
-def _suffix(levels: list[Level], depth: int, context: np.ndarray, size: int) -> np.ndarray:
-    """Numbers, one depth less, of the contexts without their oldest symbol."""
-    code = levels[depth - 1].codes[context]
-    newest = code % size
-    if depth == 2:
-        return newest
-    return _find(levels[depth - 2].codes, _suffix(levels, depth - 1, code // size, size) * size + newest)
-
-
-def grow(texts: DataFrame, words: DataFrame, n: int) -> SuffixTree:
-    """The tree of the training texts with ``n`` tokens, whose distinct ones are in ``words``."""
+
+def least_counts(n: int) -> tuple[float, float]:
+    """The least count of a word or context and of a next symbol, given the number of tokens."""
+    m = min(n, REFERENCE)
+    return m * LEAST_SHARE, max(2, m * LEAST_ENTRY)
+
+
+def grow(texts: DataFrame, words: DataFrame, n: int, once: int, alphabet) -> DataFrame:
+    """(key, n, delta, bow): all considered grams of the training texts (text, extra) with ``n`` tokens, whose
+    distinct ones are in ``words`` and of which ``alphabet`` and the texts' ``extra`` are symbols."""
+    spark = texts.sparkSession
+    least, least_entry = least_counts(n)
     is_end = F.col("word") == F.lit(END)
-    frequent = words.where((F.col("c") >= n * LEAST_SHARE) & ~is_end).toArrow()  # at most 1 / LEAST_SHARE rows
-    ends = words.where(is_end).collect()
-    hashes = words64(b" ".join(frequent.column(0).to_pylist()))[0]
-    order = np.argsort(hashes)
-    alphabet, size = hashes[order], len(order) + 2
-    c = np.zeros(size)
-    c[1:-1], c[-1] = frequent.column(1).to_numpy()[order], max(1, ends[0].c if ends else 0)
-    c[OTHER] = max(0, n - c.sum())
-    once = max(1, words.where("c = 1").count())
-    root = c.copy()
-    root[OTHER] += once
-    root /= root.sum()
-
-    levels: list[Level] = []
-    codes, total = np.empty(0, np.int64), c.astype(np.int64)
-    least = max(2, n * LEAST_ENTRY)
-    for depth in range(1, DEPTH + 1):
-        rows = texts.mapInArrow(_count_next(alphabet, [x.codes for x in levels[1:]] + ([codes] if depth > 1 else [])), "key long, n long")
-        got = rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()  # at most 1 / LEAST_ENTRY rows
-        keys, counts = got.column(0).to_numpy(), got.column(1).to_numpy()
-        order = np.argsort(keys)
-        level = Level(codes, total, keys[order], counts[order], np.zeros(len(total), dtype=bool))
-        level.weigh(size)
-        levels.append(level)
-        _test(levels, root, size, n)
+    frequent = words.where((F.col("c") >= least) & ~is_end)
+    inside = frequent.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    ends = max(1, words.where(is_end).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
+    other = max(0, n - inside - ends)
+    both = spark.range(2).select(F.col("id").alias("key"), F.when(F.col("id") == int(OTHER), other).otherwise(ends).cast("long").alias("n"))
+    p = (F.col("n") + F.when(F.col("key") == int(OTHER), once).otherwise(0)) / F.lit(float(inside + ends + other + once))
+    grams = [cut(frequent.mapInArrow(_keyed, "key long, n long").unionByName(both).select("key", "n", p.alias("p"), F.log10(p).alias("delta"),
+                                                                                              (F.col("key") == int(END_SYMBOL)).alias("ends")))]
+    states: list[DataFrame] = []
+    contexts, shared = None, None
+    for size in range(2, DEPTH + 2):
+        e = texts.mapInArrow(_count_grams(size, alphabet, shared), "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
+        e = e.where(F.col("n") >= least_entry).mapInArrow(_named(size), "key long, ctx long, suf long, n long")
+        if contexts is not None and shared is None:
+            e = e.join(contexts.withColumnRenamed("key", "ctx"), "ctx", "left_semi")
+        lower = grams[-1].select(F.col("key").alias("suf"), F.col("p").alias("lower"), "ends")
+        e = cut(e.join(small(lower, BROADCAST_ROWS), "suf"))
+        s = e.groupBy("ctx").agg(F.sum("n").alias("own"), F.count("*").alias("kinds"), F.sum("lower").alias("theirs"),
+                                 F.sum(F.col("n") * F.log(F.col("n") / F.col("lower"))).alias("nats"))
+        s = s.join(grams[-1].select(F.col("key").alias("ctx"), F.col("n").alias("total")), "ctx")
+        rest = F.col("total") - F.col("own")
+        mine = rest / F.col("total")
+        theirs = F.greatest(1 - F.col("theirs"), F.lit(1e-12))   # all other symbols together
+        nats = F.col("nats") / F.col("total") - F.col("own") / F.col("total") * F.log("total") + F.when(
+            rest > 0, mine * F.log(mine / theirs)).otherwise(0.0)
+        s = s.select("ctx", "total", rest.alias("rest"), nats.alias("nats"), (F.col("kinds") + (rest > 0).cast("long")).alias("kinds"))
+        kept = ((F.col("total") >= least) & (F.col("nats") >= LEAST_DIVERGENCE)
+                & (F.col("nats") * F.col("total") > F.col("kinds") * F.log(F.greatest(F.col("total"), F.lit(2)))))
+        whole = F.col("total") + F.col("kinds")
+        s = cut(s.select("ctx", whole.alias("whole"), ((F.col("kinds") + F.col("rest")) / whole).alias("left"), kept.alias("kept")))
+        p = F.col("n") / F.col("whole") + F.col("left") * F.col("lower")  # Witten-Bell
+        e = e.join(small(s.select("ctx", "whole", "left"), BROADCAST_ROWS), "ctx").select(
+            "key", "n", "ctx", "suf", "ends", p.alias("p"), F.log10(p / (F.col("left") * F.col("lower"))).alias("delta"))
+        grams.append(cut(e))
+        states.append(s)
         # contexts of the next depth: a frequent enough context and next symbol, not beyond the end
-        deeper = (level.counts >= n * LEAST_SHARE) & (level.keys % size != size - 1)
-        codes, total = level.keys[deeper], level.counts[deeper]
-        if not len(codes):
-            break
-    _close(levels, size)
-    return SuffixTree(alphabet, root, levels)
-
-
-def _test(levels: list[Level], root: np.ndarray, size: int, n: int) -> None:
-    """Mark the contexts of the deepest level that diverge from their suffixes."""
-    depth, level = len(levels), levels[-1]
-    of, symbol = level.keys // size, level.keys % size
-    p = root[symbol]
-    chain = [of]
-    for d in range(depth, 1, -1):
-        chain.append(_suffix(levels, d, chain[-1], size))
-    for x, context in zip(levels[:-1], reversed(chain[1:])):
-        p = x.chance(context, symbol, p, size)
-    share = level.counts / level.total[of]
-    nats = np.bincount(of, weights=share * np.log(share / p), minlength=len(level.total))
-    mine, theirs = (np.bincount(of, weights=w, minlength=len(level.total)) for w in (share, p))
-    mine, theirs = np.maximum(1 - mine, 0), np.maximum(1 - theirs, 1e-12)  # all other symbols together
-    nats = nats + np.where(mine > 0, mine * np.log(np.maximum(mine, 1e-12) / theirs), 0)
-    level.kept[:] = ((level.total >= n * LEAST_SHARE) & (nats >= LEAST_DIVERGENCE)
-                     & (nats * level.total > level.kinds * np.log(np.maximum(level.total, 2))))
-
-
-def _close(levels: list[Level], size: int) -> None:
-    """With a kept context keep its suffixes and prefixes."""
-    for depth in range(len(levels), 1, -1):
-        context = np.flatnonzero(levels[depth - 1].kept)
-        levels[depth - 2].kept[_suffix(levels, depth, context, size)] = True
-        levels[depth - 2].kept[levels[depth - 1].codes[context] // size] = True
+        contexts = grams[-1].where((F.col("n") >= least) & ~F.col("ends")).select("key")
+        few = contexts.limit(HEAD_GRAMS + 1).count() <= HEAD_GRAMS
+        shared = spark.sparkContext.broadcast(np.sort(contexts.toArrow().column(0).to_numpy().view(U64))) if few else None
+    # with a kept context its suffixes and prefixes are kept
+    bows: list[DataFrame] = []
+    more = None
+    for depth in range(DEPTH, 0, -1):
+        s = states[depth - 1]
+        keys = s.where("kept").select(F.col("ctx").alias("key"))
+        keys = keys if more is None else keys.unionByName(more).distinct()
+        bows.insert(0, cut(s.join(keys.withColumnRenamed("key", "ctx"), "ctx", "left_semi").select(
+            F.col("ctx").alias("key"), F.log10("left").alias("bow"))))
+        if depth > 1:
+            more = grams[depth - 1].join(small(bows[0].select("key"), BROADCAST_ROWS), "key", "left_semi").select(
+                F.explode(F.array("ctx", "suf")).alias("key"))
+    zero, out = F.lit(0.0), []
+    for size, g in enumerate(grams, 1):
+        if size > 1:
+            on = bows[size - 2].select(F.col("key").alias("ctx"), F.lit(True).alias("on"))
+            g = g.join(small(on, BROADCAST_ROWS), "ctx", "left").withColumn("delta", F.when(F.col("on"), F.col("delta")).otherwise(zero))
+        if size <= DEPTH:
+            g = g.join(small(bows[size - 1], BROADCAST_ROWS), "key", "left")
+        else:
+            g = g.withColumn("bow", zero)
+        out.append(g.select("key", "n", "delta", F.coalesce("bow", zero).alias("bow")))
+    model = out[0]
+    for x in out[1:]:
+        model = model.unionByName(x)
+    return cut(model)
 
 
 @dataclass
 class Scorer:
-    """What the executors get: the tree, and the frequent words' hashes (sorted) and counts."""
+    """What the executors get: the frequent words' hashes (sorted) and counts, and the frequent grams."""
 
-    tree: SuffixTree
+    alphabet: np.ndarray  # of the frequent words, those that are symbols (sorted)
     keys: np.ndarray
     counts: np.ndarray
+    grams: np.ndarray     # sorted
+    delta: np.ndarray
+    bow: np.ndarray
+    whole: bool           # whether no other gram has a delta or bow
     end_count: int
     others: int           # tokens of training words outside the alphabet, and once more those seen once
     scale: float          # log10 of what the counts of the word-frequency score are divided by
 
-    def batch(self, texts: list[bytes]) -> Iterator[tuple[int, int, float, float, list[tuple[bytes, int, bool]]]]:
+    def walk(self, s: Stream, n: int) -> tuple[np.ndarray, list[tuple]]:
+        """Per text the sum over the frequent grams, and the others as (text, key, uses as entry, uses as context)."""
+        size = len(s.symbols)
+        score, rest = np.zeros(n), []
+        gram, at = s.symbols, np.empty(size, dtype=np.int64)
+        at[:] = _find(self.grams, np.array([END_SYMBOL]))[0]
+        at[s.place] = _find(self.grams, np.where(s.known, s.unique, OTHER))[s.of]
+        on = np.arange(size)                 # positions whose gram may be in the model
+        for k in range(1, DEPTH + 2):
+            found = at >= 0
+            hit, entry = at[found], on[found]
+            later = on[found & (on < size - 1)] if k == 1 else entry[s.symbols[entry] != END_SYMBOL]
+            first = entry > 0                # the end token before all texts is not predicted
+            score += np.bincount(s.owner[entry[first]], weights=self.delta[hit[first]], minlength=n)
+            bow = np.zeros(size)
+            bow[entry] = self.bow[hit]
+            score += np.bincount(s.owner[later + 1], weights=bow[later], minlength=n)
+            alive = bow != 0
+            if not self.whole:
+                lost = on[~found]
+                alive[lost] = True
+                x = lost[lost > 0]
+                rest.append((s.owner[x], gram[x], np.ones(len(x), np.int64), np.zeros(len(x), np.int64)))
+                if k <= DEPTH:
+                    x = lost[lost < size - 1] if k == 1 else lost[s.symbols[lost] != END_SYMBOL]
+                    rest.append((s.owner[x + 1], gram[x], np.zeros(len(x), np.int64), np.ones(len(x), np.int64)))
+            if k > DEPTH:
+                break
+            # the entries of a context that is not kept, and its extensions, are not in the model
+            # (the suffix of a kept context is kept, so there is a gram of k symbols at these places)
+            there = np.zeros(size, dtype=bool)
+            there[on] = True
+            on = np.flatnonzero((s.since >= k) & there & np.concatenate([[False], alive[:-1]]))
+            longer = np.zeros(size, dtype=U64)
+            longer[on] = _longer(gram[on - 1], gram[on], k + 1)
+            gram, at = longer, _find(self.grams, longer[on])
+        return score, rest
+
+    def batch(self, texts: list[bytes], extra: np.ndarray) -> tuple:
         """Per text: tokens, of them frequent, the word-frequency score of those, the tree's score
-        (less what the infrequent words' own counts add), and the infrequent words with their counts."""
-        s = Stream(texts, self.tree.alphabet)
+        (less what infrequent words and grams add), the infrequent words with their counts; the infrequent grams."""
+        s = Stream(texts, self.alphabet, extra)
         n = len(texts)
-        u, index, of = np.unique(s.hashes, return_index=True, return_inverse=True)
+        u, index, of = s.unique, s.index, s.of
         at = _find(self.keys, u)
         frequent = at >= 0
         c = np.where(frequent, self.counts[at] if len(self.counts) else 0, 0)
-        symbol = _find(self.tree.alphabet, u) + 1
         base = np.where(frequent, np.log10(c + ADD) - self.scale, 0.0)
-        own = np.where(symbol == OTHER, np.where(frequent, np.log10(np.maximum(c, 1)), 0.0) - np.log10(self.others), 0.0)
+        own = np.where(~s.known, np.where(frequent, np.log10(np.maximum(c, 1)), 0.0) - np.log10(self.others), 0.0)
         per = lambda w: np.bincount(s.doc, weights=w[of], minlength=n)
         tokens = np.bincount(s.doc, minlength=n) + 1
         known = per(frequent.astype(float)).astype(np.int64) + (self.end_count > 0)
-        score = np.bincount(s.owner[1:], weights=np.log10(self.tree.chances(s)[1:]), minlength=n) + per(own)
+        score, rest = self.walk(s, n)
         rare = np.flatnonzero(~frequent[of])
         width = np.int64(max(len(u), 1))
         pair, times = np.unique(s.doc[rare] * width + of[rare], return_counts=True)
         words: list[list] = [[] for _ in texts]
         for d, k, t in zip((pair // width).tolist(), (pair % width).tolist(), times.tolist()):
-            words[d].append((s.data[s.first[index[k]]:s.last[index[k]]], t, bool(symbol[k] == OTHER)))
-        return zip(tokens.tolist(), known.tolist(), (per(base) + np.log10(self.end_count + ADD) - self.scale).tolist(), score.tolist(), words)
+            words[d].append((s.data[s.first[index[k]]:s.last[index[k]]], t, not s.known[k]))
+        return tokens, known, per(base) + np.log10(self.end_count + ADD) - self.scale, score + per(own), words, _lists(rest, n)
+
+
+def _lists(rest: list[tuple], n: int) -> pa.ListArray:
+    """Per text its infrequent grams, a struct each."""
+    owner, key, entry, context = (np.concatenate([x[i] for x in rest]) if rest else np.empty(0, np.int64) for i in range(4))
+    order = np.argsort(owner, kind="stable")
+    offsets = np.zeros(n + 1, dtype=np.int32)
+    np.cumsum(np.bincount(owner, minlength=n), out=offsets[1:])
+    values = pa.StructArray.from_arrays([pa.array(x[order].view(np.int64)) for x in (key, entry, context)], ["key", "d", "b"])
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
 def _head(words: DataFrame, size: int) -> F.Column:
@@ -311,33 +365,50 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     small_batches(spark)
     fold = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(10)) if fold is None else fold
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (fold == 0).alias("held_out"))
-    train = d.where(~F.col("held_out")).select("text")
-    words = cut(word_counts(train))
+    train = lambda c: d.where(~F.col("held_out")).select(*c)
+    words = cut(word_counts(train(["text"])))
     n, v, once = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count(F.when(F.col("c") == 1, 1))).first()
-    once = max(1, once)
-    tree = grow(train, words, n)
+    once, least = max(1, once), least_counts(n)[0]
     is_end, is_head = F.col("word") == F.lit(END), _head(words, HEAD_WORDS)
     top = words.where(is_head & ~is_end).toArrow()
     keys = words64(b" ".join(top.column(0).to_pylist()))[0]
     order = np.argsort(keys)
+    keys, counts = keys[order], top.column(1).to_numpy()[order]
+    alphabet = spark.sparkContext.broadcast(keys[counts >= least])
+    beyond = words.where(~is_head & ~is_end & (F.col("c") >= least))
+    if beyond.limit(1).count():  # symbols that are not in the head go to the texts that have them
+        d = cut(d.withColumn("row", F.monotonically_increasing_id()))
+        outside = d.select("row", "text").mapInArrow(_outside(spark.sparkContext.broadcast(keys)), "row long, key long")
+        extra = outside.join(beyond.mapInArrow(_keyed, "key long, n long"), "key").groupBy("row").agg(F.collect_list("key").alias("extra"))
+        d = cut(d.join(extra, "row", "left").drop("row"))
+    else:
+        d = d.withColumn("extra", F.lit(None).cast("array<long>"))
+    model = grow(train(["text", "extra"]), words, n, once, alphabet)
+    live = model.where("delta != 0 or bow != 0")
+    whole = live.limit(HEAD_GRAMS + 1).count() <= HEAD_GRAMS
+    is_top = F.lit(True) if whole else _head(model.withColumnRenamed("n", "c"), HEAD_GRAMS)
+    grams = (live if whole else model.withColumnRenamed("n", "c").where(is_top)).select("key", "delta", "bow").toArrow()
+    gram = grams.column(0).to_numpy().view(U64)
+    order = np.argsort(gram)
     ends = words.where(is_end).collect()
-    inside = words.where((F.col("c") >= n * LEAST_SHARE) | is_end).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    inside = words.where((F.col("c") >= least) | is_end).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     scale = float(np.log10(n + ADD * (v + 1)))
-    shared = spark.sparkContext.broadcast(Scorer(tree, keys[order], top.column(1).to_numpy()[order], ends[0].c if ends else 0,
-                                                 n - inside + once, scale))
+    shared = spark.sparkContext.broadcast(Scorer(alphabet.value, keys, counts, gram[order], grams.column(1).to_numpy()[order],
+                                                 grams.column(2).to_numpy()[order], whole, ends[0].c if ends else 0, n - inside + once, scale))
     rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("other", pa.bool_())]))
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         scorer = shared.value
-        for texts in batches:
-            rows = list(zip(*scorer.batch(lowered(texts)))) if len(texts) else [()] * 5
+        for texts, extra in batches:
+            *rows, rest = scorer.batch(lowered(texts), _extra(extra))
             yield pa.StructArray.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64()), pa.array(rows[3], pa.float64()),
-                 pa.array([[{"word": w, "n": k, "other": o} for w, k, o in x] for x in rows[4]], rare_type)],
-                ["n_tokens", "n_known", "base", "score", "rare"])
+                [*(pa.array(x) for x in rows[:4]),
+                 pa.array([[{"word": w, "n": k, "other": o} for w, k, o in x] for x in rows[4]], rare_type), rest],
+                ["n_tokens", "n_known", "base", "score", "rare", "grams"])
 
-    udf = F.arrow_udf(run, "n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,n:long,other:boolean>>")
-    scored = cut(d.select("id", "held_out", udf("text").alias("s"), F.monotonically_increasing_id().alias("row")))
+    udf = F.arrow_udf(run, "n_tokens long, n_known long, base double, score double, "
+                           "rare array<struct<word:binary,n:long,other:boolean>>, grams array<struct<key:long,d:long,b:long>>")
+    scored = cut(d.select("id", "held_out", udf("text", "extra").alias("s"), F.monotonically_increasing_id().alias("row")))
     rare = scored.select("row", F.explode("s.rare").alias("w")).select("row", "w.word", "w.n", "w.other")
     c = F.coalesce("c", F.lit(0))
     seen = F.when(c > 0, c).otherwise(F.lit(once))
@@ -346,8 +417,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.sum(F.when(F.col("other"), F.col("n") * F.log10(seen)).otherwise(0.0)).alias("more_score"))
     out = scored.select("id", "held_out", "s.n_tokens", "s.n_known", "s.base", "s.score", "row").join(found, "row", "left")
     zero = F.lit(0.0)
+    more_grams = zero
+    if not whole:
+        tail = live.withColumnRenamed("n", "c").where(~is_top).select("key", "delta", "bow")
+        uses = scored.select("row", F.explode("s.grams").alias("g")).select("row", "g.key", "g.d", "g.b").join(tail, "key")
+        out = out.join(uses.groupBy("row").agg(F.sum(F.col("d") * F.col("delta") + F.col("b") * F.col("bow")).alias("gram_score")), "row", "left")
+        more_grams = F.coalesce("gram_score", zero)
     return out.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", zero)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", zero)).alias("score"))
+        (F.col("score") + F.coalesce("more_score", zero) + more_grams).alias("score"))

@@ -127,3 +127,21 @@ def test_edge_rows(spark):
     assert S.score_texts(docs.limit(0)).count() == 0
     none = docs.where("doc_id is null")
     compare(S.score_texts(none), [(None, "a c")])
+
+
+@pytest.mark.parametrize("grams", [S.HEAD_GRAMS, 300])
+def test_model_grows_with_the_corpus(spark, monkeypatch, grams):
+    """Beyond REFERENCE tokens the least counts stand still; frequent grams are broadcast, the others joined."""
+    for name, value in (("REFERENCE", 10_000), ("LEAST_SHARE", 2e-3), ("LEAST_ENTRY", 4e-4), ("HEAD_GRAMS", grams), ("HEAD_WORDS", 60)):
+        monkeypatch.setattr(S, name, value)
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    texts = [x for i, x in rows if not held(i)]
+    words = Counter(t for x in texts for t in toks(x))
+    n = sum(words.values())
+    assert S.least_counts(n) == S.least_counts(100 * n) == (20, 4)
+    got = {r.doc_id: r.score for r in S.score_texts(docs).collect()}
+    monkeypatch.setattr(S, "LEAST_SHARE", 20 / n)
+    monkeypatch.setattr(S, "LEAST_ENTRY", 4 / n)
+    _, score, _, _ = brute_tree(texts, words, monkeypatch)
+    assert all(abs(got[i] - score(x)) < 1e-7 * abs(got[i]) for i, x in rows)
