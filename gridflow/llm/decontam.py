@@ -3,9 +3,10 @@
 A seed is a fixed mask over a window of words; words under its zeros are ignored, so a hit
 survives substitutions there. Seeds of the benchmark items form an index; the seeds at every word
 of every document are looked up in it, and around each hit the document and the item are laid
-over each other without gaps. The best stretch of that overlay (a match counts 1, a mismatch
--2) is a contamination if it has at least ``MIN_MATCHES`` equal words (or the whole of a shorter
-item) at a share of at least ``MIN_SHARE``.
+over each other without gaps. The overlay is a contamination if any stretch of it has at least
+``MIN_MATCHES`` equal words (or the whole of a shorter item) at a share of at least ``MIN_SHARE``.
+What is reported is the best stretch (a match counts 1, a mismatch -2) if it is one of those,
+otherwise the one of them with the most equal words.
 
 The benchmark is the stated query set: it is cut into blocks of a bounded number of words, each
 block's index is broadcast and all documents pass it in one map without a shuffle. Words are
@@ -56,6 +57,18 @@ def hash_of_mask(mask: str) -> int:
     return int("1" + mask, 2)
 
 
+def longest(equal: np.ndarray, least: int, min_share: float) -> tuple[int, int]:
+    """(equal words, length) of the stretch with the most equal words among those with at least
+    ``least`` of them at a share of at least ``min_share``; zeros if there is none."""
+    matches = np.concatenate([[0], np.cumsum(equal)])
+    over = matches - min_share * np.arange(len(matches))  # a stretch qualifies if this doesn't fall from its start to its end
+    lowest = np.minimum.accumulate(over)
+    start = np.searchsorted(-lowest, -over - 1e-9)        # the first place that is no higher than each end
+    n = matches - matches[start]
+    end = int(n.argmax())
+    return (int(n[end]), int(end - start[end])) if n[end] >= least else (0, 0)
+
+
 class SeedIndex:
     """Seeds of one block of benchmark pieces. An item shorter than the masks is one exact seed."""
 
@@ -103,9 +116,11 @@ class SeedIndex:
             gain = score - np.minimum.accumulate(score)
             end = int(gain.argmax())
             start = int(score[:end + 1].argmin())
-            n = int(equal[start:end].sum())
-            if n >= min(min_matches, len(item)) and n >= min_share * (end - start):
-                yield int(doc), int(k), n, end - start
+            n, length, least = int(equal[start:end].sum()), end - start, min(min_matches, len(item))
+            if n < least or n < min_share * length:
+                n, length = longest(equal, least, min_share)
+            if n:
+                yield int(doc), int(k), n, length
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -91,3 +91,30 @@ def test_masks_ignore_their_zeros():
         assert (D.seeds(w, mask) == D.seeds(x, mask)).all()
         x[mask.index("1")] = 99
         assert D.seeds(w, mask)[0] != D.seeds(x, mask)[0]
+
+
+def all_stretches(equal, least):
+    """Most equal words of any stretch that qualifies."""
+    return max((n for i in range(len(equal)) for j in range(i + 1, len(equal) + 1)
+                if (n := sum(equal[i:j])) >= least and 5 * n >= 4 * (j - i)), default=0)
+
+
+def test_every_stretch_is_tested():
+    rng = random.Random(7)
+    for share in (0.5, 0.7, 0.75, 0.8, 0.85):
+        for _ in range(12):
+            equal = [rng.random() < share for _ in range(rng.randrange(1, 70))]
+            n, length = D.longest(np.array(equal), 13, 0.8)
+            assert n == all_stretches(equal, 13) and 5 * n >= 4 * length
+
+
+def test_passage_within_a_longer_unlike_one(spark):
+    rng = random.Random(3)
+    vocab = [f"v{i}" for i in range(5000)]
+    item = [rng.choice(vocab) for _ in range(100)]
+    text = item[:20] + [("zz" if i % 10 in (0, 3, 6) else w) for i, w in enumerate(item[20:])]
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(text[20:]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r["items"], r.matches) for r in D.decontaminate(docs, bench).collect()}
+    eq = [a == b for a, b in zip(text, item)]
+    assert got[1] == ([5], all_stretches(eq, 13)) and (got[2][0] == [5]) == bool(all_stretches(eq[20:], 13))
