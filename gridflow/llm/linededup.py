@@ -1,8 +1,9 @@
 """Corpus-wide removal of repeated lines, exact or one word apart, by a deletion-neighbourhood join.
 
-A line takes part from ``MIN_WORDS`` words on; words are compared with A-Z lower-cased. Of equal
-lines the earliest (least document id, then line number) stays. A line also goes if an earlier
-line lies within one word edit (insertion, deletion or substitution) of it.
+Words are compared with A-Z lower-cased. Of equal lines the earliest (least document id, then line
+number) stays; lines take part from ``EXACT_WORDS`` words on if the caller says so (op9_linededup does:
+every line that is not blank), else from ``MIN_WORDS``. A line of at least ``MIN_WORDS`` words also goes if an
+earlier such line lies within one word edit (insertion, deletion or substitution) of it.
 
 Near lines: every distinct line emits the hashes of its variants, itself and itself less any one
 word. Two lines are one substitution apart if they share the variant less the same position, and
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from gridflow.llm.common import U64, _powers, cut, list_array, lowered, mix, signed, small, small_batches, words64
 
-MIN_WORDS = 5
+MIN_WORDS = 5            # of lines compared with one word edited
+EXACT_WORDS = 1          # of lines compared as they are
 BROADCAST_PLACES = 4_000_000  # (document, line) places, 12 bytes each; more are joined by a shuffle
 _B1, _B2 = 0xD1342543DE82EF95, 0x2545F4914F6CDD1D
 _I1, _I2 = (pow(b, -1, 1 << 64) for b in (_B1, _B2))
@@ -85,16 +87,18 @@ def variants(words: np.ndarray) -> np.ndarray:
     return mix(head[:n] + tail + U64(n - 1))
 
 
-def _lines(least: int):
+def _lines(least: int, near: int):
+    """The lines of at least ``least`` words with their hashes; those of fewer than ``near`` have no halves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [Lines(x, least) for x in lowered(b.column(1))]
             n = [len(x.number) for x in got]
             cat = lambda v, t=U64: np.concatenate(v).astype(t) if v else np.empty(0, t)
             columns = [(*x.whole(), *x.halves()) for x in got]
+            none = cat([x.last - x.first < near for x in got], bool)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(np.repeat(np.arange(len(got)), n))), pa.array(cat([x.number for x in got], np.int32)),
-                 *[pa.array(signed(cat([c[i] for c in columns]))) for i in range(5)]],
+                 *[pa.array(signed(cat([c[i] for c in columns])), mask=none if i > 1 else None) for i in range(5)]],
                 ["id", "line", "h1", "h2", "k1", "k2", "k3"])
     return run
 
@@ -155,20 +159,23 @@ def _by_doc(places: DataFrame) -> DataFrame:
     return F.broadcast(by_doc) if few else by_doc
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                  exact_words: int | None = None) -> DataFrame:
     """(id, lines): per document that loses any, the ascending numbers (from 0) of the lines that go.
 
     Rows that repeat an id are taken as copies of one document: the same line of them has the same
     place, so they lose the same lines. Rows with a null id and null or blank texts have none.
+    Equal lines go from ``exact_words`` words on (default: ``min_words``).
     """
     small_batches(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     place = F.struct("id", "line")
-    lines = cut(d.mapInArrow(_lines(min_words), "id long, line int, h1 long, h2 long, k1 long, k2 long, k3 long"))
-    classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.max(place).alias("to"))
-    classes = cut(classes.select("h1", "h2", "at", (F.col("at") < F.col("to")).alias("repeated")))
+    lines = cut(d.mapInArrow(_lines(min_words if exact_words is None else exact_words, min_words), "id long, line int, h1 long, h2 long, k1 long, k2 long, k3 long"))
+    long = F.col("k1").isNotNull()
+    classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.max(place).alias("to"), F.max(long).alias("long"))
+    classes = cut(classes.select("h1", "h2", "at", (F.col("at") < F.col("to")).alias("repeated"), "long"))
     # lines whose halves occur in no other distinct line have no neighbour
-    halves = lines.select("h1", "h2", F.explode(F.array("k1", "k2", "k3")).alias("key"))
+    halves = lines.where(long).select("h1", "h2", F.explode(F.array("k1", "k2", "k3")).alias("key"))
     shared = cut(halves.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a < b").select("key"))
     able = halves.join(small(shared, BROADCAST_PLACES), "key", "left_semi").select("h1", "h2").distinct()
     able = cut(classes.join(small(able, BROADCAST_PLACES), ["h1", "h2"], "left_semi").select("at.id", "at.line"))
@@ -180,7 +187,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = variant.groupBy("key", "out").agg(F.min(place).alias("keep"), F.max(place).alias("to")).where("keep < to").drop("to")
     substituted = variant.join(first, ["key", "out"]).select(place.alias("at"), "keep").where("keep < at")
     # a variant that is itself a line: one insertion apart; the later of the two goes
-    inserted = variant.join(classes.select(F.col("h1").alias("key"), F.col("at").alias("other")), "key").select(
+    inserted = variant.join(classes.where("long").select(F.col("h1").alias("key"), F.col("at").alias("other")), "key").select(
         F.greatest(place, "other").alias("at"), F.least(place, "other").alias("keep")).where("keep < at")
     pairs = cut(substituted.unionByName(inserted).groupBy("at").agg(F.min("keep").alias("keep")))
     words = words.select(place.alias("w"), "words")
@@ -206,8 +213,9 @@ def without_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", t
                                       F.size(gone).cast("long").alias("n_removed"))).drop("__id", "__gone"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                exact_words: int | None = None) -> DataFrame:
     """One row per input row: id, text without the repeated lines, n_lines, n_removed."""
     d = docs.select(id_col, text_col)
-    return without_lines(d, removed_lines(d, id_col, text_col, min_words), id_col, text_col).select(
+    return without_lines(d, removed_lines(d, id_col, text_col, min_words, exact_words), id_col, text_col).select(
         id_col, F.col("__lines.text").alias(text_col), "__lines.n_lines", "__lines.n_removed")

@@ -35,7 +35,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return linededup.dedup_lines(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), exact_words=linededup.EXACT_WORDS)
 
 
 @query

@@ -103,3 +103,11 @@ def test_within_one():
     f = lambda x, y: L.within_one(np.array(x), np.array(y))
     assert f([1, 2, 3], [1, 2, 3]) and f([1, 2, 3], [1, 9, 3]) and f([1, 2, 3], [1, 3]) and f([1], [])
     assert not f([1, 2, 3], [2, 1, 3]) and not f([1, 2, 3], [2, 3, 4]) and not f([1, 2, 3], [1])
+
+
+def test_short_lines_that_repeat_go_near_ones_stay(spark):
+    rows = [(1, "All rights reserved.\n\none two three four five\nx"), (2, "all  rights reserved.\n\none two three four"),
+            (3, "中文の行です\nall rights waived."), (4, "中文の行です\none two three four six\nX")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in L.dedup_lines(docs, exact_words=L.EXACT_WORDS).collect()}
+    assert out == {1: rows[0][1], 2: "\none two three four", 3: rows[2][1], 4: ""}
