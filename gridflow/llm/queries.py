@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflow.llm import decontam, html, linededup, minhash, packing, quality, secrets, suffixtree, toxicity, winnow
+from gridflow.llm import (
+    decontam, html, linededup, minhash, packing, quality, secrets, suffixtree, toxicity, vectorcodes, winnow,
+)
 from gridflow.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +75,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edited_fingerprints(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query
+def op12_limbcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
+ORACLE["op12_limbcodes"] = vectorcodes.oracle_sql()
