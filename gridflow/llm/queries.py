@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridflow.llm import (
-    decontam, html, linededup, minhash, packing, quality, secrets, suffixtree, toxicity, vectorcodes, winnow,
+    decontam, html, linededup, minhash, packing, quality, secrets, suffixtree, toxicity, variants, vectorcodes,
+    winnow,
 )
 from gridflow.sources.tables import read_table
 
@@ -83,3 +84,8 @@ def op12_limbcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_limbcodes"] = vectorcodes.oracle_sql()
+
+
+@query
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
