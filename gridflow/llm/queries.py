@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridflow.llm import (
-    decontam, html, linededup, minhash, packing, quality, secrets, suffixtree, toxicity, variants, vectorcodes,
+    decontam, html, linededup, minhash, packing, privacy, privacy_examples, quality, secrets, suffixtree, toxicity, variants, vectorcodes,
     winnow,
 )
 from gridflow.sources.tables import read_table
@@ -89,3 +89,8 @@ ORACLE["op12_limbcodes"] = vectorcodes.oracle_sql()
 @query
 def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query
+def op13_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), privacy_examples.labelled_table(spark))
