@@ -8,14 +8,13 @@ order (registry rows first at equal positions).
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridflow import config as C
 from gridflow.functions.expr import is_valid_node_type
-from gridflow.plans.ordered import HOT, SPLIT, add_splits, find_hot_keys, ordered_scan
+from gridflow.plans.joins import checked_broadcast
+from gridflow.plans.ordered import ordered_scan
 from gridflow.session import checkpoint_dir
 
 
@@ -153,152 +152,142 @@ def measurement_route(node_events: DataFrame, readings: DataFrame, **split) -> D
 
 
 # ---------------------------------------------------------------------------
-# node commands: a sequential fold per node, chunked so hot nodes split
+# node commands: who owns a node before each command
 # ---------------------------------------------------------------------------
 
-_CMD_OUT = T.StructType([
-    T.StructField("off", T.LongType()), T.StructField("node_id", T.StringType()),
-    T.StructField("user_id", T.StringType()), T.StructField("op", T.StringType()),
-    T.StructField("accepted", T.BooleanType()), T.StructField("reason", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-])
-_SUMMARY = T.StructType([
-    T.StructField("node_id", T.StringType()), T.StructField(SPLIT, T.LongType()),
-    T.StructField("start_owner", T.StringType()),   # null = start from "no node"
-    T.StructField("end_exists", T.BooleanType()), T.StructField("end_owner", T.StringType()),
-])
-_START = T.StructType([
-    T.StructField("node_id", T.StringType()), T.StructField(SPLIT, T.LongType()),
-    T.StructField("in_exists", T.BooleanType()), T.StructField("in_owner", T.StringType()),
-])
-
-
-def _step(exists, owner, op, user, valid, vtype):
-    """One command against (exists, owner): (exists, owner, accepted, reason, event)."""
-    if op not in ("create", "update", "delete"):
-        return exists, owner, False, "unknown command", None
-    if not valid:
-        return exists, owner, False, "user not registered", None
-    if op == "create":
-        if exists:
-            return exists, owner, False, "node already exists", None
-        if not vtype:
-            return exists, owner, False, "invalid node type", None
-        return True, user, True, None, "NodeCreated"
-    if not exists:
-        return exists, owner, False, "node does not exist", None
-    if owner != user:
-        return exists, owner, False, "not the owner", None
-    if op == "update":
-        return True, owner, True, None, "NodeUpdated"
-    return False, None, True, None, "NodeDeleted"
-
-
-def _fold_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Apply the commands of one (node, split) chunk from its start state."""
-    pdf = pdf.sort_values("off", kind="stable")
-    exists = bool(pdf["in_exists"].iloc[0]) if pdf["in_exists"].iloc[0] is not None else False
-    owner = pdf["in_owner"].iloc[0]
-    acc, rea, evt = [], [], []
-    for op, user, valid, vtype in zip(pdf["op"], pdf["user_id"], pdf["user_valid"], pdf["valid_type"]):
-        exists, owner, a, r, e = _step(exists, owner, op, user, bool(valid), bool(vtype))
-        acc.append(a)
-        rea.append(r)
-        evt.append(e)
-    return pd.DataFrame({"off": pdf["off"].astype("int64"), "node_id": pdf["node_id"],
-                         "user_id": pdf["user_id"], "op": pdf["op"], "accepted": acc,
-                         "reason": rea, "event_type": evt})
-
-
-def _fold_chunk_from(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-    """Cogrouped form of ``_fold_chunk``: the chunk's rows and its start state."""
-    if pdf.empty:
-        return pd.DataFrame({f.name: [] for f in _CMD_OUT.fields})
-    ex = bool(start["in_exists"].iloc[0]) if len(start) else False
-    owner = start["in_owner"].iloc[0] if len(start) else None
-    return _fold_chunk(pdf.assign(in_exists=ex, in_owner=owner))
-
-
-def _chunk_summary(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Transition summary of one chunk.
-
-    From "no node" only an acceptable create changes the state (to owned by its
-    user); from "owned by u" only an acceptable delete by u does (to "no node").
-    Scanning backwards, E[i] = end state when starting with no node just before
-    row i. Rows: the end state from "no node", and for each user u with an
-    acceptable delete, the end state from "owned by u" (absent = unchanged).
-    """
-    pdf = pdf.sort_values("off", kind="stable").reset_index(drop=True)
-    n = len(pdf)
-    ops, users = pdf["op"].tolist(), pdf["user_id"].tolist()
-    valid, vtype = pdf["user_valid"].tolist(), pdf["valid_type"].tolist()
-    empty = (False, None)
-    E = [empty] * (n + 1)        # E[i]: end state starting with no node before row i
-    after_delete: dict = {}      # user -> end state right after that user's next acceptable delete
-    first_delete_end: dict = {}  # user -> end state after the first acceptable delete of the chunk
-    for i in range(n - 1, -1, -1):
-        op, u, v, vt = ops[i], users[i], bool(valid[i]), bool(vtype[i])
-        if op == "delete" and v:
-            after_delete[u] = E[i + 1]
-            first_delete_end[u] = E[i + 1]
-        if op == "create" and v and vt:
-            E[i] = after_delete.get(u, (True, u))
-        else:
-            E[i] = E[i + 1]
-    node, split = pdf["node_id"].iloc[0], int(pdf[SPLIT].iloc[0])
-    rows = [(node, split, None, E[0][0], E[0][1])]
-    rows += [(node, split, u, e[0], e[1]) for u, e in first_delete_end.items()]
-    return pd.DataFrame(rows, columns=["node_id", SPLIT, "start_owner", "end_exists", "end_owner"])
-
-
-def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Start state of every chunk of one node from the chunk summaries."""
-    pdf = pdf.sort_values(SPLIT, kind="stable")
-    state = (False, None)
-    out = []
-    for split, g in pdf.groupby(SPLIT, sort=True):
-        out.append((g["node_id"].iloc[0], int(split), state[0], state[1]))
-        if not state[0]:
-            row = g[g["start_owner"].isna()].iloc[0]
-            state = (bool(row["end_exists"]), row["end_owner"])
-        else:
-            m = g[g["start_owner"] == state[1]]
-            if len(m):
-                state = (bool(m["end_exists"].iloc[0]), m["end_owner"].iloc[0])
-    return pd.DataFrame(out, columns=["node_id", SPLIT, "in_exists", "in_owner"])
-
-
-def node_commands(user_events: DataFrame, commands: DataFrame, **split) -> DataFrame:
+# nodes with at most so many commands are folded in one array expression each
+FOLD_ROWS = 1024
+
+
+def _moves(op, valid, valid_type, user, has, owner):
+    """Does the command make a node without an owner owned, or an owned one free?"""
+    valid = F.coalesce(valid, F.lit(False))
+    return valid & (op == "create") & valid_type & ~has, valid & (op == "delete") & has & owner.eqNullSafe(user)
+
+
+def _folded(commands: DataFrame) -> DataFrame:
+    """Adds ``before`` (has, owner), the node's state before each command, by a fold over the array of the
+    node's commands in arrival order."""
+    cols = ["off", "user_id", "op", "user_valid", "valid_type"]
+    rows = commands.groupBy("node_id").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("_rows"))
+    state = lambda has, owner: F.struct(has.alias("has"), owner.alias("owner"))
+    nobody = state(F.lit(False), F.lit(None).cast("string"))
+
+    def step(acc, r):
+        now = acc["now"]
+        takes, frees = _moves(r["op"], r["user_valid"], r["valid_type"], r["user_id"], now["has"], now["owner"])
+        after = F.when(takes, state(F.lit(True), r["user_id"])).when(frees, nobody).otherwise(now)
+        return F.struct(after.alias("now"), F.concat(acc["seen"], F.array(now)).alias("seen"))
+
+    start = F.struct(nobody.alias("now"), F.array().cast("array<struct<has:boolean,owner:string>>").alias("seen"))
+    seen = F.aggregate("_rows", start, step, lambda acc: acc["seen"])
+    out = rows.select("node_id", F.explode(F.arrays_zip(F.col("_rows").alias("r"), seen.alias("b"))).alias("x"))
+    return out.select("node_id", *[F.col(f"x.r.{c}").alias(c) for c in cols], F.col("x.b").alias("before"))
+
+
+def _same(a: str, b: str, *more: tuple[str, str]) -> F.Column:
+    out = F.col(a).eqNullSafe(F.col(b))
+    for x, y in more:
+        out = out & (F.col(x) == F.col(y))
+    return out
+
+
+def _reached(jumps: DataFrame, first: DataFrame) -> DataFrame:
+    """Rows (node_id, off) on the chain that starts at ``first`` and goes from ``off`` to ``jump``.
+
+    Jumps are doubled: round k adds what lies 2^k steps behind what is known, so the rounds are the
+    logarithm of the longest chain, and nodes whose chain is known drop out. Keys are (node, position),
+    so one node's chain is spread over all tasks."""
+    reached, jumps = first.checkpoint(), jumps.where("jump is not null").checkpoint()
+    while True:
+        at = reached.select(F.col("node_id").alias("_n"), F.col("off").alias("_o"))
+        new = jumps.join(at, _same("node_id", "_n", ("off", "_o"))).select("node_id", F.col("jump").alias("off")).checkpoint()
+        if new.isEmpty():
+            return reached
+        reached = reached.unionByName(new)
+        on = jumps.select(F.col("node_id").alias("_n"), F.col("off").alias("_o"), F.col("jump").alias("further"))
+        jumps = jumps.join(on, _same("node_id", "_n", ("jump", "_o"))).select(
+            "node_id", "off", F.col("further").alias("jump")).checkpoint()
+
+
+def _chained(commands: DataFrame, **split) -> DataFrame:
+    """Adds ``before`` as ``_folded`` does, for nodes of any size.
+
+    A command that can change a node is an acceptable create or delete. A create that is accepted ends with
+    the next delete by the same user, and the first create behind that delete is accepted next, so each
+    create points to one later create; the accepted ones are those reached from the node's first. Both
+    ends are found by ordered scans, the chain by doubling."""
+    moving = commands.where("user_valid and (op = 'create' and valid_type or op = 'delete')").select(
+        "node_id", "user_id", "off", (-F.col("off")).alias("_back"), (F.col("op") == "create").alias("_create"))
+    moving = moving.withColumn("_at", F.when(F.col("_create"), F.col("off")))
+    moving = ordered_scan(moving, ["node_id"], "_back", fills_before={"_at": "_next"}, **split)
+    moving = moving.withColumn("_end", F.when(~F.col("_create"), F.struct(F.col("off").alias("off"), F.col("_next").alias("next"))))
+    creates = ordered_scan(moving, ["node_id", "user_id"], "_back", fills_before={"_end": "_freed"}, **split).where("_create").select(
+        "node_id", "off", "user_id", F.col("_freed.off").alias("freed"), F.col("_freed.next").alias("jump")).checkpoint()
+    reached = _reached(creates.select("node_id", "off", "jump"), creates.groupBy("node_id").agg(F.min("off").alias("off")))
+    taken = creates.join(reached.select(F.col("node_id").alias("_n"), F.col("off").alias("_o")), _same("node_id", "_n", ("off", "_o"))).select(
+        "node_id", "off", "user_id", "freed").checkpoint()
+    events = taken.select("node_id", F.col("off"), F.lit(True).alias("has"), F.col("user_id").alias("owner")).unionByName(
+        taken.where("freed is not null").select("node_id", F.col("freed").alias("off"), F.lit(False).alias("has"), F.lit(None).cast("string").alias("owner")))
+    # an event holds from the position behind its command on
+    events = events.withColumn("off", F.col("off") + 1)
+    return _asof(events, commands, "node_id", F.struct("has", "owner"), "before", **split)
+
+
+def node_commands(user_events: DataFrame, commands: DataFrame, *, owners: DataFrame | None = None,
+                  fold_rows: int = FOLD_ROWS, **split) -> DataFrame:
     """Validate node create / update / delete commands.
 
     Checks, in order: user registered (as of the command) -> node exists or
     not -> (create) valid type / (update, delete) owner. Update does not check
     the type. Output: off, node_id, user_id, op, accepted, reason, event_type.
+    A node has one command per ``off``, none below 0. ``owners`` (node_id, owner): nodes that exist before
+    the first command.
 
-    Each node's commands are folded in arrival order per (node, split) chunk;
-    ordinary nodes are one chunk starting from "no node". A hot node's chunks
-    first emit transition summaries, which are chained per node into each
-    chunk's start state before the chunks are folded in parallel.
+    Whether a command is accepted depends on the earlier accepted ones. Nodes of up to ``fold_rows``
+    commands are folded in one expression each, behind the exchange on the node; the commands of larger nodes
+    are chained by pointer doubling, so no task holds a node's history. All of it is native.
     """
-    # the stamped commands are one-to-one with the raw ones (same node, same position):
-    # find hot nodes on the raw commands, without recomputing the as-of scan
-    hot = find_hot_keys(commands, ["node_id"], "off", split.get("rows_per_split"))
+    counts = commands.groupBy("node_id").agg(F.count(F.lit(1)).alias("_n"))
     c = user_valid_asof(user_events, commands, **split)
     c = c.withColumn("valid_type", is_valid_node_type(F.col("node_type")))
     c = c.select("off", "node_id", "user_id", "op", "user_valid", "valid_type")
-    sdf, any_hot = add_splits(c, ["node_id"], "off", hot=hot)
-    sdf = sdf.drop(HOT)
-    if not any_hot:
-        start = sdf.withColumn("in_exists", F.lit(False)).withColumn("in_owner", F.lit(None).cast("string"))
-        return start.groupBy("node_id", SPLIT).applyInPandas(_fold_chunk, _CMD_OUT)
-    # hot nodes: chunk summaries -> chained start states -> fold each chunk from its start.
-    # Both chunk passes read the same rows: checkpoint them once (shared folder).
-    checkpoint_dir(sdf.sparkSession)
-    sdf = sdf.repartition("node_id", SPLIT).checkpoint(eager=True)
-    summ = sdf.groupBy("node_id", SPLIT).applyInPandas(_chunk_summary, _SUMMARY)
-    starts = summ.groupBy("node_id").applyInPandas(_chain, _START)
-    return (sdf.groupBy("node_id", SPLIT).cogroup(starts.groupBy("node_id", SPLIT))
-               .applyInPandas(_fold_chunk_from, _CMD_OUT))
+    if owners is not None:  # as if each owner had created the node before
+        c = c.unionByName(owners.select(F.lit(-1).cast("long").alias("off"), "node_id", F.col("owner").alias("user_id"), F.lit("create").alias("op"),
+                                        F.lit(True).alias("user_valid"), F.lit(True).alias("valid_type")))
+    checkpoint_dir(c.sparkSession)
+    large = counts.where(F.col("_n") > fold_rows).select(F.col("node_id").alias("_large"))
+    if large.isEmpty():
+        return _decided(_folded(c), owners)
+    c = c.checkpoint()  # both ways read it
+    large = checked_broadcast(large.checkpoint())
+    of = F.col("node_id").eqNullSafe(F.col("_large"))
+    return _decided(_folded(c.join(large, of, "left_anti")).unionByName(_chained(c.join(large, of, "left_semi"), **split)), owners)
+
+
+def _decided(commands: DataFrame, owners: DataFrame | None) -> DataFrame:
+    """The decision on each command from the state ``before`` it."""
+    has, owner, op = F.coalesce(F.col("before.has"), F.lit(False)), F.col("before.owner"), F.col("op")
+    known = F.coalesce(op.isin("create", "update", "delete"), F.lit(False))
+    create = op == "create"
+    reason = (F.when(~known, F.lit("unknown command"))
+               .when(~F.col("user_valid"), F.lit("user not registered"))
+               .when(create & has, F.lit("node already exists"))
+               .when(create & ~F.col("valid_type"), F.lit("invalid node type"))
+               .when(~create & ~has, F.lit("node does not exist"))
+               .when(~create & ~owner.eqNullSafe(F.col("user_id")), F.lit("not the owner")))
+    event = (F.when(create, F.lit("NodeCreated")).when(op == "update", F.lit("NodeUpdated")).otherwise(F.lit("NodeDeleted")))
+    rows = commands if owners is None else commands.where("off >= 0")
+    return rows.withColumn("reason", reason).select(
+        "off", "node_id", "user_id", "op", F.col("reason").isNull().alias("accepted"), "reason",
+        F.when(F.col("reason").isNull(), event).alias("event_type"))
+
+
+def owners_after(decided: DataFrame) -> DataFrame:
+    """Per node that accepted commands created or deleted: its owner after them (null: the node is gone)."""
+    moved = decided.where("accepted and op <> 'update'")
+    last = F.max_by(F.struct((F.col("op") == "create").alias("has"), F.col("user_id").alias("owner")), "off")
+    return moved.groupBy("node_id").agg(last.alias("_l")).select("node_id", F.col("_l.has").alias("has"), F.when(F.col("_l.has"), F.col("_l.owner")).alias("owner"))
 
 
 def accepted_node_events(commands: DataFrame, decided: DataFrame) -> DataFrame:

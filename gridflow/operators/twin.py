@@ -108,29 +108,28 @@ def parent_changes(observations: DataFrame, **split) -> DataFrame:
 TOPK_SALTS = 1024   # fixed fan-out of the partial top-k; bounds its output to k rows per (node, salt)
 
 
-def latest_parents(updates: DataFrame, depth: int = C.PARENT_HISTORY_DEPTH) -> DataFrame:
-    """Current parent and history per node with at least one update: the newest
-    depth+1 entries of [initial parent, updates...].
-
-    Two-phase top-k: rows are first ranked within (node, off mod TOPK_SALTS),
-    keeping depth+1 per group, then the survivors (at most (depth+1) x salts
-    per node) are ranked per node. A hot node is spread over many tasks and no
-    detection job is needed. The initial parent fills the slot right after a
-    node's oldest update when it has fewer than depth+1 updates.
+def newest_parents(updates: DataFrame, k: int) -> DataFrame:
+    """(node_id, newest): each node's last ``k`` parents, newest first.
+
+    Two-phase top-k: rows are first ranked within (node, off mod TOPK_SALTS), keeping k per group, then
+    the survivors (at most k x salts per node) are ranked per node. A hot node is spread over many
+    tasks and no detection job is needed.
     """
-    k = depth + 1
     u = updates.select("node_id", "off", "parent")
     w1 = Window.partitionBy("node_id", F.pmod(F.col("off"), F.lit(TOPK_SALTS))).orderBy(F.desc("off"))
     part = u.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k).drop("_r")
     w = Window.partitionBy("node_id").orderBy(F.desc("off"))
     top = part.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-    g = top.groupBy("node_id").agg(F.count(F.lit(1)).alias("_m"),
-                                   *[F.max(F.when(F.col("_r") == i, F.col("parent"))).alias(f"_p{i}")
-                                     for i in range(1, k + 1)])
-    init = initial_parent(F.col("node_id"))
-    hist = [F.coalesce(F.col(f"_p{i + 1}"), F.when(F.col("_m") == i, init)).alias(f"hist_{i}")
-            for i in range(1, depth + 1)]
-    return g.select("node_id", F.col("_p1").alias("parent"), *hist)
+    line = F.sort_array(F.collect_list(F.struct("_r", "parent")))
+    return top.groupBy("node_id").agg(F.transform(line, lambda x: x["parent"]).alias("newest"))
+
+
+def latest_parents(updates: DataFrame, depth: int = C.PARENT_HISTORY_DEPTH) -> DataFrame:
+    """Current parent and history per node with at least one update: the newest depth+1 entries of
+    [initial parent, updates...]."""
+    line = F.concat("newest", F.array(initial_parent(F.col("node_id"))))
+    return newest_parents(updates, depth + 1).select(
+        "node_id", F.get("newest", F.lit(0)).alias("parent"), *[F.get(line, F.lit(i)).alias(f"hist_{i}") for i in range(1, depth + 1)])
 
 
 def crashed_now(activity: DataFrame, period_changes: DataFrame, *,

@@ -18,9 +18,9 @@ from gridflow.plans.queries.registry_q import ACCOUNT_SQL, NODE_COMMANDS_SQL
 from gridflow.session import checkpoint_dir
 from gridflow.sources import views as V
 from gridflow.sources.tables import read_table
+from gridflow.streaming import continuous as Co
 from gridflow.streaming import sinks as S
 from gridflow.streaming import sources as Src
-from gridflow.streaming import stateful as St
 
 USER_FIELDS = {"type": "type", "userId": "user_id", "name": "name", "email": "email", "timestamp": "timestamp"}
 USER_JSON = "type string, userId string, name string, email string, timestamp long"
@@ -125,8 +125,8 @@ def resume_point(spark, sf):
     stream = s.readStream.schema(m.schema).option("recursiveFileLookup", "true").parquet
     for part, rows in enumerate((m.where(F.col("off") <= half), m.where(F.col("off") > half))):
         rows.write.parquet(f"{src}/part={part}")
-        S.finish(S.update_sink(St.billing_stream(stream(src)), "", f"{base}/out", f"{base}/checkpoint", output_mode="append"))
-    return S.read_output(s, f"{base}/out", St.BILL_OUT).select("off", "node_id", "window_no", "cost_num")
+        Co.billing(stream(src), base)
+    return s.read.parquet(f"{base}/out").select("off", "node_id", "window_no", "cost_num")
 
 
 @register("users_from_commands", ACCOUNT_SQL + """

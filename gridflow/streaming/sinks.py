@@ -11,7 +11,7 @@ import os
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,8 +55,9 @@ def latest_per_key(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
 
 def latest_of(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with a ``batch_id`` -> the last one per key."""
-    w = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r", "batch_id")
+    values = [c for c in df.columns if c not in keys and c != "batch_id"]
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns if c != "batch_id"])
 
 
 def stream_session(spark: SparkSession, **settings: str) -> SparkSession:

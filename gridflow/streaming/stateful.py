@@ -1,16 +1,18 @@
-"""Keyed-state streaming operators (``applyInPandasWithState``).
+"""Streaming operators with keyed state and event-time order (``transformWithStateInPandas``).
 
-Each function takes a streaming DataFrame and returns a streaming DataFrame;
-the per-key state lives in the state store (checkpointed with the offsets, so a
-restart resumes exactly). Inside a call, a key's rows are sorted by arrival
-position before they are folded: the engine does not order them.
+Each function takes a streaming DataFrame and returns a streaming DataFrame. Rows are first reduced by
+a native watermarked aggregate -- to (district, step) or (node, tick interval) -- that holds what waits
+for the watermark in its own state and combines partially, so neither a hot key's raw rows nor waiting rows
+ever reach Python. A keyed fold of constant state then takes the closed groups in order of time. State is
+checkpointed with the offsets, so a restart resumes exactly. Both need the RocksDB state store provider,
+set before the query starts.
+
+The operators without event-time order (billing, charge by micro-batch, node commands, twin) are native
+micro-batch steps: see ``steps`` and ``continuous``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,132 +21,7 @@ from pyspark.sql import types as T
 from gridflow import config as C
 
 _KWH = float(C.CENTI_KW_MS_PER_KWH)
-
-
-# ---- district charge, per micro-batch ---------------------------------------------
-
-CHARGE_OUT = T.StructType([
-    T.StructField("district_id", T.StringType()), T.StructField("batch_balance_kw", T.DoubleType()),
-    T.StructField("num_measurements", T.LongType()), T.StructField("max_event_ms", T.LongType()),
-    T.StructField("charge_kwh", T.DoubleType()),
-])
-# the accumulated charge is kept as the text of an integer of any size, as the batch form's decimals
-CHARGE_STATE = T.StructType([T.StructField("charge", T.StringType()), T.StructField("last_t", T.LongType())])
-
-
-_PARTIAL = T.StructType([T.StructField("district_id", T.StringType()), T.StructField("bal", T.LongType()),
-                         T.StructField("n", T.LongType()), T.StructField("mx", T.LongType())])
-
-
-def _partial_balance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Map-side combine: one (sum, count, max time) row per district per Arrow batch."""
-    for pdf in batches:
-        if len(pdf):
-            g = pdf.groupby("district_id", sort=False).agg(bal=("v100", "sum"), n=("v100", "size"), mx=("t", "max"))
-            yield g.reset_index().astype({"bal": "int64", "n": "int64", "mx": "int64"})
-
-
-def _charge_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    charge, last = state.get if state.exists else ("0", -1)
-    charge, bal, n, mx = int(charge), 0, 0, last
-    for pdf in pdfs:
-        if len(pdf):
-            bal += int(pdf["bal"].sum())
-            n += int(pdf["n"].sum())
-            mx = max(mx, int(pdf["mx"].max()))
-    if last > 0 and mx - last > 0:
-        charge = max(0, charge + bal * (mx - last))
-    state.update((str(charge), mx))
-    yield pd.DataFrame({"district_id": [key[0]], "batch_balance_kw": [bal / 100.0], "num_measurements": [n],
-                        "max_event_ms": [mx], "charge_kwh": [charge / _KWH]})
-
-
-def charge_stream(readings: DataFrame) -> DataFrame:
-    """Per district and micro-batch: the batch's summed power and count, and the
-    accumulator charge integrated over the time since the last batch's max event
-    time (clamped at 0, never expires). Output: update mode, one row per
-    district per batch. Late rows are counted; the clock never moves back."""
-    r = readings.where(F.col("district_id").isNotNull() & F.col("v100").isNotNull() & F.col("t").isNotNull())
-    # districts are few and hot: combine per input batch first, so the keyed state
-    # sees partial sums, not a district's raw rows
-    partial = r.select("district_id", "v100", "t").mapInPandas(_partial_balance, _PARTIAL)
-    return partial.groupBy("district_id").applyInPandasWithState(
-        _charge_fn, CHARGE_OUT, CHARGE_STATE, "update", "NoTimeout")
-
-
-# ---- billing windows, continuous -----------------------------------------------------
-
-BILL_OUT = T.StructType([
-    T.StructField("off", T.LongType()), T.StructField("node_id", T.StringType()),
-    T.StructField("window_no", T.LongType()), T.StructField("node_type", T.StringType()),
-    T.StructField("district_id", T.StringType()), T.StructField("energy_ckwms", T.LongType()),
-    T.StructField("total_energy_kwh", T.DoubleType()), T.StructField("cost_num", T.LongType()),
-    T.StructField("cost", T.DoubleType()), T.StructField("measurement_count", T.IntegerType()),
-    T.StructField("period_start", T.LongType()), T.StructField("period_end", T.LongType()),
-])
-BILL_STATE = T.StructType([
-    T.StructField("has_last", T.BooleanType()), T.StructField("last_t", T.LongType()),
-    T.StructField("k", T.IntegerType()), T.StructField("energy", T.LongType()),
-    T.StructField("start_t", T.LongType()), T.StructField("bills", T.LongType()),
-])
-
-
-def _billing_fn_factory(size: int):
-    import numpy as np
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        """Vectorized fold of one node's readings of a micro-batch (sorted by ``off``)
-        onto the open window carried in state."""
-        has_last, last_t, k0, e0, start0, bills0 = state.get if state.exists else (False, 0, 0, 0, 0, 0)
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("off", kind="stable")
-        t = pdf["t"].to_numpy(dtype=np.int64)
-        v = np.abs(pdf["v100"].to_numpy(dtype=np.int64))
-        prev = np.concatenate(([last_t], t[:-1]))
-        has_prev = np.ones(len(t), dtype=bool)
-        has_prev[0] = has_last
-        e = np.where(has_prev, v * np.maximum(t - prev, 0), 0)
-        j = k0 + np.arange(len(t))                 # position within the open window sequence
-        win = j // size                            # 0 = the window already open in state
-        closes = (j + 1) % size == 0
-        cum = np.cumsum(e)
-        win_start_cum = np.zeros(len(t), dtype=np.int64)
-        first_in_win = (j % size == 0)
-        # energy accumulated before each window starts inside this batch
-        starts_idx = np.flatnonzero(first_in_win)
-        base = np.zeros(win.max() + 1 if len(win) else 1, dtype=np.int64)
-        base[win[starts_idx]] = cum[starts_idx] - e[starts_idx]
-        win_start_cum = base[win]
-        energy = cum - win_start_cum + np.where(win == 0, e0, 0)
-        start_t = np.zeros(win.max() + 1 if len(win) else 1, dtype=np.int64)
-        start_t[0] = start0
-        start_t[win[starts_idx]] = t[starts_idx]
-        out = []
-        idx = np.flatnonzero(closes)
-        for i in idx:
-            typ = pdf["node_type"].iat[i]
-            rate = C.RATE_HUNDREDTHS.get(typ, 0)
-            en = int(energy[i])
-            out.append((int(pdf["off"].iat[i]), key[0], bills0 + int(win[i]), typ, pdf["district_id"].iat[i], en,
-                        en / _KWH, en * rate, en * rate / (_KWH * 100.0) + 0.0, size, int(start_t[win[i]]),
-                        int(t[i])))
-        n = len(t)
-        if n:
-            k = (k0 + n) % size
-            last_win = int(win[-1]) if k else int(win[-1]) + 1
-            e_open = int(energy[-1]) if k else 0
-            s_open = int(start_t[win[-1]]) if k else 0
-            state.update((True, int(t[-1]), k, e_open, s_open, bills0 + last_win))
-        yield pd.DataFrame(out, columns=[f.name for f in BILL_OUT.fields])
-    return fn
-
-
-def billing_stream(readings: DataFrame, size: int = C.BILLING_WINDOW_SIZE) -> DataFrame:
-    """Bills per ``size`` readings per node as a continuous query (append mode):
-    the open window (count, energy, start, last time) is keyed state, so a
-    restart from the checkpoint neither loses nor double-bills readings."""
-    r = readings.select("off", "node_id", "node_type", "district_id", "v100", "t")
-    return r.groupBy("node_id").applyInPandasWithState(
-        _billing_fn_factory(size), BILL_OUT, BILL_STATE, "append", "NoTimeout")
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 # ---- liveness with event-time timers -------------------------------------------------
@@ -154,74 +31,75 @@ LIVE_OUT = T.StructType([
     T.StructField("event", T.StringType()), T.StructField("last_seen_ms", T.LongType()),
     T.StructField("period_ms", T.LongType()),
 ])
-LIVE_STATE = T.StructType([
-    T.StructField("known", T.BooleanType()), T.StructField("last_seen", T.LongType()),
-    T.StructField("period", T.LongType()), T.StructField("crashed", T.BooleanType()),
-    T.StructField("cursor", T.LongType()), T.StructField("pending", T.BinaryType()),
+_LIVE_STATE = T.StructType([
+    T.StructField("known", T.BooleanType()), T.StructField("seen", T.LongType()), T.StructField("period", T.LongType()),
+    T.StructField("crashed", T.BooleanType()), T.StructField("cursor", T.LongType()), T.StructField("timer", T.LongType()),
 ])
 
 
-def _liveness_fn_factory(default_period: int, tick: int, mult: int):
-    def eff(p):
-        return p if p else default_period
-
-    def run_ticks(st, until_excl, node, out):
-        """Evaluate ticks in [cursor, until_excl) with constant (last_seen, period)."""
-        known, seen, per, crashed, cursor = st
-        if not known:
-            return (known, seen, per, crashed, until_excl)
-        p = eff(per)
-        t0 = -(-cursor // tick) * tick
-        if t0 < until_excl:
-            bad0 = t0 - seen > mult * p
-            if bad0 != crashed:
-                out.append((node, t0, "crash" if bad0 else "recovered", seen, p))
-                crashed = bad0
-            tc = ((seen + p * mult) // tick + 1) * tick
-            if tc > t0 and tc < until_excl and not crashed:
-                out.append((node, tc, "crash", seen, p))
-                crashed = True
-        return (known, seen, per, crashed, until_excl)
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        node = key[0]
-        *st, held = state.get if state.exists else (False, 0, 0, False, 0, b"")
-        st, out = tuple(st), []
-        # rows the watermark has not reached wait for earlier ones: (t, kind, off, period or -1)
-        rows = [np.frombuffer(held, dtype=np.int64).reshape(-1, 4)]
-        if not state.hasTimedOut:
-            for pdf in pdfs:
-                period = pdf["period_ms"].fillna(-1)
-                rows.append(np.stack([pdf[c].to_numpy(np.int64) for c in ("t", "kind", "off")] + [period.to_numpy(np.int64)], axis=1))
-        rows = np.concatenate(rows)
-        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
-        wm = state.getCurrentWatermarkMs()
-        ready = int(np.searchsorted(rows[:, 0], wm, side="right"))
-        for t, kind, _off, per in rows[:ready].tolist():
-            if t > st[4]:
-                st = run_ticks(st, t, node, out)
-            known, seen, p, crashed, cursor = st
-            if kind == 0:
-                st = (True, max(seen, t) if known else t, p, crashed, max(cursor, t))
-            else:
-                st = (known, seen, max(per, 0), crashed, max(cursor, t))
-        st = run_ticks(st, wm, node, out) if wm > st[4] else st  # ticks before the watermark
-        rows = rows[ready:]
-        known, seen, per, crashed, cursor = st
-        state.update((*st, rows.tobytes()))
-        timers = [int(rows[0, 0])] if len(rows) else []
-        if known:
-            # the next tick where the flag can change in the open segment
-            p = eff(per)
-            t0 = -(-cursor // tick) * tick
-            if not crashed:
-                timers.append(((seen + p * mult) // tick + 1) * tick)   # first bad tick
-            elif t0 - seen <= mult * p:
-                timers.append(t0)                                       # recovers there, or never
-        if timers:
-            state.setTimeoutTimestamp(max(min(timers), wm + 1))
-        yield pd.DataFrame(out, columns=[f.name for f in LIVE_OUT.fields])
-    return fn
+def _liveness_processor(default_period: int, tick: int, multiplier: int):
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    class Liveness(StatefulProcessor):
+        """Per node: last seen, period, crashed or not, and the tick up to which the flag is known."""
+
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.state = handle.getValueState("liveness", _LIVE_STATE)
+
+        def _ticks(self, s: dict, below: int, node: str, out: list) -> None:
+            """Evaluate the ticks in [cursor, below), between which nothing changes."""
+            first = -(-s["cursor"] // tick) * tick
+            if s["known"] and first < below:
+                period = s["period"] or default_period
+                bad = first - s["seen"] > multiplier * period
+                if bad != s["crashed"]:
+                    out.append((node, first, "crash" if bad else "recovered", s["seen"], period))
+                    s["crashed"] = bad
+                crash = ((s["seen"] + multiplier * period) // tick + 1) * tick
+                if not s["crashed"] and first < crash < below:
+                    out.append((node, crash, "crash", s["seen"], period))
+                    s["crashed"] = True
+            s["cursor"] = max(s["cursor"], below)
+
+        def _load(self) -> dict:
+            names = _LIVE_STATE.names
+            return dict(zip(names, self.state.get())) if self.state.exists() else dict(zip(names, (False, 0, 0, False, 0, -1)))
+
+        def _done(self, s: dict, watermark: int, node: str, out: list) -> pd.DataFrame:
+            self._ticks(s, watermark + 1, node, out)
+            due = -1
+            if s["known"] and not s["crashed"]:
+                due = ((s["seen"] + multiplier * (s["period"] or default_period)) // tick + 1) * tick
+            if due != s["timer"]:
+                if s["timer"] > watermark:
+                    self.handle.deleteTimer(s["timer"])
+                if due >= 0:
+                    self.handle.registerTimer(due)
+                s["timer"] = due
+            self.state.update(tuple(s[n] for n in _LIVE_STATE.names))
+            return pd.DataFrame(out, columns=LIVE_OUT.names)
+
+        def handleInputRows(self, key, rows, timerValues):
+            closed = pd.concat(list(rows), ignore_index=True).sort_values("tick", kind="stable")
+            s, out = self._load(), []
+            for at, seen, period in zip(closed["tick"], closed["seen"], closed["period"]):
+                self._ticks(s, int(at), key[0], out)
+                if seen == seen and seen is not None:
+                    s["seen"], s["known"] = max(s["seen"], int(seen)) if s["known"] else int(seen), True
+                if period == period and period is not None:
+                    s["period"] = max(int(period), 0)
+            yield self._done(s, timerValues.getCurrentWatermarkInMs(), key[0], out)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            s, out = self._load(), []
+            s["timer"] = -1
+            yield self._done(s, timerValues.getCurrentWatermarkInMs(), key[0], out)
+
+        def close(self) -> None:
+            pass
+
+    return Liveness()
 
 
 def liveness_stream(activity: DataFrame, period_changes: DataFrame, *, watermark: str,
@@ -229,79 +107,29 @@ def liveness_stream(activity: DataFrame, period_changes: DataFrame, *, watermark
                     multiplier: int = C.HEARTBEAT_MULTIPLIER) -> DataFrame:
     """Crash / recovered events as a continuous query (append mode).
 
-    Rows wait in state until the watermark reaches them and are then taken in order of
-    event time, so a late row within the watermark changes nothing (the batch form
-    sees the same order). An event-time timer at the earliest waiting row or the open
-    segment's first bad tick goes on once the watermark passes it.
-    A silent *stream* moves no watermark, so a heartbeat source (any input)
-    is needed for crashes to surface. Timers fire once the watermark passes
-    them: emitted ticks are those before the watermark (batch form: horizon).
+    The flag is evaluated at ticks only, so of all rows of a node between two ticks its latest activity and
+    latest period change suffice: a watermarked aggregate by (node, tick interval) keeps them until the
+    watermark reaches the interval's tick. A late row within the watermark changes nothing (the batch form
+    sees the same rows); later ones are dropped. A keyed fold takes closed intervals in order and
+    registers an event-time timer at the tick at which a silent node crashes.
+    A silent *stream* moves no watermark, so a heartbeat source (any input) is needed for crashes to
+    surface; emitted ticks are those before the watermark (batch form: horizon).
     """
     a = activity.select("node_id", "off", "t", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("period_ms"))
     p = period_changes.select("node_id", "off", "t", F.lit(1).alias("kind"), F.col("period_ms").cast("long"))
-    rows = a.unionByName(p).withColumn("event_time", F.timestamp_millis("t")).withWatermark("event_time", watermark)
-    return rows.groupBy("node_id").applyInPandasWithState(
-        _liveness_fn_factory(default_period_ms, tick_ms, multiplier), LIVE_OUT, LIVE_STATE, "append",
-        "EventTimeTimeout")
-
-
-# ---- device twin, continuous ----------------------------------------------------------
-
-TWIN_OUT = T.StructType([
-    T.StructField("node_id", T.StringType()), T.StructField("parent", T.StringType()),
-    T.StructField("hist_1", T.StringType()), T.StructField("hist_2", T.StringType()),
-    T.StructField("hist_3", T.StringType()), T.StructField("period_ms", T.LongType()),
-    T.StructField("crashed", T.BooleanType()),
-])
-TWIN_STATE = T.StructType([
-    T.StructField("parent", T.StringType()), T.StructField("hist_1", T.StringType()),
-    T.StructField("hist_2", T.StringType()), T.StructField("hist_3", T.StringType()),
-    T.StructField("period_ms", T.LongType()), T.StructField("crashed", T.BooleanType()),
-])
-_KIND_RANK = {"parent": 0, "period": 1, "crash": 2, "recovered": 2}
-
-
-def _twin_fn_factory(default_period: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        node = key[0]
-        if state.exists:
-            parent, h1, h2, h3, period, crashed = state.get
-        else:
-            parent = C.ROOT_START_PARENT if node == C.ROOT_NODE_ID else C.ROOT_NODE_ID
-            h1 = h2 = h3 = None
-            period, crashed = default_period, False
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.assign(_k=pdf["kind"].map(_KIND_RANK)).sort_values(["_k", "ord"], kind="stable")
-        for kind, value in zip(pdf["kind"], pdf["value"]):
-            if kind == "parent":            # previous parents, newest first, depth 3
-                parent, h1, h2, h3 = value, parent, h1, h2
-            elif kind == "period":
-                period = int(value)
-            elif kind == "crash":           # a crash does not block other updates
-                crashed = True
-            elif kind == "recovered":
-                crashed = False
-        state.update((parent, h1, h2, h3, period, crashed))
-        yield pd.DataFrame([(node, parent, h1, h2, h3, period, crashed)], columns=[f.name for f in TWIN_OUT.fields])
-    return fn
-
-
-def twin_stream(events: DataFrame, registry: DataFrame, default_period_ms: int = C.DEFAULT_PERIOD_MS) -> DataFrame:
-    """Twin state per node as a continuous query (update mode).
-
-    ``events``: node_id, kind (parent | period | crash | recovered), ord (arrival
-    position, or tick time for crash / recovered), value (new parent or period).
-    Events for nodes without a twin are not delivered (stream-static semi join).
-    """
-    e = events.join(registry.select("node_id"), "node_id", "left_semi")
-    return e.select("node_id", "kind", "ord", "value").groupBy("node_id").applyInPandasWithState(
-        _twin_fn_factory(default_period_ms), TWIN_OUT, TWIN_STATE, "update", "NoTimeout")
+    # a row at a tick counts for it: intervals are open at their begin and closed at their tick
+    rows = a.unionByName(p).withColumn("event_time", F.timestamp_millis(F.col("t") - 1)).withWatermark("event_time", watermark)
+    g = rows.groupBy("node_id", F.window("event_time", f"{tick_ms} milliseconds").alias("w")).agg(
+        F.max(F.when(F.col("kind") == 0, F.col("t"))).alias("seen"),
+        F.max_by(F.coalesce("period_ms", F.lit(0)), F.when(F.col("kind") == 1, F.struct("t", "off"))).alias("period"))
+    closed = g.select("node_id", F.window_time("w").alias("event_time"), F.unix_millis(F.col("w.end")).alias("tick"), "seen", "period")
+    return closed.groupBy("node_id").transformWithStateInPandas(
+        statefulProcessor=_liveness_processor(default_period_ms, tick_ms, multiplier), outputStructType=LIVE_OUT,
+        outputMode="Append", timeMode="EventTime")
 
 
 # ---- district charge over event-time steps (equals the batch closed form) ----------------
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 STEP_CHARGE_OUT = T.StructType([
     T.StructField("district_id", T.StringType()), T.StructField("step", T.LongType()),
     T.StructField("batch_balance_kw", T.DoubleType()), T.StructField("num_measurements", T.LongType()),
@@ -310,6 +138,9 @@ STEP_CHARGE_OUT = T.StructType([
 _STEP_CHARGE_STATE = T.StructType([T.StructField("charge", T.StringType()), T.StructField("clock", T.LongType())])
 
 
+CLOSING = "\x00closing"  # district of the row behind a bounded input
+
+
 def _step_charge_processor():
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -347,7 +178,8 @@ def district_charge_stream(readings: DataFrame, step_ms: int = C.MS_PER_HOUR,
     raw rows -- and each step is emitted once the watermark closes it; a keyed
     fold then carries the clamped charge. Steps closed in the same micro-batch
     are folded in step order. Needs the RocksDB state store provider (set by
-    the caller before start). Rows later than the watermark are dropped.
+    the caller before start). Rows later than the watermark are dropped. The last steps of a bounded input
+    close with a ``closing`` row, which is no part of the result.
     """
     r = readings.where(F.col("district_id").isNotNull() & F.col("v100").isNotNull() & F.col("t").isNotNull())
     r = r.withColumn("event_time", F.timestamp_millis("t")).withWatermark("event_time", watermark)
@@ -356,76 +188,15 @@ def district_charge_stream(readings: DataFrame, step_ms: int = C.MS_PER_HOUR,
                F.max("t").alias("max_t")))
     g = g.select("district_id", F.floor(F.unix_millis(F.col("w.start")) / F.lit(step_ms)).cast("long").alias("step"),
                  "balance_v100", "num_measurements", "max_t")
-    return g.groupBy("district_id").transformWithStateInPandas(
+    out = g.groupBy("district_id").transformWithStateInPandas(
         statefulProcessor=_step_charge_processor(), outputStructType=STEP_CHARGE_OUT,
         outputMode="Append", timeMode="None")
+    return out.where(F.col("district_id") != CLOSING)
 
 
-# ---- node commands, continuous (two keyed folds) -------------------------------------------
-
-VALID_OUT = T.StructType([
-    T.StructField("off", T.LongType()), T.StructField("node_id", T.StringType()),
-    T.StructField("user_id", T.StringType()), T.StructField("op", T.StringType()),
-    T.StructField("node_type", T.StringType()), T.StructField("user_valid", T.BooleanType()),
-])
-_VALID_STATE = T.StructType([T.StructField("valid", T.BooleanType())])
-CMD_OUT = T.StructType([
-    T.StructField("off", T.LongType()), T.StructField("node_id", T.StringType()),
-    T.StructField("user_id", T.StringType()), T.StructField("op", T.StringType()),
-    T.StructField("accepted", T.BooleanType()), T.StructField("reason", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-])
-_NODE_STATE = T.StructType([T.StructField("exists", T.BooleanType()), T.StructField("owner", T.StringType())])
-
-
-def _user_validity_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Per user, in arrival order (user events before commands at equal positions):
-    stamp each command with whether the user is registered at that point."""
-    (valid,) = state.get if state.exists else (False,)
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("_ord", kind="stable")
-    out = []
-    for typ, off, node, op, ntype in zip(pdf["type"], pdf["off"], pdf["node_id"], pdf["op"], pdf["node_type"]):
-        if typ in ("UserRegistered", "UserUpdated"):
-            valid = True
-        elif typ == "UserDeleted":
-            valid = False
-        elif typ is None or typ != typ:          # a command row
-            out.append((int(off), node, key[0], op, ntype, valid))
-    state.update((valid,))
-    yield pd.DataFrame(out, columns=[f.name for f in VALID_OUT.fields])
-
-
-def _node_command_fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    from gridflow.operators.registry import _step
-    exists, owner = state.get if state.exists else (False, None)
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("off", kind="stable")
-    out = []
-    for off, user, op, valid, ntype in zip(pdf["off"], pdf["user_id"], pdf["op"], pdf["user_valid"], pdf["node_type"]):
-        vtype = ntype in C.NODE_TYPES
-        exists, owner, a, r, e = _step(exists, owner, op, user, bool(valid), vtype)
-        out.append((int(off), key[0], user, op, a, r, e))
-    state.update((exists, owner))
-    yield pd.DataFrame(out, columns=[f.name for f in CMD_OUT.fields])
-
-
-def user_validity_stream(user_events: DataFrame, commands: DataFrame) -> DataFrame:
-    """Stage 1 (append): node commands stamped with the issuing user's validity."""
-    ue = user_events.select("user_id", (F.col("off") * 2).alias("_ord"), "type",
-                            F.lit(None).cast("long").alias("off"), F.lit(None).cast("string").alias("node_id"),
-                            F.lit(None).cast("string").alias("op"), F.lit(None).cast("string").alias("node_type"))
-    cm = commands.select("user_id", (F.col("off") * 2 + 1).alias("_ord"), F.lit(None).cast("string").alias("type"),
-                         "off", "node_id", "op", "node_type")
-    return ue.unionByName(cm).groupBy("user_id").applyInPandasWithState(
-        _user_validity_fn, VALID_OUT, _VALID_STATE, "append", "NoTimeout")
-
-
-def node_command_stream(stamped: DataFrame) -> DataFrame:
-    """Stage 2 (append): per node, accept or reject each stamped command in order.
-
-    Stage 1 is keyed by user and this stage by node, so a node's commands come
-    from many stage-1 tasks: run this stage over complete stage-1 micro-batches
-    (e.g. chained ``availableNow`` runs after stage 1 commits), never over a
-    partial set of its files. Within a call rows are sorted by ``off``.
-    """
-    return stamped.select("off", "node_id", "user_id", "op", "node_type", "user_valid").groupBy(
-        "node_id").applyInPandasWithState(_node_command_fn, CMD_OUT, _NODE_STATE, "append", "NoTimeout")
+def closing(readings: DataFrame, step_ms: int = C.MS_PER_HOUR, delay_ms: int = 0) -> DataFrame:
+    """One row that moves the watermark past every step of ``readings``, to be landed behind them."""
+    last = readings.agg(F.max("t").alias("t"), F.max("off").alias("off"))
+    values = {"off": F.coalesce(F.col("off") + 1, F.lit(0)), "t": F.coalesce(F.col("t"), F.lit(0)) + 2 * step_ms + delay_ms,
+              "district_id": F.lit(CLOSING), "v100": F.lit(0)}
+    return last.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in readings.schema.fields])

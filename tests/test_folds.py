@@ -185,8 +185,41 @@ def test_node_commands_equal_fold(spark, seed, split):
              rnd.choice(["PRODUCER", "CONSUMER", "BAD"])) for i in range(300)]
     ued = spark.createDataFrame(ue, "off long, type string, user_id string")
     cd = spark.createDataFrame(cmds, "off long, node_id string, user_id string, op string, node_type string")
-    got = R.node_commands(ued, cd, **split).select("off", "node_id", "user_id", "op", "accepted", "reason")
-    assert rows_of(got, got.columns) == sort_rows(fold_nodes(ue, cmds))
+    for fold_rows in (R.FOLD_ROWS, 0):  # 0: every node is chained by pointer doubling
+        got = R.node_commands(ued, cd, fold_rows=fold_rows, **split).select("off", "node_id", "user_id", "op", "accepted", "reason")
+        assert rows_of(got, got.columns) == sort_rows(fold_nodes(ue, cmds))
+
+
+@pytest.mark.parametrize("fold_rows", [R.FOLD_ROWS, 0])
+def test_node_commands_from_given_owners_and_with_nulls(spark, fold_rows):
+    """Cutting the log and handing on the owners changes no decision; null ids and operations are ordinary values."""
+    rnd = random.Random(77)
+    ue = [(i, rnd.choice(["UserRegistered", "UserDeleted"]), f"u{rnd.randrange(3)}") for i in range(40)]
+    cmds = [(i, rnd.choice(["n1", "n2", None]), rnd.choice(["u0", "u1", "u2", None]), rnd.choice(["create", "create", "update", "delete", "delete", None]),
+             rnd.choice(["PRODUCER", None, "CONSUMER"])) for i in range(200)]
+    ued = spark.createDataFrame(ue, "off long, type string, user_id string")
+    kind = "off long, node_id string, user_id string, op string, node_type string"
+    cols = ["off", "node_id", "user_id", "op", "accepted", "reason"]
+    want = sort_rows(fold_nodes(ue, cmds))
+    whole = R.node_commands(ued, spark.createDataFrame(cmds, kind), fold_rows=fold_rows)
+    assert rows_of(whole.select(*cols), cols) == want
+    first = R.node_commands(ued, spark.createDataFrame(cmds[:90], kind), fold_rows=fold_rows)
+    owners = R.owners_after(first)
+    second = R.node_commands(ued, spark.createDataFrame(cmds[90:], kind), fold_rows=fold_rows, owners=owners.where("has").select("node_id", "owner"))
+    assert rows_of(first.unionByName(second).select(*cols), cols) == want
+    assert R.node_commands(ued, spark.createDataFrame([], kind), fold_rows=fold_rows).count() == 0
+
+
+def test_hot_node_is_chained_over_many_tasks(spark):
+    """One node with 40,000 commands of alternating owners: a chain of 13,333 accepted creates, no Python."""
+    n = 40_000
+    ued = spark.createDataFrame([(0, "UserRegistered", "a"), (1, "UserRegistered", "b")], "off long, type string, user_id string")
+    user = F.when(F.col("id") % 6 < 3, "a").otherwise("b")
+    op = F.when(F.col("id") % 3 == 0, "create").when(F.col("id") % 3 == 1, "update").otherwise("delete")
+    cd = spark.range(n, numPartitions=8).select((F.col("id") + 10).alias("off"), F.lit("hot").alias("node_id"), user.alias("user_id"), op.alias("op"), F.lit("PRODUCER").alias("node_type"))
+    got = R.node_commands(ued, cd, rows_per_split=4000)
+    assert "Pandas" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.where("accepted").count() == n
 
 
 def test_node_command_check_order(spark):

@@ -9,9 +9,8 @@ import __spark_entry__ as E
 
 QUERIES = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
 
-# Python appears only in the keyed folds that need it.
-PYTHON_ALLOWED = {"node_commands", "billing_stream", "charge_stream", "liveness_stream", "twin_state_stream",
-                  "district_charge_stream", "node_commands_stream", "resume_point"}
+# Python appears only in the keyed folds behind event-time aggregates.
+PYTHON_ALLOWED = {"liveness_stream", "twin_state_stream", "district_charge_stream"}
 
 
 def plan_of(df):
@@ -23,8 +22,7 @@ def exchanges(plan):
     return len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON_ALLOWED
-                                        - {"sliding_balance_stream"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON_ALLOWED))
 def test_native_queries_run_no_python(spark, name):
     p = plan_of(QUERIES[name](spark, SF_SMALL))
     for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):

@@ -17,14 +17,22 @@ from gridflow.operators import billing as B
 from gridflow.operators import twin as W
 from gridflow.operators import windows as Wn
 from gridflow.session import checkpoint_dir
+from gridflow.streaming import continuous as Co
 from gridflow.streaming import sinks as S
 from gridflow.streaming import sources as Src
 from gridflow.streaming import stateful as St
+from gridflow.streaming import steps
+from gridflow.streaming import tables as Tb
 
 SCHEMA = pa.schema([("off", pa.int64()), ("node_id", pa.string()), ("node_type", pa.string()),
                     ("district_id", pa.string()), ("v100", pa.int64()), ("t", pa.int64())])
 
 
+@pytest.fixture(autouse=True)
+def state_store(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", St.ROCKSDB_PROVIDER)
+
+
 def land(folder, i, rows, schema=SCHEMA):
     os.makedirs(folder, exist_ok=True)
     cols = list(zip(*rows)) if rows else [[] for _ in schema]
@@ -46,38 +54,138 @@ def run(spark, df, base, mode="append"):
     assert q.exception() is None
 
 
-def test_billing_stream_restart_equals_batch(spark):
-    rows = sorted(random_readings(31, n=240))
+class Fault(Exception):
+    pass
+
+
+def failing_once(at):
+    """An ``after`` hook that fails behind the writes of batch ``at`` the first time."""
+    seen = []
+
+    def after(batch):
+        if batch == at and not seen:
+            seen.append(batch)
+            raise Fault(f"batch {batch}")
+    return after
+
+
+def run_twice(start):
+    """Run, fail inside a batch, and run again on the same checkpoint."""
+    with pytest.raises(Exception, match="Fault|batch"):
+        start()
+    start()
+
+
+@pytest.mark.parametrize("split", [{}, {"rows_per_split": 7}])
+def test_billing_restarts_equal_batch(spark, split):
+    """Several micro-batches, a fault between writes and commit, and a restart when more has landed."""
+    rows = sorted(random_readings(31, n=240, nodes=3))
     base = scratch(spark, "bill")
     src = os.path.join(base, "src")
     for i in range(3):
         land(src, i, rows[i * 60:(i + 1) * 60])
-    run(spark, St.billing_stream(stream_of(spark, src)), base)
-    # the driver stops; more readings land; the query resumes from its checkpoint
+    after = failing_once(1)
+    run_twice(lambda: Co.billing(stream_of(spark, src), base, after=after, **split))
     land(src, 3, rows[180:])
-    run(spark, St.billing_stream(stream_of(spark, src)), base)
+    Co.billing(stream_of(spark, src), base, **split)
     out = spark.read.parquet(os.path.join(base, "out"))
+    assert out.select("batch_id").distinct().count() >= 3
+    batch = B.billing_windows(spark.createDataFrame(rows, READ_COLS))
+    assert rows_of(out.select(*batch.columns), batch.columns) == rows_of(batch, batch.columns)
     cols = ["node_id", "node_type", "district_id", "energy_ckwms", "period_start", "period_end", "off"]
     assert rows_of(out.select(*cols), cols) == sort_rows(fold_bills(rows))
-    batch = B.billing_windows(spark.createDataFrame(rows, READ_COLS))
-    allc = [c for c in batch.columns]
-    assert rows_of(out.select(*allc), allc) == rows_of(batch, allc)
 
 
-def test_charge_stream_per_batch(spark):
+def test_billing_step_is_native_and_splits_hot_nodes(spark):
+    rows = spark.createDataFrame(random_readings(5, n=400, nodes=1), READ_COLS)
+    none = spark.createDataFrame([], steps.BILL_STATE)
+    seen = []
+    keep, steps._materialised = steps._materialised, lambda df: (seen.append(df._jdf.queryExecution().executedPlan().toString()), df.checkpoint())[1]
+    try:
+        bills, state = steps.billing_step(rows, none, rows_per_split=50)
+    finally:
+        steps._materialised = keep
+    assert "Pandas" not in seen[0] and "Python" not in seen[0] and "_split" in seen[0]
+    assert bills.count() == 80 and state.count() == 1
+
+
+def test_charge_per_batch(spark):
     # each file is one micro-batch: the charge integrates batch balance x time since the last batch
     files = [[(0, "a", "P", "d", 100, 3_600_000)],
              [(1, "a", "P", "d", -500, 7_200_000), (2, "b", "P", "d", 200, 5_000_000)],
-             [(3, "a", "P", "d", 300, 10_800_000)]]
+             [(3, "a", "P", "d", 300, 10_800_000)], [(4, "a", "P", "d", 50, 1_000), (5, "a", "P", None, 50, 1_000)]]
     base = scratch(spark, "charge")
     src = os.path.join(base, "src")
     for i, f in enumerate(files):
         land(src, i, f)
-    run(spark, St.charge_stream(stream_of(spark, src)), base, mode="update")
-    out = spark.read.parquet(os.path.join(base, "out")).orderBy("batch_id").collect()
-    got = [(r["batch_id"], r["num_measurements"], r["charge_kwh"]) for r in out]
-    # batch 0: first sight; batch 1: (100 - 500 + 200) * 1 h < 0 -> 0; batch 2: 300 * 1 h
-    assert got == [(0, 1, 0.0), (1, 2, 0.0), (2, 1, pytest.approx(300 * 3_600_000 / 3.6e8))]
+    after = failing_once(2)
+    run_twice(lambda: Co.charge(stream_of(spark, src), base, after=after))
+    out = steps.charge_rows(spark.read.parquet(f"{base}/charge/changes").orderBy("batch_id")).collect()
+    got = [(r["num_measurements"], r["max_event_ms"], r["charge_kwh"]) for r in out]
+    # batch 0: first sight; batch 1: (100 - 500 + 200) * 1 h < 0 -> 0; batch 2: 300 * 1 h; batch 3 is late: counted, no clock
+    three = pytest.approx(300 * 3_600_000 / 3.6e8)
+    assert got == [(1, 3_600_000, 0.0), (2, 7_200_000, 0.0), (1, 10_800_000, three), (1, 10_800_000, three)]
+    assert steps.charge_rows(Co.charge_table(spark, base).current()).collect() == out[3:]
+
+
+def test_keyed_table_upserts_compacts_and_replays(spark):
+    import random
+    rnd = random.Random(3)
+    table = Tb.KeyedTable(spark, scratch(spark, "table"), ["k"], "k string, v long", compact_every=3)
+    now, kind = {}, "k string, v long, gone boolean"
+    assert table.current().count() == 0 and table.before(0).count() == 0
+    for batch in range(8):
+        before = {r.k: r.v for r in table.before(batch).collect()}
+        assert before == now
+        changed = {rnd.choice(["a", "b", None, f"n{rnd.randrange(5)}"]): (rnd.randrange(100), rnd.random() < 0.3) for _ in range(rnd.randrange(4) if batch else 3)}
+        if batch % 2:  # a first attempt that is replaced, with other rows
+            table.write(batch, spark.createDataFrame([("lost", 1, False)], kind))
+            assert {r.k: r.v for r in table.before(batch).collect()} == now
+        table.write(batch, spark.createDataFrame([(k, v, g) for k, (v, g) in changed.items()], kind))
+        for k, (v, g) in changed.items():
+            now.pop(k, None)
+            if not g:
+                now[k] = v
+        assert {r.k: r.v for r in table.current().collect()} == now
+    assert sorted(os.listdir(f"{table.path}/base")) == ["below=3", "below=6"]
+
+
+def test_twin_steps_equal_batch(spark):
+    """Micro-batches of parents, periods and crash events, a fault in one of them; equals the batch twin."""
+    import random
+    rnd = random.Random(12)
+    kinds = ["parent", "parent", "period", "crash", "recovered"]
+    rows = [(str(rnd.randrange(1, 5)), k, i, {"parent": rnd.choice(["1", "2", ""]), "period": str(rnd.randrange(1, 9) * 1000)}.get(k))
+            for i, k in enumerate(rnd.choice(kinds) for _ in range(120))]
+    rows += [("99", "parent", 200, "1")]  # no such twin
+    schema = pa.schema([("node_id", pa.string()), ("kind", pa.string()), ("ord", pa.int64()), ("value", pa.string())])
+    base, registry = scratch(spark, "twin"), spark.createDataFrame([(str(i),) for i in range(1, 7)], "node_id string")
+    for i in range(4):
+        land(f"{base}/src", i, rows[i * 31:(i + 1) * 31], schema)
+    after = failing_once(2)
+    events = stream_of(spark, f"{base}/src", "node_id string, kind string, ord long, value string")
+    run_twice(lambda: Co.twins(events, registry, f"{base}/run", after=after))
+    e = spark.createDataFrame(rows, "node_id string, kind string, ord long, value string")
+    live = e.where("kind in ('crash', 'recovered')").select("node_id", F.col("ord").alias("tick_ms"), F.col("kind").alias("event"))
+    want = W.twin_state(registry, e.where("kind = 'parent'").select("node_id", F.col("ord").alias("off"), F.col("value").alias("parent")),
+                        e.where("kind = 'period'").select("node_id", F.col("ord").alias("off"), F.col("value").cast("long").alias("period_ms")), live)
+    want = want.where(F.col("node_id").isin([r[0] for r in rows]))
+    got = Co.twin_table(spark, f"{base}/run").current()
+    assert rows_of(got, want.columns) == rows_of(want, want.columns)
+
+
+def test_late_readings_go_to_the_side(spark):
+    on_time = [(i, "n1", "P", "d1", 100, 1_000_000 + 10_000 * i) for i in range(12)]
+    late = [(99, "n1", "P", "d1", 100, 500_000), (98, "n1", "P", "d1", 7, 1_100_000)]
+    base = scratch(spark, "side")
+    land(f"{base}/src", 0, on_time)
+    land(f"{base}/src", 1, late)
+    after = failing_once(1)
+    run_twice(lambda: Co.sliding(stream_of(spark, f"{base}/src"), base, 120_000, 30_000, 30_000, after=after))
+    assert [(r.off, r.batch_id) for r in spark.read.parquet(f"{base}/late").collect()] == [(99, 1)]
+    got = Co.window_rows(Co.window_table(spark, base).current(), 120_000)
+    want = Wn.sliding_balance(spark.createDataFrame(on_time + late[1:], READ_COLS))
+    assert rows_of(got, sorted(want.columns)) == rows_of(want, sorted(want.columns))
 
 
 def test_sliding_stream_late_rows(spark):
@@ -133,9 +241,9 @@ def test_concurrent_queries_share_one_parsed_stream(spark):
     land(src, 0, rows)
     s = stream_of(spark, src)
     outs = S.concurrent_queries(spark, {
-        "q_charge": (St.charge_stream(s), "update", ["district_id"]),
+        "q_high": (s.where("v100 > 0"), "append", None),
         "q_slide": (Wn.sliding_balance(s, watermark="30 seconds"), "update", None)})
-    assert spark.read.parquet(outs["q_charge"]).count() == len({r[3] for r in rows})
+    assert spark.read.parquet(outs["q_high"]).count() == sum(r[4] > 0 for r in rows)
     assert spark.read.parquet(outs["q_slide"]).count() > 0
 
 
@@ -188,7 +296,6 @@ def test_district_charge_stream_equals_batch_closed_steps(spark):
         land(src, i, rows[i * 60:(i + 1) * 60])
     closing = rows[-1][5] + 10 * 20_000
     land(src, 5, [(10_000, "n0", "P", "zz", 0, closing)])    # moves the watermark past the last step
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", St.ROCKSDB_PROVIDER)
     run(spark, St.district_charge_stream(stream_of(spark, src), step_ms=20_000), base)
     got = spark.read.parquet(os.path.join(base, "out")).where("district_id <> 'zz'")
     want = G.district_charge(spark.createDataFrame(rows, READ_COLS), step_ms=20_000)
@@ -196,7 +303,8 @@ def test_district_charge_stream_equals_batch_closed_steps(spark):
     assert rows_of(got.select(*cols), cols) == rows_of(want, cols)
 
 
-def test_node_command_stream_equals_fold(spark):
+@pytest.mark.parametrize("fold_rows", [1024, 20])
+def test_node_command_stream_equals_fold(spark, fold_rows):
     import random
     from test_folds import fold_nodes
     rnd = random.Random(71)
@@ -215,26 +323,22 @@ def test_node_command_stream_equals_fold(spark):
                      ("node_id", pa.string()), ("op", pa.string()), ("node_type", pa.string())])
     base = scratch(spark, "nodecmd")
     src = os.path.join(base, "src")
-    s1, s2 = os.path.join(base, "s1"), os.path.join(base, "s2")
     schema = ("off long, kind string, user_id string, type string, node_id string, op string, node_type string")
 
-    def stage1():
+    def start(after=None):
         s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-        run(spark, St.user_validity_stream(s.where("kind = 'u'"), s.where("kind = 'c'")), s1)
-
-    def stage2():
-        out1 = os.path.join(s1, "out")
-        st = spark.readStream.schema(spark.read.parquet(out1).schema).parquet(out1)
-        run(spark, St.node_command_stream(st), s2)
+        Co.node_commands(s, lambda e: e.where("kind = 'u'"), lambda e: e.where("kind = 'c'"), base, after=after, fold_rows=fold_rows)
 
-    # two rounds: land, stage 1 (several micro-batches), stage 2 over the complete stage-1 output;
-    # the second round resumes both stages from their checkpoints
-    for rnd_i, (lo, hi) in enumerate([(0, 2), (2, 4)]):
+    # two rounds of two files each; a batch of the second fails behind its writes
+    fails = failing_once(2)
+    for lo, hi in [(0, 2), (2, 4)]:
         for i in range(lo, hi):
             land(src, i, rows[i * 100:(i + 1) * 100], sch)
-        stage1()
-        stage2()
-    got = spark.read.parquet(os.path.join(s2, "out"))
+        if lo:
+            run_twice(lambda: start(fails))
+        else:
+            start()
+    got = spark.read.parquet(os.path.join(base, "out"))
     cols = ["off", "node_id", "user_id", "op", "accepted", "reason"]
     assert rows_of(got.select(*cols), cols) == sort_rows(fold_nodes([(o, t, u) for o, t, u in ue], cmds))
 
@@ -244,7 +348,7 @@ def test_time_limit_raises_and_stops(spark):
     for i in range(20):
         land(os.path.join(base, "src"), i, sorted(random_readings(i, n=20)))
     with pytest.raises(TimeoutError):
-        S.run_to_table(spark, St.billing_stream(stream_of(spark, os.path.join(base, "src"))), "limited", timeout_s=0.05)
+        S.run_to_table(spark, Wn.sliding_balance(stream_of(spark, os.path.join(base, "src"))), "limited", "update", timeout_s=0.05)
     assert not spark.streams.active
 
 
@@ -292,3 +396,65 @@ def test_liveness_late_rows_equal_batch(spark, seed):
     assert got == want
     if seed is None:
         assert {("n", 114_000, "crash"), ("n", 120_000, "recovered")} <= got
+
+
+def tick_loop(rows, default, tick, until):
+    """Crash / recovered events by evaluating every tick: rows (node, off, t, kind, period) in order of
+    (t, kind, off) are taken before the tick at or behind their time."""
+    out = []
+    for node in sorted({r[0] for r in rows}):
+        mine = sorted((t, kind, off, p) for n, off, t, kind, p in rows if n == node)
+        seen, period, crashed, i = None, 0, False, 0
+        for at in range(mine[0][0] // tick * tick, until + 1, tick):
+            while i < len(mine) and mine[i][0] <= at:
+                t, kind, _, p = mine[i]
+                seen, period = (t, period) if kind == 0 else (seen, p or 0)
+                i += 1
+            if seen is not None:
+                bad = at - seen > 3 * (period or default)
+                if bad != crashed:
+                    out.append((node, at, "crash" if bad else "recovered"))
+                    crashed = bad
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_liveness_equals_a_tick_loop(spark, seed):
+    """Batch and stream against the loop over all ticks, with equal times and rows on the tick."""
+    import random
+    rnd = random.Random(seed)
+    times = sorted(rnd.randrange(500, 620) * 1000 // rnd.choice([1, 1, 3]) * rnd.choice([1, 1]) for _ in range(70))
+    rows = [(rnd.choice("ab"), i, t, int(rnd.random() < 0.2), rnd.choice([0, 1000, 2500, 9000])) for i, t in enumerate(times)]
+    act = [(n, o, t) for n, o, t, k, _ in rows if k == 0]
+    per = [(n, o, t, p) for n, o, t, k, p in rows if k == 1]
+    a, p = spark.createDataFrame(act, "node_id string, off long, t long"), spark.createDataFrame(per, "node_id string, off long, t long, period_ms long")
+    end = times[-1]
+    kw = {"default_period_ms": 4000, "tick_ms": 2000}
+    got = sorted((r.node_id, r.tick_ms, r.event) for r in W.liveness_events(a, p, horizon_ms=end, **kw).collect())
+    assert got == tick_loop(rows, 4000, 2000, end) and got
+    schema = pa.schema([("node_id", pa.string()), ("off", pa.int64()), ("t", pa.int64()), ("kind", pa.int64()), ("period_ms", pa.int64())])
+    base = scratch(spark, "ticks")
+    for i in range(5):
+        land(f"{base}/src", i, [(n, o, t, k, q) for n, o, t, k, q in rows[i * 14:(i + 1) * 14]], schema)
+    s = stream_of(spark, f"{base}/src", "node_id string, off long, t long, kind long, period_ms long")
+    out = S.run_to_table(spark, St.liveness_stream(s.where("kind = 0"), s.where("kind = 1"), watermark="0 seconds", **kw), "ticks")
+    assert sorted((r.node_id, r.tick_ms, r.event) for r in out.collect()) == tick_loop(rows, 4000, 2000, end - 1)
+
+
+def test_liveness_of_a_node_with_many_waiting_rows(spark):
+    """100,000 rows of one node wait for the watermark: Python gets one row per tick interval."""
+    base, t0 = scratch(spark, "wait"), 10_000_000
+    rows = spark.range(100_000).select(F.lit("hot").alias("node_id"), F.col("id").alias("off"), (t0 + F.col("id") % 60_000).alias("t"))
+    rows.write.parquet(f"{base}/src/a")
+    end = spark.createDataFrame([("z", 200_000, t0 + 500_000)], "node_id string, off long, t long")
+    schema, kw = "node_id string, off long, t long", {"default_period_ms": 4000, "tick_ms": 2000}
+    act = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/src")
+    df = St.liveness_stream(act, act.where("false").withColumn("period_ms", F.lit(1)), watermark="90 seconds", **kw)
+    start = lambda: S.finish(S.update_sink(df, "", f"{base}/out", f"{base}/ck", output_mode="append"))
+    start()
+    assert S.read_output(spark, f"{base}/out", St.LIVE_OUT).count() == 0
+    end.write.parquet(f"{base}/src/b")
+    start()
+    got = [(r.node_id, r.tick_ms, r.event) for r in S.read_output(spark, f"{base}/out", St.LIVE_OUT).collect() if r.node_id == "hot"]
+    # last seen at t0 + 59,999: the first tick more than 12 s later
+    assert got == [("hot", t0 + 72_000, "crash")]
