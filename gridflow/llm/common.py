@@ -7,6 +7,8 @@ hot loops work on bytes and never decode.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle and checkpoint files that no live DataFrame needs: it does so when the
+    driver collects its garbage, which a long job with several large shuffles had better not wait for."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions_for(rows: int, each: int = PARTITION_ROWS) -> int:
     return max(1, -(-rows // each))
 

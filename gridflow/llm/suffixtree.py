@@ -21,8 +21,8 @@ counted level by level with partial sums into tables that are joined, never coll
 the suffixes of a kept context are kept, log P(s | u) is a sum over the suffixes v of u: of the
 weight v leaves to its own suffix and, if v counts s itself, of what that adds. So a
 gram has two numbers, as an entry (``delta``) and as a context (``bow``), and a text's score is a
-sum over its grams. The ``HEAD_GRAMS`` most frequent grams are broadcast; others, which have no hot
-key, are joined by a shuffle. Words of the alphabet beyond ``HEAD_WORDS`` go to the texts the same way.
+sum over its grams. The ``HEAD_GRAMS`` most frequent grams are broadcast; the texts' grams that may be
+one of the others (by a bitmap of their keys), which have no hot key, are joined by a shuffle. Words of the alphabet beyond ``HEAD_WORDS`` go to the texts the same way.
 
 Word frequencies: the most frequent words, at most ``HEAD_WORDS``, are broadcast with their
 counts; a word outside that head is rare (at most one in HEAD_WORDS tokens), so the documents' rare
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflow.llm.common import U64, cut, lowered, mix, signed, small, small_batches, words64
+from gridflow.llm.common import U64, cut, lowered, mix, release, signed, small, small_batches, words64
 
 DEPTH = 3
 LEAST_SHARE = 5e-5
@@ -49,11 +49,13 @@ REFERENCE = 1_000_000    # tokens; in a larger corpus the shares are of this man
 LEAST_DIVERGENCE = 0.02
 HEAD_WORDS = 1_000_000
 HEAD_GRAMS = 2_000_000   # 24 bytes each
+SUFFIX_GRAMS = 6_000_000  # 8 bytes each
+FILTER_BITS = 1 << 27    # of the filter that tells which texts' grams are looked for among the infrequent ones
 BROADCAST_ROWS = 500_000
 ADD = 0.1                # added to every count of the word-frequency score
 END = b"\n"              # the end token; no word contains it
 FLUSH_WORDS = 400_000    # distinct words counted in a worker's memory at a time
-FLUSH_TOKENS = 2_000_000
+FLUSH_TOKENS = 4_000_000
 # a word's symbol is its hash; these are the symbols of words outside the alphabet and of the end token
 OTHER, END_SYMBOL = U64(0), U64(1)
 _BASE = U64(0xD1342543DE82EF95)
@@ -119,9 +121,9 @@ def _extra(column: pa.Array) -> np.ndarray:
     return np.unique(column.flatten().to_numpy().view(U64))
 
 
-def _count_grams(size: int, alphabet, contexts):
+def _count_grams(size: int, alphabet, contexts, suffixes):
     """(text, extra) -> (ctx, suf, n): the grams of ``size`` symbols, each as the grams less its newest and
-    less its oldest symbol; of ``contexts`` only, if given."""
+    less its oldest symbol; of ``contexts`` and ``suffixes`` only, where given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
@@ -140,6 +142,8 @@ def _count_grams(size: int, alphabet, contexts):
                 on = np.flatnonzero(s.since >= size - 1)
                 if contexts is not None:
                     on = on[_find(contexts.value, less[on - 1]) >= 0]
+                if suffixes is not None:
+                    on = on[_find(suffixes.value, less[on]) >= 0]
                 held.append((less[on - 1], less[on]))
             if sum(len(x[0]) for x in held) >= FLUSH_TOKENS:
                 yield flush()
@@ -174,6 +178,10 @@ def _outside(head):
     return run
 
 
+def _shared_keys(keys: DataFrame):
+    return keys.sparkSession.sparkContext.broadcast(np.sort(keys.toArrow().column(0).to_numpy().view(U64)))
+
+
 def least_counts(n: int) -> tuple[float, float]:
     """The least count of a word or context and of a next symbol, given the number of tokens."""
     m = min(n, REFERENCE)
@@ -195,9 +203,11 @@ def grow(texts: DataFrame, words: DataFrame, n: int, once: int, alphabet) -> Dat
     grams = [cut(frequent.mapInArrow(_keyed, "key long, n long").unionByName(both).select("key", "n", p.alias("p"), F.log10(p).alias("delta"),
                                                                                               (F.col("key") == int(END_SYMBOL)).alias("ends")))]
     states: list[DataFrame] = []
-    contexts, shared = None, None
+    contexts, shared, suffixes = None, None, None
     for size in range(2, DEPTH + 2):
-        e = texts.mapInArrow(_count_grams(size, alphabet, shared), "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
+        e = texts.mapInArrow(_count_grams(size, alphabet, shared, suffixes), "ctx long, suf long, n long")
+        # the tasks' counts hardly combine any further, so they are dealt out as they are
+        e = e.repartition("ctx", "suf").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
         e = e.where(F.col("n") >= least_entry).mapInArrow(_named(size), "key long, ctx long, suf long, n long")
         if contexts is not None and shared is None:
             e = e.join(contexts.withColumnRenamed("key", "ctx"), "ctx", "left_semi")
@@ -224,7 +234,11 @@ def grow(texts: DataFrame, words: DataFrame, n: int, once: int, alphabet) -> Dat
         # contexts of the next depth: a frequent enough context and next symbol, not beyond the end
         contexts = grams[-1].where((F.col("n") >= least) & ~F.col("ends")).select("key")
         few = contexts.limit(HEAD_GRAMS + 1).count() <= HEAD_GRAMS
-        shared = spark.sparkContext.broadcast(np.sort(contexts.toArrow().column(0).to_numpy().view(U64))) if few else None
+        shared = _shared_keys(contexts) if few else None
+        # a gram is no more frequent than the gram less its oldest symbol: if that has no entry, neither has it
+        suffixes = _shared_keys(grams[-1].select("key")) if grams[-1].count() <= SUFFIX_GRAMS else None
+        del e, s
+        release(spark)
     # with a kept context its suffixes and prefixes are kept
     bows: list[DataFrame] = []
     more = None
@@ -264,10 +278,16 @@ class Scorer:
     delta: np.ndarray
     bow: np.ndarray
     whole: bool           # whether no other gram has a delta or bow
+    others_bits: np.ndarray  # bitmap of the low bits of the keys of those other grams
     end_count: int
     others: int           # tokens of training words outside the alphabet, and once more those seen once
     scale: float          # log10 of what the counts of the word-frequency score are divided by
 
+    def maybe(self, keys: np.ndarray) -> np.ndarray:
+        """False for keys that are certainly none of the infrequent grams."""
+        slot = keys & U64(FILTER_BITS - 1)
+        return (self.others_bits[slot >> U64(6)] >> (slot & U64(63))) & U64(1) == 1
+
     def walk(self, s: Stream, n: int) -> tuple[np.ndarray, list[tuple]]:
         """Per text the sum over the frequent grams, and the others as (text, key, uses as entry, uses as context)."""
         size = len(s.symbols)
@@ -288,6 +308,7 @@ class Scorer:
             alive = bow != 0
             if not self.whole:
                 lost = on[~found]
+                lost = lost[self.maybe(gram[lost])]
                 alive[lost] = True
                 x = lost[lost > 0]
                 rest.append((s.owner[x], gram[x], np.ones(len(x), np.int64), np.zeros(len(x), np.int64)))
@@ -330,6 +351,16 @@ class Scorer:
         return tokens, known, per(base) + np.log10(self.end_count + ADD) - self.scale, score + per(own), words, _lists(rest, n)
 
 
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """One bit per slot of ``FILTER_BITS`` that a key falls on, as 64-bit words; at most that many bits reach the driver."""
+    slot = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, dtype=U64)
+    out[words.column(0).to_numpy()] = words.column(1).to_numpy().view(U64)
+    return out
+
+
 def _lists(rest: list[tuple], n: int) -> pa.ListArray:
     """Per text its infrequent grams, a struct each."""
     owner, key, entry, context = (np.concatenate([x[i] for x in rest]) if rest else np.empty(0, np.int64) for i in range(4))
@@ -367,6 +398,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (fold == 0).alias("held_out"))
     train = lambda c: d.where(~F.col("held_out")).select(*c)
     words = cut(word_counts(train(["text"])))
+    release(spark)
     n, v, once = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count(F.when(F.col("c") == 1, 1))).first()
     once, least = max(1, once), least_counts(n)[0]
     is_end, is_head = F.col("word") == F.lit(END), _head(words, HEAD_WORDS)
@@ -384,17 +416,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         d = d.withColumn("extra", F.lit(None).cast("array<long>"))
     model = grow(train(["text", "extra"]), words, n, once, alphabet)
+    release(spark)
     live = model.where("delta != 0 or bow != 0")
     whole = live.limit(HEAD_GRAMS + 1).count() <= HEAD_GRAMS
     is_top = F.lit(True) if whole else _head(model.withColumnRenamed("n", "c"), HEAD_GRAMS)
     grams = (live if whole else model.withColumnRenamed("n", "c").where(is_top)).select("key", "delta", "bow").toArrow()
     gram = grams.column(0).to_numpy().view(U64)
     order = np.argsort(gram)
+    tail = live.withColumnRenamed("n", "c").where(~is_top).select("key", "delta", "bow")
+    bits = np.empty(0, U64) if whole else _bitmap(tail)
     ends = words.where(is_end).collect()
     inside = words.where((F.col("c") >= least) | is_end).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     scale = float(np.log10(n + ADD * (v + 1)))
     shared = spark.sparkContext.broadcast(Scorer(alphabet.value, keys, counts, gram[order], grams.column(1).to_numpy()[order],
-                                                 grams.column(2).to_numpy()[order], whole, ends[0].c if ends else 0, n - inside + once, scale))
+                                                 grams.column(2).to_numpy()[order], whole, bits, ends[0].c if ends else 0, n - inside + once, scale))
     rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("other", pa.bool_())]))
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -419,7 +454,6 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     zero = F.lit(0.0)
     more_grams = zero
     if not whole:
-        tail = live.withColumnRenamed("n", "c").where(~is_top).select("key", "delta", "bow")
         uses = scored.select("row", F.explode("s.grams").alias("g")).select("row", "g.key", "g.d", "g.b").join(tail, "key")
         out = out.join(uses.groupBy("row").agg(F.sum(F.col("d") * F.col("delta") + F.col("b") * F.col("bow")).alias("gram_score")), "row", "left")
         more_grams = F.coalesce("gram_score", zero)
