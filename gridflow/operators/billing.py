@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridflow import config as C
 from gridflow.functions.expr import cost_from_energy, kwh, tariff_hundredths
+from gridflow.operators.parse import keyed_log
 from gridflow.plans.ordered import ordered_scan
 
 
@@ -77,24 +78,58 @@ def billing_windows(readings: DataFrame, size: int = C.BILLING_WINDOW_SIZE, **sp
     )
 
 
+# ---- billing records: bills as they are stored -------------------------------------
+
+# fixed values: JSON names of a record's fields
+RECORD_FIELDS = {"type": "type", "nodeId": "node_id", "nodeType": "node_type", "districtId": "district_id",
+                 "totalEnergyKwh": "total_energy_kwh", "cost": "cost", "measurementCount": "measurement_count",
+                 "periodStart": "period_start", "periodEnd": "period_end"}
+RECORD_JSON = ("type string, nodeId string, nodeType string, districtId string, totalEnergyKwh double, cost double, "
+               "measurementCount int, periodStart long, periodEnd long")
+
+
+def billing_records(bills: DataFrame, topic: str = "billing-records") -> DataFrame:
+    """Bills as the log records (topic, off, key, value) that the billing service publishes."""
+    return keyed_log(bills.withColumn("type", F.lit(C.BILLING_EVENT_TYPE)), "node_id", RECORD_FIELDS, topic)
+
+
+def bills_of_records(log: DataFrame, **split) -> DataFrame:
+    """Stored billing records (off, value) in the columns of ``billing_windows``.
+
+    A node's records are numbered in arrival order by an ordered scan that splits hot nodes. Energy and cost come
+    back in whole units (1 / 3.6e8 kWh and a hundredth of a rate of that), which a stored double names exactly
+    up to 2^51 units, so sums do not depend on their order. Records of another type are ignored; a missing or
+    infinite amount counts as 0."""
+    d = log.select("off", F.from_json("value", RECORD_JSON).alias("d")).where(F.col("d.type") == C.BILLING_EVENT_TYPE)
+    r = d.select("off", *[F.col(f"d.{n}").alias(c) for n, c in RECORD_FIELDS.items() if c != "type"])
+    r = ordered_scan(r, ["node_id"], "off", position="_pos", **split)
+
+    def units(c: str, per: float) -> F.Column:
+        whole = F.when(F.isnan(c) | (F.abs(c) > 1e25), None).otherwise(F.round(F.col(c) * F.lit(per)))
+        return F.coalesce(whole.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+
+    per = float(C.CENTI_KW_MS_PER_KWH)
+    return r.select("off", "node_id", (F.col("_pos") - 1).alias("window_no"), "node_type", "district_id",
+                    units("total_energy_kwh", per).alias("energy_ckwms"), "total_energy_kwh",
+                    units("cost", per * 100.0).alias("cost_num"), "cost", "measurement_count", "period_start", "period_end")
+
+
 def billing_history(bills: DataFrame) -> DataFrame:
     """Bills of each node numbered 1..n in arrival order.
 
     The k-th bill of a node closes its k-th count window, so the number is
-    window_no + 1: no extra ordered pass over the bills is needed.
+    window_no + 1: no extra ordered pass over the bills is needed (``bills_of_records`` numbers stored ones).
     """
     return bills.withColumn("history_no", (F.col("window_no") + 1).cast("long"))
 
 
 def node_billing_totals(bills: DataFrame) -> DataFrame:
-    """Per node: number of bills, total energy and total cost (exact sums)."""
-    g = bills.groupBy("node_id").agg(
-        F.count(F.lit(1)).alias("bills"),
-        F.sum("energy_ckwms").alias("energy_ckwms"),
-        F.sum("cost_num").alias("cost_num"))
+    """Per node: number of bills, total energy and total cost (exact sums, decimal(38,0))."""
+    total = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).cast("decimal(38,0)").alias(c)
+    g = bills.groupBy("node_id").agg(F.count(F.lit(1)).alias("bills"), total("energy_ckwms"), total("cost_num"))
     return g.select("node_id", "bills", "energy_ckwms", "cost_num",
-                    kwh(F.col("energy_ckwms")).alias("total_energy_kwh"),
-                    (F.col("cost_num") / F.lit(float(C.CENTI_KW_MS_PER_KWH) * 100.0) + F.lit(0.0)).alias("total_cost"))
+                    kwh(F.col("energy_ckwms").cast("double")).alias("total_energy_kwh"),
+                    (F.col("cost_num").cast("double") / F.lit(float(C.CENTI_KW_MS_PER_KWH) * 100.0) + F.lit(0.0)).alias("total_cost"))
 
 
 def node_last_billing_type(bills: DataFrame) -> DataFrame:

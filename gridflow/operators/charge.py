@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from gridflow import config as C
 
-DEC = "decimal(38,0)"
+# power in hundredths may carry six decimals of its own (``parse.EXACT``)
+DEC = "decimal(38,6)"
+POWER, MS = "decimal(28,6)", "decimal(20,0)"
 
 
 def batch_balance(readings: DataFrame, step_ms: int) -> DataFrame:
@@ -31,7 +33,7 @@ def batch_balance(readings: DataFrame, step_ms: int) -> DataFrame:
 
 def clamped_running_sum(df: DataFrame, key: str, order: str, x: str, out: str) -> DataFrame:
     """Add ``out`` = max(0, previous + x) accumulated per ``key`` in ``order``
-    (exact integers, closed form)."""
+    (exact decimals, closed form)."""
     w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     s = F.sum(F.col(x).cast(DEC)).over(w)
     return (df.withColumn("_S", s)
@@ -52,7 +54,7 @@ def district_charge(readings: DataFrame, step_ms: int = C.MS_PER_HOUR) -> DataFr
     b = b.withColumn("clock", F.max("max_t").over(run))
     b = b.withColumn("prev_clock", F.lag("clock").over(w))
     x = F.when(F.col("prev_clock") > 0,
-               F.col("balance_v100").cast(DEC) * (F.col("clock") - F.col("prev_clock")).cast(DEC)) \
+               (F.col("balance_v100").cast(POWER) * (F.col("clock") - F.col("prev_clock")).cast(MS)).cast(DEC)) \
          .otherwise(F.lit(0).cast(DEC))
     b = clamped_running_sum(b.withColumn("_x", x), "district_id", "step", "_x", "_charge")
     return b.select(

@@ -57,13 +57,21 @@ def _well_formed() -> Column:
                       & _in_range(F.col("timestamp")), F.lit(False))
 
 
-def typed_projection(parsed: DataFrame) -> DataFrame:
+# power in hundredths with six decimals of its own: values keep eight decimals
+EXACT = "decimal(22,6)"
+
+
+def typed_projection(parsed: DataFrame, exact: bool = False) -> DataFrame:
     """Keep the five typed fields (plus off and v100, the value in hundredths), dropping malformed
-    rows: no district, no finite value within MAX_ABS_VALUE, no timestamp in range."""
+    rows: no district, no finite value within MAX_ABS_VALUE, no timestamp in range.
+
+    ``v100`` is a whole number, or with ``exact`` a decimal that keeps eight decimals of the value; all
+    operators take either and compute without rounding."""
     # a filter does not keep the cast from running on other rows, so the cast itself must not fail
     return parsed.where(_well_formed()).select(
         "off", "node_id", "node_type", "district_id", "value", "timestamp",
-        F.round(F.col("value") * 100).try_cast("long").alias("v100"), F.col("timestamp").alias("t"))
+        ((F.col("value").try_cast("decimal(24,8)") * 100).try_cast(EXACT) if exact else F.round(F.col("value") * 100).try_cast("long")).alias("v100"),
+        F.col("timestamp").alias("t"))
 
 
 def parse_rejects(parsed: DataFrame) -> DataFrame:

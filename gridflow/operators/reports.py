@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridflow import config as C
 from gridflow.functions.expr import kwh
 from gridflow.operators.billing import billing_history, node_billing_totals
+from gridflow.plans.joins import checked_broadcast
 
 _COST_DIV = float(C.CENTI_KW_MS_PER_KWH) * 100.0
 
@@ -22,12 +23,17 @@ def _cost(num_col: str) -> F.Column:
 
 def user_panel(nodes: DataFrame, bills: DataFrame) -> DataFrame:
     """Every owner's nodes, each with its numbered billing history (left outer:
-    a node without bills appears once with null bill columns)."""
-    h = billing_history(bills).select("node_id", "history_no", "total_energy_kwh", "cost",
+    a node without bills appears once with null bill columns).
+
+    Bills are the large side and may have a hot node, so they stay where they are: the nodes, of checked size,
+    are broadcast to them (or the inner join splits the hot node), and the nodes without bills are added."""
+    h = billing_history(bills).select(F.col("node_id").alias("_bill_of"), "history_no", "total_energy_kwh", "cost",
                                       "measurement_count", "period_end")
-    return (nodes.where(F.col("owner_id").isNotNull())
-                 .select("owner_id", "node_id", "node_type", "district_id")
-                 .join(h, "node_id", "left"))
+    n = nodes.where(F.col("owner_id").isNotNull()).select("owner_id", "node_id", "node_type", "district_id")
+    billed = h.join(checked_broadcast(n), F.col("node_id") == F.col("_bill_of")).drop("_bill_of")
+    none = n.join(bills.select(F.col("node_id").alias("_bill_of")).distinct(), F.col("node_id") == F.col("_bill_of"), "left_anti")
+    cols = [*n.columns, "history_no", "total_energy_kwh", "cost", "measurement_count", "period_end"]
+    return billed.select(*cols).unionByName(none, allowMissingColumns=True).select(*cols)
 
 
 def user_total_cost(nodes: DataFrame, bills: DataFrame) -> DataFrame:

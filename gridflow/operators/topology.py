@@ -1,8 +1,8 @@
 """District ring topology: neighbours, roles and fixed-size buckets of ranks.
 
 Positions, previous and next members come from ``ordered_scan`` so a huge
-district is split across tasks; ring ends and district sizes are small
-per-district aggregates joined back.
+district is split across tasks, and so do the ring ends; district sizes are
+small per-district aggregates joined back.
 """
 
 from __future__ import annotations
@@ -18,12 +18,9 @@ def ring_neighbours(values: DataFrame, **split) -> DataFrame:
     """Values of the previous and next member of each district ring, per step
     (the ring wraps around; a ring of one is its own neighbour)."""
     keys = ["district", "step"]
-    s = ordered_scan(values.select(*keys, "rank", "v100"), keys, "rank",
-                     lags={"v100": "_prev"}, leads={"v100": "_next"}, **split)
-    ends = values.groupBy(*keys).agg(F.min_by("v100", "rank").alias("_first"),
-                                     F.max_by("v100", "rank").alias("_last"))
-    j = s.join(ends, keys)
-    return j.select(*keys, "rank", "v100",
+    s = ordered_scan(values.select(*keys, "rank", "v100"), keys, "rank", lags={"v100": "_prev"}, leads={"v100": "_next"},
+                     ends={"v100": ("_first", "_last")}, **split)
+    return s.select(*keys, "rank", "v100",
                     F.coalesce(F.col("_prev"), F.col("_last")).alias("prev_v100"),
                     F.coalesce(F.col("_next"), F.col("_first")).alias("next_v100"))
 

@@ -81,20 +81,13 @@ def parent_history(updates: DataFrame, depth: int = C.PARENT_HISTORY_DEPTH, **sp
     """After each parent update: the new parent and the ``depth`` previous ones,
     newest first (``hist_1`` ..), seeded with the node's initial parent.
 
-    Each lag comes from an ordered scan of the previous one, so a hot node is
-    split across tasks and no per-node list is collected.
+    One ordered scan brings all previous parents (a hot node is split across tasks and its splits carry their
+    last ``depth`` values); the initial parent stands before a node's first update.
     """
-    seeds = updates.select("node_id").distinct().select(
-        "node_id", F.lit(-1).cast("long").alias("off"), initial_parent(F.col("node_id")).alias("parent"),
-        F.lit(True).alias("_seed"))
-    u = updates.select("node_id", "off", "parent", F.lit(False).alias("_seed"))
-    cur = seeds.unionByName(u)
-    hot = find_hot_keys(cur, ["node_id"], "off", split.get("rows_per_split"))
-    prev = "parent"
-    for k in range(1, depth + 1):
-        cur = ordered_scan(cur, ["node_id"], "off", lags={prev: f"hist_{k}"}, hot=hot, **split)
-        prev = f"hist_{k}"
-    return cur.where(~F.col("_seed")).drop("_seed")
+    names = [f"hist_{k}" for k in range(1, depth + 1)]
+    u = ordered_scan(updates.select("node_id", "off", "parent"), ["node_id"], "off", position="_pos", lags={"parent": names}, **split)
+    first = initial_parent(F.col("node_id"))
+    return u.select("node_id", "off", "parent", *[F.when(F.col("_pos") == k, first).otherwise(F.col(n)).alias(n) for k, n in enumerate(names, 1)])
 
 
 def parent_changes(observations: DataFrame, **split) -> DataFrame:

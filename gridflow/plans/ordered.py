@@ -122,32 +122,35 @@ def _win(keys, split_aware: bool, order):
 
 def ordered_scan(df: DataFrame, keys: list[str], order, *,
                  position: str | None = None,
-                 lags: dict[str, str] | None = None,
+                 lags: dict[str, str | list[str]] | None = None,
                  leads: dict[str, str] | None = None,
                  fills: dict[str, str] | None = None,
                  fills_before: dict[str, str] | None = None,
+                 ends: dict[str, tuple[str, str]] | None = None,
                  rows_per_split: int | None = None,
                  hot: HotKeys | None = None) -> DataFrame:
     """Per key, in ``order``: add a 1-based ``position`` column, previous values
-    (``lags`` maps source column -> output name), next values (``leads``) and
+    (``lags`` maps source column -> output name, or the names for the previous value, the one before it, ...), next values (``leads``) and
     last-non-null-so-far values
     (``fills`` maps source column -> output name; the current row included;
-    ``fills_before`` the same over the earlier rows only).
+    ``fills_before`` the same over the earlier rows only) and the key's first and last value (``ends``).
 
     Exact for any split layout; hot keys are split across tasks.
     """
-    lags = lags or {}
+    lags = {src: [dst] if isinstance(dst, str) else list(dst) for src, dst in (lags or {}).items()}
     leads = leads or {}
     fills = fills or {}
     fills_before = fills_before or {}
+    ends = ends or {}
     hot = hot or find_hot_keys(df, keys, order, rows_per_split)
     sdf, any_hot = add_splits(df, keys, order, rows_per_split, hot)
     w = _win(keys, any_hot, order)
     out = sdf if any_hot else sdf.drop(SPLIT, HOT)
     if position or any_hot:
         out = out.withColumn("_lpos", F.row_number().over(w))
-    for src, dst in lags.items():
-        out = out.withColumn(dst, F.lag(src).over(w))
+    for src, names in lags.items():
+        for i, dst in enumerate(names, 1):
+            out = out.withColumn(dst, F.lag(src, i).over(w))
     for src, dst in leads.items():
         out = out.withColumn(dst, F.lead(src).over(w))
     wf = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -156,6 +159,10 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     wb = w.rowsBetween(Window.unboundedPreceding, -1)
     for src, dst in fills_before.items():
         out = out.withColumn(dst, F.last(src, ignorenulls=True).over(wb))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for src, names in ends.items():
+        for end, dst in zip((F.first, F.last), names):
+            out = out.withColumn(dst, end(src).over(whole))
     if not any_hot:
         if position:
             out = out.withColumn(position, F.col("_lpos").cast("long")).drop("_lpos")
@@ -171,10 +178,12 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     # of each lead, last non-null of each filled column; prefix-scanned per key over splits.
     pos = F.col("_lpos")
     aggs = [F.max(pos).alias("_cnt")]
-    for src in lags:
-        aggs.append(F.max_by(F.col(src), pos).alias(f"_last_{src}"))
+    for src, names in lags.items():  # the split's last values, newest first: its last row has them
+        aggs.append(F.slice(F.max_by(F.array(src, *names[:-1]), pos), F.lit(1), F.least(F.max(pos), F.lit(len(names)))).alias(f"_last_{src}"))
     for src in leads:
         aggs.append(F.min_by(F.col(src), pos).alias(f"_first_{src}"))
+    for src in ends:
+        aggs += [F.min_by(F.col(src), pos).alias(f"_begin_{src}"), F.max_by(F.col(src), pos).alias(f"_end_{src}")]
     filled = list(dict.fromkeys([*fills, *fills_before]))
     for src in filled:
         aggs.append(F.max_by(F.col(src), F.when(F.col(src).isNotNull(), pos)).alias(f"_lnn_{src}"))
@@ -185,12 +194,18 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     cols = [*keys, SPLIT, "_cnt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_start")]
     for src in leads:
         cols.append(F.lead(f"_first_{src}").over(ws).alias(f"_carry_lead_{src}"))
-    for src in lags:
-        cols.append(F.lag(f"_last_{src}").over(ws).alias(f"_carry_lag_{src}"))
+    for src, names in lags.items():  # no split is empty, so as many splits before hold as many values
+        k = len(names)
+        tails = F.reverse(F.collect_list(f"_last_{src}").over(ws.rowsBetween(-k, -1)))
+        cols.append(F.slice(F.flatten(tails), F.lit(1), F.lit(k)).alias(f"_carry_lag_{src}"))
     for src in filled:
         cols.append(F.last(f"_lnn_{src}", ignorenulls=True).over(before).alias(f"_carry_fill_{src}"))
+    for src, names in ends.items():
+        every = ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        cols += [F.first(f"_begin_{src}").over(every).alias(f"_of_{names[0]}"), F.last(f"_end_{src}").over(every).alias(f"_of_{names[1]}")]
     summ = summ.select(*cols)
-    if hot.splits() * ROW_WIDTH * len(summ.columns) <= BROADCAST_BYTES:   # one row per hot (key, split)
+    width = len(summ.columns) + sum(len(names) for names in lags.values())
+    if hot.splits() * ROW_WIDTH * width <= BROADCAST_BYTES:   # one row per hot (key, split)
         summ = F.broadcast(summ)
     names = [*keys, SPLIT]
     summ = summ.withColumnsRenamed({c: f"_s{i}" for i, c in enumerate(names)})
@@ -200,13 +215,17 @@ def ordered_scan(df: DataFrame, keys: list[str], order, *,
     out = out.join(summ, same, "left").drop(*[f"_s{i}" for i in range(len(names))])
     if position:
         out = out.withColumn(position, (F.coalesce(F.col("_start"), F.lit(0)) + F.col("_lpos")).cast("long"))
-    for src, dst in lags.items():
-        out = (out.withColumn(dst, F.when(F.col("_lpos") == 1, F.col(f"_carry_lag_{src}")).otherwise(F.col(dst)))
-                  .drop(f"_carry_lag_{src}"))
+    for src, names in lags.items():
+        for i, dst in enumerate(names, 1):
+            carried = F.get(F.col(f"_carry_lag_{src}"), (F.lit(i) - F.col("_lpos")).cast("int"))
+            out = out.withColumn(dst, F.when(F.col("_lpos") <= i, carried).otherwise(F.col(dst)))
+        out = out.drop(f"_carry_lag_{src}")
     for src, dst in leads.items():
         out = (out.withColumn(dst, F.when(F.col("_lpos") == F.col("_cnt"), F.col(f"_carry_lead_{src}"))
                                     .otherwise(F.col(dst)))
                   .drop(f"_carry_lead_{src}"))
+    for dst in [name for names in ends.values() for name in names]:
+        out = out.withColumn(dst, F.when(F.col("_cnt").isNotNull(), F.col(f"_of_{dst}")).otherwise(F.col(dst))).drop(f"_of_{dst}")
     for src, dst in [*fills.items(), *fills_before.items()]:
         out = out.withColumn(dst, F.coalesce(F.col(dst), F.col(f"_carry_fill_{src}")))
     out = out.drop(*[f"_carry_fill_{src}" for src in filled])

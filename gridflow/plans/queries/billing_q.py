@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from gridflow.operators import billing as B
 from gridflow.plans.named import register
 from gridflow.plans.oracle_views import with_views
@@ -92,7 +94,8 @@ select node_id, count(*) as bills, cast(sum(energy_ckwms) as bigint) as energy_c
        sum(cost_num) / 3.6e10 + 0.0 as total_cost
 from bills group by node_id""")
 def node_billing_totals(spark, sf):
-    return B.node_billing_totals(bills(spark, sf))
+    t = B.node_billing_totals(bills(spark, sf))
+    return t.withColumns({c: F.col(c).cast("long") for c in ("energy_ckwms", "cost_num")})
 
 
 @register("node_last_billing_type", bills_sql_prefix() + """

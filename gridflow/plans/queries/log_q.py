@@ -8,10 +8,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridflow import config as C
 from gridflow.operators import billing as B
 from gridflow.operators import parse as P
 from gridflow.operators import registry as R
-from gridflow.plans.named import register
+from gridflow.operators import reports as Rp
+from gridflow.plans.named import ORACLE, register
 from gridflow.plans.oracle_views import with_views
 from gridflow.plans.queries.billing_q import bills_sql_prefix
 from gridflow.plans.queries.registry_q import ACCOUNT_SQL, NODE_COMMANDS_SQL
@@ -21,7 +23,11 @@ from gridflow.sources.tables import read_table
 from gridflow.streaming import continuous as Co
 from gridflow.streaming import sinks as S
 from gridflow.streaming import sources as Src
+from gridflow.streaming import tables as Tb
 
+BILL_COLS = ["off", "node_id", "window_no", "node_type", "district_id", "energy_ckwms", "total_energy_kwh", "cost_num", "cost",
+             "measurement_count", "period_start", "period_end"]
+BILL_ROWS_SQL = bills_sql_prefix() + f" select {', '.join(BILL_COLS)} from bills"
 USER_FIELDS = {"type": "type", "userId": "user_id", "name": "name", "email": "email", "timestamp": "timestamp"}
 USER_JSON = "type string, userId string, name string, email string, timestamp long"
 
@@ -90,22 +96,42 @@ def concurrent_queries(spark, sf):
     return high_rows.unionByName(low_rows)
 
 
-@register("serial_line_source", with_views("serial_lines") + """
-select node_id, line, row_number() over (partition by node_id order by off) as off from serial_lines""")
+SERIAL_SQL = with_views("serial_lines") + """
+select node_id, line, row_number() over (partition by node_id order by off) as off from serial_lines"""
+
+
+def _land_lines(lines: DataFrame, path: str) -> None:
+    """Console logs, one folder per node, one more file in each."""
+    rows = lines.select("node_id", "off", "line").withColumn("node", F.col("node_id"))
+    (rows.repartition("node_id").sortWithinPartitions("node_id", "off").select("node", "line")
+     .write.mode("append").partitionBy("node").text(path))
+
+
+@register("serial_line_source", SERIAL_SQL)
 def serial_line_source(spark, sf):
     """Console logs landed one folder per node, read back in arrival order."""
     path = _folder(spark, "serial")
-    lines = V.serial_lines(spark, sf).select("node_id", "off", "line").withColumn("node", F.col("node_id"))
-    (lines.repartition("node_id").sortWithinPartitions("node_id", "off").select("node", "line")
-     .write.partitionBy("node").text(path))
+    _land_lines(V.serial_lines(spark, sf), path)
     return Src.serial_line_source(spark, path).select(F.regexp_replace("node_id", "^node=", "").alias("node_id"), "line", "off")
 
 
+@register("serial_line_stream", SERIAL_SQL)
+def serial_line_stream(spark, sf):
+    """The same logs growing by several files a node, read as a stream in several micro-batches."""
+    s, path, base = S.stream_session(spark), _folder(spark, "serial-stream"), _folder(spark, "serial-run")
+    lines = V.serial_lines(s, sf)
+    parts, span = Tb.parts_of(lines, "off")
+    for k in range(parts):
+        _land_lines(lines.where(F.floor(F.col("off") * parts / span) == k), path)
+        Co.serial_lines(Src.serial_line_stream(s, path), base)
+    return s.read.parquet(f"{base}/out").select(F.regexp_replace("node_id", "^node=", "").alias("node_id"), "line", "off")
+
+
 @register("node_dimension", """
 select cast(s_suppkey as integer) as pos, concat('n', s_suppkey) as node_id, concat('fd00::', s_nationkey, ':', s_suppkey) as ipv6
 from supplier""")
 def node_dimension(spark, sf):
-    """The supplier dimension written as a device list and read back; its numbers are the positions."""
+    """The supplier dimension written as a device list of JSON lines and read back; its numbers are the positions."""
     path = _folder(spark, "nodes")
     n = read_table(spark, sf, "supplier", ["s_suppkey", "s_nationkey"]).select(
         F.col("s_suppkey").cast("int").alias("pos"), F.concat(F.lit("n"), "s_suppkey").alias("nodeId"),
@@ -114,6 +140,20 @@ def node_dimension(spark, sf):
     return Src.node_list(spark, path)
 
 
+@register("node_document", """
+select n_regionkey as region, cast(row_number() over (partition by n_regionkey order by n_nationkey) - 1 as integer) as pos,
+       concat('n', n_nationkey) as node_id, concat('fd00::', n_nationkey) as ipv6 from nation""")
+def node_document(spark, sf):
+    """One device list document per region (``{"nodes": [...]}``), read back with each node's place in it."""
+    path = _folder(spark, "node-documents")
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_regionkey"])
+    node = F.struct(F.col("n_nationkey").alias("_key"), F.concat(F.lit("n"), "n_nationkey").alias("nodeId"), F.concat(F.lit("fd00::"), "n_nationkey").alias("ipv6"))
+    nodes = F.transform(F.sort_array(F.collect_list(node)), lambda x: F.struct(x["nodeId"].alias("nodeId"), x["ipv6"].alias("ipv6")))
+    (n.groupBy("n_regionkey").agg(nodes.alias("nodes")).select(F.col("n_regionkey").alias("region"), F.to_json(F.struct("nodes")).alias("value"))
+     .repartition("region").write.partitionBy("region").text(path))
+    return Src.node_dimension(spark, path, keep=["region"]).select(F.col("region").cast("long"), "pos", "node_id", "ipv6")
+
+
 @register("resume_point", bills_sql_prefix() + """
 select off, node_id, window_no, cost_num from bills""")
 def resume_point(spark, sf):
@@ -163,13 +203,86 @@ def nodes_from_commands(spark, sf):
     return R.nodes_current(d)
 
 
-@register("bills_from_log", bills_sql_prefix() + """
-select node_id, cast(count(*) as bigint) as bills, cast(sum(measurement_count) as bigint) as measurements from bills group by node_id""")
-def bills_from_log(spark, sf):
-    """Bills published as records and read back."""
+def _stored_bills(spark, sf):
+    """Bills published as full billing records, landed and read back as such."""
     path = _folder(spark, "bills")
-    bills = B.billing_windows(V.measurements(spark, sf))
-    S.write_keyed_log(P.keyed_log(bills, "node_id", {"nodeId": "node_id", "cost": "cost", "measurementCount": "measurement_count"}, "billing"), path)
-    d = F.from_json("value", "nodeId string, cost double, measurementCount long")
-    return Src.replay_log(spark, path).select(d.alias("d")).groupBy(F.col("d.nodeId").alias("node_id")).agg(
-        F.count("*").alias("bills"), F.sum("d.measurementCount").alias("measurements"))
+    S.write_keyed_log(B.billing_records(B.billing_windows(V.measurements(spark, sf))), path)
+    return B.bills_of_records(Src.replay_log(spark, path))
+
+
+@register("bills_from_log", BILL_ROWS_SQL)
+def bills_from_log(spark, sf):
+    return _stored_bills(spark, sf).withColumns({c: F.col(c).cast("long") for c in ("energy_ckwms", "cost_num")}).select(*BILL_COLS)
+
+
+# readings with five decimals: the events' values and a fine part from their position
+_FINE = with_views("measurements") + """,
+fine as (select off, node_id, node_type, t, (abs(v100) * 1000 + off % 1000) * sign(v100 + 0.5) as v from measurements),
+fw as (select *, row_number() over w as pos, lag(t) over w as prev_t from fine window w as (partition by node_id order by off)),
+fb as (select max(off) as off, node_id, (pos - 1) // 5 as window_no, arg_max(node_type, pos) as node_type, count(*) as n,
+              cast(sum(cast(abs(v) as hugeint) * greatest(coalesce(t - prev_t, 0), 0)) as decimal(30,0)) * cast(0.001 as decimal(4,3)) as e
+       from fw group by node_id, (pos - 1) // 5 having count(*) = 5)
+select off, node_id, cast(window_no as bigint) as window_no, cast(e as double) as energy_ckwms, cast(e as double) / 3.6e8 as total_energy_kwh,
+       cast(e * (case node_type when 'CONSUMER' then 25 when 'PRODUCER' then -10 else 0 end) as double) / 3.6e10 + 0.0 as cost from fb"""
+
+
+def _fine_log(spark, sf):
+    """Readings published with five decimals."""
+    m = V.measurements(spark, sf)
+    fine = (F.abs("v100") * 1000 + F.col("off") % 1000) * F.when(F.col("v100") < 0, -1).otherwise(1)
+    rec = F.struct(F.lit(C.MEASUREMENT_EVENT_TYPE).alias("type"), F.col("node_id").alias("nodeId"), F.col("node_type").alias("nodeType"),
+                   F.col("district_id").alias("districtId"), (fine / F.lit(100_000.0)).alias("value"), F.col("t").alias("timestamp"))
+    return m.select(F.lit("measurements").alias("topic"), "off", F.col("district_id").alias("key"), F.to_json(rec).alias("value"))
+
+
+def _fine_bills(bills):
+    return bills.select("off", "node_id", "window_no", F.col("energy_ckwms").cast("double").alias("energy_ckwms"),
+                        F.col("total_energy_kwh").cast("double").alias("total_energy_kwh"), F.col("cost").cast("double").alias("cost"))
+
+
+@register("exact_billing", _FINE)
+def exact_billing(spark, sf):
+    """Bills of readings finer than hundredths, read from the log."""
+    return _fine_bills(B.billing_windows(Src.measurement_stream(_fine_log(spark, sf), exact=True)))
+
+
+@register("exact_billing_stream", _FINE)
+def exact_billing_stream(spark, sf):
+    """The same as a stream in several micro-batches."""
+    s = S.stream_session(spark)
+    run = lambda stream, base: Co.billing(Src.measurement_stream(stream, exact=True), base)
+    base = Tb.in_parts(_fine_log(s, sf), "off", "exact_billing_stream", run)
+    return _fine_bills(s.read.parquet(f"{base}/out"))
+
+
+# the reports over stored records, with the SQL of the reports over readings
+@register("billing_history_of_records", ORACLE["billing_history"])
+def billing_history_of_records(spark, sf):
+    return B.billing_history(_stored_bills(spark, sf)).select(
+        "node_id", "history_no", "off", "total_energy_kwh", "cost", "measurement_count", "period_end")
+
+
+@register("node_totals_of_records", ORACLE["node_billing_totals"])
+def node_totals_of_records(spark, sf):
+    t = B.node_billing_totals(_stored_bills(spark, sf))
+    return t.withColumns({c: F.col(c).cast("long") for c in ("energy_ckwms", "cost_num")})
+
+
+@register("user_panel_of_records", ORACLE["user_panel"])
+def user_panel_of_records(spark, sf):
+    return Rp.user_panel(R.nodes_current(V.node_events(spark, sf)), _stored_bills(spark, sf))
+
+
+@register("user_total_cost_of_records", ORACLE["user_total_cost"])
+def user_total_cost_of_records(spark, sf):
+    return Rp.user_total_cost(R.nodes_current(V.node_events(spark, sf)), _stored_bills(spark, sf))
+
+
+@register("district_summary_of_records", ORACLE["district_summary"])
+def district_summary_of_records(spark, sf):
+    return Rp.district_summary(R.nodes_current(V.node_events(spark, sf)), _stored_bills(spark, sf))
+
+
+@register("last_billing_type_of_records", ORACLE["node_last_billing_type"])
+def last_billing_type_of_records(spark, sf):
+    return B.node_last_billing_type(_stored_bills(spark, sf))

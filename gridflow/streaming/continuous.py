@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from gridflow import config as C
 from gridflow.streaming import steps as St
+from gridflow.streaming.sources import numbered_lines
 from gridflow.streaming.tables import KeyedTable, append, run_steps
 
 After = Callable[[int], None] | None
@@ -72,6 +73,18 @@ def node_commands(log: DataFrame, user_events: Callable[[DataFrame], DataFrame],
     run_steps(log, step, f"{base}/checkpoint")
 
 
+def serial_lines(lines: DataFrame, base: str, after: After = None) -> None:
+    """Device lines with their place among their node's (``base/out``), for files that land one after the other per node."""
+    def step(rows: DataFrame, batch: int) -> None:
+        counts = _table(rows.sparkSession, base, "lines", ["node_id"], "node_id string, lines long")
+        numbered, behind = numbered_lines(rows, counts.before(batch))
+        append(numbered, f"{base}/out", batch)
+        counts.write(batch, behind)
+        _done(after, batch)
+
+    run_steps(lines, step, f"{base}/checkpoint")
+
+
 def twin_table(spark: SparkSession, base: str) -> KeyedTable:
     return _table(spark, base, "twins", ["node_id"], St.TWIN_STATE)
 

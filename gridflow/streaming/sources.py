@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridflow.operators.parse import parse_measurement, typed_projection
+from gridflow.plans.joins import checked_broadcast
+from gridflow.session import checkpoint_dir
 from gridflow.sources.tables import table_path
 
 LOG_SCHEMA = T.StructType([
@@ -63,9 +65,9 @@ def broker_stream(spark: SparkSession, servers: str, topic: str, starting: str =
     return df.withColumn("off", F.col("offset")).withColumn("value", F.col("value").cast("string"))
 
 
-def measurement_stream(records: DataFrame) -> DataFrame:
+def measurement_stream(records: DataFrame, exact: bool = False) -> DataFrame:
     """Readings from keyed log records: parse the JSON, keep well-formed typed rows."""
-    return typed_projection(parse_measurement(records))
+    return typed_projection(parse_measurement(records), exact)
 
 
 def replay_log(spark: SparkSession, path: str, ends: DataFrame | None = None) -> DataFrame:
@@ -77,20 +79,50 @@ def replay_log(spark: SparkSession, path: str, ends: DataFrame | None = None) ->
     return log.join(ends, "topic").where(F.col("off") <= F.col("end")).select(*LOG_SCHEMA.names)
 
 
-def serial_line_source(spark: SparkSession, root: str, stream: bool = False) -> DataFrame:
-    """Device console logs landed one folder per node (``root/<node_id>/*``): one row per line, the
-    node id from the folder name. In a batch ``off`` is the line's place among its node's: by file
-    name, block of the file, and line within the block. A stream reads whole files in the order in
-    which they land and has no such place: ``off`` is null."""
-    pattern = f"{root}/*/*"
-    df = spark.readStream.text(pattern) if stream else spark.read.text(pattern)
+def _lines(reader, root: str) -> DataFrame:
     path = F.col("_metadata.file_path")
-    out = df.select(F.element_at(F.split(path, "/"), -2).alias("node_id"), F.col("value").alias("line"), path.alias("file"),
-                    F.col("_metadata.file_block_start").alias("block"), *([] if stream else [F.monotonically_increasing_id().alias("row")]))
-    if stream:
-        return out.select("node_id", "line", F.lit(None).cast("long").alias("off"))
-    place = Window.partitionBy("node_id").orderBy("file", "block", "row")
-    return out.select("node_id", "line", F.row_number().over(place).cast("long").alias("off"))
+    return reader.text(f"{root}/*/*").select(F.element_at(F.split(path, "/"), -2).alias("node_id"), F.col("value").alias("line"),
+                                             path.alias("file"), F.col("_metadata.file_modification_time").alias("time"),
+                                             F.col("_metadata.file_block_start").alias("block"))
+
+
+def numbered_lines(lines: DataFrame, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Lines (node_id, line, file, time, block) of a batch of files -> (node_id, line, off), and the lines per node
+    (node_id, lines) behind them. ``off`` is the line's place among its node's: behind the ``lines`` of ``before``, by
+    time and name of the file, block of the file, and line within the block. A node's files land one after
+    the other and do not grow.
+
+    Lines are counted within the block of a file that a task reads; only one row per block is ordered per
+    node, so a node with a third of all lines is no hot key."""
+    checkpoint_dir(lines.sparkSession)
+    place = Window.partitionBy("node_id", "file", "block").orderBy("_row")
+    # read once: what a task reads is in the order of the file
+    at = lines.withColumn("_row", F.monotonically_increasing_id()).withColumn("_line", F.row_number().over(place)).drop("_row").checkpoint()
+    blocks = at.groupBy("node_id", "time", "file", "block").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("node_id").orderBy("time", "file", "block")
+    start = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("node_id", "file", "block", "n", start.alias("start"))
+    totals = blocks.groupBy("node_id").agg(F.sum("n").alias("lines"))
+    if before is not None:
+        had = before.select(F.col("node_id").alias("_n"), F.col("lines").alias("_had"))
+        known = F.col("node_id").eqNullSafe(F.col("_n"))
+        blocks = blocks.join(had, known, "left").withColumn("start", F.col("start") + F.coalesce("_had", F.lit(0))).drop("_n", "_had")
+        totals = totals.join(had, known, "left").select("node_id", (F.col("lines") + F.coalesce("_had", F.lit(0))).alias("lines"))
+    start = checked_broadcast(blocks.select(F.col("file").alias("_f"), F.col("block").alias("_b"), "start"))
+    out = at.join(start, (F.col("file") == F.col("_f")) & (F.col("block") == F.col("_b")))
+    return out.select("node_id", "line", (F.col("start") + F.col("_line")).cast("long").alias("off")), totals
+
+
+def serial_line_source(spark: SparkSession, root: str) -> DataFrame:
+    """Device console logs landed one folder per node (``root/<node_id>/*``): one row per line, the
+    node id from the folder name, ``off`` its place among its node's lines (see ``numbered_lines``)."""
+    return numbered_lines(_lines(spark.read, root))[0]
+
+
+def serial_line_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same logs as a stream of new files; ``continuous.serial_lines`` numbers its lines."""
+    r = spark.readStream
+    return _lines(r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r, root)
 
 
 def node_list(spark: SparkSession, path: str) -> DataFrame:
@@ -98,10 +130,12 @@ def node_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("pos int, nodeId string, ipv6 string").json(path).select("pos", F.col("nodeId").alias("node_id"), "ipv6")
 
 
-def node_dimension(spark: SparkSession, path: str) -> DataFrame:
+def node_dimension(spark: SparkSession, path: str, keep: list[str] | None = None) -> DataFrame:
     """Device list from a JSON config ``{"nodes": [{"nodeId", "ipv6", ...}]}`` ->
-    (pos, node_id, ipv6); ``pos`` keeps file order for first-match lookups."""
+    (pos, node_id, ipv6); ``pos`` keeps file order for first-match lookups. ``keep``: partition columns of a
+    folder of such documents, kept in front."""
+    keep = keep or []
     cfg = spark.read.option("multiLine", True).json(path)
-    e = cfg.select(F.posexplode("nodes").alias("pos", "n"))
-    return e.select(F.col("pos").cast("int").alias("pos"), F.col("n.nodeId").cast("string").alias("node_id"),
+    e = cfg.select(*keep, F.posexplode("nodes").alias("pos", "n"))
+    return e.select(*keep, F.col("pos").cast("int").alias("pos"), F.col("n.nodeId").cast("string").alias("node_id"),
                     F.col("n.ipv6").alias("ipv6"))

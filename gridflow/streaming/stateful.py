@@ -13,6 +13,8 @@ micro-batch steps: see ``steps`` and ``continuous``.
 
 from __future__ import annotations
 
+from decimal import Context, Decimal
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,17 @@ from pyspark.sql import types as T
 from gridflow import config as C
 
 _KWH = float(C.CENTI_KW_MS_PER_KWH)
+_MILLIONTHS = 1_000_000  # power is taken in millionths of its unit, so that exact readings keep their decimals
+
+
+def _millionths(x) -> int:
+    """Of a whole number or a decimal with at most six decimals."""
+    return int(x) * _MILLIONTHS if x == int(x) else int(Decimal(x).scaleb(6, Context(prec=60)))
+
+
+def _number(millionths: int) -> float:
+    whole, rest = divmod(millionths, _MILLIONTHS)
+    return millionths / _MILLIONTHS if rest else float(whole)
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -158,8 +171,8 @@ def _step_charge_processor():
             for step, bal, n, mx in zip(pdf["step"], pdf["balance_v100"], pdf["num_measurements"], pdf["max_t"]):
                 last, clock = clock, max(clock, int(mx))
                 if last > 0 and clock - last > 0:
-                    charge = max(0, charge + int(bal) * (clock - last))
-                out.append((key[0], int(step), int(bal) / 100.0, int(n), clock, charge / _KWH))
+                    charge = max(0, charge + _millionths(bal) * (clock - last))
+                out.append((key[0], int(step), _number(_millionths(bal)) / 100.0, int(n), clock, _number(charge) / _KWH))
             self.state.update((str(charge), clock))
             yield pd.DataFrame(out, columns=[f.name for f in STEP_CHARGE_OUT.fields])
 

@@ -33,7 +33,7 @@ def _with_state(rows: DataFrame, state: DataFrame, key: str) -> DataFrame:
 
 # ---- billing -------------------------------------------------------------------------
 
-BILL_STATE = "node_id string, last_t long, k long, energy long, start_t long, bills long"
+BILL_STATE = "node_id string, last_t long, k long, energy decimal(38,6), start_t long, bills long"
 
 
 def billing_step(readings: DataFrame, state: DataFrame, size: int = C.BILLING_WINDOW_SIZE, **split) -> tuple[DataFrame, DataFrame]:
@@ -41,6 +41,8 @@ def billing_step(readings: DataFrame, state: DataFrame, size: int = C.BILLING_WI
     readings, their energy and first time, the last reading's time and the bills so far."""
     e = ordered_scan(readings.select("off", "node_id", "node_type", "district_id", "v100", "t"), ["node_id"], "off",
                      position="pos", lags={"t": "prev_t"}, **split)
+    power = dict(readings.dtypes)["v100"]
+    state = state.withColumn("energy", F.col("energy").cast("decimal(38,6)" if power.startswith("decimal") else "long"))
     e = _with_state(e, state, "node_id")
     at = F.coalesce("s_k", F.lit(0)) + F.col("pos") - 1
     dt = F.greatest(F.coalesce(F.col("t") - F.coalesce("prev_t", "s_last_t"), F.lit(0)), F.lit(0))
@@ -62,15 +64,15 @@ def billing_step(readings: DataFrame, state: DataFrame, size: int = C.BILLING_WI
         F.col("start_t").alias("period_start"), F.col("t").alias("period_end"))
     end = g.groupBy("node_id").agg(F.max_by(F.struct("n", "energy", "start_t", "t", "window_no"), "window_no").alias("w"))
     full = F.col("w.n") == size
-    zero = lambda c: F.when(full, F.lit(0)).otherwise(F.col(c)).cast("long")
-    after = end.select("node_id", F.col("w.t").alias("last_t"), zero("w.n").alias("k"), zero("w.energy").alias("energy"),
+    zero = lambda c, kind="long": F.when(full, F.lit(0)).otherwise(F.col(c)).cast(kind)
+    after = end.select("node_id", F.col("w.t").alias("last_t"), zero("w.n").alias("k"), zero("w.energy", "decimal(38,6)").alias("energy"),
                        zero("w.start_t").alias("start_t"), (F.col("w.window_no") + full.cast("long")).alias("bills"))
     return bills, after
 
 
 # ---- district charge -----------------------------------------------------------------
 
-CHARGE_STATE = "district_id string, last_t long, charge decimal(38,0), batch_balance_kw double, num_measurements long"
+CHARGE_STATE = "district_id string, last_t long, charge decimal(38,6), batch_balance_kw double, num_measurements long"
 
 
 def charge_step(readings: DataFrame, state: DataFrame) -> DataFrame:
@@ -82,16 +84,16 @@ def charge_step(readings: DataFrame, state: DataFrame) -> DataFrame:
     g = _with_state(g, state.select("district_id", "last_t", "charge"), "district_id")
     last = F.coalesce("s_last_t", F.lit(-1).cast("long"))
     now = F.greatest("mx", last)
-    more = F.when((last > 0) & (now > last), F.col("bal").cast("decimal(20,0)") * (now - last).cast("decimal(18,0)")).otherwise(0)
-    had = F.coalesce("s_charge", F.lit(0).cast("decimal(38,0)"))
-    charge = F.when(last > 0, F.greatest(F.lit(0).cast("decimal(38,0)"), (had + more).cast("decimal(38,0)"))).otherwise(had)
-    return _materialised(g.select("district_id", now.alias("last_t"), charge.cast("decimal(38,0)").alias("charge"),
+    more = F.when((last > 0) & (now > last), (F.col("bal").cast("decimal(28,6)") * (now - last).cast("decimal(20,0)")).cast("decimal(38,6)")).otherwise(0)
+    had = F.coalesce("s_charge", F.lit(0).cast("decimal(38,6)"))
+    charge = F.when(last > 0, F.greatest(F.lit(0).cast("decimal(38,6)"), (had + more).cast("decimal(38,6)"))).otherwise(had)
+    return _materialised(g.select("district_id", now.alias("last_t"), charge.cast("decimal(38,6)").alias("charge"),
                                   (F.col("bal") / F.lit(100.0)).alias("batch_balance_kw"), F.col("n").alias("num_measurements")))
 
 
 def charge_rows(state: DataFrame) -> DataFrame:
     return state.select("district_id", "batch_balance_kw", "num_measurements", F.col("last_t").alias("max_event_ms"),
-                        kwh(F.col("charge")).alias("charge_kwh"))
+                        kwh(F.col("charge").cast("double")).alias("charge_kwh"))
 
 
 # ---- node commands -------------------------------------------------------------------
@@ -146,7 +148,7 @@ def twin_step(events: DataFrame, state: DataFrame, registry: DataFrame,
 
 # ---- sliding windows and late rows ----------------------------------------------------
 
-SLIDE_STATE = "district_id string, window_start_ms long, sum_v100 decimal(38,0), n_values long, n_nodes long"
+SLIDE_STATE = "district_id string, window_start_ms long, sum_v100 decimal(38,6), n_values long, n_nodes long"
 CLOCK_STATE = "id int, t long"
 
 
@@ -166,9 +168,9 @@ def slide_step(readings: DataFrame, state: DataFrame, duration_ms: int, slide_ms
     starts = F.transform(F.sequence(F.lit(0), F.lit(-(-duration_ms // slide_ms) - 1)), lambda i: (first - i * slide_ms).cast("long"))
     w = r.select("district_id", "node_id", "v100", "t", F.explode(starts).alias("window_start_ms")).where(F.col("window_start_ms") + duration_ms > F.col("t"))
     g = w.groupBy("district_id", "window_start_ms").agg(
-        F.sum(F.col("v100").cast("decimal(20,0)")).alias("a"), F.count("v100").alias("b"), F.count("node_id").alias("c"))
+        F.sum(F.col("v100").cast("decimal(28,6)")).alias("a"), F.count("v100").alias("b"), F.count("node_id").alias("c"))
     s = state.select(F.col("district_id").alias("_d"), F.col("window_start_ms").alias("_w"), "sum_v100", "n_values", "n_nodes")
     j = g.join(s, (F.col("district_id") == F.col("_d")) & (F.col("window_start_ms") == F.col("_w")), "left")
     plus = lambda x, y: F.col(x) + F.coalesce(F.col(y), F.lit(0))
-    return j.select("district_id", "window_start_ms", plus("a", "sum_v100").cast("decimal(38,0)").alias("sum_v100"),
+    return j.select("district_id", "window_start_ms", plus("a", "sum_v100").cast("decimal(38,6)").alias("sum_v100"),
                     plus("b", "n_values").alias("n_values"), plus("c", "n_nodes").alias("n_nodes"))

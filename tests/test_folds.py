@@ -265,10 +265,10 @@ def test_ordered_scan_split_equals_plain(spark):
     rows = [(f"k{rnd.randrange(3)}", i, rnd.choice([None, rnd.randrange(100)])) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, o long, v long")
     kw = dict(position="pos", lags={"v": "lag_v"}, leads={"v": "lead_v"}, fills={"v": "ff"},
-              fills_before={"v": "fb"})
+              fills_before={"v": "fb"}, ends={"v": ("first", "last")})
     a = ordered_scan(df, ["k"], "o", **kw)
     b = ordered_scan(df, ["k"], "o", rows_per_split=7, **kw)
-    cols = ["k", "o", "v", "pos", "lag_v", "lead_v", "ff", "fb"]
+    cols = ["k", "o", "v", "pos", "lag_v", "lead_v", "ff", "fb", "first", "last"]
     assert rows_of(a, cols) == rows_of(b, cols)
     # and equal to a direct Python scan
     want = []
@@ -283,7 +283,9 @@ def test_ordered_scan_split_equals_plain(spark):
                 last = v
             want.append((k, o, v, i + 1, seq[i - 1][1] if i else None,
                          seq[i + 1][1] if i + 1 < len(seq) else None, last, fb))
-    assert rows_of(a, cols) == sort_rows(want)
+    assert rows_of(a, cols[:8]) == sort_rows(want)
+    ends = {k: (of[0], of[-1]) for k in by for of in [[v for kk, _, v in sorted(rows, key=lambda r: r[1]) if kk == k]]}
+    assert {(r.k, r.first, r.last) for r in b.collect()} == {(k, *x) for k, x in ends.items()}
 
 
 # ---- liveness: segment form equals the tick loop ------------------------------------
@@ -474,3 +476,52 @@ def test_billing_ten_readings_and_type_change(spark):
                  for r in B.billing_windows(spark.createDataFrame(rows, READ_COLS)).collect())
     # the 5th / 10th reading decides type and district; the gap 4 -> 5 is billed in window 2
     assert got == [(0, "CONSUMER", "d1", 100 * 4000), (1, "PRODUCER", "d3", 100 * 5000)]
+
+
+def test_several_lags_carry_over_splits(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["a", "b", None]), i, rnd.choice([None, rnd.randrange(9)])) for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    for split in ({}, {"rows_per_split": 1}, {"rows_per_split": 5}):
+        got = ordered_scan(df, ["k"], "o", lags={"v": ["l1", "l2", "l3"]}, **split)
+        by, want = {}, []
+        for k, o, v in rows:
+            past = by.setdefault(k, [])
+            want.append((k, o, *(past[-i] if len(past) >= i else None for i in (1, 2, 3))))
+            past.append(v)
+        assert rows_of(got, ["k", "o", "l1", "l2", "l3"]) == sort_rows(want)
+
+
+# ---- stored billing records -------------------------------------------------------
+
+@pytest.mark.parametrize("split", SPLITS)
+def test_reports_over_stored_records_equal_reports_over_readings(spark, split):
+    from gridflow.operators import reports as P
+    bills = B.billing_windows(spark.createDataFrame(random_readings(19, n=400, nodes=3), READ_COLS))
+    other = spark.createDataFrame([("billing-records", 1, "n0", '{"type":"Other","nodeId":"n0","cost":1.0}')], "topic string, off long, key string, value string")
+    stored = B.bills_of_records(B.billing_records(bills).unionByName(other), **split)
+    cols = bills.columns
+    assert rows_of(stored.select(*cols), cols) == rows_of(bills, cols)
+    nodes = spark.createDataFrame([("n0", "d1", "CONSUMER", "u1", 1.0), ("n1", "d1", "PRODUCER", "u2", 1.0), ("n9", "d2", "PRODUCER", "u1", 1.0),
+                                   ("n2", "d2", "PRODUCER", None, 1.0)], "node_id string, district_id string, node_type string, owner_id string, capacity double")
+    for report in (P.user_panel, P.user_total_cost, P.district_summary):
+        a, b = report(nodes, bills), report(nodes, stored)
+        assert rows_of(a, a.columns) == rows_of(b, a.columns)
+    panel = P.user_panel(nodes, stored)
+    assert panel.where("node_id = 'n9' and history_no is null").count() == 1 and panel.where("node_id = 'n2'").count() == 0
+
+
+def test_records_with_odd_amounts(spark):
+    rows = [(1, '{"type":"UsageRecordCreated","nodeId":"a","totalEnergyKwh":1e300,"cost":0.25,"measurementCount":5}'),
+            (2, '{"type":"UsageRecordCreated","nodeId":"a","cost":-0.5,"measurementCount":5}'), (3, "junk"), (4, None),
+            (5, '{"type":"UsageRecordCreated","totalEnergyKwh":2.5,"cost":0.1}')]
+    got = B.node_billing_totals(B.bills_of_records(spark.createDataFrame(rows, "off long, value string")))
+    assert {(r.node_id, r.bills, r.total_energy_kwh, r.total_cost) for r in got.collect()} == {("a", 2, 0.0, -0.25), (None, 1, 2.5, 0.1)}
+
+
+def test_broadcast_is_bounded_in_rows_and_bytes(spark):
+    from gridflow.plans.joins import checked_broadcast
+    hint = lambda df: "ResolvedHint" in df._jdf.queryExecution().logical().toString() or "hint" in df._jdf.queryExecution().logical().toString().lower()
+    dim = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("s"), F.array(F.lit("y")).alias("a"))
+    assert hint(checked_broadcast(dim)) and not hint(checked_broadcast(dim, max_rows=99)) and not hint(checked_broadcast(dim, max_bytes=90_000))
+    assert hint(checked_broadcast(dim.where("false")))

@@ -126,3 +126,28 @@ def test_period_white_space_and_range(spark):
     addr = spark.createDataFrame([(0, "n", "fd00::1")], "pos int, node_id string, ipv6 string")
     got = {r.off: (r.status, r.command) for r in P.period_normalize(msgs, addr).collect()}
     assert got == {0: ("sent", "PERIOD:8"), 1: ("invalid payload", None), 2: ("sent", "PERIOD:1"), 3: ("invalid payload", None)}
+
+
+def test_exact_readings_keep_their_decimals(spark):
+    from decimal import Decimal
+    from gridflow.operators import billing as B, charge as G, windows as W
+    from gridflow.streaming import stateful as St, steps
+    values = [0.004, 12.34567, -0.00000001, 89999999999999.0, 1e3, 5.0, 0.1, 0.2, 0.3, 7.25]
+    rows = [(i, '{"nodeId":"n","nodeType":"CONSUMER","districtId":"d","value":%r,"timestamp":%d}' % (v, 1_000_000 + 7_000 * i)) for i, v in enumerate(values)]
+    r = P.typed_projection(P.parse_measurement(spark.createDataFrame(rows, "off long, value string")), exact=True)
+    want = [Decimal(repr(v)) * 100 for v in values]
+    assert [x.v100 for x in r.orderBy("off").collect()] == want
+    bills = B.billing_windows(r).orderBy("off").collect()
+    energy = [sum(abs(v) * (7_000 if i else 0) for i, v in list(enumerate(want))[a:a + 5]) for a in (0, 5)]
+    assert [b.energy_ckwms for b in bills] == energy
+    # the micro-batch step carries the open window's energy exactly
+    first, state = steps.billing_step(r.where("off < 7"), spark.createDataFrame([], steps.BILL_STATE))
+    second, _ = steps.billing_step(r.where("off >= 7"), state)
+    assert [b.energy_ckwms for b in first.unionByName(second).orderBy("off").collect()] == energy
+    small = r.where("off in (0, 1, 2, 4)")
+    charge = G.district_charge(small, 7_000).orderBy("step").collect()
+    assert charge[1].charge_kwh == float(Decimal("1234.567") * 7_000) / 3.6e8
+    assert charge[2].batch_balance_kw == -1e-8
+    total = W.sliding_balance(small, "1 hour", "1 hour").first().total_balance_kw
+    assert total == float(Decimal("101234.966999")) / 100.0
+    assert St._millionths(Decimal("0.400001")) == 400001 and St._millionths(7) == 7_000_000 and St._number(1_500_000) == 1.5

@@ -274,8 +274,21 @@ def test_serial_line_source_and_node_dimension(spark):
         with open(os.path.join(base, "lines", node, "console.log"), "w") as f:
             f.write("\n".join(lines) + "\n")
     src = Src.serial_line_source(spark, os.path.join(base, "lines"))
-    assert sorted((r["node_id"], r["line"]) for r in src.collect()) == [
-        ("3", "PARENT_CHANGE: fd00::201"), ("3", "noise"), ("4", "MSG_SENT: 7")]
+    first = [("3", "PARENT_CHANGE: fd00::201", 1), ("3", "noise", 2), ("4", "MSG_SENT: 7", 1)]
+    assert sorted((r["node_id"], r["line"], r["off"]) for r in src.collect()) == first
+    # the stream numbers the same lines, batch by batch, also when a batch fails and runs again
+    run_lines = lambda after=None: Co.serial_lines(Src.serial_line_stream(spark, os.path.join(base, "lines")), os.path.join(base, "run"), after=after)
+    run_lines()
+    for i, (node, lines) in enumerate([("3", ["b", "a"]), ("5", ["c"]), ("3", ["d"])]):
+        os.makedirs(os.path.join(base, "lines", node), exist_ok=True)
+        with open(os.path.join(base, "lines", node, f"z{9 - i}.log"), "w") as f:  # names do not ascend, times do
+            f.write("\n".join(lines) + "\n")
+        time.sleep(0.05)
+    run_twice(lambda after=failing_once(1): run_lines(after))
+    want = first + [("3", "b", 3), ("3", "a", 4), ("3", "d", 5), ("5", "c", 1)]
+    assert sorted(tuple(r) for r in spark.read.parquet(os.path.join(base, "run/out")).select("node_id", "line", "off").collect()) == sorted(want)
+    again = Src.serial_line_source(spark, os.path.join(base, "lines"))
+    assert sorted(tuple(r) for r in again.collect()) == sorted(want)
     cfg = {"mqttBroker": "x", "nodes": [{"nodeId": "1", "ipv6": "fd00::201:1:1:1"},
                                         {"nodeId": "2", "ipv6": "FD00::201:1:1:1"}, {"nodeId": "3"}]}
     with open(os.path.join(base, "nodes.json"), "w") as f:
