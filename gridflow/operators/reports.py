@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from gridflow import config as C
 from gridflow.functions.expr import kwh
 from gridflow.operators.billing import billing_history, node_billing_totals
-from gridflow.plans.joins import checked_broadcast
 
+PANEL_PARTS = 8   # into which the history of a node is dealt
 _COST_DIV = float(C.CENTI_KW_MS_PER_KWH) * 100.0
 
 
@@ -25,15 +25,15 @@ def user_panel(nodes: DataFrame, bills: DataFrame) -> DataFrame:
     """Every owner's nodes, each with its numbered billing history (left outer:
     a node without bills appears once with null bill columns).
 
-    Bills are the large side and may have a hot node, so they stay where they are: the nodes, of checked size,
-    are broadcast to them (or the inner join splits the hot node), and the nodes without bills are added."""
-    h = billing_history(bills).select(F.col("node_id").alias("_bill_of"), "history_no", "total_energy_kwh", "cost",
-                                      "measurement_count", "period_end")
-    n = nodes.where(F.col("owner_id").isNotNull()).select("owner_id", "node_id", "node_type", "district_id")
-    billed = h.join(checked_broadcast(n), F.col("node_id") == F.col("_bill_of")).drop("_bill_of")
-    none = n.join(bills.select(F.col("node_id").alias("_bill_of")).distinct(), F.col("node_id") == F.col("_bill_of"), "left_anti")
-    cols = [*n.columns, "history_no", "total_energy_kwh", "cost", "measurement_count", "period_end"]
-    return billed.select(*cols).unionByName(none, allowMissingColumns=True).select(*cols)
+    Bills are the large side and may have a hot node, so its history is dealt out over ``PANEL_PARTS`` parts by
+    number, and each node stands once in every part. A node's bills are numbered from 1 without a gap: it
+    has none exactly if the part of number 1 has none, so only there a node without a match is kept."""
+    h = billing_history(bills).select(F.col("node_id").alias("_bill_of"), "history_no", "total_energy_kwh", "cost", "measurement_count",
+                                      "period_end", F.pmod(F.col("history_no"), F.lit(PANEL_PARTS)).cast("int").alias("_of_part"))
+    n = nodes.where(F.col("owner_id").isNotNull()).select(
+        "owner_id", "node_id", "node_type", "district_id", F.explode(F.sequence(F.lit(0), F.lit(PANEL_PARTS - 1))).alias("_part"))
+    j = n.join(h, (F.col("node_id") == F.col("_bill_of")) & (F.col("_part") == F.col("_of_part")), "left")
+    return j.where(F.col("_bill_of").isNotNull() | (F.col("_part") == 1 % PANEL_PARTS)).drop("_bill_of", "_part", "_of_part")
 
 
 def user_total_cost(nodes: DataFrame, bills: DataFrame) -> DataFrame:
