@@ -8,6 +8,10 @@ over each other without gaps. The overlay is a contamination if any stretch of i
 What is reported is the best stretch (a match counts 1, a mismatch -2) if it is one of those,
 otherwise the one of them with the most equal words.
 
+The masks find every contamination at the default bounds: any overlay that qualifies holds a least
+qualifying stretch (of at most 30 words), and each of those meets one of the masks
+(tests/llm/test_decontam.py goes through all of them). With a lower ``MIN_SHARE`` or ``MIN_MATCHES`` some may be missed.
+
 The benchmark is the stated query set: it is cut into blocks of a bounded number of words, each
 block's index is broadcast and all documents pass it in one map without a shuffle. Words are
 letters and digits with A-Z lower-cased; other ASCII characters separate.
@@ -24,14 +28,15 @@ from pyspark.sql import functions as F
 
 from gridflow.llm.common import U64, list_array, lowered, mix, signed, small_batches, words64
 
-# fixed masks: 8 of 12 words each
-MASKS = ("111010011011", "110110100111", "101101110101")
+# fixed masks of 7 words each, chosen greedily until every least qualifying stretch meets one
+MASKS = ("11101111", "11010010111", "11111010001", "11000101111", "11101100101", "11110111")
 MIN_WORDS = 5           # shorter items are too common as word sequences to be looked for
 MIN_MATCHES = 13
 MIN_SHARE = 0.8
 BLOCK_WORDS = 200_000   # words of one block of the benchmark; its index is 16 bytes a word and mask
 PIECE_WORDS, OVERLAP = 8_192, 256
 FILTER_BITS = 22
+SHIFTS = 4_000_000      # overlays listed at once, before repeated ones go
 
 _ALNUM = bytes(b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
 _BASE = U64(0x9FB21C651E98DF25)
@@ -69,60 +74,101 @@ def longest(equal: np.ndarray, least: int, min_share: float) -> tuple[int, int]:
     return (int(n[end]), int(end - start[end])) if n[end] >= least else (0, 0)
 
 
+def runs(h: np.ndarray, group: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, length) of the stretches of rows with equal seeds at consecutive places of one group."""
+    if not len(h):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (group[1:] != group[:-1]) | (at[1:] != at[:-1] + 1)])
+    first = np.flatnonzero(new)
+    return first, np.diff(np.append(first, len(h)))
+
+
 class SeedIndex:
-    """Seeds of one block of benchmark pieces. An item shorter than the masks is one exact seed."""
+    """Seeds of one block of benchmark pieces. An item shorter than every mask is one exact seed.
+
+    A seed repeated at consecutive words is kept as one run, in the index as in the documents, and two
+    runs give one range of overlays: a word said a hundred thousand times costs no pair of its places.
+    """
 
     def __init__(self, pieces: list[tuple[int, np.ndarray]]):
         self.pieces = pieces
-        span = len(MASKS[0])
-        short = sorted({len(w) for _, w in pieces if len(w) < span})
-        self.masks = list(MASKS) + ["1" * n for n in short]
+        self.longest = max((len(w) for _, w in pieces), default=0)
+        span = min(map(len, MASKS))
+        self.masks = list(MASKS) + ["1" * n for n in sorted({len(w) for _, w in pieces if len(w) < span})]
         self.tables = []
         for mask in self.masks:
             h, piece, at = [], [], []
             for k, (_, w) in enumerate(pieces):
-                if len(mask) == span if len(w) >= span else len(mask) == len(w):
+                if len(w) >= len(mask) if len(mask) >= span else len(mask) == len(w):
                     s = seeds(w, mask)
                     h.append(s)
                     piece.append(np.full(len(s), k, dtype=np.int32))
                     at.append(np.arange(len(s), dtype=np.int32))
             h, piece, at = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((h, U64), (piece, np.int32), (at, np.int32)))
+            first, length = runs(h, piece, at)
+            h, piece, at = h[first], piece[first], at[first]
             order = np.argsort(h, kind="stable")
             may = np.zeros(1 << FILTER_BITS, dtype=bool)
             may[(h >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
-            self.tables.append((h[order], piece[order], at[order], may))
+            self.tables.append((h[order], piece[order], at[order], length[order].astype(np.int32), may))
 
-    def overlaps(self, w: np.ndarray, first: np.ndarray, min_matches: int, min_share: float) -> Iterator[tuple]:
-        """(document, piece, equal words, length) of all contaminations of documents whose words
-        are ``w[first[d]:first[d + 1]]``."""
-        places = []
-        for mask, (keys, piece, at, may) in zip(self.masks, self.tables):
+    def shifts(self, w: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Distinct rows (document, piece, shift) of all hits; at most about ``SHIFTS`` are listed at once."""
+        width, docs = len(w) + self.longest, len(first) - 1
+        found = np.empty(0, np.int64)
+        for mask, (keys, piece, at, size, may) in zip(self.masks, self.tables):
             h = seeds(w, mask)
             i = np.flatnonzero(may[(h >> U64(64 - FILTER_BITS)).astype(np.int64)])
+            doc = np.searchsorted(first, i, "right") - 1
+            start, length = runs(h[i], doc, i)
+            i, doc = i[start], doc[start]
             lo, hi = np.searchsorted(keys, h[i], "left"), np.searchsorted(keys, h[i], "right")
-            n = hi - lo
-            if n.sum():
-                j = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                i = np.repeat(i, n)
-                doc = np.searchsorted(first, i, "right") - 1
-                places.append(np.stack([doc, piece[j], i - at[j]], axis=1))
-        if not places:
-            return
-        for doc, k, shift in np.unique(np.concatenate(places), axis=0):
+            hit = np.flatnonzero(hi > lo)
+            for part in _parts(hi[hit] - lo[hit], SHIFTS // 16):
+                r = hit[part]
+                n = hi[r] - lo[r]
+                j = np.repeat(lo[r] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                r = np.repeat(r, n)
+                least = (doc[r] * len(self.pieces) + piece[j]) * width + i[r] - at[j] - size[j] + 1 + self.longest
+                many = length[r] + size[j] - 1
+                for p in _parts(many, SHIFTS):
+                    m = many[p]
+                    found = np.union1d(found, np.repeat(least[p] - np.cumsum(m) + m, m) + np.arange(m.sum()))
+        if not len(found):
+            return np.empty((0, 3), np.int64)
+        both, shift = np.divmod(found, width)
+        return np.stack([both // len(self.pieces), both % len(self.pieces), shift - self.longest], axis=1)
+
+    def overlaps(self, w: np.ndarray, first: np.ndarray, min_matches: int, min_share: float) -> Iterator[tuple]:
+        """(document, piece, equal words, length) of all contaminations of documents whose words
+        are ``w[first[d]:first[d + 1]]``."""
+        for doc, k, shift in self.shifts(w, first):
             item = self.pieces[k][1]
             lo, hi = max(first[doc], shift), min(first[doc + 1], shift + len(item))
             equal = w[lo:hi] == item[lo - shift:hi - shift]
+            least = min(min_matches, len(item))
+            if np.count_nonzero(equal) < least:
+                continue
             score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
             gain = score - np.minimum.accumulate(score)
             end = int(gain.argmax())
             start = int(score[:end + 1].argmin())
-            n, length, least = int(equal[start:end].sum()), end - start, min(min_matches, len(item))
+            n, length = int(equal[start:end].sum()), end - start
             if n < least or n < min_share * length:
                 n, length = longest(equal, least, min_share)
             if n:
                 yield int(doc), int(k), n, length
 
 
+def _parts(n: np.ndarray, most: int) -> Iterator[slice]:
+    """Cuts rows that stand for ``n`` each into stretches of about ``most``."""
+    total, a = np.cumsum(n), 0
+    while a < len(n):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + most, "right")))
+        yield slice(a, b)
+        a = b
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, words = [], []
@@ -179,7 +225,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """``docs`` with ``out``: the benchmark items each text holds (see ``flagged``), over all blocks.
 
     A null or empty text, and an empty benchmark, give an empty array; items with a null id or
-    fewer than ``MIN_WORDS`` words are not looked for.
+    fewer than ``MIN_WORDS`` words are not looked for (a sequence of four words is no passage). Texts
+    that repeat a word or a phrase without end are settled in bounded memory.
     """
     small_batches(docs.sparkSession)
     kind = "array<struct<item_id:long,matches:int,length:int>>"

@@ -1,5 +1,7 @@
+import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -13,7 +15,8 @@ def words(text):
 
 
 def best(doc, item):
-    """Longest acceptable ungapped overlap of two word lists, over all shifts."""
+    """Most equal words over all ungapped overlaps of two word lists, each judged by its best stretch or,
+    where that does not qualify, by all of its stretches."""
     found = 0
     for shift in range(-len(item) + 1, len(doc)):
         eq = [doc[i] == item[i - shift] for i in range(max(0, shift), min(len(doc), shift + len(item)))]
@@ -26,8 +29,10 @@ def best(doc, item):
             if score > top[0]:
                 top = (score, at, e + 1)
         n, length = sum(eq[top[1]:top[2]]), top[2] - top[1]
-        if n >= min(D.MIN_MATCHES, len(item)) and n >= D.MIN_SHARE * length:
-            found = max(found, n)
+        least = min(D.MIN_MATCHES, len(item))
+        if n < least or 5 * n < 4 * length:
+            n = all_stretches(eq, least) if sum(eq) >= least else 0
+        found = max(found, n)
     return found
 
 
@@ -83,9 +88,64 @@ def test_long_items_are_cut_with_overlap(monkeypatch):
     assert n[0] == 60 and sum(n) - 20 * (len(n) - 1) == 200
 
 
+def least_stretches():
+    """All patterns of equal (1) and other words that qualify and hold no shorter one that does. A split of
+    such a pattern leaves one side that does not fall short in share, so with fewer than 13 equal words:
+    it has at most 25 of them, in at most 31 words."""
+    for length in range(13, 32):
+        for m in range(length // 5 + 1):
+            n = length - m
+            if 13 <= n <= 25:
+                out = np.array(list(itertools.combinations(range(1, length - 1), m)), dtype=int)
+                eq = np.ones((len(out), length), dtype=int)
+                eq[np.arange(len(out))[:, None], out] = 0
+                c, size = eq.cumsum(axis=1)[:, :-1], np.arange(1, length)
+                shorter = ((c >= 13) & (5 * c >= 4 * size)) | ((n - c >= 13) & (5 * (n - c) >= 4 * (length - size)))
+                yield from eq[~shorter.any(axis=1)]
+
+
+def test_masks_meet_every_qualifying_stretch():
+    n = 0
+    for eq in least_stretches():
+        n += 1
+        text = "".join(map(str, eq))
+        assert any(all(text[at + i] == "1" for i, c in enumerate(mask) if c == "1")
+                   for mask in D.MASKS for at in range(len(text) - len(mask) + 1)), text
+    assert n == 2487
+
+
+@pytest.mark.parametrize("size,equal", [(13, 13), (14, 13), (15, 13), (16, 13), (17, 14), (18, 15), (20, 16), (25, 20), (40, 32), (100, 80)])
+def test_recall_by_length(size, equal):
+    rng = np.random.default_rng(size)
+    item = rng.integers(1, 1 << 60, size).astype(np.uint64)
+    index = D.SeedIndex([(1, item)])
+    docs = []
+    for _ in range(300):
+        w = item.copy()
+        w[rng.choice(size, size - equal, replace=False)] = rng.integers(1, 1 << 60, size - equal)
+        docs.append(np.concatenate([rng.integers(1, 1 << 60, 9).astype(np.uint64), w]))
+    first = np.concatenate([[0], np.cumsum([len(w) for w in docs])])
+    assert {x[0] for x in index.overlaps(np.concatenate(docs), first, 13, 0.8)} == set(range(300))
+
+
+def test_repeated_words_in_bounded_memory():
+    one, two, three = np.uint64(5), np.uint64(6), np.uint64(7)
+    items = [(1, np.full(1000, one)), (2, np.tile([one, two, three], 200)), (3, np.tile([two, two, three], 300))]
+    index = D.SeedIndex(items)
+    w = np.concatenate([np.full(100_000, one), np.tile([one, two, three], 3_000)])
+    first = np.array([0, 100_000, len(w)])
+    tracemalloc.start()
+    got = {}
+    for doc, k, n, length in index.overlaps(w, first, 13, 0.8):
+        got[doc, k] = max(got.get((doc, k), (0, 0)), (n, length))
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+    assert got == {(0, 0): (1000, 1000), (1, 1): (600, 600)}
+
+
 def test_masks_ignore_their_zeros():
-    w = np.arange(1, 13, dtype=np.uint64)
     for mask in D.MASKS:
+        w = np.arange(1, len(mask) + 1, dtype=np.uint64)
         x = w.copy()
         x[[i for i, c in enumerate(mask) if c == "0"]] = 99
         assert (D.seeds(w, mask) == D.seeds(x, mask)).all()
