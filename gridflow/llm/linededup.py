@@ -29,6 +29,7 @@ from gridflow.llm.common import U64, _powers, cut, list_array, lowered, mix, sig
 
 MIN_WORDS = 5            # of lines compared with one word edited
 EXACT_WORDS = 1          # of lines compared as they are
+LEAST_LEFT = 0.2         # of a document's words: near duplicates share 0.8
 BROADCAST_PLACES = 4_000_000  # (document, line) places, 12 bytes each; more are joined by a shuffle
 _B1, _B2 = 0xD1342543DE82EF95, 0x2545F4914F6CDD1D
 _I1, _I2 = (pow(b, -1, 1 << 64) for b in (_B1, _B2))
@@ -213,6 +214,13 @@ def without_lines(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", t
                                       F.size(gone).cast("long").alias("n_removed"))).drop("__id", "__gone"))
 
 
+def scrap(before: F.Column, after: F.Column, least: float = LEAST_LEFT) -> F.Column:
+    """Whether a text that lost lines keeps less than ``least`` of its words (or had some and kept none): what it
+    said stands in earlier documents, and the scrap is no document of its own. False for nulls."""
+    words = lambda c: F.regexp_count(c, F.lit("[^\\x20\\x09-\\x0D]+"))
+    return F.coalesce((F.char_length(after) < F.char_length(before)) & (words(after) < least * words(before)), F.lit(False))
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
                 exact_words: int | None = None) -> DataFrame:
     """One row per input row: id, text without the repeated lines, n_lines, n_removed."""

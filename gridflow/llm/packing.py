@@ -5,7 +5,8 @@ sequences of their own; the rest is placed into that fill level (or an empty win
 minimises the sum of the squared counts of partially filled windows by level, kept in a level
 array, ties to the fullest. A window goes out once it is full. The windows still open at the end
 of a partition are merged by cutting the pieces of the emptiest into the gaps of the fullest, so
-a partition pads one sequence at most. Memory: the open windows; there is no shuffle.
+a partition pads one sequence at most. The same merge takes place whenever the open windows hold more
+than ``MOST_OPEN`` ids, which bounds the memory of a task whatever its documents; there is no shuffle.
 
 Sequence ids hold the partition's number, so they are unique, and a task that is run again numbers
 alike. Ids of texts come from the ``tokenizers`` library; texts of Latin letters without a special
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from gridflow.llm.common import list_array, small_batches
 
 WINDOW = 1024
+MOST_OPEN = 8_000_000   # ids in open windows, four bytes each
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -66,10 +68,10 @@ def encoder(vocabulary: str = VOCABULARY, ranks: str = RANKS) -> Callable[[bytes
 
 
 class Packer:
-    """Places pieces (key, start, ids) into windows of ``size`` ids."""
+    """Places pieces (key, start, ids) into windows of ``size`` ids, of which the open ones hold ``most`` at most."""
 
-    def __init__(self, size: int = WINDOW):
-        self.size = size
+    def __init__(self, size: int = WINDOW, most: int = MOST_OPEN):
+        self.size, self.most, self.held = size, most, 0
         self.counts = np.zeros(size + 1, dtype=np.int64)  # open windows by fill level
         self.open: list[list[list]] = [[] for _ in range(size)]
 
@@ -94,12 +96,29 @@ class Packer:
         h = self.level(n)
         window = self.open[h].pop() if h else []
         self.counts[h] -= h > 0
-        window.append((key, whole, ids[whole:]))
+        window.append((key, whole, ids[whole:].copy() if whole else ids))
+        self.held += n
         if h + n == self.size:
+            self.held -= self.size
             yield window
-        else:
-            self.counts[h + n] += 1
-            self.open[h + n].append(window)
+            return
+        self.counts[h + n] += 1
+        self.open[h + n].append(window)
+        if self.held > self.most:
+            yield from self.merge()
+
+    def merge(self) -> Iterator[list]:
+        """Sends out the open windows, merged by cutting, and keeps the one that is not full."""
+        left = list(self.rest())
+        last = left.pop() if sum(len(p[2]) for p in left[-1]) < self.size else []
+        self.held = fill = sum(len(p[2]) for p in last)
+        self.counts[:] = 0
+        self.open = [[] for _ in range(self.size)]
+        if fill:
+            self.counts[fill] = 1
+            # a copy: a cut piece is a view that would keep its whole document alive
+            self.open[fill].append([(key, start, ids.copy()) for key, start, ids in last])
+        yield from left
 
     def rest(self) -> Iterator[list]:
         """The remaining windows: the emptiest cut into the gaps of the fullest, all full but one."""

@@ -4,8 +4,9 @@ A text's features are its hashed byte bigrams (log of their rate per thousand, w
 document frequency, unit length) and ten measures of its form (shares of capitals, digits and
 signs, variety and repetition of words, breaks, lengths; standardised). Both are reduced to
 ``RANK`` latent dimensions, the leading eigenvectors of the training rows' products. Every text is
-compared with all labelled vectors by exact blocked cosine products; the ``NEIGHBOURS`` nearest vote
-with their labels, weighted by a power of their similarity. Neither labels nor any column but the
+compared with all labelled vectors by exact blocked cosine products; the ``NEIGHBOURS`` nearest, and all
+that are as near as the last of them (to ``DIGITS`` decimals), vote with their labels, weighted by a power
+of their similarity: the order of the training rows decides nothing. Neither labels nor any column but the
 text enters a score.
 
 Training uses a bounded sample of labelled rows (``SAMPLE``, those with the least hash of the id);
@@ -31,6 +32,7 @@ FORM_WEIGHT = 0.3       # of a form measure against the unit bigram vector
 RANK = 64
 NEIGHBOURS = 15
 POWER = 4               # of a neighbour's similarity in its vote
+DIGITS = 5              # of a similarity
 LEAST_GOOD = 0.3        # texts from this score on are predicted good
 BLOCK = 512             # texts compared with the labelled vectors at once
 
@@ -82,12 +84,12 @@ class Neighbours:
             return np.full(len(x), prior)
         out = []
         for at in range(0, len(x), BLOCK):
-            cosine = self.latent(x[at:at + BLOCK]) @ self.vectors.T
-            k = min(NEIGHBOURS, len(self.labels))
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-            vote = np.take_along_axis(cosine, near, axis=1).clip(0).astype(np.float64) ** POWER
+            cosine = np.round(self.latent(x[at:at + BLOCK]) @ self.vectors.T, DIGITS)
+            k = len(self.labels) - min(NEIGHBOURS, len(self.labels))
+            last = np.partition(cosine, k, axis=1)[:, k:k + 1]
+            vote = np.where(cosine >= last, cosine, 0).clip(0).astype(np.float64) ** POWER
             total = vote.sum(axis=1)
-            out.append(np.where(total > 0, (vote * self.labels[near]).sum(axis=1) / np.where(total > 0, total, 1), prior))
+            out.append(np.where(total > 0, vote @ self.labels / np.where(total > 0, total, 1), prior))
         return np.concatenate(out).clip(0, 1) if out else np.empty(0)
 
 
@@ -120,12 +122,14 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", sample: int = SAMPLE) -> Neighbours:
-    """Fit on at most ``sample`` labelled rows; a repeated label counts as good if any is."""
+    """Fit on at most ``sample`` labelled ids; a repeated label counts as good if any is, of a repeated id
+    the least text counts."""
     y = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("y")).dropna()
     y = y.groupBy("l_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("l_id"), "l_id").limit(sample)
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # at most ``sample`` pairs of an id and a label are broadcast
-    rows = d.join(F.broadcast(y), F.col("id") == F.col("l_id")).orderBy("l_id").select("y", "text").mapInArrow(
+    rows = d.join(F.broadcast(y), F.col("id") == F.col("l_id")).groupBy("l_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    rows = rows.orderBy("l_id").select("y", "text").mapInArrow(
         _featurize, "y int, x array<float>").toArrow()
     x = rows.column(1).combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS + FORMS)
     return fit(x, (rows.column(0).to_numpy() > 0).astype(np.float64))

@@ -128,13 +128,15 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           toxic_col: str = "toxic", sample: int = SAMPLE) -> OrdinalModel:
-    """Fit on at most ``sample`` labelled rows. Without both labels nothing is toxic."""
+    """Fit on at most ``sample`` labelled ids; of a repeated one the least text counts. Without both labels
+    nothing is toxic."""
     y = labels.select(F.col(id_col).alias("l_id"), F.col(toxic_col).cast("boolean").alias("toxic")).dropna()
     y = y.groupBy("l_id").agg(F.max("toxic").alias("toxic"))
     y = y.orderBy(F.xxhash64("l_id"), "l_id").limit(sample)
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # at most ``sample`` pairs of an id and a flag are broadcast
-    rows = d.join(F.broadcast(y), F.col("id") == F.col("l_id")).select("toxic", "text").mapInArrow(
+    rows = d.join(F.broadcast(y), F.col("id") == F.col("l_id")).groupBy("l_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    rows = rows.orderBy("l_id").select("toxic", "text").mapInArrow(
         _featurize, "toxic boolean, keys array<long>, counts array<int>").toArrow()
     toxic = np.array(rows.column(0).to_pylist(), dtype=bool)
     if not len(toxic) or toxic.all() or not toxic.any():

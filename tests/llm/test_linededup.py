@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridflow.llm import linededup as L
 from gridflow.sources.tables import read_table
@@ -17,12 +18,12 @@ def distance_at_most_one(x, y):
     return len(y) - len(x) == 1 and any(y[:i] + y[i + 1:] == x for i in range(len(y)))
 
 
-def brute(rows, least):
+def brute(rows, least, exact=None):
     places = []
     for id_, text in sorted({(i, t) for i, t in rows if i is not None and t is not None}):
         for n, line in enumerate(text.split("\n")):
             w = tuple(line.encode().lower().split())
-            if len(w) >= least:
+            if len(w) >= (least if exact is None else exact):
                 places.append(((id_, n), w))
     places.sort()
     gone, first, seen = set(), {}, []
@@ -32,11 +33,12 @@ def brute(rows, least):
             if first[w] is False:
                 continue
         else:
-            near = any(abs(len(w) - len(v)) <= 1 and distance_at_most_one(w, v) for v in seen)
+            near = len(w) >= least and any(abs(len(w) - len(v)) <= 1 and distance_at_most_one(w, v) for v in seen)
             first[w] = not near
             if near:
                 gone.add(at)
-            seen.append(w)
+            if len(w) >= least:
+                seen.append(w)
     out = []
     for id_, text in rows:
         lines = [] if text is None else text.split("\n")
@@ -111,3 +113,11 @@ def test_short_lines_that_repeat_go_near_ones_stay(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: r.text for r in L.dedup_lines(docs, exact_words=L.EXACT_WORDS).collect()}
     assert out == {1: rows[0][1], 2: "\none two three four", 3: rows[2][1], 4: ""}
+
+
+def test_scraps(spark):
+    rows = [(1, "a b c d e", "a"), (2, "a b c d e f", "a"), (3, "a b\nc", "a b"), (4, None, None), (5, "", ""), (6, "  x", "  x"), (7, "a\nb", ""),
+            (8, " \n \n", " "), (9, "a b c d\ne", "e")]
+    df = spark.createDataFrame(rows, "id long, x string, y string")
+    assert {r.id for r in df.where(L.scrap(F.col("x"), F.col("y"))).collect()} == {2, 7}
+    assert df.where(L.scrap(F.col("x"), F.col("y")).isNull()).count() == 0

@@ -101,3 +101,23 @@ def test_rest_leaves_one_partial_window():
         out += list(p.rest())
         fills = [sum(len(x[2]) for x in w) for w in out]
         assert sum(fills) == total and sum(f < 16 for f in fills) <= 1 and all(len(x[2]) for w in out for x in w)
+
+
+def test_open_windows_are_bounded():
+    p, out, given = P.Packer(1024, most=50_000), [], 0
+    rng = np.random.default_rng(2)
+    for k in range(2_000):
+        ids = rng.integers(1, 50, 600).astype(np.uint32)  # no two fit one window
+        given += len(ids)
+        out += p.add(k, ids)
+        assert p.held <= 50_000 and p.held == sum(len(x[2]) for ws in p.open for w in ws for x in w)
+        assert p.counts.sum() == sum(map(len, p.open))
+    out += p.rest()
+    sizes = [sum(len(x[2]) for x in w) for w in out]
+    assert sum(sizes) == given and sum(s < 1024 for s in sizes) == 1 and max(sizes) == 1024
+    pieces = sorted((k, start, len(ids)) for w in out for k, start, ids in w)
+    at = {}
+    for k, start, n in pieces:
+        assert at.get(k, 0) == start
+        at[k] = start + n
+    assert set(at.values()) == {600}

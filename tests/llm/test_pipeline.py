@@ -49,8 +49,9 @@ def test_each_stage_against_brute_force(spark, tmp_path):
             want = {i for i, r in before.items() if m.chances(r.text.encode().lower())[0] < toxicity.LEAST_CHANCE}
             assert set(after) == want and after == {i: before[i] for i in want}
         elif name == "line_dedup":
-            want = {i: t for i, t, _, gone in brute_lines([(i, r.text) for i, r in before.items()], linededup.MIN_WORDS)
-                    if not gone or t.strip()}
+            n = lambda t: len(t.encode().split())
+            want = {i: t for i, t, _, gone in brute_lines([(i, r.text) for i, r in before.items()], linededup.MIN_WORDS, linededup.EXACT_WORDS)
+                    if not gone or n(t) >= linededup.LEAST_LEFT * n(before[i].text)}
             assert {i: r.text for i, r in after.items()} == want
             assert all(r.n_chars == len(r.text) for r in after.values())
         elif name == "near_dedup":
@@ -66,6 +67,17 @@ def test_each_stage_against_brute_force(spark, tmp_path):
         docs = out
 
 
+def test_no_near_copy_lives_on_as_a_scrap(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    firsts = brute_near(texts.items(), 4)
+    lines = C.drop_repeated_lines(spark, docs, SF)
+    left = {r.doc_id: r.text for r in C.drop_near_duplicates(spark, lines, SF).collect()}
+    n = lambda t: len((t or "").split())
+    copies = set(texts) - firsts
+    assert copies and all(n(left[i]) >= linededup.LEAST_LEFT * n(texts[i]) for i in copies & set(left))
+
+
 def test_run(spark):
     out = C.run(spark, SF)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
