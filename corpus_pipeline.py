@@ -26,13 +26,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated lines (``text`` and ``n_chars`` follow); one that had words and
-    has none left goes."""
-    left = linededup.without_lines(docs, linededup.removed_lines(docs))
+    """Documents without repeated lines, be they of one word (``text`` and ``n_chars`` follow). One that keeps
+    less than a fifth of its words goes: a near copy of what stands in earlier documents would live
+    on as a scrap that no later stage could know for one."""
+    left = linededup.without_lines(docs, linededup.removed_lines(docs, exact_words=linededup.EXACT_WORDS))
     changed = F.col("__lines.n_removed") > 0
     text = F.col("__lines.text")
     new = {"text": text, "n_chars": F.when(changed, F.char_length(text).cast("long")).otherwise(F.col("n_chars"))}
-    return left.where(~changed | text.rlike("[^\\x20\\x09-\\x0D]")).select(
+    return left.where(~changed | ~linededup.scrap(F.col("text"), text)).select(
         *[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
