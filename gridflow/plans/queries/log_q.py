@@ -100,19 +100,23 @@ SERIAL_SQL = with_views("serial_lines") + """
 select node_id, line, row_number() over (partition by node_id order by off) as off from serial_lines"""
 
 
-def _land_lines(lines: DataFrame, path: str) -> None:
-    """Console logs, one folder per node, one more file in each."""
-    rows = lines.select("node_id", "off", "line").withColumn("node", F.col("node_id"))
-    (rows.repartition("node_id").sortWithinPartitions("node_id", "off").select("node", "line")
-     .write.mode("append").partitionBy("node").text(path))
+NO_NODE = "__HIVE_DEFAULT_PARTITION__"  # id under which lines without a node are landed
+
+
+def _land_lines(lines: DataFrame, path: str, part: int = 0) -> None:
+    """Console logs as a collector of many nodes lands them, a folder per part: a node's lines are in one file of
+    the part, in order, each led by the node's id. The number of files follows the lines, not the nodes."""
+    rows = lines.select(F.coalesce("node_id", F.lit(NO_NODE)).alias("node_id"), "off", "line")
+    (rows.repartition("node_id").sortWithinPartitions("node_id", "off")
+     .select(F.concat("node_id", F.lit(Src.TAB), F.coalesce("line", F.lit("")))).write.text(f"{path}/part-{part}"))
 
 
 @register("serial_line_source", SERIAL_SQL)
 def serial_line_source(spark, sf):
-    """Console logs landed one folder per node, read back in arrival order."""
+    """Console logs landed in files that many nodes share, read back in arrival order."""
     path = _folder(spark, "serial")
     _land_lines(V.serial_lines(spark, sf), path)
-    return Src.serial_line_source(spark, path).select(F.regexp_replace("node_id", "^node=", "").alias("node_id"), "line", "off")
+    return Src.serial_line_source(spark, path, shared=True)
 
 
 @register("serial_line_stream", SERIAL_SQL)
@@ -122,9 +126,9 @@ def serial_line_stream(spark, sf):
     lines = V.serial_lines(s, sf)
     parts, span = Tb.parts_of(lines, "off")
     for k in range(parts):
-        _land_lines(lines.where(F.floor(F.col("off") * parts / span) == k), path)
-        Co.serial_lines(Src.serial_line_stream(s, path), base)
-    return s.read.parquet(f"{base}/out").select(F.regexp_replace("node_id", "^node=", "").alias("node_id"), "line", "off")
+        _land_lines(lines.where(F.floor(F.col("off") * parts / span) == k), path, k)
+        Co.serial_lines(Src.serial_line_stream(s, path, shared=True), base)
+    return s.read.parquet(f"{base}/out").select("node_id", "line", "off")
 
 
 @register("node_dimension", """

@@ -24,6 +24,9 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
+TAB = "\t"  # between a node's id and its line in files that many nodes share
+
+
 def _glob(path: str) -> str:
     """A streaming file source needs a folder or a glob; a single file becomes a glob."""
     if os.path.isdir(path):
@@ -79,9 +82,13 @@ def replay_log(spark: SparkSession, path: str, ends: DataFrame | None = None) ->
     return log.join(ends, "topic").where(F.col("off") <= F.col("end")).select(*LOG_SCHEMA.names)
 
 
-def _lines(reader, root: str) -> DataFrame:
-    path = F.col("_metadata.file_path")
-    return reader.text(f"{root}/*/*").select(F.element_at(F.split(path, "/"), -2).alias("node_id"), F.col("value").alias("line"),
+def _lines(reader, root: str, shared: bool) -> DataFrame:
+    path, value = F.col("_metadata.file_path"), F.col("value")
+    node, line = F.element_at(F.split(path, "/"), -2), value
+    if shared:
+        tab = F.instr(value, TAB)
+        node, line = F.when(tab > 0, F.substring_index(value, TAB, 1)), F.substr(value, tab + 1)
+    return reader.text(f"{root}/*/*").select(node.alias("node_id"), line.alias("line"),
                                              path.alias("file"), F.col("_metadata.file_modification_time").alias("time"),
                                              F.col("_metadata.file_block_start").alias("block"))
 
@@ -92,8 +99,8 @@ def numbered_lines(lines: DataFrame, before: DataFrame | None = None) -> tuple[D
     time and name of the file, block of the file, and line within the block. A node's files land one after
     the other and do not grow.
 
-    Lines are counted within the block of a file that a task reads; only one row per block is ordered per
-    node, so a node with a third of all lines is no hot key."""
+    Several nodes may share a file. Lines are counted within a node's part of the block of a file that a task reads; only one
+    row per node and block is ordered per node, so a node with a third of all lines is no hot key."""
     checkpoint_dir(lines.sparkSession)
     place = Window.partitionBy("node_id", "file", "block").orderBy("_row")
     # read once: what a task reads is in the order of the file
@@ -108,21 +115,24 @@ def numbered_lines(lines: DataFrame, before: DataFrame | None = None) -> tuple[D
         known = F.col("node_id").eqNullSafe(F.col("_n"))
         blocks = blocks.join(had, known, "left").withColumn("start", F.col("start") + F.coalesce("_had", F.lit(0))).drop("_n", "_had")
         totals = totals.join(had, known, "left").select("node_id", (F.col("lines") + F.coalesce("_had", F.lit(0))).alias("lines"))
-    start = checked_broadcast(blocks.select(F.col("file").alias("_f"), F.col("block").alias("_b"), "start"))
-    out = at.join(start, (F.col("file") == F.col("_f")) & (F.col("block") == F.col("_b")))
+    start = checked_broadcast(blocks.select(F.col("node_id").alias("_n"), F.col("file").alias("_f"), F.col("block").alias("_b"), "start"))
+    out = at.join(start, F.col("node_id").eqNullSafe(F.col("_n")) & (F.col("file") == F.col("_f")) & (F.col("block") == F.col("_b")))
     return out.select("node_id", "line", (F.col("start") + F.col("_line")).cast("long").alias("off")), totals
 
 
-def serial_line_source(spark: SparkSession, root: str) -> DataFrame:
+def serial_line_source(spark: SparkSession, root: str, shared: bool = False) -> DataFrame:
     """Device console logs landed one folder per node (``root/<node_id>/*``): one row per line, the
-    node id from the folder name, ``off`` its place among its node's lines (see ``numbered_lines``)."""
-    return numbered_lines(_lines(spark.read, root))[0]
+    node id from the folder name, ``off`` its place among its node's lines (see ``numbered_lines``).
+
+    ``shared``: many nodes share a file of ``root/<any>/*``, each line led by its node's id and a tab; the number of
+    files then does not follow the number of nodes."""
+    return numbered_lines(_lines(spark.read, root, shared))[0]
 
 
-def serial_line_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def serial_line_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None, shared: bool = False) -> DataFrame:
     """The same logs as a stream of new files; ``continuous.serial_lines`` numbers its lines."""
     r = spark.readStream
-    return _lines(r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r, root)
+    return _lines(r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r, root, shared)
 
 
 def node_list(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Streaming = batch: the same rows as ordered files, one file per trigger; the
 last emission per key (or all appended rows) must equal the batch operator.
 Includes a restart from the checkpoint and a late file."""
+import glob
 import json
 import os
 import time
@@ -299,6 +300,36 @@ def test_serial_line_source_and_node_dimension(spark):
     assert idx == {"fd00::201:1:1:1": "1"}       # first match in file order, case-insensitive
 
 
+def test_serial_lines_of_nodes_that_share_files(spark):
+    """Files with the lines of many nodes, each led by its node's id: numbered per node over files, as batch and as stream."""
+    base = scratch(spark, "shared")
+    root = os.path.join(base, "lines")
+    parts = [["3\tb", "4\tx\ty", "3\ta", "4\t", "no id"], ["4\tz", "3\tb"], ["5\tc", "3\td", "no id"]]
+    run_lines = lambda after=None: Co.serial_lines(Src.serial_line_stream(spark, root, shared=True), os.path.join(base, "run"), after=after)
+    for i, lines in enumerate(parts):
+        os.makedirs(os.path.join(root, f"part-{i}"))
+        with open(os.path.join(root, f"part-{i}", f"z{9 - i}.log"), "w") as f:
+            f.write("\n".join(lines) + "\n")
+        time.sleep(0.05)
+        if i != 1:  # two files in one batch
+            run_twice(lambda after=failing_once(1): run_lines(after)) if i else run_lines()
+    want = [("3", "b", 1), ("3", "a", 2), ("3", "b", 3), ("3", "d", 4), ("4", "x\ty", 1), ("4", "", 2), ("4", "z", 3), ("5", "c", 1),
+            (None, "no id", 1), (None, "no id", 2)]
+    for got in (spark.read.parquet(os.path.join(base, "run/out")), Src.serial_line_source(spark, root, shared=True)):
+        assert sort_rows(tuple(r) for r in got.select("node_id", "line", "off").collect()) == sort_rows(want)
+
+
+def test_landed_lines_share_files(spark):
+    """The number of landed files does not follow the number of nodes."""
+    from gridflow.plans.queries.log_q import _land_lines
+    base = scratch(spark, "landed")
+    rows = spark.range(600).select((F.col("id") % 200).cast("string").alias("node_id"), F.col("id").alias("off"), F.concat(F.lit("line "), "id").alias("line"))
+    _land_lines(rows, base)
+    assert len(glob.glob(os.path.join(base, "*", "*.txt"))) <= 8
+    got = Src.serial_line_source(spark, base, shared=True)
+    assert sort_rows(tuple(r) for r in got.collect()) == sort_rows((str(i % 200), f"line {i}", i // 200 + 1) for i in range(600))
+
+
 def test_district_charge_stream_equals_batch_closed_steps(spark):
     from gridflow.operators import charge as G
     rows = sorted(random_readings(61, n=300), key=lambda r: r[5])
