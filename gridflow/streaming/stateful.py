@@ -44,9 +44,12 @@ LIVE_OUT = T.StructType([
     T.StructField("event", T.StringType()), T.StructField("last_seen_ms", T.LongType()),
     T.StructField("period_ms", T.LongType()),
 ])
+# nodes are dealt over so many groups: calls into the state store and to Python are per group and batch, not per node
+LIVE_GROUPS = 1024
 _LIVE_STATE = T.StructType([
-    T.StructField("known", T.BooleanType()), T.StructField("seen", T.LongType()), T.StructField("period", T.LongType()),
-    T.StructField("crashed", T.BooleanType()), T.StructField("cursor", T.LongType()), T.StructField("timer", T.LongType()),
+    T.StructField("node", T.ArrayType(T.StringType())), T.StructField("seen", T.ArrayType(T.LongType())),
+    T.StructField("period", T.ArrayType(T.LongType())), T.StructField("crashed", T.ArrayType(T.BooleanType())),
+    T.StructField("cursor", T.ArrayType(T.LongType())), T.StructField("timer", T.LongType()),
 ])
 
 
@@ -54,60 +57,78 @@ def _liveness_processor(default_period: int, tick: int, multiplier: int):
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
     class Liveness(StatefulProcessor):
-        """Per node: last seen, period, crashed or not, and the tick up to which the flag is known."""
+        """A group of nodes. Per node [seen, period, crashed, cursor]: last seen (None: not known yet), period, crashed
+        or not, and the tick up to which the flag is known. One timer, at the first tick at which a silent node crashes."""
 
         def init(self, handle) -> None:
             self.handle = handle
             self.state = handle.getValueState("liveness", _LIVE_STATE)
 
-        def _ticks(self, s: dict, below: int, node: str, out: list) -> None:
+        def _ticks(self, s: list, below: int, node: str, out: list) -> None:
             """Evaluate the ticks in [cursor, below), between which nothing changes."""
-            first = -(-s["cursor"] // tick) * tick
-            if s["known"] and first < below:
-                period = s["period"] or default_period
-                bad = first - s["seen"] > multiplier * period
-                if bad != s["crashed"]:
-                    out.append((node, first, "crash" if bad else "recovered", s["seen"], period))
-                    s["crashed"] = bad
-                crash = ((s["seen"] + multiplier * period) // tick + 1) * tick
-                if not s["crashed"] and first < crash < below:
-                    out.append((node, crash, "crash", s["seen"], period))
-                    s["crashed"] = True
-            s["cursor"] = max(s["cursor"], below)
-
-        def _load(self) -> dict:
-            names = _LIVE_STATE.names
-            return dict(zip(names, self.state.get())) if self.state.exists() else dict(zip(names, (False, 0, 0, False, 0, -1)))
-
-        def _done(self, s: dict, watermark: int, node: str, out: list) -> pd.DataFrame:
-            self._ticks(s, watermark + 1, node, out)
+            seen, period, crashed, cursor = s
+            if cursor >= below:
+                return
+            s[3] = below
+            first = -(-cursor // tick) * tick
+            if seen is None or first >= below:
+                return
+            period = period or default_period
+            bad = first - seen > multiplier * period
+            if bad != crashed:
+                out.append((node, first, "crash" if bad else "recovered", seen, period))
+                s[2] = bad
+            crash = ((seen + multiplier * period) // tick + 1) * tick
+            if not bad and first < crash < below:
+                out.append((node, crash, "crash", seen, period))
+                s[2] = True
+
+        def _load(self) -> tuple[dict, int]:
+            if not self.state.exists():
+                return {}, -1
+            node, seen, period, crashed, cursor, timer = self.state.get()
+            return dict(zip(node, map(list, zip(seen, period, crashed, cursor)))), timer
+
+        def _done(self, nodes: dict, timer: int, touched, watermark: int, out: list) -> pd.DataFrame:
+            for node in touched:
+                self._ticks(nodes[node], watermark + 1, node, out)
             due = -1
-            if s["known"] and not s["crashed"]:
-                due = ((s["seen"] + multiplier * (s["period"] or default_period)) // tick + 1) * tick
-            if due != s["timer"]:
-                if s["timer"] > watermark:
-                    self.handle.deleteTimer(s["timer"])
+            for node, s in nodes.items():
+                if s[0] is None or s[2]:
+                    continue
+                at = ((s[0] + multiplier * (s[1] or default_period)) // tick + 1) * tick
+                if at < watermark:  # a timer fires once the watermark has passed it
+                    self._ticks(s, watermark + 1, node, out)
+                elif due < 0 or at < due:
+                    due = at
+            if due != timer:
+                if timer > watermark:
+                    self.handle.deleteTimer(timer)
                 if due >= 0:
                     self.handle.registerTimer(due)
-                s["timer"] = due
-            self.state.update(tuple(s[n] for n in _LIVE_STATE.names))
+            columns = zip(*nodes.values()) if nodes else ((), (), (), ())
+            self.state.update((list(nodes), *map(list, columns), due))
             return pd.DataFrame(out, columns=LIVE_OUT.names)
 
         def handleInputRows(self, key, rows, timerValues):
             closed = pd.concat(list(rows), ignore_index=True).sort_values("tick", kind="stable")
-            s, out = self._load(), []
-            for at, seen, period in zip(closed["tick"], closed["seen"], closed["period"]):
-                self._ticks(s, int(at), key[0], out)
-                if seen == seen and seen is not None:
-                    s["seen"], s["known"] = max(s["seen"], int(seen)) if s["known"] else int(seen), True
-                if period == period and period is not None:
-                    s["period"] = max(int(period), 0)
-            yield self._done(s, timerValues.getCurrentWatermarkInMs(), key[0], out)
+            (nodes, timer), out = self._load(), []
+            names = closed["node_id"].tolist()
+            for node, at, seen, period in zip(names, closed["tick"].tolist(), closed["seen"].tolist(), closed["period"].tolist()):
+                s = nodes.get(node)
+                if s is None:
+                    s = nodes[node] = [None, 0, False, 0]
+                self._ticks(s, at, node, out)
+                if seen is not None and seen == seen:
+                    s[0] = int(seen) if s[0] is None else max(s[0], int(seen))
+                if period is not None and period == period:
+                    s[1] = max(int(period), 0)
+            yield self._done(nodes, timer, dict.fromkeys(names), timerValues.getCurrentWatermarkInMs(), out)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            s, out = self._load(), []
-            s["timer"] = -1
-            yield self._done(s, timerValues.getCurrentWatermarkInMs(), key[0], out)
+            nodes, _ = self._load()
+            out: list = []
+            yield self._done(nodes, -1, (), timerValues.getCurrentWatermarkInMs(), out)
 
         def close(self) -> None:
             pass
@@ -123,8 +144,8 @@ def liveness_stream(activity: DataFrame, period_changes: DataFrame, *, watermark
     The flag is evaluated at ticks only, so of all rows of a node between two ticks its latest activity and
     latest period change suffice: a watermarked aggregate by (node, tick interval) keeps them until the
     watermark reaches the interval's tick. A late row within the watermark changes nothing (the batch form
-    sees the same rows); later ones are dropped. A keyed fold takes closed intervals in order and
-    registers an event-time timer at the tick at which a silent node crashes.
+    sees the same rows); later ones are dropped. A keyed fold over groups of nodes takes each node's closed
+    intervals in order and registers an event-time timer at the first tick at which a silent node of the group crashes.
     A silent *stream* moves no watermark, so a heartbeat source (any input) is needed for crashes to
     surface; emitted ticks are those before the watermark (batch form: horizon).
     """
@@ -135,8 +156,9 @@ def liveness_stream(activity: DataFrame, period_changes: DataFrame, *, watermark
     g = rows.groupBy("node_id", F.window("event_time", f"{tick_ms} milliseconds").alias("w")).agg(
         F.max(F.when(F.col("kind") == 0, F.col("t"))).alias("seen"),
         F.max_by(F.coalesce("period_ms", F.lit(0)), F.when(F.col("kind") == 1, F.struct("t", "off"))).alias("period"))
-    closed = g.select("node_id", F.window_time("w").alias("event_time"), F.unix_millis(F.col("w.end")).alias("tick"), "seen", "period")
-    return closed.groupBy("node_id").transformWithStateInPandas(
+    closed = g.select("node_id", F.window_time("w").alias("event_time"), F.unix_millis(F.col("w.end")).alias("tick"), "seen", "period",
+                      F.pmod(F.xxhash64("node_id"), F.lit(LIVE_GROUPS)).alias("nodes"))
+    return closed.groupBy("nodes").transformWithStateInPandas(
         statefulProcessor=_liveness_processor(default_period_ms, tick_ms, multiplier), outputStructType=LIVE_OUT,
         outputMode="Append", timeMode="EventTime")
 

@@ -502,3 +502,26 @@ def test_liveness_of_a_node_with_many_waiting_rows(spark):
     got = [(r.node_id, r.tick_ms, r.event) for r in S.read_output(spark, f"{base}/out", St.LIVE_OUT).collect() if r.node_id == "hot"]
     # last seen at t0 + 59,999: the first tick more than 12 s later
     assert got == [("hot", t0 + 72_000, "crash")]
+
+
+def test_liveness_state_is_per_group_of_nodes(spark, monkeypatch):
+    """Sixty nodes (one without an id) in four groups: the events of the batch form, and a state row per group."""
+    import random
+    monkeypatch.setattr(St, "LIVE_GROUPS", 4)
+    rnd = random.Random(5)
+    times = sorted(rnd.randrange(500_000, 700_000) for _ in range(600)) + [700_001]
+    rows = [(rnd.choice([None, *(f"n{i}" for i in range(59))]), i, t, int(rnd.random() < 0.2), rnd.choice([0, 1000, 2500, 9000])) for i, t in enumerate(times)]
+    schema = pa.schema([("node_id", pa.string()), ("off", pa.int64()), ("t", pa.int64()), ("kind", pa.int64()), ("period_ms", pa.int64())])
+    base = scratch(spark, "groups")
+    for i in range(3):
+        land(f"{base}/src", i, rows[i * 201:(i + 1) * 201], schema)
+    ddl, kw = "node_id string, off long, t long, kind long, period_ms long", {"default_period_ms": 4000, "tick_ms": 2000}
+    both = lambda df: (df.where("kind = 0"), df.where("kind = 1"))
+    q = S.update_sink(St.liveness_stream(*both(stream_of(spark, f"{base}/src", ddl)), watermark="0 seconds", **kw), "", f"{base}/out", f"{base}/ck", output_mode="append")
+    S.finish(q)
+    cols = ["node_id", "tick_ms", "event", "last_seen_ms", "period_ms"]
+    want = W.liveness_events(*both(spark.read.parquet(f"{base}/src")), horizon_ms=times[-1] - 1, **kw)
+    got = S.read_output(spark, f"{base}/out", St.LIVE_OUT)
+    assert rows_of(got.select(*cols), cols) == rows_of(want.select(*cols), cols) and got.count() > 60
+    kept = [o["numRowsTotal"] for p in q.recentProgress for o in json.loads(p.json)["stateOperators"] if o["operatorName"].startswith("transformWithState")]
+    assert kept and max(kept) <= 8  # a state row and a timer per group
