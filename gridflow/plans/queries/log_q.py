@@ -155,7 +155,7 @@ def node_document(spark, sf):
     nodes = F.transform(F.sort_array(F.collect_list(node)), lambda x: F.struct(x["nodeId"].alias("nodeId"), x["ipv6"].alias("ipv6")))
     (n.groupBy("n_regionkey").agg(nodes.alias("nodes")).select(F.col("n_regionkey").alias("region"), F.to_json(F.struct("nodes")).alias("value"))
      .repartition("region").write.partitionBy("region").text(path))
-    return Src.node_dimension(spark, path, keep=["region"]).select(F.col("region").cast("long"), "pos", "node_id", "ipv6")
+    return Src.node_dimension(spark, path, keep=["region"]).select(F.col("region").cast(n.schema["n_regionkey"].dataType), "pos", "node_id", "ipv6")
 
 
 @register("resume_point", bills_sql_prefix() + """
