@@ -178,7 +178,9 @@ def _live_run(stream, base):
 
 
 def _stateful_session(spark):
-    return S.stream_session(spark, spark__sql__streaming__stateStore__providerClass=St.ROCKSDB_PROVIDER)
+    # without the count of its rows, which is a metric only, the store looks no key up before it writes it
+    return S.stream_session(spark, spark__sql__streaming__stateStore__providerClass=St.ROCKSDB_PROVIDER,
+                            spark__sql__streaming__stateStore__rocksdb__trackTotalNumberOfRows="false")
 
 
 @register("liveness_stream", with_views("topic_messages", "period_changes") + "," + TP + "," + LIVE + """

@@ -13,9 +13,13 @@ micro-batch steps: see ``steps`` and ``continuous``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from decimal import Context, Decimal
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +50,10 @@ LIVE_OUT = T.StructType([
 ])
 # nodes are dealt over so many groups: calls into the state store and to Python are per group and batch, not per node
 LIVE_GROUPS = 1024
+# closed intervals that a task packs at a time into one row per group: the engine makes Python objects of each row
+PACK_ROWS = 500_000
+_PACKED = "nodes long, node_id array<string>, tick array<long>, seen array<long>, period array<long>"
+_NONE = -(1 << 63)  # in packed rows: no activity, no period change
 _LIVE_STATE = T.StructType([
     T.StructField("node", T.ArrayType(T.StringType())), T.StructField("seen", T.ArrayType(T.LongType())),
     T.StructField("period", T.ArrayType(T.LongType())), T.StructField("crashed", T.ArrayType(T.BooleanType())),
@@ -53,6 +61,25 @@ _LIVE_STATE = T.StructType([
 ])
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(nodes, node_id, tick, seen, period) -> their lists per group of nodes."""
+    held: list[pa.RecordBatch] = []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held)
+        held.clear()
+        for name in ("seen", "period"):
+            t = t.set_column(t.schema.get_field_index(name), name, pc.fill_null(t[name], _NONE))
+        lists = t.group_by("nodes", use_threads=False).aggregate([(c, "list") for c in t.column_names[1:]])
+        yield from lists.select(["nodes", *(f"{c}_list" for c in t.column_names[1:])]).rename_columns(t.column_names).to_batches()
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= PACK_ROWS:
+            yield from flush()
+    if held:
+        yield from flush()
+
+
 def _liveness_processor(default_period: int, tick: int, multiplier: int):
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -111,18 +138,21 @@ def _liveness_processor(default_period: int, tick: int, multiplier: int):
             return pd.DataFrame(out, columns=LIVE_OUT.names)
 
         def handleInputRows(self, key, rows, timerValues):
-            closed = pd.concat(list(rows), ignore_index=True).sort_values("tick", kind="stable")
+            packed = pd.concat(list(rows), ignore_index=True)
+            ticks, seens, periods = (np.concatenate(packed[c].tolist()) for c in ("tick", "seen", "period"))
+            order = np.argsort(ticks, kind="stable")
+            ids = [x for some in packed["node_id"] for x in some]
             (nodes, timer), out = self._load(), []
-            names = closed["node_id"].tolist()
-            for node, at, seen, period in zip(names, closed["tick"].tolist(), closed["seen"].tolist(), closed["period"].tolist()):
+            names = [ids[i] for i in order.tolist()]
+            for node, at, seen, period in zip(names, ticks[order].tolist(), seens[order].tolist(), periods[order].tolist()):
                 s = nodes.get(node)
                 if s is None:
                     s = nodes[node] = [None, 0, False, 0]
                 self._ticks(s, at, node, out)
-                if seen is not None and seen == seen:
-                    s[0] = int(seen) if s[0] is None else max(s[0], int(seen))
-                if period is not None and period == period:
-                    s[1] = max(int(period), 0)
+                if seen != _NONE:
+                    s[0] = seen if s[0] is None else max(s[0], seen)
+                if period != _NONE:
+                    s[1] = max(period, 0)
             yield self._done(nodes, timer, dict.fromkeys(names), timerValues.getCurrentWatermarkInMs(), out)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -153,11 +183,14 @@ def liveness_stream(activity: DataFrame, period_changes: DataFrame, *, watermark
     p = period_changes.select("node_id", "off", "t", F.lit(1).alias("kind"), F.col("period_ms").cast("long"))
     # a row at a tick counts for it: intervals are open at their begin and closed at their tick
     rows = a.unionByName(p).withColumn("event_time", F.timestamp_millis(F.col("t") - 1)).withWatermark("event_time", watermark)
+    # (t, off) as one number, a null off first: the aggregate hashes what has a fixed width and sorts for a struct
+    place = F.expr("cast(cast(t as decimal(18,0)) * cast(20000000000000000000 as decimal(20,0)) as decimal(38,0))"
+                   " + coalesce(cast(off as decimal(20,0)), cast(-10000000000000000000 as decimal(20,0)))")
     g = rows.groupBy("node_id", F.window("event_time", f"{tick_ms} milliseconds").alias("w")).agg(
         F.max(F.when(F.col("kind") == 0, F.col("t"))).alias("seen"),
-        F.max_by(F.coalesce("period_ms", F.lit(0)), F.when(F.col("kind") == 1, F.struct("t", "off"))).alias("period"))
-    closed = g.select("node_id", F.window_time("w").alias("event_time"), F.unix_millis(F.col("w.end")).alias("tick"), "seen", "period",
-                      F.pmod(F.xxhash64("node_id"), F.lit(LIVE_GROUPS)).alias("nodes"))
+        F.max_by(F.coalesce("period_ms", F.lit(0)), F.when(F.col("kind") == 1, place)).alias("period"))
+    closed = g.select(F.pmod(F.xxhash64("node_id"), F.lit(LIVE_GROUPS)).alias("nodes"), "node_id",
+                      F.unix_millis(F.col("w.end")).alias("tick"), "seen", "period").mapInArrow(_pack, _PACKED)
     return closed.groupBy("nodes").transformWithStateInPandas(
         statefulProcessor=_liveness_processor(default_period_ms, tick_ms, multiplier), outputStructType=LIVE_OUT,
         outputMode="Append", timeMode="EventTime")

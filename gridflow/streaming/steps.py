@@ -129,7 +129,7 @@ def twin_step(events: DataFrame, state: DataFrame, registry: DataFrame,
     """Twins that the batch's events change: the newest parents go before the known ones, the period and
     the crash flag are the latest. ``events``: node_id, kind (parent | period | crash | recovered), ord
     (arrival position, or tick time), value. Events for nodes without a twin are not delivered."""
-    e = events.join(registry.select("node_id"), "node_id", "left_semi")
+    e = _materialised(events.join(registry.select("node_id"), "node_id", "left_semi"))  # read for both sides of the join below
     depth = C.PARENT_HISTORY_DEPTH + 1
     kind = F.col("kind")
     rest = e.groupBy("node_id").agg(

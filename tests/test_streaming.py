@@ -525,3 +525,34 @@ def test_liveness_state_is_per_group_of_nodes(spark, monkeypatch):
     assert rows_of(got.select(*cols), cols) == rows_of(want.select(*cols), cols) and got.count() > 60
     kept = [o["numRowsTotal"] for p in q.recentProgress for o in json.loads(p.json)["stateOperators"] if o["operatorName"].startswith("transformWithState")]
     assert kept and max(kept) <= 8  # a state row and a timer per group
+
+
+def test_liveness_intervals_reach_python_packed(spark):
+    """One row of lists per group of nodes, nothing for no activity or no period change."""
+    rows = {"nodes": [3, 1, 3, 1], "node_id": ["a", "b", "c", None], "tick": [2000, 4000, 6000, 8000],
+            "seen": [1500, None, 2**60 + 1, 7], "period": [None, 0, 5, None]}
+    schema = pa.schema([("nodes", pa.int64()), ("node_id", pa.string()), *((c, pa.int64()) for c in ("tick", "seen", "period"))])
+    batches = pa.table(rows, schema=schema).to_batches(max_chunksize=3)
+    got = sorted((r for b in St._pack(iter(batches)) for r in b.to_pylist()), key=lambda r: r["nodes"])
+    none = St._NONE
+    assert got == [{"nodes": 1, "node_id": ["b", None], "tick": [4000, 8000], "seen": [none, 7], "period": [0, none]},
+                   {"nodes": 3, "node_id": ["a", "c"], "tick": [2000, 6000], "seen": [1500, 2**60 + 1], "period": [none, 5]}]
+
+
+def test_liveness_hashes_and_takes_the_latest_period_of_equal_times(spark):
+    """The interval aggregate sorts nothing; of period changes at one time the largest arrival position counts."""
+    t0, big = 1_000_000, 2**62
+    act = [("n", 0, t0), ("m", 1, t0), ("z", 2, t0 + 100_000)]
+    per = [("n", big + 1, t0 + 10, 9000), ("n", big, t0 + 10, 1000), ("n", None, t0 + 10, 2000), ("m", -5, t0 + 10, 3000), ("m", None, t0 + 10, 1000)]
+    base = scratch(spark, "equal")
+    asch = pa.schema([("node_id", pa.string()), ("off", pa.int64()), ("t", pa.int64())])
+    land(f"{base}/a", 0, act, asch)
+    land(f"{base}/p", 0, per, asch.append(pa.field("period_ms", pa.int64())))
+    ddl = "node_id string, off long, t long"
+    df = St.liveness_stream(spark.readStream.schema(ddl).parquet(f"{base}/a"), spark.readStream.schema(ddl + ", period_ms long").parquet(f"{base}/p"),
+                            watermark="0 seconds", default_period_ms=4000, tick_ms=2000)
+    plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    got = {(r.node_id, r.tick_ms, r.event, r.period_ms) for r in S.run_to_table(spark, df, "equal").collect()}
+    # the first tick more than three periods behind the last activity
+    assert got == {("n", t0 + 28_000, "crash", 9000), ("m", t0 + 10_000, "crash", 3000)}
