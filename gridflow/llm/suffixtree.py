@@ -56,6 +56,7 @@ ADD = 0.1                # added to every count of the word-frequency score
 END = b"\n"              # the end token; no word contains it
 FLUSH_WORDS = 400_000    # distinct words counted in a worker's memory at a time
 FLUSH_TOKENS = 4_000_000
+PART_TOKENS = 1_000_000  # of the training texts for one part of the grams, which a task sums in memory
 # a word's symbol is its hash; these are the symbols of words outside the alphabet and of the end token
 OTHER, END_SYMBOL = U64(0), U64(1)
 _BASE = U64(0xD1342543DE82EF95)
@@ -100,7 +101,8 @@ class Stream:
         self.doc = np.searchsorted(starts, self.first, side="right") - 1   # of each word
         n = len(texts)
         self.unique, self.index, self.of = np.unique(self.hashes, return_index=True, return_inverse=True)
-        self.known = (_find(alphabet, self.unique) >= 0) | (_find(extra, self.unique) >= 0)
+        self.alphabet_at = _find(alphabet, self.unique)
+        self.known = (self.alphabet_at >= 0) | (_find(extra, self.unique) >= 0)
         ends = np.searchsorted(self.doc, np.arange(n), side="right") + np.arange(n) + 1
         self.place = np.arange(len(self.doc)) + self.doc + 1                # of each word in the row
         self.symbols = np.full(len(self.doc) + n + 1, END_SYMBOL, dtype=U64)
@@ -121,17 +123,69 @@ def _extra(column: pa.Array) -> np.ndarray:
     return np.unique(column.flatten().to_numpy().view(U64))
 
 
-def _count_grams(size: int, alphabet, contexts, suffixes):
-    """(text, extra) -> (ctx, suf, n): the grams of ``size`` symbols, each as the grams less its newest and
-    less its oldest symbol; of ``contexts`` and ``suffixes`` only, where given."""
+def _numbers(x: np.ndarray) -> bytes:
+    """Unsigned numbers in as many bytes each as the largest needs, byte by byte of all."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8)
+    return bytes([width]) + np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _packed(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> bytes:
+    """Grams as two numbers and a count each, ascending by the first."""
+    return len(first).to_bytes(4, "little") + _numbers(np.diff(first, prepend=U64(0))) + _numbers(second) + _numbers(n)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    size, at, out = int.from_bytes(data[:4], "little"), 4, []
+    for _ in range(3):
+        width = data[at]
+        x = np.zeros((size, 8), dtype=np.uint8)
+        x[:, :width] = np.frombuffer(data, np.uint8, size * width, at + 1).reshape(width, size).T
+        out.append(x.view("<u8").ravel().astype(U64, copy=False))
+        at += 1 + size * width
+    out[0] = np.cumsum(out[0], dtype=U64)
+    return out
+
+
+def _sums(first: np.ndarray, second: np.ndarray, n: np.ndarray | None, paired: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs, ascending by the first, with their summed counts (without counts: one each);
+    ``paired``: both numbers are below 2^32."""
+    if not len(first):
+        return first, second, np.empty(0, U64)
+    if paired:
+        code = (first << U64(32)) | second
+        order = None if n is None else np.argsort(code)
+        code = np.sort(code) if n is None else code[order]
+        begin = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        first, second = code[begin] >> U64(32), code[begin] & U64((1 << 32) - 1)
+    else:
+        order = np.lexsort((second, first))
+        a, b = first[order], second[order]
+        begin = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        first, second = a[begin], b[begin]
+    size = len(code) if paired else len(a)
+    return first, second, np.diff(begin, append=size).astype(U64) if n is None else np.add.reduceat(n[order], begin)
+
+
+def _count_grams(size: int, alphabet, contexts, suffixes, names: list, parts: int):
+    """(text, extra) -> (part, grams): the grams of ``size`` symbols with their counts, packed and dealt over
+    ``parts``, each as the grams less its newest and less its oldest symbol; of ``contexts`` and ``suffixes`` only,
+    where given. A gram is named by its place in ``names`` (of contexts, of suffixes), where given, otherwise by its key."""
+    paired = names[0] is not None and names[1] is not None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
             ctx, suf = (np.concatenate([x[i] for x in held]) if held else np.empty(0, U64) for i in range(2))
             held.clear()
-            _, at, n = np.unique(_longer(ctx, suf, size), return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(signed(ctx[at])), pa.array(signed(suf[at])), pa.array(n)], ["ctx", "suf", "n"])
+            ctx, suf, n = _sums(ctx, suf, None, paired)
+            part = (mix(ctx * _BASE + suf) % U64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+            order = np.argsort(part, kind="stable")
+            part, ctx, suf, n = part[order], ctx[order], suf[order], n[order]
+            begin = np.flatnonzero(np.concatenate([[len(part) > 0], part[1:] != part[:-1]]))
+            end = [*begin[1:].tolist(), len(part)]
+            return pa.RecordBatch.from_arrays([pa.array(part[begin].astype(np.int64)), pa.array(
+                [_packed(ctx[i:j], suf[i:j], n[i:j]) for i, j in zip(begin.tolist(), end)], pa.binary())], ["part", "grams"])
         for b in batches:
             if b.num_rows:
                 s = Stream(lowered(b.column(0)), alphabet.value, _extra(b.column(1)))
@@ -140,23 +194,40 @@ def _count_grams(size: int, alphabet, contexts, suffixes):
                     older, less = less, np.zeros_like(less)
                     less[1:] = _longer(older[:-1], older[1:], k)
                 on = np.flatnonzero(s.since >= size - 1)
-                if contexts is not None:
-                    on = on[_find(contexts.value, less[on - 1]) >= 0]
-                if suffixes is not None:
-                    on = on[_find(suffixes.value, less[on]) >= 0]
-                held.append((less[on - 1], less[on]))
+                if size == 2 and paired:  # the places of symbols: other words, the end, then the alphabet
+                    place = np.ones(len(less), dtype=U64)
+                    place[s.place] = np.where(s.known, s.alphabet_at + 2, 0).astype(U64)[s.of]
+                    ctx, suf = place[on - 1], place[on]
+                else:
+                    ctx, suf = less[on - 1], less[on]
+                    if contexts is not None:
+                        at = _find(contexts.value, ctx)
+                        there = at >= 0
+                        on, suf = on[there], suf[there]
+                        ctx = at[there].astype(U64) if names[0] is not None else ctx[there]
+                    if suffixes is not None:
+                        at = _find(suffixes.value, suf)
+                        there = at >= 0
+                        ctx = ctx[there]
+                        suf = at[there].astype(U64) if names[1] is not None else suf[there]
+                held.append((ctx, suf))
             if sum(len(x[0]) for x in held) >= FLUSH_TOKENS:
                 yield flush()
         yield flush()
     return run
 
 
-def _named(size: int):
-    """(ctx, suf, ...) -> with the gram's key in front."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            key = _longer(b.column(0).to_numpy().view(U64), b.column(1).to_numpy().view(U64), size)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), *b.columns], ["key", *b.schema.names])
+def _sum_grams(size: int, names: list, least: float):
+    """All (part, grams) of a part -> (key, ctx, suf, n) of the grams with at least ``least``."""
+    paired = names[0] is not None and names[1] is not None
+
+    def run(table: pa.Table) -> pa.Table:
+        pieces = [_unpacked(x) for x in table["grams"].to_pylist()]
+        ctx, suf, n = _sums(*(np.concatenate([x[i] for x in pieces]) for i in range(3)), paired)
+        enough = n >= least
+        ctx, suf, n = ctx[enough], suf[enough], n[enough]
+        ctx, suf = (x if name is None else name.value[x.astype(np.int64)] for x, name in zip((ctx, suf), names))
+        return pa.table([pa.array(signed(x)) for x in (_longer(ctx, suf, size), ctx, suf, n)], ["key", "ctx", "suf", "n"])
     return run
 
 
@@ -188,9 +259,9 @@ def least_counts(n: int) -> tuple[float, float]:
     return m * LEAST_SHARE, max(2, m * LEAST_ENTRY)
 
 
-def grow(texts: DataFrame, words: DataFrame, n: int, once: int, alphabet) -> DataFrame:
+def grow(texts: DataFrame, words: DataFrame, n: int, once: int, alphabet, extras: bool = True) -> DataFrame:
     """(key, n, delta, bow): all considered grams of the training texts (text, extra) with ``n`` tokens, whose
-    distinct ones are in ``words`` and of which ``alphabet`` and the texts' ``extra`` are symbols."""
+    distinct ones are in ``words`` and of which ``alphabet`` and the texts' ``extra`` (if ``extras``) are symbols."""
     spark = texts.sparkSession
     least, least_entry = least_counts(n)
     is_end = F.col("word") == F.lit(END)
@@ -204,11 +275,11 @@ def grow(texts: DataFrame, words: DataFrame, n: int, once: int, alphabet) -> Dat
                                                                                               (F.col("key") == int(END_SYMBOL)).alias("ends")))]
     states: list[DataFrame] = []
     contexts, shared, suffixes = None, None, None
+    symbols = spark.sparkContext.broadcast(np.concatenate([np.array([OTHER, END_SYMBOL]), alphabet.value])) if not extras else None
     for size in range(2, DEPTH + 2):
-        e = texts.mapInArrow(_count_grams(size, alphabet, shared, suffixes), "ctx long, suf long, n long")
-        # the tasks' counts hardly combine any further, so they are dealt out as they are
-        e = e.repartition("ctx", "suf").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
-        e = e.where(F.col("n") >= least_entry).mapInArrow(_named(size), "key long, ctx long, suf long, n long")
+        names = [symbols, symbols] if size == 2 else [shared, suffixes]
+        e = texts.mapInArrow(_count_grams(size, alphabet, shared, suffixes, names, 1 + n // PART_TOKENS), "part long, grams binary")
+        e = e.groupBy("part").applyInArrow(_sum_grams(size, names, least_entry), "key long, ctx long, suf long, n long")
         if contexts is not None and shared is None:
             e = e.join(contexts.withColumnRenamed("key", "ctx"), "ctx", "left_semi")
         lower = grams[-1].select(F.col("key").alias("suf"), F.col("p").alias("lower"), "ends")
@@ -408,14 +479,15 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys, counts = keys[order], top.column(1).to_numpy()[order]
     alphabet = spark.sparkContext.broadcast(keys[counts >= least])
     beyond = words.where(~is_head & ~is_end & (F.col("c") >= least))
-    if beyond.limit(1).count():  # symbols that are not in the head go to the texts that have them
+    extras = beyond.limit(1).count() > 0
+    if extras:  # symbols that are not in the head go to the texts that have them
         d = cut(d.withColumn("row", F.monotonically_increasing_id()))
         outside = d.select("row", "text").mapInArrow(_outside(spark.sparkContext.broadcast(keys)), "row long, key long")
         extra = outside.join(beyond.mapInArrow(_keyed, "key long, n long"), "key").groupBy("row").agg(F.collect_list("key").alias("extra"))
         d = cut(d.join(extra, "row", "left").drop("row"))
     else:
         d = d.withColumn("extra", F.lit(None).cast("array<long>"))
-    model = grow(train(["text", "extra"]), words, n, once, alphabet)
+    model = grow(train(["text", "extra"]), words, n, once, alphabet, extras)
     release(spark)
     live = model.where("delta != 0 or bow != 0")
     whole = live.limit(HEAD_GRAMS + 1).count() <= HEAD_GRAMS

@@ -145,3 +145,36 @@ def test_model_grows_with_the_corpus(spark, monkeypatch, grams):
     monkeypatch.setattr(S, "LEAST_ENTRY", 4 / n)
     _, score, _, _ = brute_tree(texts, words, monkeypatch)
     assert all(abs(got[i] - score(x)) < 1e-7 * abs(got[i]) for i, x in rows)
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_packed_grams_sum_like_a_counter(wide):
+    """Occurrences packed by several tasks: the grams and counts of a counter, in few bytes each."""
+    rng, total, pieces, size = np.random.default_rng(3), Counter(), [], 0
+    top = 1 << (64 if wide else 20)
+    pool = rng.integers(0, top, (20_000, 2), dtype=np.uint64)
+    for k in range(3):
+        some = pool[rng.integers(0, len(pool), 30_000) // (1 + k)]
+        total.update(map(tuple, some.tolist()))
+        ctx, suf, n = S._sums(some[:, 0].copy(), some[:, 1].copy(), None, not wide)
+        data = S._packed(ctx, suf, n)
+        assert [x.tolist() for x in S._unpacked(data)] == [x.tolist() for x in (ctx, suf, n)]
+        size += len(ctx)
+        assert len(data) <= len(ctx) * (18 if wide else 7) + 7
+        pieces.append(S._unpacked(data))
+    got = S._sums(*(np.concatenate([x[i] for x in pieces]) for i in range(3)), not wide)
+    assert {(a, b): c for a, b, c in zip(*(x.tolist() for x in got))} == dict(total)
+    assert size > len(total)
+
+
+def test_grams_are_shuffled_packed(spark, monkeypatch):
+    """A shuffled row holds a part's grams, not one gram; the least count is applied to their sums."""
+    alphabet = spark.sparkContext.broadcast(np.unique(S.words64(b"a b c d")[0]))
+    names = [spark.sparkContext.broadcast(np.concatenate([np.array([S.OTHER, S.END_SYMBOL]), alphabet.value]))] * 2
+    texts = spark.createDataFrame([("a b c d x",), ("b c a b",), (None,)], "text string").selectExpr("text", "cast(null as array<long>) extra").repartition(3)
+    for two in (names, [None, None]):
+        packed = texts.mapInArrow(S._count_grams(2, alphabet, None, None, two, 2), "part long, grams binary")
+        assert packed.count() <= 6
+        got = packed.groupBy("part").applyInArrow(S._sum_grams(2, two, 2), "key long, ctx long, suf long, n long").collect()
+        word = {w: int(S.words64(w.encode())[0].view(np.int64)[0]) for w in "abcd"}
+        assert sorted((r.ctx, r.suf, r.n) for r in got) == sorted([(word["a"], word["b"], 2), (word["b"], word["c"], 2)])
