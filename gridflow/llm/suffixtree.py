@@ -416,10 +416,11 @@ class Scorer:
         rare = np.flatnonzero(~frequent[of])
         width = np.int64(max(len(u), 1))
         pair, times = np.unique(s.doc[rare] * width + of[rare], return_counts=True)
-        words: list[list] = [[] for _ in texts]
-        for d, k, t in zip((pair // width).tolist(), (pair % width).tolist(), times.tolist()):
-            words[d].append((s.data[s.first[index[k]]:s.last[index[k]]], t, not s.known[k]))
-        return tokens, known, per(base) + np.log10(self.end_count + ADD) - self.scale, score + per(own), words, _lists(rest, n)
+        k = pair % width
+        first, last = s.first[index[k]].tolist(), s.last[index[k]].tolist()
+        words = _lists(pair // width, n, [pa.array([s.data[i:j] for i, j in zip(first, last)], pa.binary()), pa.array(times), pa.array(~s.known[k])],
+                       ["word", "n", "other"])
+        return tokens, known, per(base) + np.log10(self.end_count + ADD) - self.scale, score + per(own), words, *_uses(rest, n)
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -432,14 +433,29 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def _lists(rest: list[tuple], n: int) -> pa.ListArray:
-    """Per text its infrequent grams, a struct each."""
-    owner, key, entry, context = (np.concatenate([x[i] for x in rest]) if rest else np.empty(0, np.int64) for i in range(4))
-    order = np.argsort(owner, kind="stable")
+def _offsets(owner: np.ndarray, n: int) -> pa.Array:
     offsets = np.zeros(n + 1, dtype=np.int32)
     np.cumsum(np.bincount(owner, minlength=n), out=offsets[1:])
-    values = pa.StructArray.from_arrays([pa.array(x[order].view(np.int64)) for x in (key, entry, context)], ["key", "d", "b"])
-    return pa.ListArray.from_arrays(pa.array(offsets), values)
+    return pa.array(offsets)
+
+
+def _lists(owner: np.ndarray, n: int, values: list[pa.Array], names: list[str]) -> pa.ListArray:
+    """Per text its values (ascending by ``owner``), a struct each."""
+    return pa.ListArray.from_arrays(_offsets(owner, n), pa.StructArray.from_arrays(values, names))
+
+
+def _uses(rest: list[tuple], n: int) -> tuple[pa.ListArray, pa.ListArray]:
+    """Per text the keys of its infrequent grams, each once, and their uses: as entry in the upper and as context in the
+    lower half of a number. (Two lists of numbers take a fifth of a list of structs.)"""
+    owner, key, entry, context = (np.concatenate([x[i] for x in rest]) if rest else np.empty(0, np.int64) for i in range(4))
+    key, use = key.view(np.int64), (entry << 32) | context
+    order = np.lexsort((key, owner))
+    owner, key = owner[order], key[order]
+    if len(key):
+        begin = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])]))
+        owner, key, use = owner[begin], key[begin], np.add.reduceat(use[order], begin)
+    offsets = _offsets(owner, n)
+    return pa.ListArray.from_arrays(offsets, pa.array(key)), pa.ListArray.from_arrays(offsets, pa.array(use))
 
 
 def _head(words: DataFrame, size: int) -> F.Column:
@@ -502,19 +518,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scale = float(np.log10(n + ADD * (v + 1)))
     shared = spark.sparkContext.broadcast(Scorer(alphabet.value, keys, counts, gram[order], grams.column(1).to_numpy()[order],
                                                  grams.column(2).to_numpy()[order], whole, bits, ends[0].c if ends else 0, n - inside + once, scale))
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("other", pa.bool_())]))
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         scorer = shared.value
         for texts, extra in batches:
-            *rows, rest = scorer.batch(lowered(texts), _extra(extra))
-            yield pa.StructArray.from_arrays(
-                [*(pa.array(x) for x in rows[:4]),
-                 pa.array([[{"word": w, "n": k, "other": o} for w, k, o in x] for x in rows[4]], rare_type), rest],
-                ["n_tokens", "n_known", "base", "score", "rare", "grams"])
+            *rows, rare, keys, uses = scorer.batch(lowered(texts), _extra(extra))
+            yield pa.StructArray.from_arrays([*(pa.array(x) for x in rows), rare, keys, uses],
+                                             ["n_tokens", "n_known", "base", "score", "rare", "grams", "uses"])
 
     udf = F.arrow_udf(run, "n_tokens long, n_known long, base double, score double, "
-                           "rare array<struct<word:binary,n:long,other:boolean>>, grams array<struct<key:long,d:long,b:long>>")
+                           "rare array<struct<word:binary,n:long,other:boolean>>, grams array<long>, uses array<long>")
     scored = cut(d.select("id", "held_out", udf("text", "extra").alias("s"), F.monotonically_increasing_id().alias("row")))
     rare = scored.select("row", F.explode("s.rare").alias("w")).select("row", "w.word", "w.n", "w.other")
     c = F.coalesce("c", F.lit(0))
@@ -526,8 +539,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     zero = F.lit(0.0)
     more_grams = zero
     if not whole:
-        uses = scored.select("row", F.explode("s.grams").alias("g")).select("row", "g.key", "g.d", "g.b").join(tail, "key")
-        out = out.join(uses.groupBy("row").agg(F.sum(F.col("d") * F.col("delta") + F.col("b") * F.col("bow")).alias("gram_score")), "row", "left")
+        uses = scored.select("row", F.explode(F.arrays_zip(F.col("s.grams").alias("key"), F.col("s.uses").alias("use"))).alias("g"))
+        uses = uses.select("row", "g.key", "g.use").join(tail, "key")
+        d, b = F.shiftright("use", 32), F.col("use").bitwiseAND(F.lit((1 << 32) - 1))
+        out = out.join(uses.groupBy("row").agg(F.sum(d * F.col("delta") + b * F.col("bow")).alias("gram_score")), "row", "left")
         more_grams = F.coalesce("gram_score", zero)
     return out.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),

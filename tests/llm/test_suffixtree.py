@@ -178,3 +178,12 @@ def test_grams_are_shuffled_packed(spark, monkeypatch):
         got = packed.groupBy("part").applyInArrow(S._sum_grams(2, two, 2), "key long, ctx long, suf long, n long").collect()
         word = {w: int(S.words64(w.encode())[0].view(np.int64)[0]) for w in "abcd"}
         assert sorted((r.ctx, r.suf, r.n) for r in got) == sorted([(word["a"], word["b"], 2), (word["b"], word["c"], 2)])
+
+
+def test_uses_of_infrequent_grams_come_once_a_text():
+    """A text's gram comes once with its uses, as two lists of numbers."""
+    rest = [tuple(np.array(x) for x in ([1, 0, 1], np.array([7, 2**63 + 5, 7], dtype=np.uint64), [1, 1, 1], [0, 0, 0])),
+            tuple(np.array(x) for x in ([1, 1], np.array([7, 9], dtype=np.uint64), [0, 0], [1, 1]))]
+    keys, uses = S._uses(rest, 3)
+    assert keys.to_pylist() == [[5 - 2**63], [7, 9], []] and uses.to_pylist() == [[1 << 32], [(2 << 32) + 1, 1], []]
+    assert [x.to_pylist() for x in S._uses([], 2)] == [[[], []], [[], []]]
