@@ -45,6 +45,7 @@ def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle and checkpoint files that no live DataFrame needs: it does so when the
     driver collects its garbage, which a long job with several large shuffles had better not wait for."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     spark.sparkContext._jvm.System.gc()
 
 

@@ -489,10 +489,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n, v, once = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count(F.when(F.col("c") == 1, 1))).first()
     once, least = max(1, once), least_counts(n)[0]
     is_end, is_head = F.col("word") == F.lit(END), _head(words, HEAD_WORDS)
-    top = words.where(is_head & ~is_end).toArrow()
-    keys = words64(b" ".join(top.column(0).to_pylist()))[0]
+    # hashed in the tasks: the words themselves would take several times the driver's memory
+    top = words.where(is_head & ~is_end).mapInArrow(_keyed, "key long, n long").toArrow()
+    keys = top.column(0).to_numpy().view(U64)
     order = np.argsort(keys)
     keys, counts = keys[order], top.column(1).to_numpy()[order]
+    del top, order
     alphabet = spark.sparkContext.broadcast(keys[counts >= least])
     beyond = words.where(~is_head & ~is_end & (F.col("c") >= least))
     extras = beyond.limit(1).count() > 0
@@ -511,13 +513,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grams = (live if whole else model.withColumnRenamed("n", "c").where(is_top)).select("key", "delta", "bow").toArrow()
     gram = grams.column(0).to_numpy().view(U64)
     order = np.argsort(gram)
+    gram, delta, bow = gram[order], grams.column(1).to_numpy()[order], grams.column(2).to_numpy()[order]
+    del grams, order
+    release(spark)
     tail = live.withColumnRenamed("n", "c").where(~is_top).select("key", "delta", "bow")
     bits = np.empty(0, U64) if whole else _bitmap(tail)
     ends = words.where(is_end).collect()
     inside = words.where((F.col("c") >= least) | is_end).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     scale = float(np.log10(n + ADD * (v + 1)))
-    shared = spark.sparkContext.broadcast(Scorer(alphabet.value, keys, counts, gram[order], grams.column(1).to_numpy()[order],
-                                                 grams.column(2).to_numpy()[order], whole, bits, ends[0].c if ends else 0, n - inside + once, scale))
+    shared = spark.sparkContext.broadcast(Scorer(alphabet.value, keys, counts, gram, delta, bow, whole, bits,
+                                                 ends[0].c if ends else 0, n - inside + once, scale))
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         scorer = shared.value
