@@ -88,10 +88,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+def blanks(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each byte whether it is a blank; start and end byte of every word."""
+    blank = _BLANK[a]
+    edge = np.diff(blank.view(np.int8), prepend=1, append=1)
+    return blank, np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
 def _hash_piece(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     a = np.frombuffer(data, dtype=np.uint8)
-    edge = np.diff(_BLANK[a].astype(np.int8), prepend=1, append=1)
-    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    _, start, end = blanks(a)
     total = np.empty(len(a) + 1, dtype=U64)
     total[0] = 0
     np.cumsum((a.astype(U64) + U64(1)) * _powers(_BASE, len(a)), out=total[1:])

@@ -31,16 +31,17 @@ words are joined with their counts by a shuffle that has no hot key.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflow.llm.common import U64, cut, lowered, mix, release, signed, small, small_batches, words64
+from gridflow.llm.common import U64, blanks, cut, lowered, mix, release, signed, small, small_batches, words64
 
 DEPTH = 3
 LEAST_SHARE = 5e-5
@@ -54,7 +55,7 @@ FILTER_BITS = 1 << 27    # of the filter that tells which texts' grams are looke
 BROADCAST_ROWS = 500_000
 ADD = 0.1                # added to every count of the word-frequency score
 END = b"\n"              # the end token; no word contains it
-FLUSH_WORDS = 400_000    # distinct words counted in a worker's memory at a time
+FLUSH_BYTES = 1 << 26    # of counted words in a worker's memory at a time
 FLUSH_TOKENS = 4_000_000
 PART_TOKENS = 1_000_000  # of the training texts for one part of the grams, which a task sums in memory
 # a word's symbol is its hash; these are the symbols of words outside the alphabet and of the end token
@@ -62,25 +63,70 @@ OTHER, END_SYMBOL = U64(0), U64(1)
 _BASE = U64(0xD1342543DE82EF95)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    n: Counter = Counter()
+def _words(data: bytes) -> pa.Array:
+    """The words of ``data``, as views on its bytes without blanks."""
+    a = np.frombuffer(data, dtype=np.uint8)
+    blank, first, last = blanks(a)
+    offsets = np.zeros(len(first) + 1, dtype=np.int32)
+    np.cumsum(last - first, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(a[~blank])])
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.binary()), pa.array(n.values(), pa.int64())], ["word", "n"])
-        n.clear()
-        return out
-    for b in batches:
-        for data in lowered(b.column(0)):
-            n.update(data.split())
-            n[END] += 1
-        if len(n) >= FLUSH_WORDS:
+
+def _added(counts: list[pa.Table]) -> pa.Table:
+    """(word, n) -> (word, c): each word once."""
+    return pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "c"])
+
+
+def _count_words(parts: int):
+    """(text) -> (part, words): the distinct words with their counts, packed and dealt over ``parts``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            counts = _added(held)
+            held.clear()
+            order = pc.array_sort_indices(counts["word"]).to_numpy()   # words with the same beginning take less room together
+            words, n = counts["word"].to_numpy()[order], counts["c"].to_numpy()[order].astype(U64)
+            part = np.zeros(len(n), dtype=U64)
+            part[words != END] = words64(b" ".join(words.tolist()))[0] % U64(parts)
+            order = np.argsort(part, kind="stable")
+            part, words, n = part[order], words[order].tolist(), n[order]
+            begin = np.flatnonzero(np.concatenate([[len(part) > 0], part[1:] != part[:-1]]))
+            end = [*begin[1:].tolist(), len(part)]
+            return pa.RecordBatch.from_arrays([pa.array(part[begin].astype(np.int64)), pa.array(
+                [_squeezed(_numbers(n[i:j]) + b" ".join(words[i:j])) for i, j in zip(begin.tolist(), end)], pa.binary()),
+                pa.array(np.diff(begin, append=len(part)))], ["part", "words", "n"])
+        for b in batches:
+            texts = lowered(b.column(0))
+            if texts:
+                counts = _words(b" ".join(texts)).value_counts()
+                held += [pa.table(counts.flatten(), ["word", "n"]), pa.table([pa.array([END]), pa.array([len(texts)])], ["word", "n"])]
+                size += counts.nbytes
+            if size >= FLUSH_BYTES:
+                yield flush()
+                size = 0
+        if held:
             yield flush()
-    yield flush()
+    return run
+
+
+def _sum_words(table: pa.Table) -> pa.Table:
+    """All (part, words, n) of a part -> (word, c)"""
+    counts = []
+    for data, size in zip(table["words"].to_pylist(), table["n"].to_pylist()):
+        data = _loosened(data)
+        width = data[0]
+        n = _number(data[1:1 + size * width], size, width)
+        counts.append(pa.table([pa.array(data[1 + size * width:].split(b" "), pa.binary()), pa.array(signed(n))], ["word", "n"]))
+    return _added(counts)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(text) -> (word binary, c): every distinct token with its number of occurrences."""
-    return texts.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    parts = 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = texts.mapInArrow(_count_words(parts), "part long, words binary, n long")
+    return packed.groupBy("part").applyInArrow(_sum_words, "word binary, c long")
 
 
 def _find(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -91,17 +137,51 @@ def _find(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == x, at, -1)
 
 
+class Keys:
+    """Many sorted keys. As they are hashes, a key's high bits lead to a place that is at most a few before its own."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(1, len(keys).bit_length())
+        self.keys, self.shift = keys, U64(64 - bits)
+        self.begin = np.zeros(1 << bits, dtype=np.int32)   # of the keys with these high bits
+        np.cumsum(np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)[:-1], out=self.begin[1:])
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """Index of each x in the keys, -1 if it isn't there."""
+        n = len(self.keys)
+        if not n:
+            return np.full(len(x), -1, dtype=np.int64)
+        at = np.minimum(self.begin[x >> self.shift], n - 1).astype(np.int64)
+        key = self.keys[at]
+        on = np.flatnonzero(key < x)
+        for _ in range(8):
+            on = on[at[on] < n - 1]
+            if not len(on):
+                break
+            at[on] += 1
+            key[on] = next_ = self.keys[at[on]]
+            on = on[next_ < x[on]]
+        if len(on):   # many keys with the same high bits
+            at[on] = np.minimum(np.searchsorted(self.keys, x[on]), n - 1)
+            key[on] = self.keys[at[on]]
+        return np.where(key == x, at, -1)
+
+
 class Stream:
     """The symbols of a batch of texts in a row, with an end token before and after each text."""
 
-    def __init__(self, texts: list[bytes], alphabet: np.ndarray, extra: np.ndarray):
+    def __init__(self, texts: list[bytes], alphabet: Keys, extra: np.ndarray):
         self.data = b"\n".join(texts)
         self.hashes, self.first, self.last = words64(self.data)
         starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
         self.doc = np.searchsorted(starts, self.first, side="right") - 1   # of each word
         n = len(texts)
-        self.unique, self.index, self.of = np.unique(self.hashes, return_index=True, return_inverse=True)
-        self.alphabet_at = _find(alphabet, self.unique)
+        order = np.argsort(self.hashes)
+        ordered = self.hashes[order]
+        first = np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)]
+        self.unique, self.index, self.of = ordered[first], order[first], np.empty(len(order), dtype=np.int64)
+        self.of[order] = np.cumsum(first) - 1
+        self.alphabet_at = alphabet.find(self.unique)
         self.known = (self.alphabet_at >= 0) | (_find(extra, self.unique) >= 0)
         ends = np.searchsorted(self.doc, np.arange(n), side="right") + np.arange(n) + 1
         self.place = np.arange(len(self.doc)) + self.doc + 1                # of each word in the row
@@ -129,18 +209,31 @@ def _numbers(x: np.ndarray) -> bytes:
     return bytes([width]) + np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
+def _number(data: bytes, size: int, width: int) -> np.ndarray:
+    x = np.zeros((size, 8), dtype=np.uint8)
+    x[:, :width] = np.frombuffer(data, np.uint8, size * width).reshape(width, size).T
+    return x.view("<u8").ravel().astype(U64, copy=False)
+
+
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(4, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _loosened(data: bytes) -> bytes:
+    return pa.decompress(data[4:], int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True)
+
+
 def _packed(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> bytes:
     """Grams as two numbers and a count each, ascending by the first."""
-    return len(first).to_bytes(4, "little") + _numbers(np.diff(first, prepend=U64(0))) + _numbers(second) + _numbers(n)
+    return _squeezed(len(first).to_bytes(4, "little") + _numbers(np.diff(first, prepend=U64(0))) + _numbers(second) + _numbers(n))
 
 
 def _unpacked(data: bytes) -> list[np.ndarray]:
+    data = _loosened(data)
     size, at, out = int.from_bytes(data[:4], "little"), 4, []
     for _ in range(3):
         width = data[at]
-        x = np.zeros((size, 8), dtype=np.uint8)
-        x[:, :width] = np.frombuffer(data, np.uint8, size * width, at + 1).reshape(width, size).T
-        out.append(x.view("<u8").ravel().astype(U64, copy=False))
+        out.append(_number(data[at + 1:at + 1 + size * width], size, width))
         at += 1 + size * width
     out[0] = np.cumsum(out[0], dtype=U64)
     return out
@@ -174,6 +267,7 @@ def _count_grams(size: int, alphabet, contexts, suffixes, names: list, parts: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        symbols, *tables = (None if x is None else Keys(x.value) for x in (alphabet, contexts, suffixes))
 
         def flush() -> pa.RecordBatch:
             ctx, suf = (np.concatenate([x[i] for x in held]) if held else np.empty(0, U64) for i in range(2))
@@ -188,7 +282,7 @@ def _count_grams(size: int, alphabet, contexts, suffixes, names: list, parts: in
                 [_packed(ctx[i:j], suf[i:j], n[i:j]) for i, j in zip(begin.tolist(), end)], pa.binary())], ["part", "grams"])
         for b in batches:
             if b.num_rows:
-                s = Stream(lowered(b.column(0)), alphabet.value, _extra(b.column(1)))
+                s = Stream(lowered(b.column(0)), symbols, _extra(b.column(1)))
                 less = s.symbols         # the gram one symbol shorter that ends at each place
                 for k in range(2, size):
                     older, less = less, np.zeros_like(less)
@@ -201,12 +295,12 @@ def _count_grams(size: int, alphabet, contexts, suffixes, names: list, parts: in
                 else:
                     ctx, suf = less[on - 1], less[on]
                     if contexts is not None:
-                        at = _find(contexts.value, ctx)
+                        at = tables[0].find(ctx)
                         there = at >= 0
                         on, suf = on[there], suf[there]
                         ctx = at[there].astype(U64) if names[0] is not None else ctx[there]
                     if suffixes is not None:
-                        at = _find(suffixes.value, suf)
+                        at = tables[1].find(suf)
                         there = at >= 0
                         ctx = ctx[there]
                         suf = at[there].astype(U64) if names[1] is not None else suf[there]
@@ -349,23 +443,35 @@ class Scorer:
     delta: np.ndarray
     bow: np.ndarray
     whole: bool           # whether no other gram has a delta or bow
-    others_bits: np.ndarray  # bitmap of the low bits of the keys of those other grams
+    others_bits: np.ndarray  # of the keys of those other grams, see _bitmap
     end_count: int
     others: int           # tokens of training words outside the alphabet, and once more those seen once
     scale: float          # log10 of what the counts of the word-frequency score are divided by
 
     def maybe(self, keys: np.ndarray) -> np.ndarray:
         """False for keys that are certainly none of the infrequent grams."""
-        slot = keys & U64(FILTER_BITS - 1)
-        return (self.others_bits[slot >> U64(6)] >> (slot & U64(63))) & U64(1) == 1
+        word = self.others_bits[(keys & U64(FILTER_BITS - 1)) >> U64(6)]
+        return (word >> (keys & U64(63))) & (word >> (keys >> U64(58))) & U64(1) == 1
+
+    @cached_property
+    def gram_keys(self) -> Keys:
+        return Keys(self.grams)
+
+    @cached_property
+    def word_keys(self) -> Keys:
+        return Keys(self.keys)
+
+    @cached_property
+    def symbols(self) -> Keys:
+        return Keys(self.alphabet)
 
     def walk(self, s: Stream, n: int) -> tuple[np.ndarray, list[tuple]]:
         """Per text the sum over the frequent grams, and the others as (text, key, uses as entry, uses as context)."""
         size = len(s.symbols)
         score, rest = np.zeros(n), []
         gram, at = s.symbols, np.empty(size, dtype=np.int64)
-        at[:] = _find(self.grams, np.array([END_SYMBOL]))[0]
-        at[s.place] = _find(self.grams, np.where(s.known, s.unique, OTHER))[s.of]
+        at[:] = self.gram_keys.find(np.array([END_SYMBOL]))[0]
+        at[s.place] = self.gram_keys.find(np.where(s.known, s.unique, OTHER))[s.of]
         on = np.arange(size)                 # positions whose gram may be in the model
         for k in range(1, DEPTH + 2):
             found = at >= 0
@@ -395,16 +501,16 @@ class Scorer:
             on = np.flatnonzero((s.since >= k) & there & np.concatenate([[False], alive[:-1]]))
             longer = np.zeros(size, dtype=U64)
             longer[on] = _longer(gram[on - 1], gram[on], k + 1)
-            gram, at = longer, _find(self.grams, longer[on])
+            gram, at = longer, self.gram_keys.find(longer[on])
         return score, rest
 
     def batch(self, texts: list[bytes], extra: np.ndarray) -> tuple:
         """Per text: tokens, of them frequent, the word-frequency score of those, the tree's score
         (less what infrequent words and grams add), the infrequent words with their counts; the infrequent grams."""
-        s = Stream(texts, self.alphabet, extra)
+        s = Stream(texts, self.symbols, extra)
         n = len(texts)
         u, index, of = s.unique, s.index, s.of
-        at = _find(self.keys, u)
+        at = self.word_keys.find(u)
         frequent = at >= 0
         c = np.where(frequent, self.counts[at] if len(self.counts) else 0, 0)
         base = np.where(frequent, np.log10(c + ADD) - self.scale, 0.0)
@@ -424,10 +530,11 @@ class Scorer:
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
-    """One bit per slot of ``FILTER_BITS`` that a key falls on, as 64-bit words; at most that many bits reach the driver."""
+    """Two bits per key, by its lowest and highest 6 bits, in one of the 64-bit words, by the bits above the lowest; at most
+    ``FILTER_BITS`` bits reach the driver."""
     slot = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
     words = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))")).alias("bits")).toArrow()
+        F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int)) | shiftleft(1L, cast(shiftrightunsigned(key, 58) as int))")).alias("bits")).toArrow()
     out = np.zeros(FILTER_BITS // 64, dtype=U64)
     out[words.column(0).to_numpy()] = words.column(1).to_numpy().view(U64)
     return out
@@ -509,8 +616,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     release(spark)
     live = model.where("delta != 0 or bow != 0")
     whole = live.limit(HEAD_GRAMS + 1).count() <= HEAD_GRAMS
-    is_top = F.lit(True) if whole else _head(model.withColumnRenamed("n", "c"), HEAD_GRAMS)
-    grams = (live if whole else model.withColumnRenamed("n", "c").where(is_top)).select("key", "delta", "bow").toArrow()
+    # grams without either number count for nothing, also as the frequent ones that are broadcast
+    is_top = F.lit(True) if whole else _head(live.withColumnRenamed("n", "c"), HEAD_GRAMS)
+    grams = live.withColumnRenamed("n", "c").where(is_top).select("key", "delta", "bow").toArrow()
     gram = grams.column(0).to_numpy().view(U64)
     order = np.argsort(gram)
     gram, delta, bow = gram[order], grams.column(1).to_numpy()[order], grams.column(2).to_numpy()[order]

@@ -187,3 +187,37 @@ def test_uses_of_infrequent_grams_come_once_a_text():
     keys, uses = S._uses(rest, 3)
     assert keys.to_pylist() == [[5 - 2**63], [7, 9], []] and uses.to_pylist() == [[1 << 32], [(2 << 32) + 1, 1], []]
     assert [x.to_pylist() for x in S._uses([], 2)] == [[[], []], [[], []]]
+
+
+def test_words_are_shuffled_packed(spark):
+    """A shuffled row holds a part's words, not one word; they sum up to a counter's counts, without texts to none."""
+    rows = [f"w{i % 70} W{i % 9} \u00c9t\u00e9\tw{i}" for i in range(300)] + [None, "", " \n "]
+    texts = spark.createDataFrame([(x,) for x in rows], "text string").repartition(3)
+    packed = texts.mapInArrow(S._count_words(2), "part long, words binary, n long")
+    assert packed.count() <= 6
+    want = Counter(t for x in rows for t in toks(x))
+    got = packed.groupBy("part").applyInArrow(S._sum_words, "word binary, c long").collect()
+    assert {bytes(r.word): r.c for r in got} == want and len(got) == len(want)
+    assert {bytes(r.word): r.c for r in S.word_counts(texts).collect()} == want
+    assert S.word_counts(texts.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 70_000])
+def test_keys_are_found_like_by_search(n):
+    """Spread keys, the two small symbols and keys that share their high bits are found at their places, others are not."""
+    rng = np.random.default_rng(n)
+    some = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    for keys in (some, some & np.uint64(0xFFFFF), some | np.uint64(0xFFFFFFFFF << 28)):
+        keys = np.unique(np.concatenate([keys, np.array([0, 1], np.uint64)[:n]]))
+        x = np.concatenate([keys, keys + np.uint64(1), rng.integers(0, 1 << 64, 1000, dtype=np.uint64), np.array([0, 1, 2**64 - 1], np.uint64)])
+        assert S.Keys(keys).find(x).tolist() == S._find(keys, x).tolist()
+
+
+def test_filter_passes_all_infrequent_grams_and_few_others(spark, monkeypatch):
+    monkeypatch.setattr(S, "FILTER_BITS", 1 << 16)
+    rng = np.random.default_rng(1)
+    keys, others = rng.integers(0, 1 << 64, (2, 2000), dtype=np.uint64)
+    bits = S._bitmap(spark.createDataFrame([(int(k),) for k in S.signed(keys)], "key long"))
+    none = np.empty(0)
+    scorer = S.Scorer(none, none, none, none, none, none, False, bits, 0, 1, 0.0)
+    assert scorer.maybe(keys).all() and scorer.maybe(others).sum() < 2000 * 0.015
