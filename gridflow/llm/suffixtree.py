@@ -124,7 +124,7 @@ def _sum_words(table: pa.Table) -> pa.Table:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(text) -> (word binary, c): every distinct token with its number of occurrences."""
-    parts = 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = texts.mapInArrow(_count_words(parts), "part long, words binary, n long")
     return packed.groupBy("part").applyInArrow(_sum_words, "word binary, c long")
 
